@@ -1,0 +1,4 @@
+"""Registered queries over the driver's tables, one per operator, with their DuckDB SQL."""
+
+QUERIES: dict = {}
+ORACLE_SQL: dict[str, str] = {}
