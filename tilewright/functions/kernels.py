@@ -230,23 +230,29 @@ def _read(data: bytes, at: int):
     return (kind, out), at
 
 
-# --- pandas UDFs -----------------------------------------------------------------------------
+# --- Columns by pandas UDFs ------------------------------------------------------------------
 
 
-@F.pandas_udf("double")
-def geodesic_length(lines: pd.Series) -> pd.Series:
-    """Geodesic metres of array<struct<x, y>>; null for null."""
-    return lines.map(lambda r: None if r is None else line_length(np.array([(p["x"], p["y"]) for p in r], float).reshape(-1, 2)))
+def geodesic_length(lines):
+    """Geodesic metres of an array<struct<x, y>> column; null for null."""
 
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(lambda r: None if r is None else line_length(np.array([(p["x"], p["y"]) for p in r], float).reshape(-1, 2)))
 
-@F.pandas_udf("double")
-def geodesic_distance(lon1: pd.Series, lat1: pd.Series, lon2: pd.Series, lat2: pd.Series) -> pd.Series:
-    return pd.Series(geodesic(lon1.to_numpy(float), lat1.to_numpy(float), lon2.to_numpy(float), lat2.to_numpy(float)))
+    return F.pandas_udf(run, T.DoubleType())(lines)
 
 
-@F.pandas_udf("array<struct<kind: string, wkb: binary>>")
-def wkb_parts(data: pd.Series) -> pd.Series:
-    """The primitive parts of a geometry as WKB, collections taken apart; empty for null."""
+def geodesic_distance(lon1, lat1, lon2, lat2):
+    """Geodesic metres between two points given as columns."""
+
+    def run(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
+        return pd.Series(geodesic(a.to_numpy(float), b.to_numpy(float), c.to_numpy(float), d.to_numpy(float)))
+
+    return F.pandas_udf(run, T.DoubleType())(lon1, lat1, lon2, lat2)
+
+
+def wkb_parts(data):
+    """The primitive parts of a WKB column as array<struct<kind, wkb>>, collections taken apart; empty for null."""
 
     def parts(kind, c):
         if kind == "GeometryCollection":
@@ -255,4 +261,8 @@ def wkb_parts(data: pd.Series) -> pd.Series:
             return [{"kind": kind[5:], "wkb": to_wkb(kind[5:], v)} for v in c]
         return [{"kind": kind, "wkb": to_wkb(kind, c)}]
 
-    return data.map(lambda d: [] if d is None else parts(*from_wkb(bytes(d))))
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(lambda d: [] if d is None else parts(*from_wkb(bytes(d))))
+
+    part = T.StructType([T.StructField("kind", T.StringType()), T.StructField("wkb", T.BinaryType())])
+    return F.pandas_udf(run, T.ArrayType(part))(data)
