@@ -12,6 +12,7 @@ import struct
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F, types as T
 
 from .geometry import ECC2, FLATTENING, SEMI_MAJOR
@@ -258,11 +259,13 @@ def wkb_parts(data):
         if kind == "GeometryCollection":
             return [x for k, v in c for x in parts(k, v)]
         if kind.startswith("Multi"):
-            return [{"kind": kind[5:], "wkb": to_wkb(kind[5:], v)} for v in c]
-        return [{"kind": kind, "wkb": to_wkb(kind, c)}]
+            return [(kind[5:], to_wkb(kind[5:], v)) for v in c]
+        return [(kind, to_wkb(kind, c))]
 
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda d: [] if d is None else parts(*from_wkb(bytes(d))))
+    kind = pa.list_(pa.struct([("kind", pa.string()), ("wkb", pa.binary())]))
+
+    def run(a: pa.Array) -> pa.Array:
+        return pa.array([[] if d is None else [{"kind": k, "wkb": w} for k, w in parts(*from_wkb(d))] for d in a.to_pylist()], kind)
 
     part = T.StructType([T.StructField("kind", T.StringType()), T.StructField("wkb", T.BinaryType())])
-    return F.pandas_udf(run, T.ArrayType(part))(data)
+    return F.arrow_udf(run, T.ArrayType(part))(data)
