@@ -169,8 +169,9 @@ def url_filter_joined(
         .agg(F.max(F.struct((F.length("h") + F.length("p")).alias("n"), F.length("h").alias("m"), F.concat("h", "p").alias("rule"), "verdict")).alias("best"))
     )
     judged = urls.join(best, url_col, "left").select(F.col(url_col).alias("u"), "host", "path", "best.rule", "best.verdict")
-    return pages.join(judged, F.col(url_col).eqNullSafe(F.col("u")), "left").select(
-        F.col(id_col).alias("id"),
+    own = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("asked"))
+    return own.join(judged, F.col("asked").eqNullSafe(F.col("u")), "left").select(
+        "id",
         F.coalesce("host", F.lit("")).alias("host"),
         F.coalesce("path", F.lit("")).alias("path"),
         "rule",
