@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.geometry import box_area, box_parts, clip_to
 from .relational import number_parts
@@ -63,7 +63,7 @@ def clip_polygons(df: DataFrame, box: tuple, record: str, rings: str = "rings")
 
     own = [c for c in df.columns if c != rings]
     unwrapped = df.withColumn("__rings", F.transform(rings, lambda r: G.unwrap(r))).select(*own, "__rings")
-    schema = unwrapped.schema.add("__part", f"array<{RING.simpleString()}>")
+    schema = T.StructType([*unwrapped.schema.fields, T.StructField("__part", T.ArrayType(RING))])
     metres = lambda c: G.polygon_area(F.transform(c, lambda r: G.project(r)))
     parts = unwrapped.mapInPandas(cut, schema).withColumn("__kept", metres("__part")).where("__kept > 0")
     total = parts.groupBy(record).agg(F.sum("__kept").alias("__sum"))
