@@ -88,4 +88,63 @@ QUERIES = {
     "op10_line_rules": op10_line_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = r"'[^\x20\x09-\x0D]+'"
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_minhash": rf"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_WORDS}) as w from documents),
+s as (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i+2], ' ')) end) as s from w),
+n as (select doc_id, count(*) as n from s group by 1),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as k from s a join s b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2),
+l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 85 * (x.n + y.n - k)),
+sym as (select a, b from l union select b, a from l),
+reach as (select doc_id as a, doc_id as b from documents union select reach.a, sym.b from reach join sym on sym.a = reach.b),
+c as (select a as doc_id, min(b) as component_id from reach group by 1)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, c.component_id, d.doc_id = c.component_id as kept
+from documents d join c on c.doc_id = d.doc_id left join n on n.doc_id = d.doc_id""",
+    "op3_url_filter": r"""
+with r as (select * from (values ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')) as v(h, p, verdict)),
+u as (select page_id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
+q as (select page_id, regexp_extract(rest, '^[^/?#]*') as raw, regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1) as path from u),
+h as (select page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, path from q),
+f as (select page_id, h || p as rule, verdict, row_number() over (partition by page_id order by length(h) + length(p) desc, length(h) desc) as k
+  from h join r on (host = h or ends_with(host, '.' || h)) and starts_with(path, p))
+select h.page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from h left join f on f.page_id = h.page_id and k = 1""",
+    "op4_chat_rotation": r"""
+with t as (select conv_id, turn, coalesce(role, 'unknown') as speaker, coalesce(text, '') as text,
+  row_number() over (partition by conv_id, turn, role, text) - 1 as copy from conversations),
+s as (select distinct conv_id as c, speaker as perspective from t),
+g as (select conv_id, perspective, turn, copy, speaker, speaker = perspective as own,
+  case when speaker = perspective then '<|assistant|>' || chr(10) else '<|user name=' || speaker || '|>' || chr(10) end as head, text from t join s on c is not distinct from conv_id),
+x as (select *, head || text || '<|end|>' || chr(10) as segment from g),
+y as (select *, cast(coalesce(sum(length(segment)) over (partition by conv_id, perspective order by turn nulls first, speaker, segment, copy rows between unbounded preceding and 1 preceding), 0) as bigint) as start from x)
+select conv_id, perspective, turn, copy, speaker, segment, start, case when own then start + length(head) end as mask_start,
+  case when own then start + length(segment) - 1 end as mask_end from y""",
+    "op8_block_join": r"""
+with v as (select vec_id, list_transform(embedding, lambda x: cast(x as double)) as v from embeddings where embedding is not null),
+g as (select * from v where len(list_filter(v, lambda x: x is null or isnan(x) or isinf(x))) = 0 and len(list_filter(v, lambda x: x <> 0)) > 0),
+s as (select q.vec_id as query_id, c.vec_id, list_reduce(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]), lambda a, b: a + b) as score
+  from g q join g c on c.vec_id <> q.vec_id and len(c.v) = len(q.v) where q.vec_id % 20 = 0),
+r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from s)
+select query_id, rank, vec_id, score from r where rank <= 20""",
+    "op10_line_rules": rf"""
+with d as (select doc_id, coalesce(source, '') as host, coalesce(text, '') as t from documents),
+w as (select doc_id, host, t, regexp_extract_all(t, {_WORDS}) as w,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, {_WORDS})) as l from d),
+g as (select doc_id, i, array_to_string(w[i:i+4], ' ') as g from (select doc_id, w, unnest(range(1, len(w) - 3)) as i from w)),
+again as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, g) as k from g) where k > 1),
+cover as (select doc_id, count(*) as n_repeat_words from (select distinct doc_id, unnest(range(i, i + 5)) from again) group by 1),
+ln as (select doc_id, host, t, trim(regexp_replace(lower(x), '[\x20\x09-\x0D]+', ' ', 'g')) as line, len(regexp_extract_all(x, {_WORDS})) as n
+  from (select doc_id, host, t, unnest(l) as x from w)),
+hosts as (select host, count(distinct t) as docs from ln group by 1),
+over_ as (select host, line from (select host, line, count(distinct t) as k from ln group by 1, 2) join hosts using (host) where k > 20 and k > 0.01 * docs),
+lost as (select doc_id, cast(sum(n) as bigint) as removed_words from ln join over_ using (host, line) group by 1),
+m as (select w.doc_id, len(w) as n_words, length(array_to_string(w, '')) as word_chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as n_symbols,
+  len(l) - len(list_distinct(l)) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words, coalesce(removed_words, 0) as removed_words
+  from w left join cover on cover.doc_id = w.doc_id left join lost on lost.doc_id = w.doc_id)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+  not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and n_words - removed_words >= 10 and n_words - removed_words >= 0.3 * n_words as kept, removed_words from m""",
+}
