@@ -259,8 +259,9 @@ def learn(
 
     counts = rows.select("text", "label").mapInArrow(pairs, "stem string, pos bigint, neg bigint").groupBy("stem").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     odds = F.log((F.col("pos") + 0.5) / (n_pos + 1)) - F.log((F.col("neg") + 0.5) / (n_neg + 1))
-    top = counts.where(f"pos >= {least}").withColumn("odds", odds).where("odds >= 2.5").orderBy(F.desc("pos"), "stem").limit(20_000)
-    pool = {r["stem"]: r["odds"] for r in top.select("stem", "odds").collect()}
+    top = counts.where(f"pos >= {least}").withColumn("odds", odds).where("odds >= 2").orderBy(F.desc("pos"), "stem").limit(20_000)
+    found = top.select("stem", "odds", "pos").collect()
+    pool = {r["stem"]: r["odds"] for r in found}
 
     def held(batches):
         for batch in batches:
@@ -269,6 +270,10 @@ def learn(
 
     texts = [set(r["stems"]) for r in rows.where("label = 1").select("text").mapInArrow(held, "stems array<string>").collect()]
     weights = _cover(texts, pool, least)
+    for r in found:  # and those that stand for toxicity by themselves, though other entries explain their texts too
+        word = r["stem"].lstrip("=")
+        if r["odds"] >= 5.5 and r["pos"] >= max(5, 0.02 * n_pos) and "=" + word not in weights and not any(word[:n] in weights for n in range(SHORTEST, len(word) + 1)):
+            weights[r["stem"]] = r["odds"]
     scored = score(rows.select("text", "label"), Model(weights, DEFAULT_CURVE), "text").select("strongest", "total", "label").toPandas()
     return Model(weights, _fit(scored[["strongest", "total"]].to_numpy(), scored["label"].to_numpy()))
 
