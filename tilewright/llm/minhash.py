@@ -176,6 +176,77 @@ def _confirm(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     return full.select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary")
 
 
+#: Members of a bucket up to which its pairs are listed, and members and shingles of a block beyond.
+FEW, BLOCK, BLOCK_SHINGLES = 16, 512, 200_000
+
+
+def _few(members: DataFrame, fits: str, tried: DataFrame) -> DataFrame:
+    """Pairs (a, b) of small buckets whose members are in different components and weren't compared yet."""
+    left = members.select("bucket", F.col("node").alias("a"), F.col("n").alias("m"), F.col("c").alias("d"))
+    pairs = left.join(members.select("bucket", F.col("node").alias("b"), "n", "c"), "bucket").where(f"a < b and c != d and {fits}")
+    both_ways = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    return pairs.select("a", "b").distinct().join(both_ways, ["a", "b"], "left_anti")
+
+
+def _many(members: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) of large buckets that join different components, enough of them to join all that are linked.
+
+    The members outside the bucket's main component are compared with all members, block by
+    block; pairs are made and judged inside a task, and a task returns one link at most for
+    each component it saw, so what comes out grows with the members, not with their pairs.
+    """
+    other = F.col("c") != F.col("main.c")
+    blocks = lambda k, size: F.greatest(F.ceil(k / BLOCK), F.ceil(size / BLOCK_SHINGLES), F.lit(1)).cast("int")
+    rest = blocks(F.col("members") - F.col("main.k"), F.col("size") - F.col("main.size"))
+    every = blocks(F.col("members"), F.col("size"))
+    sized = members.select("bucket", "node", "c", other.alias("other"), rest.alias("x"), every.alias("y"), F.xxhash64("node").alias("h"))
+    sized = sized.join(texts, "node")
+    turn = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod("h", F.col(n)).cast("int")
+    left = sized.where("other").select("bucket", own("x").alias("i"), turn("y").alias("j"), "node", "c", "text")
+    again = [F.col(c).alias(c) for c in ("bucket", "node", "c", "text")]  # new columns, to tell the sides apart
+    right = sized.select(*again, turn("x").alias("i"), own("y").alias("j"))
+
+    def run(xs: pa.Table, ys: pa.Table) -> pa.Table:
+        x, y = ({c: t.column(c).to_pylist() for c in ("node", "c", "text")} for t in (xs, ys))
+        found = linked(x["text"], x["c"], y["text"], y["c"], shingle, percent)
+        return pa.table({k: pa.array([side["node"][p[i]] for p in found], pa.binary()) for i, (k, side) in enumerate((("a", x), ("b", y)))})
+
+    return left.groupBy("bucket", "i", "j").cogroup(right.groupBy("bucket", "i", "j")).applyInArrow(run, "a binary, b binary")
+
+
+def linked(x: list[str], x_part: list, y: list[str], y_part: list, shingle: int, percent: int) -> list[tuple[int, int]]:
+    """Pairs of a text of x and one of y that are similar enough, each joining two parts that no earlier pair joined."""
+    if not x or not y:
+        return []
+    normal = lambda texts: [b" ".join(words(t)) for t in texts]
+    sets, against = shingle_hashes(normal(x), shingle), shingle_hashes(normal(y), shingle)
+    size = np.array([len(s) for s in against])
+    flat, owner = np.concatenate(against), np.repeat(np.arange(len(y)), size)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    root = {p: p for p in {*x_part, *y_part}}
+
+    def find(p):
+        while root[p] != p:
+            root[p] = root[root[p]]
+            p = root[p]
+        return p
+
+    found = []
+    for i, own in enumerate(sets):
+        lo, hi = np.searchsorted(flat, own), np.searchsorted(flat, own, "right")
+        n = hi - lo
+        at = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+        both = np.bincount(owner[at], minlength=len(y))
+        for j in np.flatnonzero(100 * both >= percent * (len(own) + size - both)).tolist():
+            a, b = find(x_part[i]), find(y_part[j])
+            if a != b:
+                root[a] = b
+                found.append((i, j))
+    return found
+
+
 def near_duplicates(
     docs: DataFrame,
     shingle: int = 5,
@@ -194,8 +265,9 @@ def near_duplicates(
     Equal word sequences are one node, so exact copies cost nothing beyond a count. In a bucket
     every member is first compared with the bucket's hub, the member that shares most buckets
     (in a group of near copies: the text they were made from); only members that are then still
-    in different components are compared with each other. So a group of m copies costs about m
-    comparisons, and no link that could join two components is left out.
+    in different components are compared with each other: as listed pairs in buckets of up to
+    FEW members, in blocks inside a task in larger ones. So what is shuffled stays in proportion
+    to the members, and no link that could join two components is left out.
 
     Null, empty and wordless texts have no shingles, are linked with nothing and are kept. Rows
     with a null id take part; a component of null ids only has a null component_id, and kept is
@@ -229,17 +301,11 @@ def near_duplicates(
     links = materialize(_confirm(tried, texts, shingle, percent), "links")
     found = materialize(components(links), "components")
     placed = entries.select("bucket", "node", "n").join(found, "node", "left").select("bucket", "node", "n", F.coalesce(F.col("component"), F.col("node")).alias("c"))
-    mixed = placed.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("bucket")
-    mixed = materialize(placed.join(mixed, "bucket"), "open")
-    left = mixed.select("bucket", F.col("node").alias("a"), F.col("n").alias("m"), F.col("c").alias("d"))
-    rest = (
-        left.join(mixed.select("bucket", F.col("node").alias("b"), "n", "c"), "bucket")
-        .where(f"a < b and c != d and {fits}")
-        .select("a", "b")
-        .distinct()
-    )
-    both_ways = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    more = materialize(_confirm(rest.join(both_ways, ["a", "b"], "left_anti"), texts, shingle, percent), "links")
+    shares = placed.groupBy("bucket", "c").agg(F.count("*").alias("k"), F.sum("n").alias("size"))
+    shares = shares.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("k").alias("members"), F.sum("size").alias("size"), F.max(F.struct("k", "size", "c")).alias("main"))
+    mixed = materialize(placed.join(shares.where("parts > 1"), "bucket"), "open")
+    more = _few(mixed.where(f"members <= {FEW}"), fits, tried).unionByName(_many(mixed.where(f"members > {FEW}"), texts, shingle, percent))
+    more = materialize(_confirm(more.distinct(), texts, shingle, percent), "links")
     found = materialize(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)), "components")
 
     where = seen.select("id", "text_hash", "n_shingles", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
