@@ -29,7 +29,7 @@ def metric_counts(spark, sf_dir):
 
 @query(
     with_union("cx, cy, grp")
-    + """ select c.cell_id, u.grp, u.union_area, round(least(1.0, u.union_area/10000.0), 6) as fraction
+    + """ select c.cell_id, u.grp, u.union_area, case when u.union_area is not null then round(least(1.0, u.union_area/10000.0), 6) end as fraction
   from c left join u on u.cx = c.cx and u.cy = c.cy"""
 )
 def coverage_fraction(spark, sf_dir):

@@ -182,10 +182,10 @@ def duplicate_keys(spark, sf_dir):
     return R.duplicate_keys(table(spark, sf_dir, "lineitem"), ["l_partkey", "l_suppkey"])
 
 
-@query("select l_orderkey, l_linenumber, l_partkey from (select *, row_number() over (partition by l_orderkey order by l_shipdate, l_linenumber) as r from lineitem) where r = 1")
+@query("select l_orderkey, l_linenumber, l_partkey from (select *, row_number() over (partition by l_orderkey order by l_shipdate, l_linenumber, l_partkey) as r from lineitem) where r = 1")
 def dedup_first(spark, sf_dir):
     t = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
-    return R.first_per(t, ["l_orderkey"], ["l_shipdate", "l_linenumber"]).drop("l_shipdate")
+    return R.first_per(t, ["l_orderkey"], ["l_shipdate", "l_linenumber", "l_partkey"]).drop("l_shipdate")
 
 
 @query(
@@ -209,11 +209,11 @@ def sort_parts(spark, sf_dir):
     return table(spark, sf_dir, "supplier").select("s_nationkey", "s_suppkey", "s_name").orderBy("s_nationkey", "s_suppkey")
 
 
-@query("select l_orderkey, bool_and(p is null or l_partkey > p) as monotone from (select l_orderkey, l_partkey, lag(l_partkey) over (partition by l_orderkey order by l_linenumber) as p from lineitem) group by 1")
+@query("select l_orderkey, bool_and(p is null or l_partkey > p) as monotone from (select l_orderkey, l_partkey, lag(l_partkey) over (partition by l_orderkey order by l_linenumber, l_partkey) as p from lineitem) group by 1")
 def monotone_check(spark, sf_dir):
     from pyspark.sql import Window
 
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber")
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey")
     t = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", F.lag("l_partkey").over(w).alias("p"))
     return t.groupBy("l_orderkey").agg(F.bool_and(F.col("p").isNull() | (F.col("l_partkey") > F.col("p"))).alias("monotone"))
 
