@@ -75,7 +75,8 @@ def test_colliding_digests_are_told_apart(tmp_path, monkeypatch):
 
 def test_shards(spark):
     rows = [(i % 50 if i % 9 else None, None if i % 11 == 0 else f"text {i % 30} " * (i % 40)) for i in range(700)]
-    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("shard", F.lit("x"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df = df.withColumns({c: F.lit("x") for c in ("shard", "bucket", "total", "row", "at", "begin")})
     out = sharding.external_shuffle(df, shards=16, seed=3, bucket_bytes=4000)
     got = out.collect()
     key = lambda t: (str(t[0]), str(t[1]))

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .common import materialize
 
 BUCKET_BYTES = 8 << 20
+#: Buckets up to which the table of their sizes (24 bytes each) is broadcast.
+FEW_BUCKETS = 400_000
 GROUP = 4096
 
 
@@ -55,17 +57,19 @@ def external_shuffle(
     total = rows.agg(F.sum(record_size(text_col)).alias("n")).first()["n"] or 0
     buckets = max(1, -(-total // bucket_bytes))
     key = F.xxhash64(F.lit(seed), F.col(id_col), F.xxhash64(text_col), F.monotonically_increasing_id())
-    scattered = rows.select(F.pmod(key, F.lit(buckets)).alias("bucket"), F.struct(key.alias("__order"), *rows.columns).alias("row"))
-    filled = scattered.groupBy("bucket").agg(F.collect_list("row").alias("rows"))
-    mixed = filled.select("bucket", F.shuffle(F.sort_array("rows"), F.lit(seed)).alias("rows"))
-    placed = mixed.select("bucket", F.posexplode("rows").alias("at", "row"))
-    placed = materialize(placed.select("bucket", F.col("at").cast("bigint").alias("at"), *(F.col("row")[c].alias(c) for c in rows.columns)), "shuffled")
-    begins = _running(placed.groupBy("bucket").agg(F.count("*").alias("n")))
-    position = F.col("begin") + F.col("at")
-    shard = F.expr(f"((begin + at) * {shards}) div total")
-    first = F.expr(f"(shard * total + {shards - 1}) div {shards}")
-    out = placed.join(begins.select("bucket", "begin", "total"), "bucket").withColumn("__position", position).withColumn("shard", shard)
-    return out.withColumn("slot", F.col("__position") - first).select(*rows.columns, F.col("shard").cast("int").alias("shard"), "slot")
+    scattered = rows.select(F.pmod(key, F.lit(buckets)).alias("__bucket"), F.struct(key.alias("__order"), *rows.columns).alias("__row"))
+    filled = scattered.groupBy("__bucket").agg(F.collect_list("__row").alias("__rows"))
+    mixed = filled.select("__bucket", F.shuffle(F.sort_array("__rows"), F.lit(seed)).alias("__rows"))
+    placed = mixed.select("__bucket", F.posexplode("__rows").alias("__at", "__row"))
+    placed = materialize(placed.select("__bucket", F.col("__at").cast("bigint").alias("__at"), *(F.col("__row")[c].alias(c) for c in rows.columns)), "shuffled")
+    begins = _running(placed.groupBy(F.col("__bucket").alias("bucket")).agg(F.count("*").alias("n")))
+    begins = begins.select(F.col("bucket").alias("__bucket"), F.col("begin").alias("__begin"), F.col("total").alias("__total"))
+    if buckets <= FEW_BUCKETS:  # else the texts are joined by a second exchange
+        begins = F.broadcast(begins)
+    out = placed.join(begins, "__bucket").withColumn("__position", F.col("__begin") + F.col("__at"))
+    out = out.withColumn("shard", F.expr(f"(__position * {shards}) div __total"))
+    slot = F.col("__position") - F.expr(f"(shard * __total + {shards - 1}) div {shards}")
+    return out.withColumn("slot", slot).select(*rows.columns, F.col("shard").cast("int").alias("shard"), "slot")
 
 
 def write_shards(shuffled: DataFrame, path: str) -> None:
