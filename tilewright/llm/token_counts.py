@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .common import materialize
 from .tokens import token_lengths, tokenizer_path
 
 BLOCK = 1024
@@ -90,9 +91,10 @@ def token_report(docs: DataFrame, tokenizer: str | None = None, text_col: str =
 
     Null, empty and repeated texts all count as documents (of length 0 where there is no text);
     any length of text is encoded whole. An empty table gives no rows. Only the text column is
-    read.
+    read. The histogram is written once, since the sums read it twice and the texts are to be
+    encoded once.
     """
-    sums = suffix_sums(length_histogram(docs, tokenizer, text_col))
+    sums = suffix_sums(materialize(length_histogram(docs, tokenizer, text_col), "lengths"))
     return sums.withColumns(
         {"share_upto": F.round(F.col("docs_upto") / F.col("total_docs"), 9), "lost_tokens": F.col("total_tokens") - F.col("kept_tokens")}
     )
