@@ -12,6 +12,8 @@ from .common import materialize
 
 SPACE = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
+#: The options of line_rules that keep it right on hosts of any size.
+BOUNDED = {"max_docs": 200}
 
 
 def _words(text: Column) -> Column:
@@ -63,6 +65,8 @@ def line_rules(
     id_col: str = "doc_id",
     text_col: str = "text",
     host_col: str = "source",
+    max_docs: int | None = None,
+    max_words: int = 4,
 ) -> DataFrame:
     """One row per row of docs: id, text_hash, the base measures, base_failed, removed_words, removed (line hashes), kept.
 
@@ -71,6 +75,10 @@ def line_rules(
     does not condemn its own lines. A document is rejected if the base rules fail, or if what
     is left without such lines is under min_words words or under min_left of its words.
 
+    host_share alone loosens as a host grows. With max_docs, a line of max_words words or more
+    is over the limit beyond so many texts on a host of any size; shorter lines, which are
+    common by themselves, keep the share.
+
     A null text is empty, has no words and fails. A null host is the host of all rows without
     one. Rows with null ids and repeated rows are judged each; extra columns are ignored; an
     empty table stays empty. Counts per (host, line) are summed before they are shuffled, and
@@ -88,11 +96,17 @@ def line_rules(
     measured = base_measures(rows.withColumn("lines", counted), "text").drop("text")
     measured = materialize(measured, "measured")
 
-    line = measured.select("host", "text_hash", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
-    spread = line.distinct().groupBy("host", "h").agg(F.count("*").alias("docs")).where(F.col("docs") > min_docs)
+    line = measured.select("host", "text_hash", F.explode(F.array_distinct("lines")).alias("line")).select("host", "text_hash", "line.h", "line.n")
     hosts = measured.where("size(lines) > 0").select("host", "text_hash").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
-    over = spread.join(hosts, "host").where(F.col("docs") > host_share * F.col("host_docs")).select("host", "h")
-    over = materialize(over, "over")
+
+    def limited(spread: DataFrame) -> DataFrame:
+        beyond = F.col("docs") > host_share * F.col("host_docs")
+        if max_docs is not None:
+            beyond = beyond | ((F.col("docs") > max_docs) & (F.col("n") >= max_words))
+        return spread.where(F.col("docs") > min_docs).join(hosts, "host").where(beyond).select("host", "h", F.col("n").alias("line_words"))
+
+    spread = line.distinct().groupBy("host", "h").agg(F.count("*").alias("docs"), F.max("n").alias("n"))
+    over = materialize(limited(spread), "over")
 
     held = measured.select("host", "copy", F.explode("lines").alias("line")).select("host", "copy", F.col("line.h").alias("h"), F.col("line.n").alias("n"))
     held = held.groupBy("host", "copy", "h").agg(F.sum("n").alias("n"))

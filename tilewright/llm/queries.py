@@ -69,7 +69,15 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.line_rules(table(spark, sf_dir, "documents"))
+    return _judged(quality.line_rules(table(spark, sf_dir, "documents")))
+
+
+def op10_line_rules_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules as the pipeline applies them; op10_line_rules is held to its SQL, which has no such options."""
+    return _judged(quality.line_rules(table(spark, sf_dir, "documents"), **quality.BOUNDED))
+
+
+def _judged(judged: DataFrame) -> DataFrame:
     return judged.select(
         F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words"
     )
@@ -86,6 +94,7 @@ QUERIES = {
     "op8_block_join": op8_block_join,
     "op9_bpe": op9_bpe,
     "op10_line_rules": op10_line_rules,
+    "op10_line_rules_bounded": op10_line_rules_bounded,
 }
 
 _WORDS = r"'[^\x20\x09-\x0D]+'"
