@@ -20,3 +20,15 @@ def test_limit_does_not_grow_with_the_host(spark):
     bounded = lost(max_docs=20)
     assert all(bounded[i] == (6 if i < 30 else 0) for i in range(400))
     assert set(lost(max_docs=30).values()) == {0}
+
+
+def test_near_copies_do_not_condemn_their_own_lines(spark):
+    body = [_own(f"b{k}") for k in range(12)]
+    footer = "footer of all pages here"
+    rows = [(i, "h", "\n".join([*body[: i % 12], _own(f"changed{i}"), *body[i % 12 + 1 :]])) for i in range(30)]
+    rows += [(100 + i, "h", f"{_own(i)}\n{footer}") for i in range(30)]
+    got = {x["id"]: x for x in quality.line_rules(_frame(spark, rows)).collect()}
+    assert not any(got[i]["kept"] for i in range(30))  # the SQL's rule loses the whole group
+    got = {x["id"]: x for x in quality.line_rules(_frame(spark, rows), **quality.BOUNDED).collect()}
+    assert all(got[i]["kept"] and got[i]["removed_words"] == 0 for i in range(30))
+    assert all(got[100 + i]["kept"] and got[100 + i]["removed_words"] == 5 for i in range(30))

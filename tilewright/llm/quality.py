@@ -13,7 +13,7 @@ from .common import materialize
 SPACE = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
 #: The options of line_rules that keep it right on hosts of any size.
-BOUNDED = {"max_docs": 200}
+BOUNDED = {"max_docs": 200, "by_group": True}
 
 
 def _words(text: Column) -> Column:
@@ -56,6 +56,17 @@ def _line_hash(line: Column) -> Column:
     return F.xxhash64(F.trim(F.regexp_replace(F.lower(line), SPACE, " ")))
 
 
+def _holders(measured: DataFrame, inside: DataFrame, min_left: float) -> DataFrame:
+    """(host, h, docs, n) of the lines in inside, where depleted texts with the same longest line in it are one holder."""
+    longest = F.max(F.struct("line_words", "h"))["h"]
+    each = inside.groupBy("copy").agg(F.sum("n").alias("gone"), longest.alias("longest"), F.collect_set(F.struct("h", "line_words")).alias("over"))
+    depleted = F.col("n_words") - F.col("gone") < min_left * F.col("n_words")
+    holder = F.struct(depleted.alias("depleted"), F.when(depleted, F.col("longest")).otherwise(F.col("text_hash")).alias("by"))
+    each = measured.select("host", "copy", "text_hash", "n_words").join(each, "copy").select("host", holder.alias("holder"), F.explode("over").alias("line"))
+    each = each.select("host", "line.h", "line.line_words", "holder").distinct()
+    return each.groupBy("host", "h").agg(F.count("*").alias("docs"), F.max("line_words").alias("n"))
+
+
 def line_rules(
     docs: DataFrame,
     min_docs: int = 20,
@@ -67,6 +78,7 @@ def line_rules(
     host_col: str = "source",
     max_docs: int | None = None,
     max_words: int = 4,
+    by_group: bool = False,
 ) -> DataFrame:
     """One row per row of docs: id, text_hash, the base measures, base_failed, removed_words, removed (line hashes), kept.
 
@@ -79,6 +91,11 @@ def line_rules(
     is over the limit beyond so many texts on a host of any size; shorter lines, which are
     common by themselves, keep the share.
 
+    Near copies count each, unless by_group: then texts that the lines over the limit would
+    leave under min_left of their words count once for each longest such line, which near
+    copies share. Lines that only copies of one text hold so stay, and near-duplicates are
+    left to the operator that keeps one of them.
+
     A null text is empty, has no words and fails. A null host is the host of all rows without
     one. Rows with null ids and repeated rows are judged each; extra columns are ignored; an
     empty table stays empty. Counts per (host, line) are summed before they are shuffled, and
@@ -110,7 +127,12 @@ def line_rules(
 
     held = measured.select("host", "copy", F.explode("lines").alias("line")).select("host", "copy", F.col("line.h").alias("h"), F.col("line.n").alias("n"))
     held = held.groupBy("host", "copy", "h").agg(F.sum("n").alias("n"))
-    lost = held.join(over, ["host", "h"]).groupBy("copy").agg(F.sum("n").alias("removed_words"), F.collect_set("h").alias("removed"))
+    inside = held.join(over, ["host", "h"])
+    if by_group:
+        inside = materialize(inside, "inside")
+        over = materialize(limited(_holders(measured, inside, min_left)), "over")
+        inside = inside.drop("line_words").join(over, ["host", "h"])
+    lost = inside.groupBy("copy").agg(F.sum("n").alias("removed_words"), F.collect_set("h").alias("removed"))
     left = F.col("n_words") - F.col("removed_words")
     judged = measured.join(lost, "copy", "left").withColumn("removed_words", F.coalesce("removed_words", F.lit(0).cast("bigint")))
     return judged.select(
