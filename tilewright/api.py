@@ -55,6 +55,10 @@ def get_layer(
     cells so that a cell's metrics see everything in it. Sources without a readable snapshot
     become coverage rows (`unavailable`), or raise if allow_partial is False. Proposed sources
     are left out, with a coverage row, unless asked for. frames stands in for snapshots.
+
+    Metrics are of the features' bounding boxes in degrees: for shapes other than boxes there
+    may be memberships that the shape itself doesn't meet, coverage is too large, and lines
+    and points get the area of their box and no length or count of their own.
     """
     if as_of is not None:
         raise ValueError("as_of is not supported here: snapshots are no history; slice by the effective interval instead")

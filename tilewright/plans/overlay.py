@@ -29,7 +29,7 @@ def overlay(
     mode: str = "matrix",
     max_memberships: int | None = None,
 ) -> Overlay:
-    """Metrics of box features per cell and source group.
+    """Metrics of box features per cell and source group; other shapes count as their bounding boxes.
 
     cells: cell_id and box; features: group, feature_id, record_id, part_id and box. In mode
     `matrix` a group's state follows its inventory's completeness (an empty cell is 0 only
