@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tilewright.llm import bpe as B, packing as P, token_counts as C, tokens as T
 
@@ -122,23 +123,65 @@ def test_tree_equals_library(words, duck):
             text = real[n % len(real)][:600]
         want = tk.encode(text, add_special_tokens=False).ids
         leaf, window = r.choice([1, 7, 30, 100]), r.choice([1, 8, 32])
-        assert B.encode_tree(tk, text, leaf, window).ids == want
-        borders = B.halves(len(text), leaf)
-        parts = B._join_leaves(words, [words.leaf(text[a:b]) for a, b in zip(borders, borders[1:])], window)
-        assert [int(x) for e in parts for x in e[1].split()] == want
+        assert B.encode_tree(tk, text, leaf, window).ids.tolist() == want
+        assert joined_runs(words, text, leaf, window) == want
+
+
+def joined_runs(words, text, leaf, window):
+    """The tokens of a text from the leaves and runs that encode_decode deals out, in one process."""
+    runs, closed = {}, {}
+    for part, run, at, of, of_next in B.cut_leaves(text, leaf):
+        first, middle, last = words.leaf(part)
+        assert len(runs.setdefault(run, [])) == at < of
+        runs[run].append(last if first is None else first)
+        if first is not None:
+            closed[run] = [int(x) for e in middle for x in e[1].split()]
+            runs[run + 1] = [last]
+            assert of_next >= 1
+    out = []
+    for run in sorted(runs):
+        level = runs[run]
+        while len(level) > 1:
+            pairs = [level[i : i + 2] for i in range(0, len(level), 2)]
+            level = [p[0] if len(p) == 1 else B.concatenate(words.tokenizer, *p, window) for p in pairs]
+        out += level[0].ids.tolist() + closed.get(run, [])
+    return out
+
+
+def expected(tk, t):
+    ids = tk.encode(t or "", add_special_tokens=False).ids
+    decoded = tk.decode(ids, skip_special_tokens=False)
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    return len(ids), sha(" ".join(map(str, ids))), sha(decoded), ids, decoded
 
 
 @pytest.mark.parametrize("leaf", [1 << 15, 200])
 def test_encode_decode(spark, words, duck, leaf):
     tk = words.tokenizer
-    texts = ODD + texts_of(duck)[:80] + ["word " * 20_000]
+    texts = ODD + texts_of(duck)[:80] + ["word " * 20_000, "unsplit" * 900 + " " + "é" * 3000]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    df = df.withColumns({c: F.lit("clash") for c in ("copy", "run", "at", "part", "n_tokens", "id")})
     found = {r["id"]: r for r in B.encode_decode(df, leaf=leaf, full=True).collect()}
     for i, t in enumerate(texts):
-        ids = tk.encode(t or "", add_special_tokens=False).ids
-        decoded = tk.decode(ids, skip_special_tokens=False)
         r = found[i]
-        assert (r["n_tokens"], r["ids"], r["decoded"]) == (len(ids), ids, decoded)
-        assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
-        assert r["decoded_sha256"] == hashlib.sha256(decoded.encode()).hexdigest()
+        assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"], r["ids"], r["decoded"]) == expected(tk, t)
     assert B.encode_decode(df.limit(0)).count() == 0
+
+
+def test_encode_decode_of_derived_tables(spark, words, duck):
+    """Tables whose rows come in another order each time they are read."""
+    texts = texts_of(duck)[:60] + [None, "x" * 700]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    copies = spark.createDataFrame([(k,) for k in range(3)], "k long")
+    want = {i: expected(words.tokenizer, t)[:3] for i, t in enumerate(texts)}
+    for made, times in ((df.repartition(7), 1), (df.union(df.repartition(3)), 2), (df.crossJoin(copies).repartition(5), 3), (df.join(df.select("doc_id"), "doc_id"), 1)):
+        got = B.encode_decode(made, leaf=200, full=False).collect()
+        assert sorted(tuple(r) for r in got) == sorted((i, *w) for i, w in want.items() for _ in range(times))
+
+
+def test_encode_decode_of_a_huge_word(spark, words):
+    r = random.Random(5)
+    text = "".join(r.choice("abcdefghij") for _ in range(1_500_000))
+    rows = [(None, text), (1, "words and " * 100_000), (None, None)]
+    got = {(r["id"], r["n_tokens"] > 0): tuple(r)[1:] for r in B.encode_decode(spark.createDataFrame(rows, "doc_id long, text string"), full=False).collect()}
+    assert got == {(i, bool(t)): expected(words.tokenizer, t)[:3] for i, t in rows}

@@ -13,12 +13,11 @@ from array import array
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from .common import slices
+from .common import materialize, slices
 from .tokens import load, plain, tokenizer_path
 
 LEAF = 1 << 15
@@ -29,16 +28,22 @@ _PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p
 
 @dataclass
 class Piece:
-    """A text with its tokens: ids and the (start, end) characters of each."""
+    """A text with its tokens: ids, and the first and last-plus-one character of each."""
 
     text: str
-    ids: list[int]
-    spans: list[tuple[int, int]]
+    ids: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+
+    def tokens(self, lo: int, hi: int, shift: int = 0) -> list[tuple[int, int, int]]:
+        """(id, start, end) of tokens lo to hi, their characters moved by shift."""
+        return list(zip(self.ids[lo:hi].tolist(), (self.starts[lo:hi] + shift).tolist(), (self.ends[lo:hi] + shift).tolist()))
 
 
 def encode_piece(tokenizer, text: str) -> Piece:
     e = tokenizer.encode(text, add_special_tokens=False)
-    return Piece(text, e.ids, e.offsets)
+    spans = np.array(e.offsets, np.int64).reshape(-1, 2)
+    return Piece(text, np.array(e.ids, np.uint32), spans[:, 0], spans[:, 1])
 
 
 def _common(side: list[tuple], window: list[tuple], last: bool) -> tuple[int, int] | None:
@@ -54,23 +59,24 @@ def concatenate(tokenizer, a: Piece, b: Piece, window: int = WINDOW) -> Piece:
     A window's ends are cuts too, so its outer tokens may be wrong; where two tokens in a row
     are the same, with the same characters, in the side and in the window, the side's tokens
     up to there and the window's from there on are a valid encoding. A window holds any special
-    token that the cut may have parted. One that reaches the
-    end of the text needs no agreement there, so the loop ends.
+    token that the cut may have parted. One that reaches the end of the text needs no agreement
+    there, so the loop ends. Only tokens near the join are looked at.
     """
-    cut, text = len(a.text), a.text + b.text
+    cut, size = len(a.text), len(a.text) + len(b.text)
     window = max([window, *(len(t.content) + 2 for t in tokenizer.get_added_tokens_decoder().values())])
-    left = list(zip(a.ids, a.spans))
-    right = [(i, (s + cut, e + cut)) for i, (s, e) in zip(b.ids, b.spans)]
     while True:
-        lo, hi = max(0, cut - window), min(len(text), cut + window)
-        w = encode_piece(tokenizer, text[lo:hi])
-        middle = [(i, (s + lo, e + lo)) for i, (s, e) in zip(w.ids, w.spans)]
-        near = (0, 0) if lo == 0 else _common(left[-4 * window :], middle, False)
-        far = (len(right), len(middle)) if hi == len(text) else _common(right[: 4 * window], middle, True)
+        lo, hi = max(0, cut - window), min(size, cut + window)
+        w = encode_piece(tokenizer, a.text[lo:] + b.text[: hi - cut])
+        middle = w.tokens(0, len(w.ids), lo)
+        skipped = 0 if lo == 0 else max(0, len(a.ids) - 4 * window)
+        near = (0, 0) if lo == 0 else _common(a.tokens(skipped, len(a.ids)), middle, False)
+        far = (len(b.ids), len(middle)) if hi == size else _common(b.tokens(0, 4 * window, cut), middle, True)
         if near and far and near[1] <= far[1]:
-            skipped = 0 if lo == 0 else max(0, len(left) - 4 * window)
-            tokens = left[: skipped + near[0]] + middle[near[1] : far[1]] + right[far[0] :]
-            return Piece(text, [i for i, _ in tokens], [s for _, s in tokens])
+            kept, inner, rest = slice(0, skipped + near[0]), slice(near[1], far[1]), slice(far[0], None)
+            join = lambda x, y, z: np.concatenate((x[kept], y[inner], z[rest]))
+            return Piece(
+                a.text + b.text, join(a.ids, w.ids, b.ids), join(a.starts, w.starts + lo, b.starts + cut), join(a.ends, w.ends + lo, b.ends + cut)
+            )
         window *= 2
 
 
@@ -102,6 +108,7 @@ class Words:
         self.decoded = [t.encode() for t in tokens] if self.tokenizer.decoder is None else None  # then tokens are joined by spaces
 
     def entry(self, ids: list[int]) -> tuple[bytes, bytes, bytes]:
+        """(ids as bytes, ids in decimal, decoded text) of the tokens of whole parts."""
         if self.decoded is not None:
             decoded = b" ".join([self.decoded[i] for i in ids])
         else:
@@ -166,26 +173,6 @@ def _known(path: str) -> Words:
     return _words[path]
 
 
-def _join_leaves(words: Words, leaves: list[tuple], window: int) -> list[tuple]:
-    """Entries of a whole text from (first, middle, last) of its leaves, joined as a tree."""
-
-    def join(a, b):
-        (a_first, a_mid, a_last), (b_first, b_mid, b_last) = a, b
-        if b_first is None:
-            return a_first, a_mid, concatenate(words.tokenizer, a_last, b_last, window)
-        closed = concatenate(words.tokenizer, a_last, b_first, window)
-        if a_first is None:
-            return closed, b_mid, b_last
-        return a_first, a_mid + [words.entry(closed.ids)] + b_mid, b_last
-
-    while len(leaves) > 1:
-        paired = [join(leaves[i], leaves[i + 1]) for i in range(0, len(leaves) - 1, 2)]
-        leaves = paired + leaves[len(leaves) - len(leaves) % 2 :]
-    first, middle, last = leaves[0]
-    whole = ([words.entry(first.ids)] if first else []) + middle + [words.entry(last.ids)]
-    return [e for e in whole if e[0]]
-
-
 def _columns(entries: list[list[tuple]], full: bool) -> list[pa.Array]:
     ids = [b" ".join([e[1] for e in parts]) for parts in entries]
     decoded = [b" ".join([e[2] for e in parts]) for parts in entries]
@@ -202,6 +189,67 @@ def _columns(entries: list[list[tuple]], full: bool) -> list[pa.Array]:
     return out
 
 
+def cut_leaves(text: str, leaf: int) -> list[tuple[str, int, int, int, int]]:
+    """(part, run, at, of, of_next) of every leaf of a text.
+
+    Leaves meet at cuts that no space need mark. What lies between two spaces of the text, over
+    any number of cuts, is a run: a leaf's part before its first space belongs to run `run` as
+    its piece number `at`, and its part after its last space opens the next run. of and of_next
+    are the numbers of pieces of these two runs; a leaf without a space is one piece of its run.
+    """
+    borders = halves(len(text), leaf)
+    parts, places, sizes, run = [text[a:b] for a, b in zip(borders, borders[1:])], [], [0], 0
+    for part in parts:
+        places.append((run, sizes[run]))
+        sizes[run] += 1
+        if " " in part:
+            run += 1
+            sizes.append(1)
+    return [(part, run, at, sizes[run], sizes[run + 1] if run + 1 < len(sizes) else 0) for part, (run, at) in zip(parts, places)]
+
+
+_PIECE = pa.schema(
+    [("copy", pa.int64()), ("run", pa.int32()), ("at", pa.int32()), ("of", pa.int32()), ("text", pa.string()), ("ids", pa.binary()), ("starts", pa.binary()), ("ends", pa.binary())]
+)
+_PIECE_SQL = "copy bigint, run int, at int, of int, text string, ids binary, starts binary, ends binary"
+
+
+def _pieces(rows: list[tuple]) -> pa.RecordBatch:
+    """Rows (copy, run, at, of, Piece) as a batch; at is null for the closed tokens between two runs."""
+    columns = list(zip(*rows)) if rows else [()] * 5
+    found = columns[4]
+    body = [[p.text for p in found], [p.ids.astype("<u4").tobytes() for p in found], [p.starts.astype("<i8").tobytes() for p in found], [p.ends.astype("<i8").tobytes() for p in found]]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip([*columns[:4], *body], _PIECE)], schema=_PIECE)
+
+
+def _piece(row: dict) -> Piece:
+    return Piece(row["text"], np.frombuffer(row["ids"], "<u4"), np.frombuffer(row["starts"], "<i8"), np.frombuffer(row["ends"], "<i8"))
+
+
+def _tree(pieces: DataFrame, path: str, window: int) -> DataFrame:
+    """The pieces of every run joined into one, pair by pair and level by level; runs that are whole leave the levels."""
+
+    def join(pair: pa.Table) -> pa.Table:
+        rows = sorted(pair.to_pylist(), key=lambda r: r["at"])
+        made = _piece(rows[0])
+        if len(rows) == 2:
+            made = concatenate(_known(path).tokenizer, made, _piece(rows[1]), window)
+        first = rows[0]
+        return pa.Table.from_batches([_pieces([(first["copy"], first["run"], first["at"] // 2, (first["of"] + 1) // 2, made)])])
+
+    left = pieces.agg(F.max("of").alias("n")).first()["n"] or 0
+    whole, open_ = [pieces.where("at is null or of = 1")], pieces.where("at is not null and of > 1")
+    while left > 1:
+        level = open_.groupBy("copy", "run", F.expr("at div 2").alias("pair")).applyInArrow(join, _PIECE_SQL)
+        level = materialize(level, "level")
+        whole.append(level.where("of = 1"))
+        open_, left = level.where("of > 1"), (left + 1) // 2
+    out = whole[0]
+    for w in whole[1:]:
+        out = out.unionByName(w)
+    return out
+
+
 def encode_decode(
     docs: DataFrame,
     tokenizer: str | None = None,
@@ -214,66 +262,90 @@ def encode_decode(
     """(id, n_tokens, ids_sha256, decoded_sha256[, ids, decoded]) of every whole text.
 
     The ids are the tokenizer library's without special tokens added, and decoded is what it
-    makes of them with none skipped. Texts of more than leaf characters are cut into leaves,
-    which are dealt out to all tasks and joined again per document. A null or empty text has
-    no tokens. Repeated rows give repeated results; extra columns are ignored; an empty table
-    stays empty.
+    makes of them with none skipped. Texts of up to `leaf` characters are encoded where they are
+    read. Longer ones are cut into leaves, which all tasks share; what no space parts is joined
+    as a tree, one level after another, and a text's tokens are read in order, piece by piece,
+    to make its row (with full, that one row holds them all). docs is read once: rows are
+    numbered, encoded or cut, and written to the shared folder, so it may be any DataFrame.
+
+    A null or empty text has no tokens. Repeated rows give repeated results, null ids stay null;
+    extra columns, whatever their names, are ignored; an empty table stays empty.
     """
     path = tokenizer or tokenizer_path("word_bpe_49k.json")
     kind = docs.schema[id_col].dataType.simpleString()
     names = ["n_tokens", "ids_sha256", "decoded_sha256"] + ["ids", "decoded"] * full
-    schema = f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * full
+    types = [pa.int64(), pa.string(), pa.string()] + [pa.list_(pa.int32()), pa.string()] * full
+    result = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * full
+    place = ["part", "run", "at", "of", "of_next"]
+    place_types = [pa.string(), *[pa.int32()] * 4]
 
-    def short(batches):
+    def scan(batches):
         words = _known(path)
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for lo, hi in slices([len(t) for t in texts], 2 << 20):
-                yield pa.RecordBatch.from_arrays([batch.column("id")[lo:hi], *_columns(words.entries(texts[lo:hi]), full)], ["id", *names])
-
-    def cut(batches):
-        for batch in batches:
-            for copy, text in zip(batch.column("copy").to_pylist(), batch.column("text").to_pylist()):
-                borders = halves(len(text), leaf)
-                n = len(borders) - 1
-                parts = [text[a:b] for a, b in zip(borders, borders[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array([copy] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array(parts, pa.string())], ["copy", "leaf", "text"])
-
-    leaf_schema = (
-        "copy bigint, leaf int, first string, first_ids array<int>, first_spans array<int>, "
-        "mid_ids array<binary>, last string, last_ids array<int>, last_spans array<int>"
-    )
+                short = [i for i in range(lo, hi) if len(texts[i]) <= leaf]
+                if short:
+                    made = _columns(words.entries([texts[i] for i in short]), full)
+                    own = [batch.column(c).take(pa.array(short)) for c in ("id", "copy")]
+                    yield pa.RecordBatch.from_arrays([*own, *(pa.nulls(len(short), t) for t in place_types), *made], ["id", "copy", *place, *names])
+                for i in range(lo, hi):
+                    if len(texts[i]) > leaf:
+                        parts = cut_leaves(texts[i], leaf)
+                        for a, b in slices([len(p[0]) for p in parts], 2 << 20):
+                            own = [batch.column(c).take(pa.array([i] * (b - a))) for c in ("id", "copy")]
+                            cut = [pa.array(c, t) for c, t in zip(zip(*parts[a:b]), place_types)]
+                            yield pa.RecordBatch.from_arrays([*own, *cut, *(pa.nulls(b - a, t) for t in types)], ["id", "copy", *place, *names])
 
     def encode(batches):
         words = _known(path)
+        nothing = np.zeros(0, np.int64)
         for batch in batches:
-            for copy, k, text in zip(*(batch.column(c).to_pylist() for c in ("copy", "leaf", "text"))):
-                first, middle, last = words.leaf(text)
-                row = {"copy": copy, "leaf": k, "first": first and first.text, "first_ids": first and first.ids, "first_spans": first and [x for s in first.spans for x in s]}
-                row |= {"mid_ids": [b"".join([e[0] for e in middle])], "last": last.text, "last_ids": last.ids, "last_spans": [x for s in last.spans for x in s]}
-                yield pa.RecordBatch.from_pylist([row], arrow_leaf)
-
-    arrow_leaf = pa.schema(
-        [("copy", pa.int64()), ("leaf", pa.int32())]
-        + [("first", pa.string()), ("first_ids", pa.list_(pa.int32())), ("first_spans", pa.list_(pa.int32())), ("mid_ids", pa.list_(pa.binary()))]
-        + [("last", pa.string()), ("last_ids", pa.list_(pa.int32())), ("last_spans", pa.list_(pa.int32()))]
-    )
-
-    def join(pdf: pd.DataFrame) -> pd.DataFrame:
-        words = _known(path)
-        piece = lambda text, ids, spans: None if text is None else Piece(text, list(ids), list(zip(spans[::2], spans[1::2])))
-        leaves = []
-        for r in pdf.sort_values("leaf").itertuples():
-            middle = np.frombuffer(b"".join(r.mid_ids), "<u4").tolist()
-            leaves.append((piece(r.first, r.first_ids, r.first_spans), [words.entry(middle)], piece(r.last, r.last_ids, r.last_spans)))
-        made = _columns([_join_leaves(words, leaves, window)], full)
-        return pd.DataFrame({"copy": [pdf["copy"].iloc[0]], **{n: [c[0].as_py()] for n, c in zip(names, made)}})
+            for row in batch.to_pylist():
+                first, middle, last = words.leaf(row["part"])
+                if first is None:
+                    yield _pieces([(row["copy"], row["run"], row["at"], row["of"], last)])
+                    continue
+                closed = Piece("", np.frombuffer(b"".join(e[0] for e in middle), np.uint32), nothing, nothing)
+                yield _pieces(
+                    [(row["copy"], row["run"], row["at"], row["of"], first), (row["copy"], row["run"], None, 1, closed), (row["copy"], row["run"] + 1, 0, row["of_next"], last)]
+                )
+
+    def finish(batches):
+        words, at = _known(path), None
+
+        def row():
+            out = [pa.array([at], pa.int64()), pa.array([n], pa.int64()), pa.array([ids.hexdigest()]), pa.array([text.hexdigest()])]
+            if full:
+                out += [pa.array([np.concatenate(kept) if kept else []], pa.list_(pa.int32())), pa.array([b" ".join(said).decode()])]
+            return pa.RecordBatch.from_arrays(out, ["copy", *names])
+
+        for batch in batches:
+            for copy, data in zip(batch.column("copy").to_pylist(), batch.column("ids").to_pylist()):
+                if copy != at:
+                    if at is not None:
+                        yield row()
+                    at, n, ids, text, kept, said = copy, 0, hashlib.sha256(), hashlib.sha256(), [], []
+                some = np.frombuffer(data, "<u4")
+                for lo in range(0, len(some), 1 << 16):  # whole parts only if the decoder joins parts by spaces: then any cut will do
+                    raw, decimal, decoded = words.entry(some[lo : lo + (1 << 16)].tolist()) if words.decoded is not None else words.entry(some.tolist())
+                    ids.update(b" " * (n > 0) + decimal)
+                    text.update(b" " * (n > 0) + decoded)
+                    n += len(raw) // 4
+                    if full:
+                        kept.append(np.frombuffer(raw, "<u4"))
+                        said.append(decoded)
+                    if words.decoded is None:
+                        break
+        if at is not None:
+            yield row()
 
     rows = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("copy"), F.col(text_col).alias("text"))
-    long = F.coalesce(F.length("text"), F.lit(0)) > leaf
-    near = rows.where(~long).select("id", "text").mapInArrow(short, schema)
-    far = rows.where(long)
-    leaves = far.select("copy", "text").mapInArrow(cut, "copy bigint, leaf int, text string")
-    dealt = leaves.repartition(F.xxhash64("copy", "leaf")).mapInArrow(encode, leaf_schema)
-    joined = dealt.groupBy("copy").applyInPandas(join, schema.replace(f"id {kind}", "copy bigint"))
-    return near.unionByName(far.select("id", "copy").join(joined, "copy").drop("copy"))
+    scanned = materialize(rows.mapInArrow(scan, f"id {kind}, copy bigint, part string, run int, at int, of int, of_next int, {result}"), "encoded")
+    near, leaves = scanned.where("part is null").select("id", *names), scanned.where("part is not null")
+    dealt = leaves.select("copy", *place).repartition(F.xxhash64("copy", "run", "at")).mapInArrow(encode, _PIECE_SQL)
+    runs = _tree(materialize(dealt, "pieces"), path, window)
+    # closed tokens come behind their run and before the next
+    ordered = runs.select("copy", (2 * F.col("run") + F.col("at").isNull().cast("int")).alias("place"), "ids").repartition("copy").sortWithinPartitions("copy", "place")
+    far = ordered.mapInArrow(finish, "copy bigint, " + result)
+    return near.unionByName(leaves.where("run = 0 and at = 0").select("id", "copy").join(far, "copy").drop("copy"))
