@@ -3,10 +3,12 @@
 import collections
 import random
 import re
+import struct
 import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tilewright.llm import ann, chat, quality, sharding, toxicity, urls
@@ -94,6 +96,60 @@ def test_shards(spark):
     assert [r["shard"] for r in sharding.external_shuffle(df.limit(1), shards=4).collect()] == [0]
 
 
+def hashed(*values):
+    """Spark's xxhash64 of numbers and strings; nulls change nothing."""
+    seed = 42
+    for v in values:
+        if v is not None:
+            seed = xxhash.xxh64_intdigest(v.encode() if isinstance(v, str) else struct.pack("<q" if isinstance(v, np.int64) else "<i", v), seed & (2**64 - 1))
+    return seed - 2**64 if seed >= 2**63 else seed
+
+
+def brute_shuffle(rows, shards, seed, buckets):
+    long, copies, filled = np.int64, collections.Counter(), collections.defaultdict(list)
+    for row in rows:
+        h = hashed(long(seed), long(row[0]) if row[0] is not None else None, row[1])
+        key = hashed(long(seed), long(h), long(copies[row]))
+        filled[key % buckets].append((key, h, copies[row], row))
+        copies[row] += 1
+    out = []
+    for b in range(buckets):
+        order = sorted(filled[b], key=lambda x: x[:3])
+        for i in range(1, len(order)):
+            j = hashed(long(seed), long(b), i) % (i + 1)
+            order[i], order[j] = order[j], order[i]
+        out += [x[3] for x in order]
+    total, placed, slots = len(out), [], collections.Counter()
+    for at, row in enumerate(out):
+        shard = at * shards // total
+        placed.append((*row, shard, slots[shard]))
+        slots[shard] += 1
+    return placed
+
+
+def test_shuffle_equals_brute_force_for_any_split(spark):
+    r = random.Random(3)
+    rows = [(i % 40 if i % 9 else None, None if i % 11 == 0 else f"text {r.randrange(60)}") for i in range(500)]
+    rows += [(None, None)] * 5000 + [(7, "same")] * 3  # a hot group of equal rows
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    text = lambda t: tuple(map(str, t))
+    want = sorted(map(text, brute_shuffle(rows, 16, 5, -(-len(rows) // 100))))
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for made, n in ((df, width), (df.repartition(7), "3"), (df.coalesce(1), "9"), (df.orderBy(F.rand(1)), width)):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            assert sorted(text(x) for x in sharding.external_shuffle(made, shards=16, seed=5, bucket_rows=100).collect()) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+
+
+def test_shuffle_of_maps_and_long_texts(spark):
+    df = spark.createDataFrame([(1, "a" * 2_000_000, {"k": 1}), (1, "b", None), (1, "b", None), (2, None, {"k": 2})], "doc_id long, text string, bucket map<string,int>")
+    got = sharding.external_shuffle(df.withColumn("begin", F.lit(1)), shards=2).collect()
+    assert sorted((r["shard"], r["slot"]) for r in got) == [(0, 0), (0, 1), (1, 0), (1, 1)]
+    assert sorted(len(r["text"] or "") for r in got) == [0, 1, 1, 2_000_000] and got[0]["begin"] == 1
+
+
 def test_shuffle_mixes(spark):
     df = spark.createDataFrame([(i, f"t{i}") for i in range(4000)], "doc_id long, text string")
     rows = sharding.external_shuffle(df, shards=4, bucket_bytes=2000).collect()
