@@ -54,6 +54,7 @@ def judged(url, rules):
 def test_urls_equal_brute_force(spark):
     rules = urls.DEFAULT_RULES + [(f"h{i}.example.com", f"/p{i % 7}/", "block") for i in range(500)] + [("example.com", "", "block")]
     asked = URLS + [f"https://s.h{i}.example.com/p{i % 5}/q" for i in range(0, 500, 9)]
+    asked += ["http://" + "a." * 500_000 + "net/" + "x" * 1_000_000, "http://" + "b" * 3_000_000, "https://" + "." * 20_000 + "org/fr/" + "/" * 20_000]
     df = spark.createDataFrame([(i, u, 1) for i, u in enumerate(asked + asked)], "page_id long, url string, host int")
     want = [(i, *judged(u, rules)) for i, u in enumerate(asked + asked)]
     assert sorted(tuple(r) for r in urls.url_filter(df, rules).collect()) == sorted(want)
@@ -200,6 +201,109 @@ def test_grammar_scores_clauses():
     assert lexicon.features("nothing. at all") == (0.0, 0.0, 0)
 
 
+def plain_score(symbols):
+    """Scores of the matched clauses of symbols, from the grammar's rules in words, without automata."""
+    scores = []
+    for paragraph in symbols.split("\n"):
+        marks = [i for i, c in enumerate(paragraph) if c == '"']
+        if len(marks) % 2:
+            paragraph = paragraph[: marks[-1]] + paragraph[marks[-1] + 1 :]
+        p = list(paragraph)
+        for i in range(len(p) - 1):
+            if p[i] == "y" and p[i + 1] == "r":
+                p[i] = "o"
+        i = used = 0  # a reporting verb introduces once
+        while i < len(p):
+            if p[i] == ":":
+                back = "".join(p[:i])
+                begin = back.rfind("r")
+                spoken = begin >= used and len(back) - begin - 1 <= 3 and not set(back[begin:]) & set(':.,"')
+                if spoken:
+                    del p[i]
+                    used = i
+                    continue
+                p[i] = "."
+            i += 1
+        quoted = False
+        for clause in "".join(p).split("."):
+            covered = 0
+            for i, c in enumerate(clause):
+                if c == ",":
+                    ahead = clause[i + 1 : i + 5]
+                    end = ahead.find("r")
+                    if end >= 0 and not set(ahead[:end]) & set(',"12345678ABCDEFGH'):
+                        covered = i
+                        break
+            words, total, verb, hit = [], 0.0, False, False
+            for i, c in enumerate(clause):
+                spoken = quoted or verb or i < covered
+                if c == '"':
+                    quoted = not quoted
+                if c == ",":
+                    continue
+                near = lambda kinds, n: any(x in kinds for x in words[max(0, len(words) - n) :])
+                insult, threat = c in "12345678", c in "ABCDEFGH"
+                factor = 0.5 if spoken else 1.0
+                if near("n", 3) and c != "n":
+                    factor *= 0.25
+                if threat and near("w", 3):
+                    factor *= 1.5
+                if (insult or threat) and near("y", 4):
+                    factor *= 1.25
+                elif threat:
+                    factor *= 0.5
+                strength = "12345678".find(c) + 1 or "ABCDEFGH".find(c) + 1
+                total += factor * (strength + (0.5 if c == "y" and near("12345678ABCDEFGH", 4) else 0))
+                verb = verb or c == "r"
+                hit = hit or insult or threat
+                words.append(c)
+            if hit:
+                scores.append(total)
+    return scores
+
+
+def test_scores_equal_rules_in_words():
+    r = random.Random(11)
+    for _ in range(4000):
+        symbols = "".join(r.choice("oooyynrrw3B,,:.\"\n") for _ in range(r.randrange(1, 25)))
+        got = [toxicity.clause_score(c, q) for p in symbols.encode().split(b"\n") for c, q in toxicity.rewrite(p) if toxicity._HIT.search(c)]
+        assert got == pytest.approx(plain_score(symbols)), repr(symbols)
+
+
+def test_reports_and_quotes():
+    lexicon = toxicity.Lexicon({"=idiot": 4.0})
+    total = lambda t: lexicon.features(t)[1]
+    alone = total("you idiot")
+    assert total('"Go away. Now" you idiot') == alone and total('5" tall. you idiot') == alone
+    assert total("you are an idiot, he said") == total("you are an idiot") / 2 == total("he said you are an idiot")
+    assert total('He said: "what a moron. you are an idiot."') == total("what a moron. you are an idiot.") / 2
+    assert total('he said "hello\nyou idiot') == alone  # a paragraph ends what it leaves open
+    assert total("i will kill you") > total("kill you") > total("kill time")
+
+
+def test_threats_are_learned(spark):
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abcdefg") for _ in range(5))
+    rows, labels = [], []
+    for i in range(300):
+        text = " ".join(word() for _ in range(20))
+        if i % 3 == 0:
+            text += f" i will zubble{word()} you" if i % 2 else f" you quimp{word()}"
+        rows.append((i, text))
+        labels.append((i, int(i % 3 == 0)))
+    model = toxicity.learn(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert any(s.startswith("zubb") for s in model.threats) and not any(s.startswith("quim") for s in model.threats)
+    assert {s[:4] for s in model.weights} >= {"zubb", "quim"}
+
+
+def test_held_out_labels(spark):
+    folder = "/root/testdata/sf0.1"
+    found = Q.op6_toxicity(spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").where("held_out").select("toxic", "predicted").toPandas()
+    right = ((found.toxic == 1) & (found.predicted == 1)).sum()
+    assert (found.toxic == 1).sum() >= 50
+    assert right / (found.predicted == 1).sum() >= 0.95 and right / (found.toxic == 1).sum() >= 0.85
+
+
 def test_learned_stems_are_held_out(spark):
     r = random.Random(7)
     word = lambda: "".join(r.choice("abcdefg") for _ in range(5))

@@ -2,36 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from ..storage import materialize, shared_dir
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="tilewright-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
+__all__ = ["materialize", "shared_dir", "slices", "table"]
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write df to the shared folder and read it back.
 
-    This cuts the lineage: what was written survives the loss of any executor, and several
-    later steps read the same rows without computing them again. The folder belongs to the
-    cluster, which clears it; `<shared>/tilewright/` holds nothing but such tables.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tilewright/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def slices(sizes, most: int):

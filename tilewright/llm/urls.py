@@ -16,10 +16,13 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from .common import shared_dir
 
 #: The rules of the registered query (host, path, verdict).
 DEFAULT_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _open: dict[str, "DigestArray"] = {}
 
 
@@ -67,26 +70,25 @@ class DigestArray:
         return found
 
 
-def host_and_path(url: str) -> tuple[str, str]:
-    """Host (A-Z lower-cased) and path of a url; both empty without `://`."""
-    _, mark, rest = url.partition("://")
-    if not mark:
-        return "", ""
-    cut = min((i for i in (rest.find("/"), rest.find("?"), rest.find("#")) if i >= 0), default=len(rest))
-    host, tail = rest[:cut], rest[cut:]
-    if not tail.startswith("/"):
-        tail = ""
-    end = min((i for i in (tail.find("?"), tail.find("#")) if i >= 0), default=len(tail))
-    return host.encode().lower().decode(), tail[:end]
+def host_and_path(url: Column) -> tuple[Column, Column]:
+    """Host (A-Z lower-cased) and path of a url; both empty for null and without `://`."""
+    at = F.instr(url, "://")
+    rest = F.when(at > 0, F.substring(url, at + 3, F.length(url))).otherwise(F.lit(""))
+    host = F.translate(F.regexp_extract(rest, "^[^/?#]*", 0), UPPER, LOWER)
+    return F.coalesce(host, F.lit("")), F.coalesce(F.regexp_extract(rest, "^[^/?#]*(/[^?#]*)", 1), F.lit(""))
+
 
+def candidate_keys(tail: str, path: str, longest: int, lengths: list[int]) -> list[tuple[str, str]]:
+    """(host suffix, path prefix) of every rule that could fit, the longest first.
 
-def candidate_keys(host: str, path: str, lengths: list[int]) -> list[tuple[str, str]]:
-    """(host suffix, path prefix) of every rule that could fit, the longest first."""
-    suffixes = [host]
-    dot = host.find(".")
+    tail is the host's end: all of it up to `longest` characters, else one character more. Rules
+    have no longer hosts, so no longer suffix is built, whatever the host's length.
+    """
+    suffixes = [tail] if len(tail) <= longest else []
+    dot = tail.find(".")
     while dot >= 0:
-        suffixes.append(host[dot + 1 :])
-        dot = host.find(".", dot + 1)
+        suffixes.append(tail[dot + 1 :])
+        dot = tail.find(".", dot + 1)
     pairs = [(h, path[:n]) for h in suffixes if h for n in lengths if n <= len(path)]
     return sorted(pairs, key=lambda p: (-len(p[0]) - len(p[1]), -len(p[0])))
 
@@ -107,43 +109,51 @@ def url_filter(
     then `otherwise`. A null url, or one without `://`, has an empty host and path and fits no
     rule. Repeated rows are judged each; extra columns are ignored; an empty table stays empty.
 
-    The rules are a list that the caller holds, so the array's size is known: above max_bytes
-    this raises, and larger lists go through url_filter_joined. Each host gets the file once.
+    Urls are taken apart by Column functions; only the ends of hosts and beginnings of paths
+    that rules can reach go to Python, so a url of any length costs no more than its parts. The
+    rules are a list that the caller holds, so the array's size is known: above max_bytes this
+    raises, and larger lists go through url_filter_joined. The file is staged in the shared
+    folder where that is a mounted one, and each host of the cluster gets it once.
     """
     size = sum(len(h) + len(p) + len(v) + 32 for h, p, v in rules)
     if size > max_bytes:
         raise ValueError(f"the rules take about {size} bytes, more than {max_bytes}: use url_filter_joined")
+    spark = pages.sparkSession
     name = f"digests-{uuid.uuid4().hex}"
-    folder = tempfile.mkdtemp()
-    DigestArray.write(rules, os.path.join(folder, name))
-    pages.sparkSession.sparkContext.addFile(os.path.join(folder, name))
+    staged = os.path.join(_mounted(shared_dir(spark)), name)
+    DigestArray.write(rules, staged)
+    spark.sparkContext.addFile(staged)
+    longest, deepest = max((len(h) for h, _, _ in rules), default=0), max((len(p) for _, p, _ in rules), default=0)
 
-    def run(batches):
+    def look_up(tails: pa.Array, paths: pa.Array) -> pa.Array:
         if name not in _open:
             _open.clear()
             _open[name] = DigestArray(SparkFiles.get(name))
-        index = _open[name]
-        for batch in batches:
-            hosts, paths, owner, keys = [], [], [], []
-            for i, url in enumerate(batch.column("url").to_pylist()):
-                host, path = host_and_path(url or "")
-                hosts.append(host)
-                paths.append(path)
-                for h, p in candidate_keys(host, path, index.lengths):
-                    owner.append(i)
-                    keys.append(h + p)
-            fits, verdicts = [None] * len(hosts), [otherwise] * len(hosts)
-            for i, key, verdict in zip(owner, keys, index.find([k.encode() for k in keys])):
-                if verdict is not None and fits[i] is None:
-                    fits[i], verdicts[i] = key, verdict
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(fits, pa.string()), pa.array(verdicts, pa.string())],
-                ["id", "host", "path", "rule", "verdict"],
-            )
-
-    kind = pages.schema[id_col].dataType.simpleString()
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"))
-    return rows.mapInArrow(run, f"id {kind}, host string, path string, rule string, verdict string")
+        index, owner, keys = _open[name], [], []
+        for i, (tail, path) in enumerate(zip(tails.to_pylist(), paths.to_pylist())):
+            for h, p in candidate_keys(tail, path, longest, index.lengths):
+                owner.append(i)
+                keys.append(h + p)
+        fits, verdicts = [None] * len(tails), [otherwise] * len(tails)
+        for i, key, verdict in zip(owner, keys, index.find([k.encode() for k in keys])):
+            if verdict is not None and fits[i] is None:
+                fits[i], verdicts[i] = key, verdict
+        return pa.StructArray.from_arrays([pa.array(fits, pa.string()), pa.array(verdicts, pa.string())], ["rule", "verdict"])
+
+    host, path = host_and_path(F.col(url_col))
+    rows = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
+    found = F.arrow_udf(look_up, "struct<rule: string, verdict: string>")(F.right("host", F.lit(longest + 1)), F.left("path", F.lit(deepest)))
+    return rows.withColumn("found", found).select("id", "host", "path", "found.rule", "found.verdict")
+
+
+def _mounted(folder: str) -> str:
+    """A folder to stage a file in: the shared one where the driver can write there, else a temporary one."""
+    place = folder.removeprefix("file:").replace("///", "/", 1) if folder.startswith("file:") else folder
+    if "://" in place:
+        return tempfile.mkdtemp()
+    place = os.path.join(place, "tilewright")
+    os.makedirs(place, exist_ok=True)
+    return place
 
 
 def url_filter_joined(
@@ -151,20 +161,20 @@ def url_filter_joined(
 ) -> DataFrame:
     """url_filter for rules in a table (host, path, verdict) of any size, by a shuffled join on the candidate keys.
 
-    lengths are the path lengths that occur in rules. Equal urls are judged once, so that a hot
-    page is one row of the join.
+    lengths are the path lengths that occur in rules. Only suffixes as long as the longest rule
+    host are built. Equal urls are judged once, so that a hot page is one row of the join.
     """
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    host = F.translate(F.regexp_extract(url_col, "^(?s:.*?)://([^/?#]*)", 1), upper, lower)
-    path = F.regexp_extract(url_col, "^(?s:.*?)://[^/?#]*(/[^?#]*)", 1)
+    longest = rules.agg(F.max(F.length("host")).alias("n")).first()["n"] or 0
+    host, path = host_and_path(F.col(url_col))
     urls = pages.select(url_col).distinct().select(url_col, host.alias("host"), path.alias("path"))
-    labels = F.split("host", "\\.")
+    labels = F.split(F.right("host", F.lit(longest + 1)), "\\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    suffixes = F.filter(suffixes, lambda h: F.length(h) <= longest)
     prefixes = F.filter(F.array(*(F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in lengths)), lambda p: p.isNotNull())
     keys = urls.select(url_col, F.explode(suffixes).alias("h"), "path").select(url_col, "h", F.explode(prefixes).alias("p"))
     best = (
         keys.where("h != ''")
-        .join(rules.select(F.translate("host", upper, lower).alias("h"), F.col("path").alias("p"), "verdict"), ["h", "p"])
+        .join(rules.select(F.translate("host", UPPER, LOWER).alias("h"), F.col("path").alias("p"), "verdict"), ["h", "p"])
         .groupBy(url_col)
         .agg(F.max(F.struct((F.length("h") + F.length("p")).alias("n"), F.length("h").alias("m"), F.concat("h", "p").alias("rule"), "verdict")).alias("best"))
     )
