@@ -1,18 +1,20 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
 A word transducer maps words to symbols: insults and threats with a strength, targets,
-negations and reporting verbs. Transducers for negation, reported speech and targets read the
-symbols of a clause and scale what the insult and threat transducer puts out; they are composed
-into one automaton, which scores each matched clause. A document's strongest clause and the sum
-of its clauses give its score by a logistic curve. Insult stems, their strengths and the curve
-are learned from labelled texts; the closed word classes are given.
+intentions, negations and reporting verbs. A rewriting pass marks what a later report covers
+and takes the reporter out of the targets. Transducers for negation, reported speech, targets
+and intentions then read the symbols of a clause and scale what the insult and threat
+transducer puts out; they are composed into one automaton, which scores each matched clause.
+Quoted speech runs on over the clauses of a paragraph. A document's strongest clause and the sum
+of its clauses give its score by a logistic curve. Insult and threat stems, their strengths and
+the curve are learned from labelled texts; the closed word classes are given.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -24,14 +26,18 @@ from .common import materialize
 TARGETS = "you your you're yours u he she they them him her his their people du dich dir ihr euch sie dein deine tu te toi vous ton ta votre vos tú usted ustedes vosotros os tu tus su".split()
 NEGATIONS = "not no never n't isn't aren't don't doesn't wasn't nicht kein keine keinen nie niemals pas jamais aucun aucune nunca jamás ningún ninguna".split()
 REPORTS = "said says say called calls wrote reported quoted claims sagte sagt schrieb nannte dit écrit appelé appelle dijo dice escribió llamó".split()
+INTENTIONS = "will i'll we'll gonna going want wants shall should must werde werden wirst wollen muss vais allons va veux doit voy vamos va quiero debe".split()
 THREATS = "kill hurt destroy murder stab strangle töten umbringen verprügeln tuer frapper égorger matar golpear apuñalar".split()
 INSULTS = "idiot moron loser".split()
 PRIOR_INSULT, PRIOR_THREAT = 3.0, 2.0
 
-_TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?;:\n…]|[\"“”„«»]")
-OTHER, CLAUSE, QUOTE, NEGATION, REPORT, TARGET = b"o", b".", b'"', b"n", b"r", b"y"
+_TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?;:,\n…]|[\"“”„«»]")
+OTHER, CLAUSE, QUOTE, NEGATION, REPORT, TARGET, INTENTION = b"o", b".", b'"', b"n", b"r", b"y", b"w"
+PARAGRAPH, COMMA, COLON, COVERED, FREE = b"\n", b",", b":", b"(", b")"
 INSULT_LEVELS, THREAT_LEVELS = b"12345678", b"ABCDEFGH"
 _HIT = re.compile(b"[1-8A-H]")
+#: How many words a frame spans: between a report and what it reports, or an intention, a threat and its target.
+REACH = 3
 SHORTEST, LONGEST = 4, 8
 
 
@@ -45,23 +51,34 @@ class Transducer:
         self.start, self.step = start, step
 
 
+MARKS = COMMA + COVERED + FREE
+
+
 def _negation(state: int, symbol: int):
+    if symbol in MARKS:
+        return state, 1.0, 0.0
     if symbol == NEGATION[0]:
         return 3, 1.0, 0.0
     return max(0, state - 1), 0.25 if state else 1.0, 0.0
 
 
-def _reported(state: str, symbol: int):
+def _reported(state: tuple[bool, bool, bool], symbol: int):
+    """state: within quotes, behind a reporting verb, covered by a later one."""
+    quoted, verb, covered = state
     if symbol == QUOTE[0]:
-        return ("" if state == "quote" else "quote"), 1.0, 0.0
-    if symbol == REPORT[0] and not state:
-        return "verb", 1.0, 0.0
-    return state, 0.5 if state else 1.0, 0.0
+        quoted = not quoted
+    elif symbol == REPORT[0]:
+        verb = True
+    elif symbol in COVERED + FREE:
+        covered = symbol == COVERED[0]
+    return (quoted, verb, covered), 0.5 if any(state) else 1.0, 0.0
 
 
 def _targeted(state: tuple[int, int], symbol: int):
     """state: words since a target and since an insult or threat, 4 for none near."""
     near, struck = state
+    if symbol in MARKS:
+        return state, 1.0, 0.0
     hit = symbol in INSULT_LEVELS or symbol in THREAT_LEVELS
     follows = symbol == TARGET[0] and struck < 4
     after = (0 if symbol == TARGET[0] else min(4, near + 1), 0 if hit else min(4, struck + 1))
@@ -69,6 +86,15 @@ def _targeted(state: tuple[int, int], symbol: int):
     return after, 0.5 if threat_alone else 1.25 if hit and near < 4 else 1.0, 0.5 if follows else 0.0
 
 
+def _intended(state: int, symbol: int):
+    """state: words that an intention still reaches."""
+    if symbol in MARKS:
+        return state, 1.0, 0.0
+    if symbol == INTENTION[0]:
+        return REACH, 1.0, 0.0
+    return max(0, state - 1), 1.5 if state and symbol in THREAT_LEVELS else 1.0, 0.0
+
+
 def _strength(symbol: int) -> float:
     if symbol in INSULT_LEVELS:
         return 1.0 + INSULT_LEVELS.index(symbol)
@@ -77,17 +103,20 @@ def _strength(symbol: int) -> float:
     return 0.0
 
 
-NEGATED, SPOKEN, TARGETED = Transducer(0, _negation), Transducer("", _reported), Transducer((4, 4), _targeted)
+NEGATED, TARGETED, INTENDED = Transducer(0, _negation), Transducer((4, 4), _targeted), Transducer(0, _intended)
+SPOKEN, IN_QUOTES = Transducer((False, False, False), _reported), Transducer((True, False, False), _reported)
 
 
-def compose(*parts: Transducer) -> list[dict[int, tuple[int, float]]]:
-    """The product automaton: for each state (0 starts) and symbol the next state and the output weight.
+def compose(*starts: tuple[Transducer, ...]) -> list[dict[int, tuple[int, float]]]:
+    """The product automaton: for each state and symbol the next state and the output weight.
 
+    starts are the same transducers from different starting states; state i is the i-th start.
     The insult and threat transducer is the innermost: its strength is multiplied by all
     factors; additions are scaled by the factors too.
     """
-    symbols = OTHER + QUOTE + NEGATION + REPORT + TARGET + INSULT_LEVELS + THREAT_LEVELS
-    numbers, table, todo = {tuple(p.start for p in parts): 0}, [], [tuple(p.start for p in parts)]
+    symbols = OTHER + QUOTE + NEGATION + REPORT + TARGET + INTENTION + MARKS + INSULT_LEVELS + THREAT_LEVELS
+    todo = [tuple(p.start for p in parts) for parts in starts]
+    numbers, table, parts = {s: i for i, s in enumerate(todo)}, [], starts[0]
     while todo:
         state, arcs = todo.pop(0), {}
         for symbol in symbols:
@@ -102,11 +131,35 @@ def compose(*parts: Transducer) -> list[dict[int, tuple[int, float]]]:
     return table
 
 
-GRAMMAR = compose(NEGATED, SPOKEN, TARGETED)
+GRAMMAR = compose((NEGATED, SPOKEN, TARGETED, INTENDED), (NEGATED, IN_QUOTES, TARGETED, INTENDED))
+_REPORTER = re.compile(b"y(?=r)")
+_INTRODUCED = re.compile(b"(r[^.:,\"]{0,%d}):" % REACH)
+_LATER = re.compile(b",[^.,\"1-8A-H]{0,%d}?r" % REACH)
 
 
-def clause_score(symbols: bytes) -> float:
-    state = score = 0
+def rewrite(paragraph: bytes) -> list[tuple[bytes, bool]]:
+    """The clauses of a paragraph's symbols, each with whether it begins within quotes.
+
+    A quotation mark without a partner in the paragraph is dropped. A colon behind a reporting
+    verb goes on with its clause, other colons end it. A target right before a reporting verb is
+    the reporter and no target. What stands before a comma and a reporting verb is covered.
+    """
+    if paragraph.count(QUOTE) % 2:
+        before, _, after = paragraph.rpartition(QUOTE)
+        paragraph = before + after
+    paragraph = _REPORTER.sub(OTHER, paragraph)
+    if COLON in paragraph:
+        paragraph = _INTRODUCED.sub(b"\\1", paragraph).replace(COLON, CLAUSE)
+    out, quoted = [], False
+    for clause in paragraph.split(CLAUSE):
+        later = _LATER.search(clause) if REPORT in clause else None
+        out.append((COVERED + clause[: later.start()] + FREE + clause[later.start() :] if later else clause, quoted))
+        quoted ^= clause.count(QUOTE) % 2 == 1
+    return out
+
+
+def clause_score(symbols: bytes, quoted: bool = False) -> float:
+    state, score = int(quoted), 0
     for symbol in symbols:
         state, weight = GRAMMAR[state][symbol]
         score += weight
@@ -117,24 +170,21 @@ def clause_score(symbols: bytes) -> float:
 
 
 class Lexicon:
-    """Weighted insult stems (`stem` fits every word that begins with it, `=word` that word only)."""
+    """Weighted stems (`stem` fits every word that begins with it, `=word` that word only); those in threats are threats, the others insults."""
 
-    def __init__(self, weights: dict[str, float]):
-        self.insults = {**{"=" + w: PRIOR_INSULT for w in INSULTS}, **weights}
-        self.classes = {w: s for words, s in ((TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT)) for w in words}
-        level = THREAT_LEVELS[round(PRIOR_THREAT) - 1 :][:1]
-        self.classes |= {w: level for w in THREATS}
+    def __init__(self, weights: dict[str, float], threats: frozenset[str] = frozenset()):
+        self.stems = {**{"=" + w: PRIOR_INSULT for w in INSULTS}, **{"=" + w: PRIOR_THREAT for w in THREATS}, **weights}
+        self.threats = {"=" + w for w in THREATS} | threats
+        closed = ((TARGETS, TARGET), (INTENTIONS, INTENTION), (NEGATIONS, NEGATION), (REPORTS, REPORT))
+        self.classes = {w: s for words, s in closed for w in words}
         self.known: dict[str, bytes] = {}
 
     def symbol(self, word: str) -> bytes:
-        weight = self.insults.get("=" + word)
-        for n in range(min(LONGEST, len(word)), SHORTEST - 1, -1):
+        for entry in ("=" + word, *(word[:n] for n in range(min(LONGEST, len(word)), SHORTEST - 1, -1))):
+            weight = self.stems.get(entry)
             if weight is not None:
-                break
-            weight = self.insults.get(word[:n])
-        if weight is not None:
-            n = min(8, max(1, round(weight)))
-            return INSULT_LEVELS[n - 1 : n]
+                n = min(8, max(1, round(weight)))
+                return (THREAT_LEVELS if entry in self.threats else INSULT_LEVELS)[n - 1 : n]
         return self.classes.get(word, OTHER)
 
     def symbols(self, text: str) -> bytes:
@@ -152,34 +202,52 @@ class Lexicon:
     def _token(self, token: str) -> bytes:
         if token[0].isalpha():
             return self.symbol(token.replace("’", "'"))
-        return QUOTE if token in '"“”„«»' else CLAUSE
+        if token in '"“”„«»':
+            return QUOTE
+        return token.encode() if token in ",:\n" else CLAUSE
 
     def features(self, text: str) -> tuple[float, float, int]:
         """The strongest clause's score, the sum over clauses, and the number of matched clauses."""
         symbols = self.symbols(text)
         if not _HIT.search(symbols):
             return 0.0, 0.0, 0
-        scores = [clause_score(c) for c in symbols.split(CLAUSE) if _HIT.search(c)]
+        paragraphs = [p for p in symbols.split(PARAGRAPH) if _HIT.search(p)]
+        scores = [clause_score(c, quoted) for p in paragraphs for c, quoted in rewrite(p) if _HIT.search(c)]
         return max(scores), sum(scores), len(scores)
 
 
 # --- learning --------------------------------------------------------------------------------
 
 
-def stems(text: str) -> set[str]:
-    """What a text offers as lexicon entries: its words and the beginnings of its words."""
-    found = set()
-    for word in {t.replace("’", "'") for t in _TOKEN.findall(text.lower()) if t[0].isalpha()}:
-        found.add("=" + word)
-        found.update(word[:n] for n in range(SHORTEST, min(LONGEST, len(word)) + 1))
-    return found
+def _entries(word: str) -> list[str]:
+    return ["=" + word, *(word[:n] for n in range(SHORTEST, min(LONGEST, len(word)) + 1))]
+
+
+def stems(text: str) -> tuple[set[str], set[str]]:
+    """What a text offers as lexicon entries, its words and the beginnings of its words, and which of them stand in a threat's frame.
+
+    Words of the closed classes are no entries.
+    The frame is an intention up to REACH words before and a target up to REACH words behind.
+    """
+    words = [t.replace("’", "'") for t in _TOKEN.findall(text.lower()) if t[0].isalpha()]
+    found, framed = {e for word in set(words) - _CLOSED for e in _entries(word)}, set()
+    for i, word in enumerate(words):
+        if word in _INTENDING:
+            for j in range(i + 1, min(len(words), i + 1 + REACH)):
+                if words[j] not in _CLOSED and not _TARGETED.isdisjoint(words[j + 1 : j + 1 + REACH]):
+                    framed.update(_entries(words[j]))
+    return found, framed
+
+
+_INTENDING, _TARGETED = frozenset(INTENTIONS), frozenset(TARGETS)
+_CLOSED = frozenset(TARGETS + NEGATIONS + REPORTS + INTENTIONS)
 
 
 class Model:
-    """A lexicon and the logistic curve (bias, weight of the strongest clause, weight of log(1 + sum))."""
+    """A lexicon (weights of stems, and which are threats) and the logistic curve (bias, weight of the strongest clause, weight of log(1 + sum))."""
 
-    def __init__(self, weights: dict[str, float], curve: tuple[float, float, float]):
-        self.weights, self.curve = weights, curve
+    def __init__(self, weights: dict[str, float], curve: tuple[float, float, float], threats: frozenset[str] = frozenset()):
+        self.weights, self.curve, self.threats = weights, curve, threats
 
 
 DEFAULT_CURVE = (-3.0, 1.0, 1.0)
@@ -198,23 +266,22 @@ def _fit(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2) -> tuple[float, fl
     return tuple(w.tolist())
 
 
-def _cover(texts: list[set[str]], pool: dict[str, float], least: int) -> dict[str, float]:
-    """Entries of pool that one after another explain most texts not yet explained, `least` texts at least each."""
-    holds = defaultdict(set)
-    for i, found in enumerate(texts):
-        for s in found:
-            holds[s].add(i)
-    gain, chosen = Counter({s: len(h) for s, h in holds.items()}), {}
-    while gain:
-        best = min(gain, key=lambda s: (-gain[s], -pool[s], len(s), s))
-        if gain[best] < least:
-            break
-        chosen[best] = pool[best]
-        for i in list(holds[best]):
-            for s in texts[i]:
-                holds[s].discard(i)
-                gain[s] -= 1
-        gain = Counter({s: n for s, n in gain.items() if n > 0})
+def _cover(owner: np.ndarray, entry: np.ndarray, n_entries: int, n_texts: int, least: int) -> list[int]:
+    """Entries that one after another explain most texts not yet explained, `least` texts at least each; of equal ones the first.
+
+    owner and entry are the pairs of a text and an entry that it holds, ordered by text.
+    """
+    begins = np.searchsorted(owner, np.arange(n_texts + 1))
+    by_entry = np.argsort(entry, kind="stable")
+    first = np.searchsorted(entry[by_entry], np.arange(n_entries + 1))
+    gain, open_, chosen = np.bincount(entry, minlength=n_entries), np.ones(n_texts, bool), []
+    while len(gain) and gain.max() >= least:
+        best = int(gain.argmax())
+        chosen.append(best)
+        texts = owner[by_entry[first[best] : first[best + 1]]]
+        for t in texts[open_[texts]]:
+            gain[entry[begins[t] : begins[t + 1]]] -= 1
+        open_[texts] = False
     return chosen
 
 
@@ -230,11 +297,13 @@ def learn(
 ) -> Model:
     """A model from the labelled rows for which train (a Column over labels) holds.
 
-    At most max_rows labelled rows are used, those with the smallest hash of their id, so what
-    comes to the driver is bounded: of the lexicon's candidates at most 20,000 and of the
-    sample's texts their candidates. Each distinct text counts once, so groups of copies do
-    not weigh more. An id with several labels is toxic if any is; null ids and labels are
-    left out. Without rows of both classes the given words and DEFAULT_CURVE remain.
+    At most max_rows labelled rows are used, those with the smallest hash of their id; nothing
+    else is left out. Of entries that the same texts hold, one can explain no more than another,
+    so only the best of them comes to the driver, with the numbers of the texts that hold it.
+    Entries that mostly stand in a threat's frame become threats. Each distinct text counts
+    once, so groups of copies do not weigh more. An id with several labels is toxic if any is;
+    null ids and labels are left out. Without rows of both classes the given words and
+    DEFAULT_CURVE remain.
     """
     some = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
     some = some.where(train) if train is not None else some
@@ -249,33 +318,47 @@ def learn(
 
     def pairs(batches):
         for batch in batches:
-            seen = {0: Counter(), 1: Counter()}
-            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
-                seen[label].update(stems(text))
-            names = list(seen[0] | seen[1])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()), *(pa.array([seen[c][s] for s in names], pa.int64()) for c in (1, 0))], ["stem", "pos", "neg"]
-            )
-
-    counts = rows.select("text", "label").mapInArrow(pairs, "stem string, pos bigint, neg bigint").groupBy("stem").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+            pos, neg, framed, which = Counter(), Counter(), Counter(), {}
+            for h, text, label in zip(*(batch.column(c).to_pylist() for c in ("h", "text", "label"))):
+                found, in_frame = stems(text)
+                (pos if label else neg).update(found)
+                if label:
+                    framed.update(in_frame)
+                    for s in found:
+                        which[s] = which.get(s, 0) ^ h
+            names = list(pos | neg)
+            columns = [pa.array([c[s] for s in names], pa.int64()) for c in (pos, neg, framed)]
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *columns, pa.array([which.get(s, 0) for s in names], pa.int64())], ["stem", "pos", "neg", "framed", "texts"])
+
+    counts = rows.select("h", "text", "label").mapInArrow(pairs, "stem string, pos bigint, neg bigint, framed bigint, texts bigint")
+    counts = counts.groupBy("stem").agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "framed")], F.bit_xor("texts").alias("texts"))
     odds = F.log((F.col("pos") + 0.5) / (n_pos + 1)) - F.log((F.col("neg") + 0.5) / (n_neg + 1))
-    top = counts.where(f"pos >= {least}").withColumn("odds", odds).where("odds >= 2").orderBy(F.desc("pos"), "stem").limit(20_000)
-    found = top.select("stem", "odds", "pos").collect()
-    pool = {r["stem"]: r["odds"] for r in found}
+    counts = materialize(counts.where(f"pos >= {least}").withColumn("odds", odds).where("odds >= 2"), "stems")
+    # entries with the same count and the same combined hash of their texts are held by the same texts
+    rank = F.struct((-F.col("odds")).alias("odds"), (-F.col("framed")).alias("framed"), F.length("stem").alias("size"), "stem")
+    best = counts.groupBy("pos", "texts").agg(F.min(rank).alias("best"))
+    best = best.select("best.stem", (-F.col("best.odds")).alias("odds"), "pos", (-F.col("best.framed")).alias("framed"))
+    found = best.orderBy(F.desc("odds"), F.desc("framed"), F.length("stem"), "stem").collect()
+    place = {r["stem"]: i for i, r in enumerate(found)}
 
     def held(batches):
         for batch in batches:
-            found = [sorted(s for s in stems(t) if s in pool) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string()))], ["stems"])
-
-    texts = [set(r["stems"]) for r in rows.where("label = 1").select("text").mapInArrow(held, "stems array<string>").collect()]
-    weights = _cover(texts, pool, least)
-    for r in found:  # and those that stand for toxicity by themselves, though other entries explain their texts too
+            kept = [sorted(place[s] for s in stems(t)[0] if s in place) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.list_(pa.int32()))], ["entries"])
+
+    lists = rows.where("label = 1").select("text").mapInArrow(held, "entries array<int>").toArrow().column("entries").combine_chunks()
+    owner = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy())) if len(lists) else np.zeros(0, np.int64)
+    chosen = [found[i] for i in _cover(owner, lists.flatten().to_numpy(), len(found), len(lists), least)]
+    weights, threats = {r["stem"]: r["odds"] for r in chosen}, {r["stem"] for r in chosen if 2 * r["framed"] > r["pos"]}
+    # and those that stand for toxicity by themselves, though other entries explain their texts too
+    for r in counts.where((F.col("odds") >= 5.5) & (F.col("pos") >= max(5, 0.02 * n_pos))).orderBy(F.desc("pos"), "stem").collect():
         word = r["stem"].lstrip("=")
-        if r["odds"] >= 5.5 and r["pos"] >= max(5, 0.02 * n_pos) and "=" + word not in weights and not any(word[:n] in weights for n in range(SHORTEST, len(word) + 1)):
+        if "=" + word not in weights and not any(word[:n] in weights for n in range(SHORTEST, len(word) + 1)):
             weights[r["stem"]] = r["odds"]
-    scored = score(rows.select("text", "label"), Model(weights, DEFAULT_CURVE), "text").select("strongest", "total", "label").toPandas()
-    return Model(weights, _fit(scored[["strongest", "total"]].to_numpy(), scored["label"].to_numpy()))
+            threats |= {r["stem"]} if 2 * r["framed"] > r["pos"] else set()
+    model = Model(weights, DEFAULT_CURVE, frozenset(threats))
+    scored = score(rows.select("text", "label"), model, "text").select("strongest", "total", "label").toPandas()
+    return Model(weights, _fit(scored[["strongest", "total"]].to_numpy(), scored["label"].to_numpy()), model.threats)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -285,12 +368,12 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     curve gives to no match. Repeated rows are scored each; columns of docs that are named like
     one of the new ones are replaced; an empty table stays empty.
     """
-    weights, curve = model.weights, model.curve
+    weights, curve, threats = model.weights, model.curve, model.threats
     own = [c for c in docs.columns if c not in (text_col, "strongest", "total", "clauses", "score")]
     kept = docs.select(*own, F.col(text_col).alias("__text"))
 
     def run(batches):
-        lexicon = Lexicon(weights)
+        lexicon = Lexicon(weights, threats)
         for batch in batches:
             texts = batch.column("__text").to_pylist()
             found = np.array([lexicon.features(t) if t else (0.0, 0.0, 0) for t in texts], float).reshape(-1, 3)
