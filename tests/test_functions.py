@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tilewright.functions import geometry as G, kernels as K, scalar as S, temporal as T
+from tilewright.functions import geometry as G, kernels as K, planar as P, scalar as S, temporal as T
 
 
 def one(spark, column):
@@ -95,17 +95,25 @@ def test_boxes():
             G.check_box(*bad)
 
 
+def rings(*lists):
+    return [np.array(r, float) for r in lists]
+
+
+def square(a, b, n):
+    return rings([(a, b), (a + n, b), (a + n, b + n), (a, b + n)])
+
+
 def test_bow_tie_area():
-    assert K.union_area([[[(0, 0), (10, 10), (10, 0), (0, 10)]]]) == pytest.approx(50)
+    tie = rings([(0, 0), (10, 10), (10, 0), (0, 10)])
+    assert not P.is_simple(tie) and P.polygon_area(tie) == pytest.approx(50)
 
 
 def test_holes_and_overlaps():
-    square = lambda a, b, n: [[(a, b), (a + n, b), (a + n, b + n), (a, b + n)]]
     holed = [square(0, 0, 4)[0], square(1, 1, 2)[0]]
-    assert K.union_area([holed]) == pytest.approx(12)
-    assert K.intersection_area(holed, square(1, 1, 2)) == pytest.approx(0)
-    assert K.intersection_area(square(0, 0, 4), square(2, 2, 4)) == pytest.approx(4)
-    assert K.union_area([square(0, 0, 4), square(2, 2, 4)]) == pytest.approx(28)
+    assert P.covered_area([holed]) == pytest.approx(12) == P.polygon_area(holed, simple=True)
+    assert P.covered_area([holed, square(1, 1, 2)], 2) == pytest.approx(0)
+    assert P.covered_area([square(0, 0, 4), square(2, 2, 4)], 2) == pytest.approx(4)
+    assert P.covered_area([square(0, 0, 4), square(2, 2, 4)]) == pytest.approx(28)
 
 
 @settings(max_examples=60, deadline=None)
@@ -114,14 +122,78 @@ def test_union_equals_raster(boxes):
     grid = np.zeros((16, 16), bool)
     for x, y, w, h in boxes:
         grid[x : x + w, y : y + h] = True
-    polygons = [[[(x, y), (x + w, y), (x + w, y + h), (x, y + h)]] for x, y, w, h in boxes]
-    assert K.union_area(polygons) == pytest.approx(grid.sum())
-
-
-def test_clip_ring():
-    clipped = K.clip_ring([(-1, -1), (3, -1), (3, 3), (-1, 3)], (0, 0, 2, 2))
-    assert K.union_area([[clipped]]) == pytest.approx(4)
-    assert K.clip_ring([(5, 5), (6, 5), (6, 6)], (0, 0, 2, 2)) == []
+    polygons = [rings([(x, y), (x + w, y), (x + w, y + h), (x, y + h)]) for x, y, w, h in boxes]
+    assert P.covered_area(polygons) == pytest.approx(grid.sum())
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.integers(0, 20), st.integers(0, 20)), min_size=3, max_size=7), min_size=1, max_size=4))
+def test_covered_area_equals_slab_by_slab(shapes):
+    """Even-odd areas of any rings, against a plain loop over slabs."""
+    from fractions import Fraction
+
+    edges = [(k, *map(Fraction, (*a, *b))) for k, r in enumerate(shapes) for a, b in zip(r, r[1:] + r[:1]) if a[0] != b[0]]
+    edges = [(k, *(e if e[0] < e[2] else e[2:] + e[:2])) for k, *e in edges]
+    xs = {x for e in edges for x in (e[1], e[3])}
+    for i, a in enumerate(edges):
+        for b in edges[:i]:
+            slope = lambda e: (e[4] - e[2]) / (e[3] - e[1])
+            if slope(a) != slope(b):
+                x = (b[2] - a[2] + slope(a) * a[1] - slope(b) * b[1]) / (slope(a) - slope(b))
+                if max(a[1], b[1]) < x < min(a[3], b[3]):
+                    xs.add(x)
+    total, xs = Fraction(0), sorted(xs)
+    for left, right in zip(xs, xs[1:]):
+        middle = (left + right) / 2
+        live = sorted((e[2] + (middle - e[1]) * (e[4] - e[2]) / (e[3] - e[1]), e[0]) for e in edges if e[1] <= left and e[3] >= right)
+        inside: set = set()
+        for (low, who), (high, _) in zip(live, live[1:]):
+            inside ^= {who}
+            if inside:
+                total += (high - low) * (right - left)
+    got = P.covered_area([rings(r) for r in shapes])
+    assert got == pytest.approx(float(total), abs=1e-9)
+
+
+def test_clip_and_split():
+    assert P.covered_area([P.clip_polygon(square(-1, -1, 4), (0, 0, 2, 2))]) == pytest.approx(4)
+    assert P.clip_polygon(square(5, 5, 1), (0, 0, 2, 2)) == []
+    comb = rings([(0, 0), (7, 0), (7, 4), (5, 4), (5, 1), (4, 1), (4, 4), (2, 4), (2, 1), (0, 1)])  # two teeth
+    parts = P.split_polygon(comb, (-1, 2, 9, 9))
+    assert sorted(P.polygon_area(p, True) for p in parts) == [4, 4]
+    holed = [square(0, 0, 10)[0], square(1, 1, 2)[0], square(6, 4, 2)[0]]
+    left, right = sorted(P.split_polygon(holed, (-1, -1, 5, 11)) + P.split_polygon(holed, (5, -1, 11, 11)), key=lambda p: p[0][:, 0].min())
+    assert P.polygon_area(left, True) == 46 and P.polygon_area(right, True) == 46 and len(left) == len(right) == 2
+    assert sum(P.polygon_area(p, True) for p in P.split_polygon(holed, (2, 2, 7, 20))) == pytest.approx(40 - 1 - 2)
+    star = rings([(5 + 4 * math.cos(a) * (1 if i % 2 else 0.4), 5 + 4 * math.sin(a) * (1 if i % 2 else 0.4)) for i, a in enumerate(np.linspace(0, 2 * math.pi, 25)[:-1])])
+    for box in ((0, 0, 5, 5), (3, 2, 8, 5.5), (5, 5, 6, 6), (1, 8, 9, 9)):
+        assert sum(P.polygon_area(p, True) for p in P.split_polygon(star, box)) == pytest.approx(P.polygon_area(P.clip_polygon(star, box)))
+
+
+def test_segments_merge():
+    s = np.array([[0, 0, 2, 0], [3, 0, 1, 0], [5, 0, 6, 0], [0, 0, 0, 2], [0, 1, 0, 3], [0, 1, 1, 1], [1, 1, 3, 3], [2, 2, 0, 0]], float)
+    merged = P.merged_segments(s)
+    assert np.hypot(merged[:, 2] - merged[:, 0], merged[:, 3] - merged[:, 1]).sum() == pytest.approx(3 + 1 + 3 + 1 + 3 * math.sqrt(2))
+    assert P.clip_line(np.array([[0.0, 0], [10, 10], [10, 0]]), (2, 2, 10, 5)).tolist() == [[2, 2, 5, 5], [10, 5, 10, 2]]
+    assert len(P.clip_line(np.array([[0.0, 0], [1, 0]]), (1, 0, 2, 2))) == 0
+
+
+def test_geodesic_lengths_of_a_batch(spark):
+    lines = [[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0)], None, [], [(5.0, 5.0)], [(0.0, 0.0), (0.0, 1.0)]]
+    df = spark.createDataFrame([(None if x is None else [{"x": a, "y": b} for a, b in x],) for x in lines], "l array<struct<x: double, y: double>>")
+    got = [r["m"] for r in df.select(K.geodesic_length(F.col("l")).alias("m")).collect()]
+    one = lambda *p: float(K.geodesic(*p))
+    assert got == [pytest.approx(one(0, 0, 1, 0) + one(1, 0, 1, 1)), None, 0, 0, pytest.approx(one(0, 0, 0, 1))]
+
+
+def test_geometry_meets_box():
+    box = (0, 0, 2, 2)
+    meets = lambda kind, c: K.meets_box(kind, c, box)
+    assert meets("Polygon", [[(-5, -5), (9, -5), (9, 9), (-5, 9), (-5, -5)]])  # around the box
+    assert not meets("Polygon", [[(-5, -5), (9, -5), (9, 9), (-5, 9), (-5, -5)], [(-1, -1), (3, -1), (3, 3), (-1, 3), (-1, -1)]])  # the box is in its hole
+    assert meets("LineString", [(-1, 1), (3, 1)]) and not meets("LineString", [(-1, 2.5), (2.5, 2.5)])
+    assert not meets("LineString", [(1, 4), (4, 1)]) and not meets("Polygon", [[(1.5, 5), (5, 1.5), (5, 5), (1.5, 5)]])  # only the bounds meet
+    assert meets("MultiPoint", [(9, 9), (2, 2)]) and not meets("Point", (2.1, 0))
 
 
 @pytest.mark.parametrize(

@@ -1,7 +1,11 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from tilewright.operators import clip, metrics as M, relational as R, spatial as P, validate as V
+from tilewright.functions import kernels as K
+from tilewright.functions.kernels import to_wkb
+from tilewright.operators import clip, exact as E, metrics as M, relational as R, spatial as P, validate as V
 from tilewright.plans import normalize as N, overlay as O, products
 
 
@@ -42,22 +46,109 @@ def test_missing_is_not_zero(spark):
         s.select(M.coverage_fraction(F.lit(1.1), F.lit(1.0)).alias("x")).collect()
 
 
+CELLS = [("c0", 0.0, 0.0, 10.0, 10.0), ("c1", 10.0, 0.0, 20.0, 10.0)]
+
+
+def features(spark, rows):
+    """rows: group, feature_id, record_id, GeoJSON type, coordinates."""
+    made = [(g, f, r, bytearray(to_wkb(kind, c))) for g, f, r, kind, c in rows]
+    return spark.createDataFrame(made, "group string, feature_id string, record_id string, wkb binary")
+
+
+def rectangle(w, s, e, n):
+    return [[(w, s), (e, s), (e, n), (w, n), (w, s)]]
+
+
 def test_overlay_modes(spark):
-    cells = boxes(spark, [("c0", 0.0, 0.0, 10.0, 10.0), ("c1", 10.0, 0.0, 20.0, 10.0)], "cell_id string")
-    f = spark.createDataFrame(
-        [("a", "f1", "r1", "p1", 0.0, 0.0, 5.0, 10.0), ("a", "f1", "r1", "p2", 0.0, 0.0, 10.0, 5.0), ("b", "f2", "r2", "p3", 2.0, 2.0, 10.0, 4.0)],
-        "group string, feature_id string, record_id string, part_id string, min_x double, min_y double, max_x double, max_y double",
-    )
-    made = O.overlay(cells, f, ["a", "b", "z"], 10, completeness={"a": "complete", "b": "partial"})
-    rows = {r["cell_id"]: r.asDict() for r in made.wide.collect()}
-    assert rows["c0"]["a__coverage_fraction"] == 0.75 and rows["c0"]["a__feature_count"] == 1 and rows["c0"]["a__part_count"] == 2
-    assert rows["c1"]["a__feature_count"] == 0 and rows["c1"]["b__feature_count"] is None  # touching is not a hit
-    assert rows["c1"]["a__status"] == "observed" and rows["c0"]["z__feature_count"] is None
-    asked = O.overlay(cells, f, ["a", "b"], 10, availability={"a": "available"}, mode="query", max_memberships=10)
+    cells = boxes(spark, CELLS, "cell_id string")
+    rows = [
+        ("a", "f1", "r1", "MultiPolygon", [rectangle(0.0, 0.0, 5.0, 10.0), rectangle(0.0, 0.0, 10.0, 5.0)]),
+        ("b", "f2", "r2", "Polygon", rectangle(2.0, 2.0, 10.0, 4.0)),
+    ]
+    made = O.overlay(cells, features(spark, rows), ["a", "b", "z"], 10, completeness={"a": "complete", "b": "partial"}, earth=False)
+    rows_of = {r["cell_id"]: r.asDict() for r in made.wide.collect()}
+    c0, c1 = rows_of["c0"], rows_of["c1"]
+    assert c0["a__polygon_coverage_fraction"] == 0.75 and c0["a__feature_count"] == 1 and c0["a__part_count"] == 2
+    assert c1["a__feature_count"] == 0 and c1["b__feature_count"] is None  # touching is not a hit
+    assert c1["a__status"] == "observed" and c0["z__feature_count"] is None and c0["b__status"] == "partial"
+    assert c0["a__line_union_length_m"] is None and c1["a__line_union_length_m"] == 0
+    assert c0["a__intersection_status"] == "recorded_geometry_intersects" and c1["b__intersection_status"] == "no_recorded_geometry_under_partial_coverage"
+    asked = O.overlay(cells, features(spark, rows), ["a", "b"], 10, availability={"a": "available"}, mode="query", max_memberships=10)
     status = {(r["cell_id"], r["group"]): r["status"] for r in asked.long.collect()}
     assert status == {("c0", "a"): "partial", ("c0", "b"): "partial", ("c1", "a"): "unknown", ("c1", "b"): "unavailable"}
     with pytest.raises(ValueError, match="memberships"):
-        O.overlay(cells, f, ["a"], 10, mode="query", max_memberships=1)
+        O.overlay(cells, features(spark, rows), ["a"], 10, mode="query", max_memberships=1)
+
+
+def test_overlay_measures_shapes_and_not_their_boxes(spark):
+    cells = boxes(spark, CELLS, "cell_id string")
+    triangle = ("a", "t", "t", "Polygon", [[(0, 0), (20, 0), (0, 10), (0, 0)]])
+    line = ("a", "l", "l", "LineString", [(0, 0), (10, 10)])
+    points = ("a", "p", "p", "MultiPoint", [(10.0, 5.0), (5.0, 5.0)])  # the first is on the border of both cells
+    made = O.overlay(cells, features(spark, [triangle, triangle, line, line, points]), ["a"], 10, mode="query", availability={"a": "available"}, earth=False)
+    got = {r["cell_id"]: r for r in made.wide.collect()}
+    assert got["c0"]["a__polygon_coverage_fraction"] == pytest.approx(0.75) and got["c1"]["a__polygon_coverage_fraction"] == pytest.approx(0.25)
+    assert got["c0"]["a__line_union_length_m"] == pytest.approx(200**0.5) and got["c1"]["a__line_union_length_m"] is None
+    assert (got["c0"]["a__point_count"], got["c1"]["a__point_count"]) == (2, 1)
+    assert (got["c0"]["a__feature_count"], got["c1"]["a__feature_count"]) == (3, 2)
+    rows = {(r["cell_id"], r["family"]): (r["intersection_area"], r["intersection_length"], r["point_count"]) for r in made.memberships.collect()}
+    assert rows["c1", "polygon"] == (pytest.approx(25), None, None) and rows["c0", "point"] == (None, None, 1)
+    assert ("c1", "line") not in rows  # it meets the second cell's corner only
+
+
+def test_overlay_on_the_earth(spark):
+    cells = boxes(spark, [("c", 0.0, 48.0, 1.0, 49.0)], "cell_id string")
+    hole = rectangle(0.25, 48.25, 0.75, 48.75)[0]
+    rows = [("a", "x", "x", "Polygon", [rectangle(0, 48, 1, 49)[0], hole]), ("a", "l", "l", "LineString", [(0.5, 48.0), (0.5, 50.0)])]
+    made = O.overlay(cells, features(spark, rows), ["a"], 1.0, mode="query")
+    row = made.wide.first()
+    y = lambda lat: float(K.equal_area(0.0, lat)[1])
+    assert row["a__polygon_coverage_fraction"] == pytest.approx(1 - 0.5 * (y(48.75) - y(48.25)) / (y(49) - y(48)), rel=1e-9)
+    assert row["a__line_union_length_m"] == pytest.approx(float(K.geodesic(0.5, 48, 0.5, 49)), rel=1e-9)
+    area = made.memberships.where("family = 'polygon'").first()["intersection_area"]
+    assert area == pytest.approx(row["a__polygon_coverage_fraction"] * float(K.equal_area(1.0, 0)[0]) * (y(49) - y(48)), rel=1e-9)
+
+
+def test_counts_of_designations_and_zones(spark):
+    cells = boxes(spark, CELLS, "cell_id string")
+    f = features(spark, [("a", f"f{i}", f"r{i}", "Point", (1.0 + i, 1.0)) for i in range(4)])
+    f = f.withColumn("designation_id", F.when(F.col("record_id") != "r3", "d")).withColumn("zone_name", F.when(F.col("record_id").isin("r0", "r1"), F.col("record_id")))
+    got = {r["cell_id"]: r for r in O.overlay(cells, f, ["a"], 10, mode="query").long.collect()}
+    assert (got["c0"]["designation_count"], got["c0"]["zone_count"], got["c1"]["zone_count"]) == (1, 2, None)
+
+
+def test_unions_of_crowded_cells_equal_unions_at_once(spark):
+    r = random.Random(4)
+    rows = []
+    for i in range(120):
+        x, y, w, h = r.uniform(0, 9), r.uniform(0, 9), r.uniform(0.1, 4), r.uniform(0.1, 4)
+        rows.append(("a", str(i), str(i), "Polygon", [[(x, y), (x + w, y), (x, y + h), (x, y)]]))
+        a, b = r.randrange(10), r.randrange(8)
+        rows.append(("a", f"l{i}", f"l{i}", "LineString", [(a, b), (a, b + 2.5)] if i % 2 else [(b, a), (b + 2, a)]))
+        rows.append(("a", f"p{i}", f"p{i}", "Point", (r.randrange(10), r.randrange(10))))
+    rows += rows[:200]
+    cells = boxes(spark, CELLS, "cell_id string")
+    parts = E.parts_of(features(spark, rows))
+    found = E.pieces(parts, cells, 10, earth=False).cache()
+    by = ["cell_id", "group"]
+    once = {r["cell_id"]: r for r in E.unions(found, by, earth=False).collect()}
+    many = {r["cell_id"]: r for r in E.unions(found, by, earth=False, many=20).collect()}
+    assert set(once) == set(many)
+    for cell, row in once.items():
+        for name in ("union_area", "union_length", "distinct_points"):
+            assert many[cell][name] == (None if row[name] is None else pytest.approx(row[name], rel=1e-9)), (cell, name)
+    found.unpersist()
+
+
+def test_pieces_of_parts_of_any_extent(spark):
+    cells = boxes(spark, [(f"{i}_{j}", 1.0 * i, 1.0 * j, i + 1.0, j + 1.0) for i in range(40) for j in range(40)], "cell_id string")
+    big = [[(0, 0), (40, 0), (40, 40), (0, 40), (0, 0)], [(1, 1), (1, 39), (39, 39), (39, 1), (1, 1)]]  # a frame one cell wide
+    rows = [("a", "big", "big", "Polygon", big), ("a", "small", "small", "Polygon", rectangle(3.2, 3.2, 3.4, 3.4)), ("a", "line", "line", "LineString", [(0.5, 0.5), (39.5, 39.5)])]
+    got = E.pieces(E.parts_of(features(spark, rows)), cells, 1.0, earth=False).groupBy("feature_id").agg(F.count("*").alias("n"), F.sum("measure").alias("m"), F.countDistinct("cell_id").alias("d"))
+    found = {r["feature_id"]: (r["n"], r["d"], r["m"]) for r in got.collect()}
+    assert found["big"] == (156, 156, pytest.approx(156)) and found["small"][0] == 1 and found["small"][2] == pytest.approx(0.04)
+    assert found["line"] == (40, 40, pytest.approx(39 * 2**0.5))
+    assert E.pieces(E.parts_of(features(spark, rows).limit(0)), cells, 1.0).count() == 0
 
 
 def test_crosswalk_fractions(spark):

@@ -1,8 +1,6 @@
 """Small numeric kernels for what Column expressions can't say, and pandas UDFs over them.
 
-Each works on one geometry or one group at a time; Spark partitions and shuffles the rows.
-A polygon is a list of rings, a ring a list of (x, y). Areas of polygon sets are even-odd
-within one polygon, so self-crossing rings need no repair.
+Each works on one geometry or one batch at a time; Spark partitions and shuffles the rows.
 """
 
 from __future__ import annotations
@@ -15,7 +13,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F, types as T
 
-from .geometry import ECC2, FLATTENING, SEMI_MAJOR
+from . import planar
+from .geometry import ECC, ECC2, FLATTENING, K0, SEMI_MAJOR
 
 POINT = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
 RING = T.ArrayType(POINT)
@@ -83,97 +82,11 @@ def utm(lon, lat, zone: int):
     return 500000 + 0.9996 * radius * x, 0.9996 * radius * y
 
 
-# --- polygons --------------------------------------------------------------------------------
-
-
-def clip_ring(ring: list, box: tuple) -> list:
-    """A ring clipped to a box side by side; right for areas, though pieces stay joined along the box."""
-    west, south, east, north = box
-    for axis, bound, keep_above in ((0, west, True), (0, east, False), (1, south, True), (1, north, False)):
-        out = []
-        for a, b in zip(ring, ring[1:] + ring[:1]):
-            inside = (a[axis] >= bound) == keep_above or a[axis] == bound
-            inside_next = (b[axis] >= bound) == keep_above or b[axis] == bound
-            if inside:
-                out.append(a)
-            if inside != inside_next:
-                t = (bound - a[axis]) / (b[axis] - a[axis])
-                other = a[1 - axis] + t * (b[1 - axis] - a[1 - axis])
-                out.append((bound, other) if axis == 0 else (other, bound))
-        ring = out
-        if not ring:
-            return []
-    return ring
-
-
-def _edges(polygons: list) -> list[tuple]:
-    out = []
-    for k, polygon in enumerate(polygons):
-        for ring in polygon:
-            for a, b in zip(ring, list(ring[1:]) + list(ring[:1])):
-                if a[0] != b[0]:
-                    out.append((*(a if a[0] < b[0] else b), *(b if a[0] < b[0] else a), k))
-    return out
-
-
-def _crossings(e: np.ndarray) -> np.ndarray:
-    """x of the crossings of all edges."""
-    order = np.argsort(e[:, 0])
-    e = e[order]
-    found = []
-    for i in range(len(e)):
-        upto = np.searchsorted(e[:, 0], e[i, 2])
-        o = e[i + 1 : upto]
-        if not len(o):
-            continue
-        dx, dy = e[i, 2] - e[i, 0], e[i, 3] - e[i, 1]
-        ox, oy = o[:, 2] - o[:, 0], o[:, 3] - o[:, 1]
-        den = dx * oy - dy * ox
-        with np.errstate(divide="ignore", invalid="ignore"):
-            t = ((o[:, 0] - e[i, 0]) * oy - (o[:, 1] - e[i, 1]) * ox) / den
-            s = ((o[:, 0] - e[i, 0]) * dy - (o[:, 1] - e[i, 1]) * dx) / den
-        hit = (den != 0) & (t > 0) & (t < 1) & (s > 0) & (s < 1)
-        found.append(e[i, 0] + t[hit] * dx)
-    return np.concatenate(found) if found else np.zeros(0)
-
-
-def covered_area(polygons: list, at_least: int = 1) -> float:
-    """Area that lies in at least so many of the polygons: 1 gives the union, len(polygons) the intersection.
-
-    Vertical slabs between all ends and crossings of edges; within a slab no two edges cross, so
-    their order along the middle line holds throughout and trapezoids add up exactly.
-    """
-    edges = _edges(polygons)
-    if not edges:
-        return 0.0
-    e = np.array([x[:4] for x in edges])
-    owner = np.array([x[4] for x in edges])
-    xs = np.unique(np.concatenate((e[:, 0], e[:, 2], _crossings(e))))
-    total = 0.0
-    for left, right in zip(xs[:-1], xs[1:]):
-        live = (e[:, 0] <= left) & (e[:, 2] >= right)
-        if not live.any():
-            continue
-        k, own = e[live], owner[live]
-        middle = (left + right) / 2
-        y = k[:, 1] + (middle - k[:, 0]) / (k[:, 2] - k[:, 0]) * (k[:, 3] - k[:, 1])
-        order = np.argsort(y, kind="stable")
-        y, own = y[order], own[order]
-        inside, depth = set(), 0
-        for lower, upper, who in zip(y, y[1:], own):
-            inside ^= {who}
-            depth = len(inside)
-            if depth >= at_least:
-                total += (upper - lower) * (right - left)
-    return float(total)
-
-
-def intersection_area(a: list, b: list) -> float:
-    return covered_area([a, b], 2)
-
-
-def union_area(polygons: list) -> float:
-    return covered_area(polygons, 1)
+def equal_area(lon, lat) -> tuple[np.ndarray, np.ndarray]:
+    """Easting and northing in metres of the equal-area cylinder."""
+    s = np.sin(np.radians(np.asarray(lat, float)))
+    q = (1 - ECC2) * (s / (1 - ECC2 * s * s) - np.log((1 - ECC * s) / (1 + ECC * s)) / (2 * ECC))
+    return np.radians(np.asarray(lon, float)) * (SEMI_MAJOR * K0), q * (SEMI_MAJOR / (2 * K0))
 
 
 # --- well-known binary -----------------------------------------------------------------------
@@ -234,13 +147,34 @@ def _read(data: bytes, at: int):
 # --- Columns by pandas UDFs ------------------------------------------------------------------
 
 
+def summed_lengths(segments: np.ndarray, counts: np.ndarray, earth: bool = True) -> np.ndarray:
+    """Length of each run of counts[i] segments (x1, y1, x2, y2): geodesic metres, or plain."""
+    if earth:
+        each = geodesic(*segments.T) if len(segments) else np.zeros(0)
+    else:
+        each = np.hypot(segments[:, 2] - segments[:, 0], segments[:, 3] - segments[:, 1])
+    out = np.zeros(len(counts))
+    some = counts > 0
+    if some.any():
+        out[some] = np.add.reduceat(each, (np.cumsum(counts) - counts)[some])
+    return out
+
+
 def geodesic_length(lines):
-    """Geodesic metres of an array<struct<x, y>> column; null for null."""
+    """Geodesic metres of an array<struct<x, y>> column; null for null. One call for all steps of a batch."""
 
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda r: None if r is None else line_length(np.array([(p["x"], p["y"]) for p in r], float).reshape(-1, 2)))
+    def run(a: pa.Array) -> pa.Array:
+        sizes = a.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = a.flatten()
+        x, y = (flat.field(k).to_numpy(zero_copy_only=False).astype(float) for k in (0, 1))
+        last = np.zeros(len(x), bool)
+        last[np.cumsum(sizes)[sizes > 0] - 1] = True
+        steps = np.flatnonzero(~last)
+        segments = np.column_stack((x[steps], y[steps], x[steps + 1], y[steps + 1])) if len(steps) else np.zeros((0, 4))
+        lengths = summed_lengths(segments, np.maximum(sizes - 1, 0))
+        return pa.array(lengths, pa.float64(), mask=a.is_null().to_numpy(zero_copy_only=False))
 
-    return F.pandas_udf(run, T.DoubleType())(lines)
+    return F.arrow_udf(run, T.DoubleType())(lines)
 
 
 def geodesic_distance(lon1, lat1, lon2, lat2):
@@ -269,3 +203,86 @@ def wkb_parts(data):
 
     part = T.StructType([T.StructField("kind", T.StringType()), T.StructField("wkb", T.BinaryType())])
     return F.arrow_udf(run, T.ArrayType(part))(data)
+
+
+FAMILY = {"Point": "point", "LineString": "line", "Polygon": "polygon"}
+
+
+def primitives(kind: str, coordinates) -> list[tuple[str, object]]:
+    """The points, lines and polygons of a geometry, collections taken apart; rings lose a repeated last point."""
+    if kind == "GeometryCollection":
+        return [x for k, c in coordinates for x in primitives(k, c)]
+    if kind.startswith("Multi"):
+        return [x for c in coordinates for x in primitives(kind[5:], c)]
+    array = lambda c: np.array(c, float).reshape(-1, 2)
+    if kind == "Polygon":
+        rings = [array(r) for r in coordinates]
+        return [(kind, [r[:-1] if len(r) > 1 and (r[0] == r[-1]).all() else r for r in rings])]
+    return [(kind, array(coordinates))]
+
+
+def shapes(data):
+    """The primitive parts of a WKB column as array<struct<family, wkb, bounds>>; empty for null."""
+    fields = T._parse_datatype_string("array<struct<family: string, wkb: binary, min_x: double, min_y: double, max_x: double, max_y: double>>")
+
+    def parts(kind, c):
+        if kind == "GeometryCollection":
+            return [x for k, v in c for x in parts(k, v)]
+        if kind.startswith("Multi"):
+            return [x for v in c for x in parts(kind[5:], v)]
+        p = np.array([c] if kind == "Point" else c if kind == "LineString" else [x for r in c for x in r], float).reshape(-1, 2)
+        if not len(p) or np.isnan(p).any():
+            return []
+        low, high = p.min(axis=0), p.max(axis=0)
+        return [{"family": FAMILY[kind], "wkb": to_wkb(kind, c), "min_x": low[0], "min_y": low[1], "max_x": high[0], "max_y": high[1]}]
+
+    def run(a: pa.Array) -> pa.Array:
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        return pa.array([[] if d is None else parts(*from_wkb(d)) for d in a.to_pylist()], to_arrow_type(fields))
+
+    return F.arrow_udf(run, fields)(data)
+
+
+def meets_box(kind: str, coordinates, box: tuple) -> bool:
+    """Whether a geometry and a box, its border included, have a point in common."""
+    w, s, e, n = box
+    for family, shape in primitives(kind, coordinates):
+        points = shape if family != "Polygon" else np.vstack(shape)
+        if ((points[:, 0] >= w) & (points[:, 0] <= e) & (points[:, 1] >= s) & (points[:, 1] <= n)).any():
+            return True
+        if family == "Point":
+            continue
+        for line in [shape] if family == "LineString" else [np.vstack((r, r[:1])) for r in shape]:
+            if len(planar.clip_line(line, box)):
+                return True
+        if family == "Polygon" and sum(planar.holds(r, (w, s)) for r in shape) % 2:
+            return True
+    return False
+
+
+def meets(data, boxes: list[tuple]):
+    """Whether the geometry of a WKB column meets any of the boxes; null for null."""
+
+    def run(a: pa.Array) -> pa.Array:
+        return pa.array([None if d is None else any(meets_box(*from_wkb(d), b) for b in boxes) for d in a.to_pylist()], pa.bool_())
+
+    return F.arrow_udf(run, T.BooleanType())(data)
+
+
+def box_wkb(min_x, min_y, max_x, max_y):
+    """WKB of boxes given by their bounds, of a point where they have no extent; null for null bounds."""
+
+    def run(*bounds: pa.Array) -> pa.Array:
+        out = []
+        for w, s, e, n in zip(*(b.to_pylist() for b in bounds)):
+            if None in (w, s, e, n):
+                out.append(None)
+            elif w == e and s == n:
+                out.append(to_wkb("Point", (w, s)))
+            else:
+                out.append(to_wkb("Polygon", [[(w, s), (e, s), (e, n), (w, n), (w, s)]]))
+        return pa.array(out, pa.binary())
+
+    double = lambda c: (F.col(c) if isinstance(c, str) else c).cast("double")
+    return F.arrow_udf(run, T.BinaryType())(*map(double, (min_x, min_y, max_x, max_y)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.geometry import box_area, box_parts, clip_to
@@ -41,31 +43,46 @@ def clip_polygons(df: DataFrame, box: tuple, record: str, rings: str = "rings")
     """Polygon rows (rings: array of array of x, y; shell first) clipped to box, with the retained share of equal-area metres.
 
     Longitudes are unwrapped first and tried at -360, 0 and +360 degrees, so features across
-    the dateline are found. Parts are numbered per record by the digest of their coordinates.
+    the dateline are found. What the box parts becomes rows of its own, each with its holes.
+    Parts are numbered per record by the digest of their coordinates.
     """
-    from ..functions import geometry as G
-    from ..functions.kernels import RING, clip_ring
+    from ..functions import geometry as G, planar as P
+    from ..functions.kernels import RING
+
+    ring_type = pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))
+
+    def arrays(shapes: pa.Array) -> list[list[np.ndarray]]:
+        """Rings of each row, without a repeated last point."""
+        lines = shapes.flatten()
+        points = lines.flatten()
+        xy = np.column_stack([points.field(k).to_numpy(zero_copy_only=False) for k in (0, 1)])
+        ends = np.cumsum(lines.value_lengths().to_numpy(zero_copy_only=False))
+        each = [xy[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+        each = [r[:-1] if len(r) > 1 and (r[0] == r[-1]).all() else r for r in each]
+        ends = np.cumsum(shapes.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        return [each[a:b] for a, b in zip([0, *ends[:-1]], ends)]
 
     def cut(batches):
-        for pdf in batches:
-            out = []
-            for i, shape in enumerate(pdf["__rings"]):
-                whole = [[(p["x"], p["y"]) for p in ring] for ring in shape]
+        for batch in batches:
+            owner, parts = [], []
+            for i, shape in enumerate(arrays(batch.column("__rings"))):
+                if not shape or len(shape[0]) < 3:
+                    continue
+                low, high = shape[0][:, 0].min(), shape[0][:, 0].max()
                 for shift in (-360.0, 0.0, 360.0):
-                    moved = [[(x + shift, y) for x, y in ring] for ring in whole]
                     for part in box_parts(*box):
-                        kept = [clip_ring(ring, part) for ring in moved]
-                        if kept and kept[0]:
-                            out.append((i, [[{"x": x, "y": y} for x, y in ring] for ring in kept if ring]))
-            rows = pdf.iloc[[i for i, _ in out]].copy()
-            rows["__part"] = [r for _, r in out]
-            yield rows
+                        if low + shift < part[2] and high + shift > part[0]:
+                            for polygon in P.split_polygon([r + (shift, 0.0) for r in shape], part):
+                                owner.append(i)
+                                parts.append([[{"x": x, "y": y} for x, y in np.vstack((r, r[:1])).tolist()] for r in polygon])
+            rows = pa.array(owner, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(c.take(rows) for c in batch.columns), pa.array(parts, ring_type)], [*batch.schema.names, "__part"])
 
     own = [c for c in df.columns if c != rings]
     unwrapped = df.withColumn("__rings", F.transform(rings, lambda r: G.unwrap(r))).select(*own, "__rings")
     schema = T.StructType([*unwrapped.schema.fields, T.StructField("__part", T.ArrayType(RING))])
     metres = lambda c: G.polygon_area(F.transform(c, lambda r: G.project(r)))
-    parts = unwrapped.mapInPandas(cut, schema).withColumn("__kept", metres("__part")).where("__kept > 0")
+    parts = unwrapped.mapInArrow(cut, schema).withColumn("__kept", metres("__part")).where("__kept > 0")
     total = parts.groupBy(record).agg(F.sum("__kept").alias("__sum"))
     share = retained(F.col("__sum"), metres("__rings"))
     out = parts.join(total, record).withColumn("retained_fraction", share).withColumn("clipped", F.col("retained_fraction") < 1 - 1e-12)

@@ -6,13 +6,18 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators import metrics, spatial
+from ..operators import exact, metrics
 from ..operators.relational import within_budget
+from ..storage import materialize
+
+#: Metrics of each cell and group (fixed names).
+VALUES = ["feature_count", "source_record_count", "part_count", "polygon_coverage_fraction", "line_union_length_m", "point_count"]
+OPTIONAL = ["designation_count", "zone_count"]
 
 
 @dataclass
 class Overlay:
-    """Lazy results of one overlay."""
+    """Results of one overlay; the pieces behind them are written once, the rest is lazy."""
 
     memberships: DataFrame
     long: DataFrame
@@ -28,35 +33,64 @@ def overlay(
     availability: dict[str, str] | None = None,
     mode: str = "matrix",
     max_memberships: int | None = None,
+    earth: bool = True,
 ) -> Overlay:
-    """Metrics of box features per cell and source group; other shapes count as their bounding boxes.
+    """Metrics of features per cell and source group, from exact intersections.
+
+    cells: cell_id and box; features: group, feature_id, record_id, wkb, and designation_id and
+    zone_name where the layer has them. Collections are taken apart into parts, part_id is the
+    record's id with the part's number. A part is in a cell if they have an area, a length or a
+    point in common, by the part's own family. Per cell and group: distinct features, records
+    and parts, the share of the cell's area under the union of polygons, the length of the
+    union of lines, and the distinct points; null where a group has no such parts there.
 
-    cells: cell_id and box; features: group, feature_id, record_id, part_id and box. In mode
-    `matrix` a group's state follows its inventory's completeness (an empty cell is 0 only
-    where that is `complete`); in mode `query` it follows hits and availability, and nothing
-    is filled. Every cell has one row; groups without hits have their columns.
+    In mode `matrix` a group's state follows its inventory's completeness (an empty cell is 0
+    only where that is `complete`), and point_count counts features; in mode `query` it follows
+    hits and availability, and nothing is filled. Every cell has one row; groups without hits
+    have their columns. On the earth areas are equal-area and lengths geodesic metres.
     """
     if mode not in ("matrix", "query"):
         raise ValueError("mode must be matrix or query")
     spark = cells.sparkSession
-    side = cells.withColumn("cell_area", (F.col("max_x") - F.col("min_x")) * (F.col("max_y") - F.col("min_y")))
-    hits = spatial.memberships(side.select("cell_id", *spatial.BOX, "cell_area"), features, tile)
-    hits = hits.withColumnsRenamed({"r_cell_id": "cell_id", "r_cell_area": "cell_area"})
-    relation = hits.select("cell_id", "group", "feature_id", "record_id", "part_id", F.lit("polygon").alias("family"), F.col("area").alias("intersection_area"))
+    own = ["group", "feature_id", "record_id", *[c for c in ("designation_id", "zone_name") if c in features.columns]]
+    parts = exact.parts_of(features.select(*own, "wkb"))
+    found = materialize(exact.pieces(parts.withColumn("part_id", F.concat_ws(":", "group", "record_id", F.hex(F.xxhash64("wkb")))), cells, tile, earth), "pieces")
+    relation = exact.memberships(found).select("cell_id", "group", "feature_id", "record_id", "part_id", "family", "intersection_area", "intersection_length", "point_count")
     if max_memberships is not None:
         relation = within_budget(relation, max_memberships, "memberships")
-    found = metrics.counts(hits, ["cell_id", "group"], "feature_id", "record_id", "part_id")
-    covered = spatial.union_area(hits, ["cell_id", "group"])
-    area = side.select("cell_id", "cell_area")
-    long = found.join(covered, ["cell_id", "group"]).join(area, "cell_id").withColumn("coverage_fraction", metrics.coverage_fraction("union_area", "cell_area")).drop("cell_area", "union_area")
-    all_groups = spark.createDataFrame(
-        [(g, (completeness or {}).get(g, "unknown"), (availability or {}).get(g, "unavailable")) for g in groups], "group string, completeness string, availability string"
+    counts = metrics.counts(found, ["cell_id", "group"], "feature_id", "record_id", "part_id")
+    values = list(VALUES)
+    per = found.groupBy("cell_id", "group")
+    extra = []
+    if "designation_id" in own:
+        extra.append(F.countDistinct("designation_id").alias("designation_count"))
+        if "zone_name" in own:
+            extra.append(metrics.distinct_tuples(["designation_id", "zone_name"], "zone_name").alias("zone_count"))
+    extra.append(F.countDistinct(F.when(F.col("family") == "point", F.col("feature_id"))).alias("point_features"))
+    extra.append(F.bool_or(F.col("family") == "point").alias("has_points"))
+    counts = counts.join(per.agg(*extra), ["cell_id", "group"])
+    values += [c for c in OPTIONAL if c in counts.columns]
+    covered = exact.unions(found, ["cell_id", "group"], earth)
+    points = F.when(F.col("has_points"), F.col("point_features")) if mode == "matrix" else F.col("distinct_points")
+    long = (
+        counts.join(covered, ["cell_id", "group"], "left")
+        .join(exact.cell_areas(cells, earth), "cell_id")
+        .withColumn("polygon_coverage_fraction", metrics.coverage_fraction("union_area", "cell_area"))
+        .withColumn("line_union_length_m", F.col("union_length"))
+        .withColumn("point_count", points)
+        .select("cell_id", "group", *values)
     )
+    declared = [(g, (completeness or {}).get(g, "unknown"), (availability or {}).get(g, "unavailable")) for g in groups]
+    all_groups = spark.createDataFrame(declared, "group string, completeness string, availability string")
     full = cells.select("cell_id").crossJoin(F.broadcast(all_groups)).join(long, ["cell_id", "group"], "left")  # groups: a declared list
-    values = ["feature_count", "source_record_count", "part_count", "coverage_fraction"]
+    hit = F.col("feature_count").isNotNull()
     if mode == "matrix":
-        full = full.withColumns({v: metrics.zero_fill(v, "completeness") for v in values})
-        full = full.withColumn("status", metrics.delivery_status(F.col("feature_count"), metrics.support_state("completeness")))
+        state = metrics.support_state("completeness")
+        full = full.withColumn("intersection_status", F.when(hit, "recorded_geometry_intersects").otherwise(F.concat(F.lit("no_recorded_geometry_under_"), F.when(state == "observed", "complete").otherwise(state), F.lit("_coverage"))))
+        # a cell with hits keeps nulls for the families that it lacks
+        full = full.withColumns({v: F.when(hit, F.col(v)).otherwise(metrics.zero_fill(v, "completeness")) for v in values})
+        full = full.withColumn("status", F.when(hit & ~state.isin("observed"), "partial").otherwise(metrics.delivery_status(F.col("feature_count"), state)))
+        values = [*values, "intersection_status"]
     else:
-        full = full.withColumn("status", metrics.query_status(F.col("feature_count").isNotNull(), "availability"))
+        full = full.withColumn("status", metrics.query_status(hit, "availability"))
     return Overlay(relation, full, metrics.for_every_cell(cells.select("cell_id"), metrics.wide(full, "cell_id", "group", groups, [*values, "status"]), "cell_id"))
