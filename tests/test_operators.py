@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tilewright.functions import kernels as K
 from tilewright.functions.kernels import to_wkb
 from tilewright.operators import clip, exact as E, metrics as M, relational as R, spatial as P, validate as V
-from tilewright.plans import normalize as N, overlay as O, products
+from tilewright.plans import normalize as N, overlay as O, products, providers as PR
 
 
 def boxes(spark, rows, extra="id string"):
@@ -217,18 +217,76 @@ def test_rules_raise_with_counts(spark):
 
 def test_normalize(spark):
     raw = spark.createDataFrame([(1, " North ", "NWR"), (None, "x", "OTHER")], "objectid int, orgname string, rsl_type string")
-    made = N.normalize(raw, N.LAYERS["wildlife_refuges"], N.Source("fws", provider="FWS", url="u"))
+    refuge = PR.LAYERS["wildlife_refuges"]
+    made = N.normalize(raw, refuge, N.Source("fws", provider="FWS", url="u"))
     row = made.collect()
     assert len(row) == 1 and row[0]["feature_id"] == "fws:1" and row[0]["feature_name"] == "North" and row[0]["authority"] == "FWS"
     assert row[0]["FWS_RSL_TYPE"] == "NWR" and row[0]["model_eligible"] is False
     with pytest.raises(ValueError, match="missing required"):
-        N.normalize(raw.drop("rsl_type"), N.LAYERS["wildlife_refuges"], N.Source("fws"))
+        N.normalize(raw.drop("rsl_type"), refuge, N.Source("fws"))
     with pytest.raises(Exception, match="without identity"):
-        N.normalize(raw.withColumn("rsl_type", F.lit("NWR")), N.LAYERS["wildlife_refuges"], N.Source("fws")).collect()
-    lanes = spark.createDataFrame([(1, "TSSLPT", "e", None), (2, "NEW", "e", "L")], "OBJECTID int, MERGE_SRC string, ENC_NAME string, LNAM string")
+        N.normalize(raw.withColumn("rsl_type", F.lit("NWR")), refuge, N.Source("fws")).collect()
+    assert N.repeated(made.union(made)).first()["rows"] == 2 and N.repeated(made).count() == 0
+
+
+def test_routing_roles(spark):
+    schema = "OBJECTID int, MERGE_SRC string, ENC_NAME string, LNAM string, kind string"
+    source = N.Source("chs_routing_layer_4", provider="CHS")
+    lanes = spark.createDataFrame([(1, "TSSLPT_A", "e", "L1", "Polygon"), (2, "TSSLPT_A", "f", "L1", "Polygon"), (3, "RCTLPT_A", "e", None, "MultiPolygon"), (4, "TWRTPT_A", "e", "L9", "Polygon")], schema)
+    tss = N.normalize(lanes, PR.layer_of("traffic_separation_schemes", source.source_id), source)
+    assert sorted((r["record_id"], r["feature_id"], r["routing_role"]) for r in tss.collect()) == [("1", "chs:TSSLPT_A:L1", "chs_lane_part"), ("2", "chs:TSSLPT_A:L1", "chs_lane_part")]
+    ways = N.normalize(lanes, PR.layer_of("shipping_lanes", source.source_id), source)
+    assert sorted((r["feature_id"], r["routing_role"]) for r in ways.collect()) == [("chs:TWRTPT_A:L9", "chs_two_way_route_part"), ("chs_routing_layer_4:3", "chs_recommended_lane_part")]
+    assert {r["group"] for r in PR.group_of(ways, "shipping_lanes").collect()} == {"shipping_lanes__chs_two_way_route_part", "shipping_lanes__chs_recommended_lane_part"}
     with pytest.raises(Exception, match="unknown type NEW"):
-        N.normalize(lanes, N.LAYERS["shipping_lanes"], N.Source("chs")).collect()
-    assert N.normalize(lanes.where("OBJECTID = 1"), N.LAYERS["shipping_lanes"], N.Source("chs")).first()["feature_type"] == "traffic_lane"
+        N.normalize(spark.createDataFrame([(1, "NEW", "e", None, "Polygon")], schema), PR.layer_of("shipping_lanes", source.source_id), source).collect()
+    with pytest.raises(Exception, match="another family"):
+        N.normalize(spark.createDataFrame([(1, "TWRTPT_A", "e", None, "LineString")], schema), PR.layer_of("shipping_lanes", source.source_id), source).collect()
+    noaa = spark.createDataFrame([("5", "Fairway"), ("6", "Traffic Lane"), ("7", "Precautionary Area")], "SOURCE_FID string, routeType string")
+    found = {c: [(r["feature_id"], r["routing_role"]) for r in N.normalize(noaa, PR.layer_of(c, "noaa_routing_2026"), N.Source("noaa_routing_2026")).collect()] for c in ("shipping_lanes", "traffic_separation_schemes")}
+    assert found == {"shipping_lanes": [("noaa_routing_2026:5", "noaa_fairway")], "traffic_separation_schemes": [("noaa_routing_2026:6", "noaa_traffic_lane")]}
+    assert len(PR.metric_groups("traffic_separation_schemes")) == 7 and len(PR.metric_groups("shipping_lanes")) == 8
+
+
+PROVIDER_ROWS = [
+    ("federal_waters", "noaa_us_eez_dynamic", "OBJECTID int, BOUND_ID string, REGION string, RULEID int, APPRV_DATE long", (1, "b1", "Pacific", 2, 1590969600000),
+     {"feature_id": "us_maritime_zone:exclusive_economic_zone:b1", "geometry_role": "eez_outer_limit", "approval_date": "2020-06-01", "zone_limit_nm": 200, "feature_name": "Pacific — U.S. EEZ limit"}),
+    ("federal_waters", "nrcan_canadian_geopolitical_boundaries_lines", "UUID int, TYPE_E string, SRC_DESC string, P_UPD_DATE string, ACCUR int", (3, "EEZ_200", None, "2015-01-02", 50),
+     {"feature_id": "can_maritime_zone:exclusive_economic_zone:3", "geometry_role": "eez_200nm_outer_limit", "accuracy_m": 50.0, "legal_authority": "Canada Oceans Act"}),
+    ("international_boundaries", "nrcan_canadian_geopolitical_boundaries_lines", "UUID int, TYPE_E string", (4, "INTERN"), {"feature_id": "international_boundary:cgb:4"}),
+    ("international_boundaries", "international_boundary_commission_v1_3", "SectionNum int, SectionEng string, MaxScale string", (7, None, "1:200,000"), {"boundary_id": "IBC-7", "scale_denominator": 200000}),
+    ("marine_protected_areas", "noaa_mpa_inventory_2023", "site_id string, site_name string, gov_level string, estab_yr string, mgmt_agen string, area_km_ma double, date_gis_u long", ("CA1", "Cove", "State", "est. 1999", "CA Fish & Game", 2.5, 0),
+     {"designation_id": "USA:NOAA_MPA:CA1", "established": 1999, "map_group": "us_state_tribal_local_reference", "authority_id": "USA:AGENCY:ca-fish-game", "source_date": "1970-01-01", "marine_area_km2": 2.5}),
+    ("wildlife_refuges", "eccc_wildlife_areas_sanctuaries", "OBJECTID int, TYPE_E string, NAME_E string", (5, "Migratory Bird Sanctuary", "Nest"), {"feature_name": "Nest", "refuge_type": "Migratory Bird Sanctuary", "legal_url": None}),
+    ("conservation_designations", "eccc_marine_classification", "OBJECTID int, PARENT_ID int, ZONE_ID int, BIOME string, PA_OECM_DF int, STATUS int", (6, 10, 2, "M", 3, 3), {"feature_id": "cpcad:parent:10:zone:2", "classification_role": "reported_interim_pa"}),
+    ("management_areas", "adfg_groundfish_statistical_areas", "OBJECTID int, STAT_AREA int, GEOMETRY_START_DATE long, GEOMETRY_END_DATE long", (8, 345631, 0, None), {"feature_id": "adfg.groundfish.statistical:345631", "valid_from": "1970-01-01"}),
+    ("management_areas", "dfo_pacific_fishery_management_areas", "OBJECTID int, MGNT_AREA int, SUBAREA_ int, GLOBALID string", (9, 21, 0, "{0a0b0c0d-1111-2222-3333-444455556666}"), {"area_code": "21-0", "parent_area": "21"}),
+    ("management_areas", "wdfw_recreational_marine_areas", "OBJECTID int, AreaName string, AreaTitle string, WAC string", (1, "7", "Islands", None), {"feature_name": "WDFW Marine Area 7 — Islands"}),
+    ("tribal_first_nations_areas", "nrcan_indian_reserves", "OBJECTID int, adminAreaId string, distributionTypeEng string, jurisdictionEng string", (1, "a", "Indian Reserve", "British Columbia"), {"area_id": "a"}),
+    ("county_regional_boundaries", "census_counties_2025", "GEOID string, NAME string", ("06001", "A"), {"feature_id": "census_counties_2025:06001"}),
+    ("critical_habitat", "noaa_critical_habitat_line", "OBJECTID int, LISTENTITY string, EFFECTDATE string", (2, "whale", "20210521"), {"effective_start": "2021-05-21"}),
+]
+BROKEN_ROWS = [
+    ("conservation_designations", "eccc_marine_classification", "OBJECTID int, PARENT_ID int, ZONE_ID int, BIOME string, PA_OECM_DF int, STATUS int", (6, 10, 2, "M", 9, 9), "unknown classification"),
+    ("conservation_designations", "eccc_marine_classification", "OBJECTID int, PARENT_ID int, ZONE_ID int, BIOME string, PA_OECM_DF int, STATUS int", (6, 10, 2, "T", 1, 1), "not marine"),
+    ("management_areas", "adfg_groundfish_statistical_areas", "OBJECTID int, STAT_AREA int, GEOMETRY_START_DATE long, GEOMETRY_END_DATE long", (8, 45631, 0, None), "six-digit"),
+    ("management_areas", "dfo_pacific_fishery_management_areas", "OBJECTID int, MGNT_AREA int, SUBAREA_ int, GLOBALID string", (9, 5, 0, "{0a0b0c0d-1111-2222-3333-444455556666}"), "not a subarea"),
+    ("tribal_first_nations_areas", "nrcan_indian_reserves", "OBJECTID int, adminAreaId string, distributionTypeEng string, jurisdictionEng string", (1, "a", "Indian Reserve", "Yukon"), "outside the scope"),
+    ("county_regional_boundaries", "census_counties_2025", "GEOID string, NAME string", ("6001", "A"), "five-digit"),
+    ("federal_waters", "noaa_us_eez_dynamic", "OBJECTID int, BOUND_ID string, APPRV_DATE string", (1, "b", "01/06/2020"), "not a date"),
+]
+
+
+@pytest.mark.parametrize("collection,source,schema,row,want", PROVIDER_ROWS, ids=lambda x: x if isinstance(x, str) and " " not in x else "")
+def test_providers(spark, collection, source, schema, row, want):
+    made = N.normalize(spark.createDataFrame([row], schema), PR.layer_of(collection, source), N.Source(source, provider="p")).first()
+    assert {k: made[k] for k in want} == want
+
+
+@pytest.mark.parametrize("collection,source,schema,row,message", BROKEN_ROWS, ids=lambda x: x if isinstance(x, str) and " " not in x else "")
+def test_providers_reject(spark, collection, source, schema, row, message):
+    with pytest.raises(Exception, match=message):
+        N.normalize(spark.createDataFrame([row], schema), PR.layer_of(collection, source), N.Source(source, provider="p")).collect()
 
 
 def test_publish_and_tamper(spark, tmp_path):

@@ -1,4 +1,5 @@
 import io
+import hashlib
 import json
 import sqlite3
 import struct
@@ -9,6 +10,7 @@ from pyspark.sql import types as T
 
 from tilewright import api, config as C
 from tilewright.functions.kernels import from_wkb, to_wkb
+from tilewright.plans import normalize as N, providers as PR
 from tilewright.sources import acquire as A, readers as R
 from tilewright.streaming import points
 
@@ -66,6 +68,54 @@ def test_html_zones(spark, tmp_path):
     assert (zone["zone_id"], zone["label"], kind, len(rings[0])) == ("z1", "Zone 1", "Polygon", 4) and rings[0][0] == rings[0][-1]
 
 
+def instrument(*zones):
+    """HTML of an instrument: (section, heading, rows of instruction, latitude, longitude)."""
+    out = "June 1, 2026"
+    for section in dict.fromkeys(z[0] for z in zones):
+        out += f"<h2 id='{section}'>{section}</h2><table>"
+        for s, heading, rows in zones:
+            if s == section:
+                out += f"<tr><th colspan=4>{heading}</th></tr>" + "".join(f"<tr><td>{i}</td><td>{a}</td><td>{b}</td><td>p</td></tr>" for i, a, b in rows)
+        out += "</table>"
+    return out
+
+
+RING = [("beginning at", "48°34.000’N", "125°06.000’W"), ("then<br>to", "48°40.0’N", "125°06.0’W"), ("then to", "48°40.0’N", "125°00.0’W"), ("then to", "48°34.000’N", "125°06.000’W")]
+
+
+def test_zones_by_heading_rows(spark, tmp_path):
+    path = str(tmp_path / "i.html")
+    open(path, "w").write(instrument(("schedule2", "1. Saturna Island", RING), ("schedule2", "2. Pender Island", RING), ("schedule3", "1. Mouth of the Nitinat River", [("along the coastline", "", "")]), ("schedule3", "2. Swiftsure Bank", RING)))
+    zones = R.read_source(spark, path, "instrument")
+    assert sorted((r["zone_id"], r["schedule"]) for r in zones.collect()) == [("pender", "schedule2"), ("saturna", "schedule2"), ("swiftsure", "schedule3")]
+    for collection, ids in (("exclusion_zones", ["tc.2026:pender", "tc.2026:saturna"]), ("speed_restriction_zones", ["tc.2026:swiftsure"])):
+        made = N.normalize(zones, PR.layer_of(collection, "tc_srkw_interim_order_2026"), N.Source("tc_srkw_interim_order_2026"))
+        assert sorted(r["feature_id"] for r in made.collect()) == ids
+    assert made.first()["original_quantity"] == 10.0 and made.first()["legal_status"] == "derived_reference_geometry"
+    for bad, message in (
+        (("schedule2", "3. Elsewhere", RING), "unknown zone"),
+        (("schedule2", "1. Saturna Island", RING[:3]), "no closed ring"),
+        (("schedule2", "1. Saturna Island", [*RING[:2], ("along the shore", "", ""), *RING[2:]]), "without coordinates"),
+        (("schedule2", "1. Saturna Island", [("to", "48°60.000’N", "125°06.000’W"), *RING[1:]]), "not a coordinate"),
+    ):
+        open(path, "w").write(instrument(bad))
+        with pytest.raises(Exception, match=message):
+            R.read_source(spark, path, "instrument").collect()
+
+
+def test_formats_are_dispatched_and_pinned(spark, tmp_path):
+    path = str(tmp_path / "f.geojson")
+    body = json.dumps({"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {"OBJECTID": 7, "NAME": "a"}, "geometry": {"type": "Point", "coordinates": [1.0, 2.0]}}]})
+    open(path, "w").write(body)
+    digest = hashlib.sha256(body.encode()).hexdigest()
+    row = R.read_source(spark, path, "geojson", expected_sha256=digest).first()
+    assert (row["OBJECTID"], row["NAME"], row["kind"], row["min_x"]) == (7, "a", "Point", 1.0)
+    with pytest.raises(ValueError, match="pinned"):
+        R.read_source(spark, path, "geojson", expected_sha256="0" * 64)
+    with pytest.raises(ValueError, match="unknown format"):
+        R.read_source(spark, path, "dwg")
+
+
 def test_geopackage(spark, tmp_path):
     path = tmp_path / "a.gpkg"
     db = sqlite3.connect(path)
@@ -143,6 +193,10 @@ def test_config(tmp_path, monkeypatch):
         C.load(str(tmp_path / "d.yaml"))
 
 
+def polygon(*points):
+    return bytearray(to_wkb("Polygon", [[*points, points[0]]]))
+
+
 def test_get_layer(spark, tmp_path):
     (tmp_path / "a.yaml").write_text(CONFIG)
     config = C.load(str(tmp_path / "a.yaml"))
@@ -156,7 +210,7 @@ def test_get_layer(spark, tmp_path):
     cells = found.cells.collect()
     assert len(cells) == 2 and {r["fws__status"] for r in cells} == {"partial"} and {r["gone__status"] for r in cells} == {"unavailable"}
     assert found.memberships.count() == 2
-    bad = [dict(collection="nope"), dict(collection="noise_limits"), dict(collection="ports", bbox=(0, 1, 1, 0)), dict(collection="ports", as_of="2020-01-01"), dict(collection="ports", max_cells=0)]
+    bad = [dict(collection="nope"), dict(collection="seasonal_closures"), dict(collection="ports", bbox=(0, 1, 1, 0)), dict(collection="ports", as_of="2020-01-01"), dict(collection="ports", max_cells=0)]
     for options in bad:
         with pytest.raises((ValueError, NotImplementedError)):
             api.get_layer(spark, config, **options)
@@ -165,6 +219,32 @@ def test_get_layer(spark, tmp_path):
     assert {(r["source"], r["status"]) for r in api.availability(spark, config, ["north"]).collect()} >= {("fws", "complete"), ("gone", "unknown")}
 
 
+def test_layer_of_shapes(spark, tmp_path):
+    """Features are chosen and measured by their geometry; a source with a bad row is a coverage row."""
+    sources = "\n".join(f"  {s}: {{collection: marine_protected_areas}}" for s in ("dfo_oceans_act_marine_protected_areas", "dfo_oceans_act_areas_of_interest", "odfw_marine_reserves_2016"))
+    (tmp_path / "m.yaml").write_text(f"bounds: [-130, 40, -120, 50]\nsources:\n{sources}\n")
+    schema = "OBJECTID int, NAME_E string, ZONE_E string, kind string, wkb binary, min_x double, min_y double, max_x double, max_y double"
+    slanted = polygon((-125.0, 45.0), (-124.0, 46.0), (-125.0, 46.0))  # its bounds meet the box, it doesn't
+    inside = polygon((-124.2, 45.0), (-124.0, 45.0), (-124.0, 45.2))
+    active = [(1, "Bay", "Core", "Polygon", inside, -124.2, 45.0, -124.0, 45.2), (2, "Off", "Core", "Polygon", slanted, -125.0, 45.0, -124.0, 46.0)]
+    point = [(9, "New Bay", None, "Point", bytearray(to_wkb("Point", (-124.05, 45.05))), -124.05, 45.05, -124.05, 45.05)]
+    bad = spark.createDataFrame([(None, "x", "Point", -124.1, 45.1, -124.1, 45.1)], "ODFW_RECORD_ID string, ODFW_NAME string, kind string, min_x double, min_y double, max_x double, max_y double")
+    frames = {
+        "dfo_oceans_act_marine_protected_areas": spark.createDataFrame(active, schema),
+        "dfo_oceans_act_areas_of_interest": spark.createDataFrame(point, schema),
+        "odfw_marine_reserves_2016": bad,
+    }
+    found = api.get_layer(spark, C.load(str(tmp_path / "m.yaml")), "marine_protected_areas", (-124.2, 45.0, -124.0, 45.2), cell_degrees=0.1, frames=frames)
+    assert sorted(r["feature_id"] for r in found.features.collect()) == ["marine_protected_area:can:bay:1", "marine_protected_area_aoi:can:new-bay"]
+    assert {r["source_id"]: r["status"] for r in found.coverage.collect()}["odfw_marine_reserves_2016"] == "unavailable"
+    cells = {r["cell_id"]: r.asDict() for r in found.cells.collect()}
+    source, proposed = "dfo_oceans_act_marine_protected_areas__", "dfo_oceans_act_areas_of_interest__proposed__"
+    corner = next(c for c in cells.values() if c[proposed + "point_count"] == 1)
+    assert corner[source + "polygon_coverage_fraction"] == pytest.approx(1.0) and corner[source + "zone_count"] == 1
+    shares = sorted(c[source + "polygon_coverage_fraction"] for c in cells.values() if c[source + "feature_count"])
+    assert shares == [pytest.approx(0.5, abs=1e-3), pytest.approx(0.5, abs=1e-3), pytest.approx(1.0)]
+
+
 def test_stream_equals_batch(spark, tmp_path):
     rows = spark.createDataFrame([(f"2024-01-01 00:0{i % 9}:00", float(i % 25), 1.0, i % 4) for i in range(60)], "t string, x double, y double, f int")
     rows = rows.selectExpr("cast(t as timestamp) as t", "x", "y", "f")

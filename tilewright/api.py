@@ -8,11 +8,18 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .config import Config, SourceEntry
-from .functions.geometry import check_box, in_box
+from .functions.geometry import box_parts, check_box, in_box
+from .functions.kernels import box_wkb, meets
 from .operators import spatial
 from .operators.relational import stack
-from .plans.normalize import LAYERS, PLANNED, normalize
+from .plans.normalize import normalize
 from .plans.overlay import overlay
+from .plans.providers import LAYERS, PLANNED, layer_of
+from .sources.readers import read_source
+from .storage import materialize
+
+#: The designation status whose features have metrics of their own (fixed value).
+PROPOSED = "area_of_interest"
 
 
 @dataclass
@@ -29,9 +36,16 @@ class LayerResult:
 def _read(spark: SparkSession, source: SourceEntry) -> DataFrame:
     if source.path is None:
         raise FileNotFoundError(f"{source.source_id} has no snapshot")
-    if source.format != "parquet":
-        raise ValueError(f"{source.source_id}: read {source.format} with tilewright.sources.readers and pass it in frames")
-    return spark.read.parquet(source.path)
+    return read_source(spark, source.path, source.format, source.layer, source.expected_sha256)
+
+
+def source_features(spark: SparkSession, source: SourceEntry, raw: DataFrame | None = None) -> DataFrame:
+    """A source's snapshot, or raw in its place, as canonical features with wkb; boxes stand in where a frame has bounds only."""
+    raw = raw if raw is not None else _read(spark, source)
+    features = normalize(raw, layer_of(source.collection, source.source_id), source.contract())
+    if "wkb" not in features.columns:
+        features = features.withColumn("wkb", box_wkb(*spatial.BOX))
+    return features
 
 
 def get_layer(
@@ -56,9 +70,10 @@ def get_layer(
     become coverage rows (`unavailable`), or raise if allow_partial is False. Proposed sources
     are left out, with a coverage row, unless asked for. frames stands in for snapshots.
 
-    Metrics are of the features' bounding boxes in degrees: for shapes other than boxes there
-    may be memberships that the shape itself doesn't meet, coverage is too large, and lines
-    and points get the area of their box and no length or count of their own.
+    A feature is chosen if its geometry, not just its bounds, meets the box. Metrics are of
+    exact intersections (see plans.overlay), by source, those of proposed designations in a
+    group `<source>__proposed` of their own. With allow_partial, every source's rows are read
+    once here, so that a source with a bad row becomes a coverage row and not a failing result.
     """
     if as_of is not None:
         raise ValueError("as_of is not supported here: snapshots are no history; slice by the effective interval instead")
@@ -96,10 +111,13 @@ def get_layer(
             rows.append((source.source_id, "not_applicable", "proposed source not requested"))
             continue
         try:
-            raw = (frames or {}).get(source.source_id)
-            raw = raw if raw is not None else _read(spark, source)
-            parts.append(normalize(raw, LAYERS[collection], source.contract()).where(in_box(reach)))
-            rows.append((source.source_id, "available", None))
+            features = source_features(spark, source, (frames or {}).get(source.source_id)).where(in_box(reach))
+            features = features.where(meets(F.col("wkb"), box_parts(*reach)))
+            if allow_partial:  # bad rows show when they are read
+                features = materialize(features, "features")
+            parts.append(features)
+            empty = allow_partial and not features.head(1)
+            rows.append((source.source_id, "empty" if empty else "available", None))
         except Exception as error:
             if not allow_partial:
                 raise
@@ -110,8 +128,17 @@ def get_layer(
     features = stack(parts)
     cells = members = None
     if grid is not None:
-        boxes = features.select(F.col("source_id").alias("group"), "feature_id", "record_id", F.concat_ws(":", "source_id", "record_id").alias("part_id"), *spatial.BOX)
-        made = overlay(grid, boxes, [s.source_id for s in used], cell_degrees, availability={i: s for i, s, _ in rows}, mode="query", max_memberships=max_memberships)
+        state = {i: s for i, s, _ in rows}
+        own = [F.col(c) for c in ("designation_id", "zone_name") if c in features.columns]
+        group, groups = F.col("source_id"), [s.source_id for s in used]
+        if "designation_status" in features.columns:
+            proposed = F.coalesce(F.col("designation_status") == PROPOSED, F.lit(False))
+            group = F.when(proposed, F.concat("source_id", F.lit("__proposed"))).otherwise(group)
+            apart = [r["source_id"] for r in features.where(proposed).select("source_id").distinct().collect()]  # of the configured sources
+            groups += [f"{s}__proposed" for s in apart]
+            state |= {f"{s}__proposed": state[s] for s in apart}
+        shapes = features.select(group.alias("group"), "feature_id", "record_id", "wkb", *own)
+        made = overlay(grid, shapes, groups, cell_degrees, availability=state, mode="query", max_memberships=max_memberships)
         cells, members = made.wide, made.memberships
     provenance = {"collection": collection, "bbox": list(box), "sources": [s.source_id for s in used], "config": config.digest(), "cell_degrees": cell_degrees if make_cells else None}
     return LayerResult(features, cells, members, coverage, provenance)

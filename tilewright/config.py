@@ -12,7 +12,9 @@ from pathlib import Path
 import yaml
 
 from .functions.geometry import check_box
-from .plans.normalize import LAYERS, PLANNED, Source
+from .plans.normalize import Source
+from .plans.providers import LAYERS, PLANNED
+from .sources.readers import FORMATS
 
 _REFERENCE = re.compile(r"\$\{(env:)?([A-Za-z0-9_.]+)\}")
 
@@ -25,6 +27,7 @@ class SourceEntry:
     collection: str
     path: str | None = None
     format: str = "parquet"
+    layer: str | None = None
     provider: str | None = None
     url: str | None = None
     citation: str | None = None
@@ -114,6 +117,8 @@ def load(path: str) -> Config:
             raise ValueError(f"source {key}: unknown collection {entry.get('collection')}")
         if not isinstance(entry.get("proposed", False), bool):
             raise ValueError(f"source {key}: proposed must be true or false")
+        if entry.get("format", "parquet") not in FORMATS:
+            raise ValueError(f"source {key}: unknown format {entry['format']}")
         digest = entry.get("expected_sha256")
         if digest is not None and not re.fullmatch("[0-9a-f]{64}", digest):
             raise ValueError(f"source {key}: expected_sha256 is no digest")

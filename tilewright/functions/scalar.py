@@ -64,7 +64,7 @@ def iso_date(c) -> Column:
     text = F.trim(col(c).cast("string"))
     parsed = F.date_format(F.try_to_timestamp(F.substring(text, 1, 10), F.lit("yyyy-MM-dd")), "yyyy-MM-dd")
     bad = text.isNotNull() & (~text.rlike(_ISO) | parsed.isNull())
-    return F.when(bad, F.raise_error(F.concat(F.lit("Malformed or ambiguous date: "), text))).otherwise(parsed)
+    return F.when(bad, F.raise_error(F.concat(F.lit("not a date in one reading: "), text))).otherwise(parsed)
 
 
 def try_iso_date(c) -> Column:
@@ -90,10 +90,11 @@ _DMS = r"^\s*(\d{1,3})\s*°\s*(\d{1,2}(?:\.\d+)?)\s*['’′]\s*(?:(\d{1,2}(?:\.
 
 
 def dms(c) -> Column:
-    """Degrees of `48°34'00"N` or `48°34.000’N`; 60 minutes or seconds carry; null for other text."""
+    """Degrees of `48°34'00"N` or `48°34.000’N`; 60 minutes or seconds carry, more are null, as is other text."""
     part = lambda i: F.regexp_extract(col(c), _DMS, i)
-    size = part(1).try_cast("double") + part(2).try_cast("double") / 60 + F.coalesce(part(3).try_cast("double"), F.lit(0.0)) / 3600
-    return F.when(part(4) != "", F.when(part(4).isin("S", "W"), -size).otherwise(size))
+    minutes, seconds = part(2).try_cast("double"), F.coalesce(part(3).try_cast("double"), F.lit(0.0))
+    size = part(1).try_cast("double") + minutes / 60 + seconds / 3600
+    return F.when((part(4) != "") & (minutes <= 60) & (seconds <= 60), F.when(part(4).isin("S", "W"), -size).otherwise(size))
 
 
 def is_uuid(c) -> Column:

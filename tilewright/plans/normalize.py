@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import scalar as S
+from ..functions.geometry import family
 from ..functions.temporal import learned_at
-from ..operators.relational import require, resolve
+from ..operators.relational import duplicate_keys, require, resolve
 
 
 @dataclass(frozen=True)
@@ -49,18 +50,18 @@ def base_record(
     source's.
     """
     none = F.lit(None).cast("string")
-    text = lambda c: none if c is None else S.clean(c)
+    said = lambda c: none if c is None else S.clean(c)
     return df.select(
         S.clean(feature_id).alias("feature_id"),
         F.lit(source.source_id).alias("source_id"),
         S.clean(record_id).alias("record_id"),
-        text(feature_name).alias("feature_name"),
+        said(feature_name).alias("feature_name"),
         S.clean(feature_type).alias("feature_type"),
-        F.coalesce(text(authority), F.lit(source.provider)).alias("authority"),
-        text(jurisdiction).alias("jurisdiction"),
+        F.coalesce(said(authority), F.lit(source.provider)).alias("authority"),
+        said(jurisdiction).alias("jurisdiction"),
         F.lit("reference_geometry").alias("legal_status"),
-        F.coalesce(text(legal_authority), F.lit(source.citation)).alias("legal_authority"),
-        F.coalesce(text(legal_url), F.lit(source.url)).alias("legal_url"),
+        F.coalesce(said(legal_authority), F.lit(source.citation)).alias("legal_authority"),
+        F.coalesce(said(legal_url), F.lit(source.url)).alias("legal_url"),
         none.alias("effective_start"),
         none.alias("effective_end"),
         (learned_at(receipts, F.lit(source.retrieved_at)) if receipts else F.lit(source.retrieved_at)).cast("string").alias("learned_at"),
@@ -79,13 +80,21 @@ def passthrough(df: DataFrame, prefix: str, skip: tuple[str, ...] = ()) -> list[
     return [S.clean(c).alias(prefix + c.upper()) for c in df.columns if c not in skip]
 
 
+Value = Callable[[DataFrame], Column] | str | float | bool | None
+
+
 @dataclass(frozen=True)
 class Layer:
-    """How one provider layer becomes features: fields by alias, a filter, a type lookup and an identity rule.
+    """How one provider's layer becomes features: fields by alias, a filter, a type lookup and an identity rule.
 
     Names are resolved in any case of letters. keep is applied before identities are checked.
-    types maps raw types to canonical ones; a raw type it lacks is an error, one that maps to
-    None is left out. identity is the record's id and must not be null where rows are kept.
+    types maps raw types of type_field to canonical ones; a raw type it lacks is an error, one
+    that maps to None is left out. The canonical type is the feature's type, or the field
+    role_field where that is named. identity is the record's id and must not be null where rows
+    are kept; feature_id, a function of the frame, is the feature's, else it is the record's.
+    rules are conditions that every kept row must meet. families is the geometry family that
+    all features, or those of a role, must have (checked where the frame has `kind`). fields are
+    further columns, constants or functions of the frame.
     """
 
     name: str
@@ -94,99 +103,122 @@ class Layer:
     feature_type: str | None = None
     type_field: str | None = None
     types: dict[str, str | None] | None = None
+    role_field: str | None = None
     title: tuple[str, ...] = ()
-    authority: tuple[str, ...] = ()
+    feature_name: Value = None
+    authority: tuple[str, ...] | str = ()
+    jurisdiction: Value = None
+    legal_authority: Value = None
+    legal_url: Value = None
+    legal: bool = True
+    legal_status: str = "reference_geometry"
+    coverage: str = "partial"
     keep: Callable[[DataFrame], Column] | None = None
+    rules: dict[str, Callable[[DataFrame], Column]] = field(default_factory=dict)
     required: tuple[str, ...] = ()
     feature: tuple[str, ...] = ()
-    geometry: tuple[str, ...] = ("wkb", "min_x", "min_y", "max_x", "max_y")
+    feature_id: Callable[[DataFrame], Column] | None = None
+    families: str | dict[str, str] | None = None
+    fields: dict[str, Value] = field(default_factory=dict)
+    geometry: tuple[str, ...] = ("kind", "wkb", "min_x", "min_y", "max_x", "max_y")
     started: tuple[str, ...] = ()
     dates: Callable[[Column], Column] = S.try_iso_date
 
 
+def text(*names: str) -> Callable[[DataFrame], Column]:
+    """The first of the fields whose cleaned value is not null."""
+    return lambda df: F.coalesce(*[S.clean(resolve(df, n)) for n in names])
+
+
+def date_of(name: str) -> Callable[[DataFrame], Column]:
+    """A field as `YYYY-MM-DD` by its declared type: numbers are milliseconds, dates and times are dates, text is ISO."""
+
+    def of(df: DataFrame) -> Column:
+        found = next((f for f in df.schema if f.name.casefold() == name.casefold()), None)
+        if found is None:
+            return F.lit(None).cast("string")
+        if isinstance(found.dataType, T.NumericType):
+            return S.epoch_ms_date(f"`{found.name}`")
+        if isinstance(found.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            return F.date_format(f"`{found.name}`", "yyyy-MM-dd")
+        return S.iso_date(S.clean(f"`{found.name}`"))
+
+    return of
+
+
+def number(*names: str) -> Callable[[DataFrame], Column]:
+    return lambda df: F.coalesce(*[S.number(resolve(df, n)) for n in names])
+
+
+def _value(df: DataFrame, v: Value) -> Column:
+    return v(df) if callable(v) else F.lit(v).cast("string") if v is None or isinstance(v, str) else F.lit(v)
+
+
+def _checked(column: Column, ok: Column, message: str, shown: Column) -> Column:
+    """column, and an error where ok doesn't hold."""
+    return F.when(F.coalesce(ok, F.lit(False)), column).otherwise(F.raise_error(F.concat(F.lit(message), F.coalesce(shown.cast("string"), F.lit("null")))).cast("string"))
+
+
 def normalize(df: DataFrame, layer: Layer, source: Source) -> DataFrame:
     """A provider frame as canonical features with the provider's own columns under the layer's prefix.
 
-    Raises at once for missing fields, and when rows are read for null identities and unknown
-    types. Geometry columns pass through.
+    Raises at once for missing fields, and when rows are read for null identities, unknown
+    types, broken rules and other geometry families. Geometry columns pass through. Repeated
+    identities are found by `repeated`, which needs a shuffle and is left to the build.
     """
     require(df, [*layer.required, *layer.identity, *([layer.type_field] if layer.type_field else [])])
     if layer.keep is not None:
         df = df.where(layer.keep(df))
     kind = F.lit(layer.feature_type)
+    raw = S.clean(resolve(df, layer.type_field)) if layer.type_field else F.lit(None).cast("string")
+    extra: dict[str, Column] = {}
     if layer.types is not None:
-        raw = S.clean(resolve(df, layer.type_field))
         known = F.coalesce(*[F.when(raw == k, F.lit(v if v is not None else "\0")) for k, v in layer.types.items()])
-        kind = F.when(known.isNull(), F.raise_error(F.concat(F.lit(f"{layer.name}: unknown type "), F.coalesce(raw, F.lit("null"))))).otherwise(known)
-        df = df.withColumn("__kind", kind).where("__kind <> '\\0'")
-        kind = F.col("__kind")
+        mapped = F.when(known.isNull(), F.raise_error(F.concat(F.lit(f"{layer.name}: unknown type "), F.coalesce(raw, F.lit("null"))))).otherwise(known)
+        df = df.withColumn("__kind", mapped).where("__kind <> '\\0'")
+        if layer.role_field:
+            extra[layer.role_field] = F.col("__kind")
+        else:
+            kind = F.col("__kind")
     key = F.concat_ws("/", *[S.clean(resolve(df, c)) for c in layer.identity])
     absent = F.greatest(F.lit(False), *[S.clean(resolve(df, c)).isNull() for c in layer.identity])
     record = F.when(absent, F.raise_error(F.lit(f"{layer.name}: record without identity"))).otherwise(key)
+    for name, rule in layer.rules.items():
+        record = _checked(record, rule(df), f"{layer.name}: {name}: ", key)
+    if layer.families and "kind" in df.columns:
+        wanted = layer.families if isinstance(layer.families, str) else None
+        wanted = F.lit(wanted) if wanted else F.coalesce(*[F.when(F.col("__kind") == k, F.lit(v)) for k, v in layer.families.items()])
+        record = _checked(record, family("kind") == wanted, f"{layer.name}: geometry of another family: ", F.col("kind"))
     feature = F.coalesce(*[S.clean(resolve(df, c)) for c in layer.feature], key) if layer.feature else key
     pick = lambda names: F.coalesce(*[S.clean(resolve(df, n)) for n in names]) if names else None
     own = {c: df[c] for c in layer.geometry if c in df.columns}
     skip = (*layer.geometry, "__kind", "received_at")
-    extra = own | {layer.prefix + c.upper(): S.clean(c) for c in df.columns if c not in skip}
+    extra = own | {layer.prefix + c.upper(): S.clean(c) for c in df.columns if c not in skip} | extra
+    extra |= {name: _value(df, v) for name, v in layer.fields.items()}
+    made_id = layer.feature_id(df) if layer.feature_id else F.concat(F.lit(source.source_id + ":"), feature)
+    optional = lambda v: None if v is None else _value(df, v)
     out = base_record(
         df,
         source,
         record_id=record,
-        feature_id=F.concat(F.lit(source.source_id + ":"), feature),
+        feature_id=made_id,
         feature_type=kind,
-        feature_name=pick(layer.title),
-        authority=pick(layer.authority),
+        feature_name=optional(layer.feature_name) if layer.feature_name is not None else pick(layer.title),
+        authority=F.lit(layer.authority) if isinstance(layer.authority, str) else pick(layer.authority),
+        jurisdiction=optional(layer.jurisdiction),
+        legal_authority=optional(layer.legal_authority),
+        legal_url=optional(layer.legal_url),
+        coverage_status=layer.coverage,
         receipts="received_at" if "received_at" in df.columns else None,
         extra=extra | ({"__start": layer.dates(resolve(df, *layer.started))} if layer.started else {}),
     )
+    out = out.withColumn("legal_status", F.lit(layer.legal_status))
+    if not layer.legal:
+        none = F.lit(None).cast("string")
+        out = out.withColumns({"legal_authority": none, "legal_url": none})
     return out.withColumn("effective_start", F.col("__start")).drop("__start") if layer.started else out
 
 
-def _is(name: str, *values: str) -> Callable[[DataFrame], Column]:
-    return lambda df: S.clean(resolve(df, name)).isin(*values)
-
-
-#: Raw routing features and their roles (fixed values).
-ROUTING_TYPES = {
-    "TSSLPT": "traffic_lane",
-    "TSELNE": "separation_line",
-    "TSEZNE": "separation_zone",
-    "TSSBND": "scheme_boundary",
-    "TSSCRS": "crossing",
-    "TSSRON": "roundabout",
-    "PRCARE": "precautionary_area",
-    "RCRTCL": "route_centreline",
-    "RECTRC": "recommended_track",
-    "TWRTPT": "two_way_route_part",
-    "DWRTPT": "deep_water_route_part",
-    "DWRTCL": "deep_water_centreline",
-    "ISTZNE": "inshore_traffic_zone",
-    "FAIRWY": "fairway",
-    "RCTLPT": "recommended_lane_part",
-}
-
-#: The layers that the engine normalizes, by collection.
-LAYERS: dict[str, Layer] = {
-    x.name: x
-    for x in (
-        Layer("marine_protected_areas", ("site_id",), "MPA_", "marine_protected_area", title=("site_name",), authority=("mgmt_agen",), started=("estab_yr",)),
-        Layer("marine_protected_zones", ("OBJECTID",), "DFO_", "marine_protected_area_zone", title=("NAME_E", "ZONE_E")),
-        Layer("areas_of_interest", ("OBJECTID",), "DFO_", "area_of_interest", title=("NAME_E",)),
-        Layer("national_marine_sanctuaries", ("record_id",), "ONMS_", "national_marine_sanctuary", title=("Name",), feature=("Name",)),
-        Layer("critical_habitat", ("OBJECTID",), "CH_", "critical_habitat", title=("LISTENTITY",), started=("EFFECTDATE",), dates=S.effective_date),
-        Layer("wildlife_refuges", ("OBJECTID",), "FWS_", "wildlife_refuge", title=("ORGNAME",), required=("RSL_TYPE",), keep=_is("RSL_TYPE", "NWR")),
-        Layer("conservation_designations", ("PARENT_ID", "ZONE_ID"), "ECCC_", "conservation_designation", title=("NAME_E",), feature=("PARENT_ID",)),
-        Layer("international_boundaries", ("OBJECTID",), "IB_", "international_boundary", title=("BOUND_ID",)),
-        Layer("federal_waters", ("OBJECTID",), "FW_", "maritime_limit", title=("BOUND_ID",), authority=("LEGAL_AUTH",), started=("APPRV_DATE",)),
-        Layer("state_provincial_waters", ("OBJECTID",), "BOEM_", "submerged_lands_boundary", title=("BDRY_NAME_TEXT",), started=("BDRY_APRV_DATE",)),
-        Layer("county_regional_boundaries", ("GEOID",), "CENSUS_", "county", title=("NAME",), required=("FUNCSTAT",)),
-        Layer("tribal_first_nations_areas", ("OBJECTID",), "TRIBAL_", "tribal_area", title=("LARNAME", "adminAreaNameEng"), feature=("LARID", "adminAreaId")),
-        Layer("management_areas", ("OBJECTID",), "WDFW_", "fisheries_management_area", title=("AreaTitle", "AreaName"), feature=("STAT_AREA", "AreaName")),
-        Layer("shipping_lanes", ("OBJECTID",), "CHS_", type_field="MERGE_SRC", types=ROUTING_TYPES, title=("ENC_NAME",), feature=("LNAM",)),
-        Layer("speed_restriction_zones", ("zone_id",), "TC_", "speed_restriction_zone", title=("label",)),
-        Layer("ports", ("portNumber",), "NGA_", "port", title=("portName",)),
-        Layer("coast_guard_sectors", ("FID",), "CG_", "coast_guard_sector", title=("NAME",)),
-    )
-}
-#: Collections that are named but not built: asking for them is an error, not an empty result.
-PLANNED = ("aquaculture_tenures", "dredge_disposal_sites", "military_training_areas", "noise_limits", "offshore_wind_leases", "pilotage_areas", "port_authority_limits")
+def repeated(features: DataFrame) -> DataFrame:
+    """Record ids that occur more than once within a source, with how often; a layer may have none."""
+    return duplicate_keys(features, ["source_id", "record_id"])

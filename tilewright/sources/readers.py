@@ -6,8 +6,11 @@ what a format needs beyond them is done per file inside tasks.
 
 from __future__ import annotations
 
+import hashlib
 import io
+import itertools
 import json
+import os
 import re
 import sqlite3
 import struct
@@ -17,14 +20,16 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 from xml.etree import ElementTree
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions import scalar as S
-from ..functions.kernels import _NAMES, from_wkb, to_wkb
+from ..functions.kernels import _NAMES, box_wkb, from_wkb, to_wkb
 
 SHAPE = "kind string, wkb binary, min_x double, min_y double, max_x double, max_y double"
 #: Bound of what one nested archive member may unpack to.
 MEMBER_BYTES = 4_000_000
+#: Rows that a file reader hands on at a time.
+BATCH = 2000
 
 
 def _points(coordinates) -> Iterator[tuple]:
@@ -110,14 +115,18 @@ def ports(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.schema(T.StructType().add("ports", T.ArrayType(port))).json(path, multiLine=True)
     p = files.select(F.explode("ports").alias("p")).select("p.*")
     lon, lat = S.dms("longitude"), S.dms("latitude")
-    return p.select("portNumber", "portName", "tss", F.lit("Point").alias("kind"), lon.alias("min_x"), lat.alias("min_y"), lon.alias("max_x"), lat.alias("max_y"))
+    p = p.select("portNumber", "portName", "latitude", "longitude", "tss", F.lit("Point").alias("kind"), lon.alias("min_x"), lat.alias("min_y"), lon.alias("max_x"), lat.alias("max_y"))
+    return p.withColumn("wkb", box_wkb("min_x", "min_y", "max_x", "max_y"))
 
 
 # --- formats read file by file ----------------------------------------------------------------
 
 
 def _per_file(spark: SparkSession, path: str, rows, schema: str) -> DataFrame:
-    """Rows of each whole file: rows(name, bytes) runs in tasks, one file at a time."""
+    """Rows of each whole file: rows(name, bytes) runs in tasks, one file at a time, and hands on BATCH rows at a time.
+
+    A file is one row of the scan, so the rows of a large one are dealt out to all tasks.
+    """
 
     fields = T._parse_datatype_string(schema)
 
@@ -129,12 +138,12 @@ def _per_file(spark: SparkSession, path: str, rows, schema: str) -> DataFrame:
         kind = to_arrow_schema(fields)
         for batch in batches:
             for name, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
-                made = [dict(zip(kind.names, r)) for r in rows(name, content)]
-                if made:
+                found = iter(rows(name, content))
+                while made := [dict(zip(kind.names, r)) for r in itertools.islice(found, BATCH)]:
                     yield pa.RecordBatch.from_pylist(made, kind)
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(run, schema)
+    return files.mapInArrow(run, schema).repartition(spark.sparkContext.defaultParallelism)
 
 
 def _ring(text: str) -> list[tuple[float, float]]:
@@ -196,12 +205,14 @@ class _Tables(HTMLParser):
             self.section, self.title, self.into = dict(attrs).get("id"), "", "title"
         elif tag == "tr":
             self.cells = []
-        elif tag == "td":
+        elif tag in ("td", "th"):
             self.cells.append("")
             self.into = "cell"
+        elif tag == "br":
+            self.handle_data(" ")
 
     def handle_endtag(self, tag):
-        if tag in ("h2", "td"):
+        if tag in ("h2", "td", "th"):
             self.into = None
         elif tag == "tr" and self.section and self.cells:
             self.rows.append((self.section, self.title.strip(), [c.strip() for c in self.cells]))
@@ -214,45 +225,78 @@ class _Tables(HTMLParser):
 
 
 def html_tables(spark: SparkSession, path: str) -> DataFrame:
-    """(section, title, row, cells) of the tables under the headings of HTML files, in document order."""
+    """(file, section, title, row, cells) of the tables under the headings of HTML files, in document order."""
 
     def rows(name, content):
         parser = _Tables()
         parser.feed(content.decode("utf-8"))
         for i, (section, title, cells) in enumerate(parser.rows):
-            yield section, title, i, cells
+            yield name, section, title, i, cells
 
-    return _per_file(spark, path, rows, "section string, title string, row int, cells array<string>")
+    return _per_file(spark, path, rows, "file string, section string, title string, row int, cells array<string>")
 
 
 _DM = re.compile(r"^\s*(\d{1,3})\s*°\s*(\d{1,2}(?:\.\d+)?)\s*[’'′]?\s*([NSEW])\s*$")
-
-
-def zone_rings(tables: DataFrame) -> DataFrame:
-    """(zone_id, label, shape) of sections whose rows hold a latitude and a longitude in order; rings are closed here.
-
-    A section is one zone, gathered in its row order; fewer than three points are an error.
+#: Headings of the instrument's zones and their ids, and the zone that a coastline closes (fixed values).
+INSTRUMENT_ZONES = {"1. Saturna Island": "saturna", "2. Pender Island": "pender", "1. Mouth of the Nitinat River": "nitinat", "2. Swiftsure Bank": "swiftsure"}
+OPEN_ZONES = ("nitinat",)
+
+
+def _degrees(text: str, axis: str) -> float | None:
+    """Degrees of `48°34.000’N`; None for what is no coordinate of the axis; minutes are under 60."""
+    m = _DM.match(text)
+    if not m or m[3] not in axis:
+        return None
+    if float(m[2]) >= 60 or float(m[1]) + float(m[2]) / 60 > (90 if axis == "NS" else 180):
+        raise ValueError(f"not a coordinate: {text}")
+    return (float(m[1]) + float(m[2]) / 60) * (-1 if m[3] in "SW" else 1)
+
+
+def zone_rings(tables: DataFrame, zones: dict[str, str] | None = None, open_zones: tuple[str, ...] = (), schedules: tuple[str, ...] | None = None) -> DataFrame:
+    """(zone_id, schedule, label, shape) of the zones in html_tables, each a ring of the coordinates in its rows.
+
+    A row of one cell is a heading and begins a zone; rows before any heading are the section's
+    own zone. zones names the ids of headings by how they begin: another heading is an error.
+    Without zones, a heading is its own id. open_zones are closed by something else than
+    coordinates and left out. A row that holds no latitude and longitude is an error in a zone
+    with headings, as is a ring that is not closed; a section's own zone is closed here. Rows of
+    sections other than schedules are skipped where these are named.
     """
-    schema = "zone_id string, label string, " + SHAPE
+    schema = "zone_id string, schedule string, label string, " + SHAPE
+    if schedules is not None:
+        tables = tables.where(F.col("section").isin(*schedules))
+    begins = F.when(F.size("cells") == 1, F.element_at("cells", 1))
+    so_far = Window.partitionBy("file", "section").orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
+    rows = tables.withColumn("heading", F.last(begins, ignorenulls=True).over(so_far)).where("size(cells) > 1")
+    if zones is not None:
+        known = F.coalesce(*[F.when(F.col("heading").startswith(k), F.lit(v)) for k, v in zones.items()])
+        unknown = F.raise_error(F.concat(F.lit("unknown zone heading: "), F.coalesce("heading", F.lit("none")))).cast("string")
+        rows = rows.withColumn("zone", F.when(known.isNull(), unknown).otherwise(known)).where(~F.col("zone").isin(*open_zones)) if open_zones else rows.withColumn("zone", F.when(known.isNull(), unknown).otherwise(known))
+    else:
+        rows = rows.withColumn("zone", F.coalesce("heading", "section"))
 
     def build(pdf):
         import pandas as pd
 
+        zone, named = pdf["zone"].iloc[0], pdf["heading"].iloc[0]
         points = []
         for cells in pdf.sort_values("row")["cells"]:
-            found = [_DM.match(c) for c in cells]
-            degrees = {m[3]: (float(m[1]) + float(m[2]) / 60) * (-1 if m[3] in "SW" else 1) for m in found if m}
-            lat, lon = degrees.get("N", degrees.get("S")), degrees.get("E", degrees.get("W"))
+            lat = next((v for v in (_degrees(c, "NS") for c in cells) if v is not None), None)
+            lon = next((v for v in (_degrees(c, "EW") for c in cells) if v is not None), None)
             if lat is not None and lon is not None:
                 points.append((lon, lat))
+            elif named is not None:
+                raise ValueError(f"zone {zone}: a boundary without coordinates: {list(cells)}")
+        if named is not None and (len(points) < 4 or points[0] != points[-1]):
+            raise ValueError(f"zone {zone} is no closed ring")
         if len(points) < 3:
-            raise ValueError(f"zone {pdf['section'].iloc[0]} has fewer than three points")
+            raise ValueError(f"zone {zone} has fewer than three points")
         if points[0] != points[-1]:
             points.append(points[0])
         names = [f.split()[0] for f in schema.split(", ")]
-        return pd.DataFrame([(pdf["section"].iloc[0], pdf["title"].iloc[0], *shape("Polygon", [points]))], columns=names)
+        return pd.DataFrame([(zone, pdf["section"].iloc[0], named or pdf["title"].iloc[0], *shape("Polygon", [points]))], columns=names)
 
-    return tables.groupBy("section").applyInPandas(build, schema)
+    return rows.groupBy("file", "section", "zone").applyInPandas(build, schema)
 
 
 def _gpkg_rows(layer: str):
@@ -362,3 +406,67 @@ def grid(spark: SparkSession, path: str) -> DataFrame:
     if not bad["rows"] or bad["bad"] or bad["distinct"] != bad["rows"]:
         raise ValueError(f"{path}: {bad['rows']} cells, {bad['distinct']} distinct, {bad['bad']} null or empty")
     return df
+
+
+# --- by format -------------------------------------------------------------------------------
+
+
+def flattened(df: DataFrame) -> DataFrame:
+    """df with the entries of its JSON text `properties` as columns, whichever rows have them."""
+    keys = [r["k"] for r in df.select(F.explode(F.json_object_keys("properties")).alias("k")).distinct().orderBy("k").collect()]  # fields of a layer
+    parsed = F.from_json("properties", "map<string,string>")
+    return df.select(*[c for c in df.columns if c != "properties"], *[F.element_at(parsed, k).alias(k) for k in keys])
+
+
+def _pinned(path: str, expected: str | None) -> None:
+    """Raise unless the file's sha256, or that of a folder's data files in order, is the expected one."""
+    if expected is None:
+        return
+    names = [path] if os.path.isfile(path) else sorted(os.path.join(path, n) for n in os.listdir(path) if not n.startswith(("_", ".")))
+    total = hashlib.sha256()
+    for name in names:
+        with open(name, "rb") as f:
+            while block := f.read(1 << 20):
+                total.update(block)
+    if total.hexdigest() != expected:
+        raise ValueError(f"{path}: content is not the pinned one")
+
+
+def _properties(spark: SparkSession, path: str, where: str) -> T.StructType:
+    """The properties' fields of GeoJSON features, by Spark's own inference."""
+    found = spark.read.json(path, multiLine=True).select(F.explode(where).alias("f"))
+    if where == "pages":
+        found = found.select(F.explode("f.response.features").alias("f"))
+    kind = found.schema["f"].dataType
+    return kind["properties"].dataType if isinstance(kind, T.StructType) and "properties" in kind.names else T.StructType()
+
+
+def read_source(spark: SparkSession, path: str, kind: str, layer: str | None = None, expected_sha256: str | None = None) -> DataFrame:
+    """A snapshot by the name of its format, after its content was found to be the pinned one.
+
+    Formats: parquet, geojson, paged_geojson, geopackage (with layer), shapefile (in zip),
+    kml_archive (KML in KMZ in ZIP), ports, instrument (HTML tables of zones). An unknown
+    format is an error.
+    """
+    if kind not in FORMATS:
+        raise ValueError(f"unknown format {kind}; known are {sorted(FORMATS)}")
+    _pinned(path, expected_sha256)
+    return FORMATS[kind](spark, path, layer)
+
+
+def _geopackage(spark: SparkSession, path: str, layer: str | None) -> DataFrame:
+    if layer is None:
+        raise ValueError(f"{path}: a GeoPackage needs the name of a layer")
+    return flattened(geopackage(spark, path, layer)).withColumnRenamed("fid", "SOURCE_FID")
+
+
+FORMATS = {
+    "parquet": lambda spark, path, layer: geoparquet(spark, path) if "geometry" in spark.read.parquet(path).columns else spark.read.parquet(path),
+    "geojson": lambda spark, path, layer: geojson(spark, path, _properties(spark, path, "features")),
+    "paged_geojson": lambda spark, path, layer: paged_geojson(spark, path, _properties(spark, path, "pages")),
+    "geopackage": _geopackage,
+    "shapefile": lambda spark, path, layer: flattened(shapefiles(spark, path)),
+    "kml_archive": lambda spark, path, layer: kml_archives(spark, path).withColumnsRenamed({"placemark": "ODFW_RECORD_ID", "name": "ODFW_NAME"}),
+    "ports": lambda spark, path, layer: ports(spark, path),
+    "instrument": lambda spark, path, layer: zone_rings(html_tables(spark, path), INSTRUMENT_ZONES, OPEN_ZONES, ("schedule2", "schedule3")),
+}
