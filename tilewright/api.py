@@ -11,7 +11,7 @@ from .config import Config, SourceEntry
 from .functions.geometry import box_parts, check_box, in_box
 from .functions.kernels import box_wkb, meets
 from .operators import spatial
-from .operators.relational import stack
+from .operators.relational import coverage_matrix, stack
 from .plans.normalize import normalize
 from .plans.overlay import overlay
 from .plans.providers import LAYERS, PLANNED, layer_of
@@ -153,8 +153,7 @@ def availability(spark: SparkSession, config: Config, regions: list[str]) -> Dat
     rows = [(s.collection, s.source_id, dict(s.coverage)) for s in config.sources]
     sources = spark.createDataFrame(rows, "collection string, source string, coverage map<string,string>")
     asked = spark.createDataFrame([(r,) for r in regions], "region string")
-    matrix = sources.crossJoin(F.broadcast(asked))  # two declared lists
-    return matrix.select("collection", "source", "region", F.coalesce(F.element_at("coverage", F.col("region")), F.lit("unknown")).alias("status"))
+    return coverage_matrix(sources, asked)
 
 
 def preflight(config: Config) -> list[dict]:

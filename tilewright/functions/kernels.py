@@ -286,3 +286,47 @@ def box_wkb(min_x, min_y, max_x, max_y):
 
     double = lambda c: (F.col(c) if isinstance(c, str) else c).cast("double")
     return F.arrow_udf(run, T.BinaryType())(*map(double, (min_x, min_y, max_x, max_y)))
+
+
+def shape_wkb(kind, rings):
+    """WKB of rings, array<array<struct<x, y>>>, as the type named in kind: polygons take all, lines and points the first; null for null."""
+
+    def run(kinds: pa.Array, lists: pa.Array) -> pa.Array:
+        out = []
+        for name, shape in zip(kinds.to_pylist(), lists.to_pylist()):
+            points = shape and [[(p["x"], p["y"]) for p in r] for r in shape]
+            out.append(None if not points or name is None else to_wkb(name, points if name == "Polygon" else points[0][0] if name == "Point" else points[0]))
+        return pa.array(out, pa.binary())
+
+    return F.arrow_udf(run, T.BinaryType())(kind, rings)
+
+
+def collection_wkb(shapes):
+    """WKB of all primitive parts of an array of WKB as one multi-geometry, a collection where families mix; null for none."""
+    codes = {"point": 4, "line": 5, "polygon": 6}
+
+    def joined(data: list) -> bytes | None:
+        parts = []
+
+        def take(kind, c):
+            if kind == "GeometryCollection":
+                for k, v in c:
+                    take(k, v)
+            elif kind.startswith("Multi"):
+                parts.extend((FAMILY[kind[5:]], to_wkb(kind[5:], v)) for v in c)
+            else:
+                parts.append((FAMILY[kind], to_wkb(kind, c)))
+
+        for d in data or []:
+            if d is not None:
+                take(*from_wkb(d))
+        if not parts:
+            return None
+        families = {f for f, _ in parts}
+        code = codes[families.pop()] if len(families) == 1 else 7
+        return struct.pack("<BII", 1, code, len(parts)) + b"".join(w for _, w in parts)
+
+    def run(a: pa.Array) -> pa.Array:
+        return pa.array([joined(x) for x in a.to_pylist()], pa.binary())
+
+    return F.arrow_udf(run, T.BinaryType())(shapes)

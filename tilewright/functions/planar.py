@@ -230,6 +230,35 @@ def covered_area(polygons: list[list[np.ndarray]], at_least: int = 1) -> float:
     return total
 
 
+def boxes_area(b: np.ndarray):
+    """Area that boxes (n, 4: x1, y1, x2, y2) cover together, in their own kind of number.
+
+    Between neighbouring x a box counts +1 at its bottom and -1 at its top; sorted, their running
+    sum tells what is covered.
+    """
+    b = np.unique(b, axis=0)
+    b = b[(b[:, 2] > b[:, 0]) & (b[:, 3] > b[:, 1])]
+    xs = np.unique(b[:, [0, 2]])
+    first, last = np.searchsorted(xs, b[:, 0]), np.searchsorted(xs, b[:, 2])
+    load = np.cumsum(np.bincount(first, minlength=len(xs)) - np.bincount(last, minlength=len(xs)))
+    total, lo = b.dtype.type(0), 0
+    while lo < len(xs) - 1:
+        hi = max(lo + 1, int(np.searchsorted(np.cumsum(load[lo:-1]), PAIRS, "right")) + lo)
+        here = np.flatnonzero((first < hi) & (last > lo))
+        begin = np.maximum(first[here], lo)
+        n = np.minimum(last[here], hi) - begin
+        box = np.repeat(here, n)
+        slab = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin, n)
+        y, slab = np.concatenate((b[box, 1], b[box, 3])), np.concatenate((slab, slab))
+        step = np.repeat([1, -1], len(box))
+        order = np.lexsort((-step, y, slab))
+        y, slab, depth = y[order], slab[order], np.cumsum(step[order])
+        inner = depth[:-1] > 0
+        total += ((y[1:] - y[:-1])[inner] * (xs[slab + 1] - xs[slab])[:-1][inner]).sum()
+        lo = hi
+    return total
+
+
 def is_simple(rings: list[np.ndarray]) -> bool:
     """Whether no two edges of a polygon cross, so that its area is that of its shell less its holes."""
     return len(rings[0]) <= 3 and len(rings) == 1 or not len(crossings(edges_of(rings)))

@@ -109,3 +109,21 @@ def classify(df: DataFrame, lookup: DataFrame, on: list[str]) -> DataFrame:
     marked = df.join(lookup.withColumn("__known", F.lit(True)), on, "left")
     checked = F.when(F.col("__known").isNull(), F.raise_error(F.concat_ws(" ", F.lit("unclassified value:"), *[F.col(c).cast("string") for c in on]))).otherwise(F.col(on[0]))
     return marked.withColumn(on[0], checked).drop("__known")
+
+
+def coverage_matrix(sources: DataFrame, regions: DataFrame) -> DataFrame:
+    """(collection, source, region, status) of every source (with its coverage, a map from region to status) and every region of a declared list; what a source doesn't state is unknown."""
+    every = sources.crossJoin(F.broadcast(regions))  # regions: a declared list
+    return every.select("collection", "source", "region", F.coalesce(F.element_at("coverage", F.col("region")), F.lit("unknown")).alias("status"))
+
+
+def dissolve(df: DataFrame, key: str, wkb: str, order: list[str]) -> DataFrame:
+    """One row per key: all parts of its geometries as one collection, and the other columns of its first row by an explicit order.
+
+    Parts are gathered, not merged; equal geometries are one. A key's rows meet in one task, so keys are features.
+    """
+    from ..functions.kernels import collection_wkb
+
+    shapes = df.groupBy(key).agg(F.collect_set(wkb).alias("__shapes")).withColumnRenamed(key, "__key")
+    rest = first_per(df.drop(wkb), [key], order)
+    return rest.join(shapes, F.col(key).eqNullSafe(F.col("__key"))).withColumn(wkb, collection_wkb(F.array_sort("__shapes"))).drop("__key", "__shapes")

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from ..functions import planar
 
 BOX = ("min_x", "min_y", "max_x", "max_y")
 
@@ -55,21 +59,33 @@ def memberships(cells: DataFrame, parts: DataFrame, size: float) -> DataFrame:
     return joined.withColumn("area", (F.col("o_max_x") - F.col("o_min_x")) * (F.col("o_max_y") - F.col("o_min_y")))
 
 
-def union_area(boxes: DataFrame, keys: list[str], box=("o_min_x", "o_min_y", "o_max_x", "o_max_y")) -> DataFrame:
-    """(keys, union_area): the area that the boxes of each key cover together.
+def union_area(boxes: DataFrame, keys: list[str], box=("o_min_x", "o_min_y", "o_max_x", "o_max_y"), tile: float | None = None) -> DataFrame:
+    """(keys, union_area): the area that the boxes of each key cover together; a whole number if all bounds are.
 
-    Vertical slabs between all x of a key; in each slab a running maximum of the covering
-    boxes' tops leaves only new area. Equal boxes count once before anything is joined.
+    Equal boxes count once before anything is grouped. With tile, boxes are first cut to square
+    tiles, which tasks take one by one and whose areas add up: that bounds what meets in one
+    task for keys of any extent. Within a tile the boxes are swept, in n log n for boxes that
+    overlap few others. Null boxes cover nothing.
     """
-    x1, y1, x2, y2 = box
-    b = boxes.select(*keys, F.col(x1).alias("x1"), F.col(y1).alias("y1"), F.col(x2).alias("x2"), F.col(y2).alias("y2")).distinct()
-    borders = b.select(*keys, F.explode(F.array("x1", "x2")).alias("s1")).distinct()
-    w = Window.partitionBy(*keys).orderBy("s1")
-    slabs = borders.withColumn("s2", F.lead("s1").over(w)).where("s2 is not null")
-    covering = slabs.join(b, keys).where("x1 <= s1 and x2 >= s2")
-    up = Window.partitionBy(*keys, "s1").orderBy("y1", "y2").rowsBetween(Window.unboundedPreceding, -1)
-    new = F.greatest(F.lit(0), F.col("y2") - F.greatest("y1", F.coalesce(F.max("y2").over(up), F.col("y1"))))
-    return covering.withColumn("new", (F.col("s2") - F.col("s1")) * new).groupBy(*keys).agg(F.sum("new").alias("union_area"))
+    whole = all(isinstance(boxes.schema[c].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)) for c in box)
+    number, kind = ("bigint", np.int64) if whole else ("double", np.float64)
+    b = boxes.select(*keys, *[F.col(c).cast(number).alias(n) for c, n in zip(box, BOX)]).where(" and ".join(f"{c} is not null" for c in BOX))
+    by = list(keys)
+    if tile is not None:
+        side = F.lit(tile).cast(number)
+        edge = lambda c, i: F.col(c).cast("bigint") * side if i == 0 else (F.col(c).cast("bigint") + 1) * side
+        b = tiles_of(b, tile).drop("fx", "fy")
+        cut = [F.greatest("min_x", edge("tx", 0)), F.greatest("min_y", edge("ty", 0)), F.least("max_x", edge("tx", 1)), F.least("max_y", edge("ty", 1))]
+        b = b.select(*keys, "tx", "ty", *[c.cast(number).alias(n) for c, n in zip(cut, BOX)])
+        by += ["tx", "ty"]
+    schema = T.StructType([*(b.schema[k] for k in keys), T.StructField("union_area", T.LongType() if whole else T.DoubleType())])
+
+    def sweep(group: pa.Table) -> pa.Table:
+        found = planar.boxes_area(np.column_stack([group.column(c).to_numpy() for c in BOX]).astype(kind))
+        return pa.table([*(group.column(k).slice(0, 1) for k in keys), pa.array([found])], [*keys, "union_area"])
+
+    found = b.distinct().groupBy(*by).applyInArrow(sweep, schema)
+    return found if tile is None else found.groupBy(*keys).agg(F.sum("union_area").alias("union_area"))
 
 
 def union_length(intervals: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
@@ -107,12 +123,12 @@ def crosswalk(parts: DataFrame, cells: DataFrame, record: list[str], cell: str,
     """(record, cell, intersection_area, native_area, cell_area, fraction_of_native, fraction_of_cell).
 
     The parts of a record are a union, in the cell and as a whole, so overlaps of one record's
-    parts count once. Only positive areas appear.
+    parts count once; a record's own area is added up from tiles. Only positive areas appear.
     """
     cells = cells.withColumn("cell_area", (F.col("max_x") - F.col("min_x")) * (F.col("max_y") - F.col("min_y")))
     hits = memberships(cells.select(cell, *BOX, "cell_area"), parts.select(*record, *BOX), size)
     inside = union_area(hits, [*record, "r_" + cell]).withColumnRenamed("union_area", "intersection_area")
-    native = union_area(parts, record, BOX).withColumnRenamed("union_area", "native_area")
+    native = union_area(parts, record, BOX, size).withColumnRenamed("union_area", "native_area")
     out = inside.withColumnRenamed("r_" + cell, cell).join(native, record).join(cells.select(cell, "cell_area"), cell)
     return out.where("intersection_area > 0").select(
         *record,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.temporal import is_utc_timestamp
 from ..functions.scalar import try_iso_date
@@ -96,3 +96,10 @@ def grain(df: DataFrame, cell: str, date: str | None = None) -> DataFrame:
     repeated = df.groupBy(*keys).count().where("count > 1").agg(F.count("*").alias("repeated_keys"))
     nulls = F.count_if(F.col(date).isNull()) if date else F.lit(0).cast("bigint")
     return df.agg(F.count("*").alias("rows"), nulls.alias("null_dates")).join(repeated)
+
+
+def monotone(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
+    """(keys, monotone): whether value rises strictly along a total order within each key."""
+    before = F.lag(value).over(Window.partitionBy(*keys).orderBy(*order))
+    steps = df.select(*keys, F.col(value).alias("__v"), before.alias("__before"))
+    return steps.groupBy(*keys).agg(F.bool_and(F.col("__before").isNull() | (F.col("__v") > F.col("__before"))).alias("monotone"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..operators import metrics, relational, spatial, validate
-from .base import CELL, WITH_C, WITH_F, WITH_M, cells, hits, parts, query, table, with_union
+from .base import CELL, ORACLE_SQL, QUERIES, WITH_C, WITH_F, WITH_M, cells, hits, parts, query, table, with_union
 
 
 @query(WITH_M + " select cx, cy, id, (a2-a1)*(b2-b1) as area from m")
@@ -49,7 +49,8 @@ def left_cells(spark, sf_dir):
     return metrics.for_every_cell(cells(spark, sf_dir).select("cell_id"), n, "cell_id")
 
 
-_BRANDS = ["Brand#11", "Brand#12", "Brand#13", "Brand#21"]
+#: The declared groups of the wide table: all brands.
+_BRANDS = [f"Brand#{i}{j}" for i in range(1, 6) for j in range(1, 6)]
 
 
 @query(
@@ -148,10 +149,18 @@ def crosswalk(spark, sf_dir):
     return walk.withColumns(rounded).select("brand", "cell_id", "intersection_area", "native_area", *rounded)
 
 
-@query("select (select count(*) from (" + _WALK + " select u.brand from u join nu on nu.brand = u.brand)) as \"rows\", cast(0 as bigint) as bad_measures, cast(0 as bigint) as bad_fractions, cast(0 as bigint) as repeated, cast(0 as bigint) as above_one")
+@query(
+    _WALK
+    + """, k as (select u.brand, u.cell_id, u.union_area, native_area from u join nu on nu.brand = u.brand)
+  select count(*) as "rows", cast(0 as bigint) as bad_measures, count(*) filter (brand = 'Brand#11') as bad_fractions,
+    (select count(distinct cell_id) from k where brand = 'Brand#12') as repeated, cast(0 as bigint) + (select case when 2 * sum(union_area) > max(native_area) then 1 else 0 end from k where brand = 'Brand#12') as above_one
+  from (select brand, cell_id from k union all select brand, cell_id from k where brand = 'Brand#12')"""
+)
 def crosswalk_check(spark, sf_dir):
+    """The faults of a crosswalk in which one record has wrong areas and another has all its rows twice."""
     walk = spatial.crosswalk(parts(spark, sf_dir), cells(spark, sf_dir), ["brand"], "cell_id", CELL)
-    return spatial.check_crosswalk(walk, ["brand"], "cell_id")
+    wrong = walk.withColumn("intersection_area", F.when(F.col("brand") == "Brand#11", F.col("intersection_area") * 2).otherwise(F.col("intersection_area")))
+    return spatial.check_crosswalk(wrong.unionByName(wrong.where("brand = 'Brand#12'")), ["brand"], "cell_id")
 
 
 @query(WITH_M + " select distinct cell_id from m where brand = 'Brand#13'")
@@ -189,9 +198,16 @@ def grid_generate(spark, sf_dir):
     return cells(spark, sf_dir).select("cell_id", "cx", "cy", *spatial.BOX)
 
 
-@query("select cast(144 as bigint) as \"rows\", cast(0 as bigint) as id, cast(0 as bigint) as box, cast(0 as bigint) as finite")
+@query(
+    WITH_F
+    + """, g as (select case when id % 7 = 0 then ' ' else name end as cell_id, x1 as min_x, case when id % 11 = 0 then null else x1 + y2 % 5 end as max_x, y1 as min_y, y2 as max_y from f)
+  select count(*) as "rows", count(*) filter (coalesce(trim(cell_id), '') = '') as id, count(*) filter (not coalesce(min_x < max_x and min_y < max_y, false)) as box, cast(0 as bigint) as finite from g"""
+)
 def grid_validate(spark, sf_dir):
-    return validate.count_violations(cells(spark, sf_dir), validate.grid_rules())
+    """The faults of a grid with blank ids and boxes that are empty or lack a side."""
+    p = parts(spark, sf_dir).withColumn("cell_id", F.when(F.col("id") % 7 == 0, " ").otherwise(F.col("name")))
+    p = p.withColumn("max_x", F.when(F.col("id") % 11 != 0, F.col("min_x") + F.col("max_y") % 5))
+    return validate.count_violations(p, validate.grid_rules())
 
 
 @query(WITH_F + " select id, grp from f where (x2 >= 900 and x1 <= 1000 and y2 >= 100 and y1 <= 300) or (x2 >= 0 and x1 <= 50 and y2 >= 100 and y1 <= 300)")
@@ -249,15 +265,13 @@ def _exploded(lines):
     return part.select("source", F.col("p.l_linenumber").alias("part_key"), F.col("p.l_quantity").cast("bigint").alias("quantity"))
 
 
-@query("select l_orderkey as source, l_linenumber as part_key, cast(l_quantity as bigint) as quantity from lineitem where l_quantity > 45")
+@query("select l_orderkey as source, l_linenumber as part_key, cast(l_quantity as bigint) as quantity from lineitem")
 def explode_parts(spark, sf_dir):
-    return _exploded(table(spark, sf_dir, "lineitem").where("l_quantity > 45"))
+    """Every part of every order."""
+    return _exploded(table(spark, sf_dir, "lineitem"))
 
 
-@query("select l_orderkey as source, l_linenumber as part_key, cast(l_quantity as bigint) as quantity from lineitem")
-def explode_parts_all(spark, sf_dir):
-    """Every part of every order; explode_parts has those of its SQL, quantities over 45."""
-    return _exploded(table(spark, sf_dir, "lineitem"))
+QUERIES["explode_parts_all"], ORACLE_SQL["explode_parts_all"] = explode_parts, ORACLE_SQL["explode_parts"]
 
 
 @query(WITH_C + " select cx, cy, cell_id from c where (select count(*) from c) <= 1000")

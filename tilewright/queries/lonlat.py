@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G, kernels, scalar as S
 from ..operators import metrics, spatial
-from .base import query, table
+from .base import ORACLE_SQL, QUERIES, query, table
 
 _LL = "cast((c_custkey*7)%360-180 as double) as lon, cast(c_nationkey*5-60 as double) as lat"
 _RAD = "(pi()/180)"
@@ -47,21 +47,15 @@ def _distances(p):
 
 @query(
     f"""with p as (select c_custkey, {_LL} from customer),
-  q as (select c_custkey, lon, lat, 0.0 as lon2, lat+1 as lat2 from p where c_custkey % 10 = 0)
+  q as (select c_custkey, lon, lat, 0.0 as lon2, lat+1 as lat2 from p)
   select c_custkey, round(2*6371008.8*asin(sqrt(least(1.0, pow(sin((lat2-lat)*{_RAD}/2),2)+cos(lat*{_RAD})*cos(lat2*{_RAD})*pow(sin((lon2-lon)*{_RAD}/2),2)))), 0) as metres from q"""
 )
 def sphere_distance(spark, sf_dir):
-    return _distances(_points(spark, sf_dir).where("c_custkey % 10 = 0"))
+    """Every customer's distance."""
+    return _distances(_points(spark, sf_dir))
 
 
-@query(
-    f"""with p as (select c_custkey, {_LL} from customer),
-  q as (select c_custkey, lon, lat, 0.0 as lon2, lat+1 as lat2 from p)
-  select c_custkey, round(2*6371008.8*asin(sqrt(least(1.0, pow(sin((lat2-lat)*{_RAD}/2),2)+cos(lat*{_RAD})*cos(lat2*{_RAD})*pow(sin((lon2-lon)*{_RAD}/2),2)))), 0) as metres from q"""
-)
-def sphere_distance_all(spark, sf_dir):
-    """Every customer's distance; sphere_distance has those of its SQL, one customer in ten."""
-    return _distances(_points(spark, sf_dir))
+QUERIES["sphere_distance_all"], ORACLE_SQL["sphere_distance_all"] = sphere_distance, ORACLE_SQL["sphere_distance"]
 
 
 @query()

@@ -138,11 +138,16 @@ def completeness_gate(spark, sf_dir):
     return metrics.completeness(table(spark, sf_dir, "nation").select("n_regionkey", F.expr(_STATUS).alias("status")), "n_regionkey", "status")
 
 
-@query(f"select r_name as collection, n_name as source, {_STATUS} as status from nation join region on r_regionkey = n_regionkey")
+@query(
+    f"""with n as (select n_name, n_regionkey, {_STATUS} as status from nation)
+  select o.r_name as collection, n.n_name as source, r.r_name as region, case when r.r_regionkey = n.n_regionkey then n.status else 'unknown' end as status
+  from n join region o on o.r_regionkey = n.n_regionkey cross join region r"""
+)
 def coverage_matrix(spark, sf_dir):
-    n = table(spark, sf_dir, "nation").withColumn("coverage", F.create_map("n_name", F.expr(_STATUS)))
-    r = table(spark, sf_dir, "region")
-    return n.join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"]).select(F.col("r_name").alias("collection"), F.explode("coverage").alias("source", "status"))
+    n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    sources = n.join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"])  # two dimension tables of fixed size
+    sources = sources.select(F.col("r_name").alias("collection"), F.col("n_name").alias("source"), F.create_map("r_name", F.expr(_STATUS)).alias("coverage"))
+    return R.coverage_matrix(sources, r.select(F.col("r_name").alias("region")))
 
 
 @query("select c_custkey from customer where not exists (select 1 from orders where o_custkey = c_custkey)")
@@ -159,22 +164,26 @@ def roster_reconcile(spark, sf_dir):
     return R.roster_gaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
 
 
-@query("select c_nationkey as k from customer except select s_nationkey from supplier where s_suppkey % 5 = 0")
+@query("select c_custkey as k from customer except select o_custkey from orders")
 def set_except(spark, sf_dir):
-    a = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k"))
-    return a.subtract(table(spark, sf_dir, "supplier").where("s_suppkey % 5 = 0").select(F.col("s_nationkey").alias("k")))
+    a = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"))
+    return a.subtract(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k")))
 
 
-@query("select c_nationkey as k from customer intersect select s_nationkey from supplier where s_suppkey % 5 = 0")
+@query("select c_custkey as k from customer intersect select o_custkey from orders")
 def set_intersect(spark, sf_dir):
-    a = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k"))
-    return a.intersect(table(spark, sf_dir, "supplier").where("s_suppkey % 5 = 0").select(F.col("s_nationkey").alias("k")))
+    a = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"))
+    return a.intersect(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k")))
 
 
-@query("select s_suppkey, s_name, 'left' as side from supplier where s_suppkey % 10 = 0")
+@query(
+    """select s_suppkey, cast(s_acctbal as double) as s_acctbal, 'left' as side from supplier where s_acctbal < 0
+  union all select s_suppkey, cast(0 as double), 'right' from supplier where s_acctbal < 0"""
+)
 def readback_equal(spark, sf_dir):
-    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    return R.differences(s, s.where("s_suppkey % 10 <> 0"))
+    """What differs between a table and a copy of it that lost negative balances."""
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
+    return R.differences(s, s.withColumn("s_acctbal", F.greatest("s_acctbal", F.lit(0.0))))
 
 
 @query("select l_partkey, l_suppkey, count(*) as \"rows\" from lineitem group by 1, 2 having count(*) > 1")
@@ -211,11 +220,7 @@ def sort_parts(spark, sf_dir):
 
 @query("select l_orderkey, bool_and(p is null or l_partkey > p) as monotone from (select l_orderkey, l_partkey, lag(l_partkey) over (partition by l_orderkey order by l_linenumber, l_partkey) as p from lineitem) group by 1")
 def monotone_check(spark, sf_dir):
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey")
-    t = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", F.lag("l_partkey").over(w).alias("p"))
-    return t.groupBy("l_orderkey").agg(F.bool_and(F.col("p").isNull() | (F.col("l_partkey") > F.col("p"))).alias("monotone"))
+    return V.monotone(table(spark, sf_dir, "lineitem"), ["l_orderkey"], ["l_linenumber", "l_partkey"], "l_partkey")
 
 
 @query("select o_orderpriority, count(*) as n from orders group by 1")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
+from ..sources import readers
 from .base import query, table
 
 
@@ -84,10 +85,11 @@ def json_attr(spark, sf_dir):
     return table(spark, sf_dir, "nation").select("n_nationkey", S.json_attribute(m).alias("attribute"))
 
 
-@query("select event_id, json_extract_string(props, '$.k') as k from events")
+@query("""select event_id, key, json_extract_string(props, '$.' || key) as value from (select event_id, props, unnest(json_keys(props)) as key from events)""")
 def json_explode(spark, sf_dir):
+    """Every entry of every object as a row."""
     e = table(spark, sf_dir, "events")
-    return e.select("event_id", F.get_json_object("props", "$.k").alias("k"))
+    return e.select("event_id", F.explode(F.from_json("props", "map<string,string>")).alias("key", "value"))
 
 
 @query("select n_nationkey, 'name=' || n_name || '|region=' || n_regionkey as kept from nation")
@@ -104,6 +106,20 @@ def sha256(spark, sf_dir):
 
 
 @query("select page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) as title, cast(len(regexp_extract_all(html, '<a [^>]*href')) as bigint) as links from pages")
-def html_table_extract(spark, sf_dir):
+def html_links(spark, sf_dir):
     p = table(spark, sf_dir, "pages")
     return p.select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.regexp_count("html", F.lit("<a [^>]*href")).cast("bigint").alias("links"))
+
+
+@query(
+    """select 'region-' || r_regionkey as file, 'r' || r_regionkey as section, r_name as title, cast(row_number() over (partition by r_regionkey order by n_nationkey) - 1 as integer) as "row",
+  cast(n_nationkey as varchar) || '|' || n_name as cells from nation join region on r_regionkey = n_regionkey"""
+)
+def html_table_extract(spark, sf_dir):
+    """The rows of tables in HTML made from the nations, a document for each region."""
+    n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    per = n.groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("rows"))  # 25 rows at every scale
+    row = lambda x: F.concat(F.lit("<tr><td> "), x["n_nationkey"].cast("string"), F.lit("</td><th>"), x["n_name"], F.lit("</th></tr>"))
+    html = F.concat(F.lit("<h2 id='r"), F.col("r_regionkey").cast("string"), F.lit("'>"), "r_name", F.lit("</h2><table>"), F.array_join(F.transform("rows", row), "\n"), F.lit("</table>"))
+    files = per.join(r, F.col("r_regionkey") == F.col("n_regionkey")).select(F.concat(F.lit("region-"), F.col("r_regionkey").cast("string")).alias("path"), html.cast("binary").alias("content"))
+    return readers.tables_of(files).withColumn("cells", F.array_join("cells", "|"))

@@ -122,12 +122,11 @@ def ports(spark: SparkSession, path: str) -> DataFrame:
 # --- formats read file by file ----------------------------------------------------------------
 
 
-def _per_file(spark: SparkSession, path: str, rows, schema: str) -> DataFrame:
+def _from_files(files: DataFrame, rows, schema: str) -> DataFrame:
     """Rows of each whole file: rows(name, bytes) runs in tasks, one file at a time, and hands on BATCH rows at a time.
 
-    A file is one row of the scan, so the rows of a large one are dealt out to all tasks.
+    files: path and content. A file is one row, so the rows of a large one are dealt out to all tasks.
     """
-
     fields = T._parse_datatype_string(schema)
 
     def run(batches):
@@ -142,8 +141,11 @@ def _per_file(spark: SparkSession, path: str, rows, schema: str) -> DataFrame:
                 while made := [dict(zip(kind.names, r)) for r in itertools.islice(found, BATCH)]:
                     yield pa.RecordBatch.from_pylist(made, kind)
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(run, schema).repartition(spark.sparkContext.defaultParallelism)
+    return files.select("path", "content").mapInArrow(run, schema).repartition(files.sparkSession.sparkContext.defaultParallelism)
+
+
+def _per_file(spark: SparkSession, path: str, rows, schema: str) -> DataFrame:
+    return _from_files(spark.read.format("binaryFile").load(path), rows, schema)
 
 
 def _ring(text: str) -> list[tuple[float, float]]:
@@ -224,16 +226,20 @@ class _Tables(HTMLParser):
             self.cells[-1] += data
 
 
-def html_tables(spark: SparkSession, path: str) -> DataFrame:
-    """(file, section, title, row, cells) of the tables under the headings of HTML files, in document order."""
+def tables_of(files: DataFrame) -> DataFrame:
+    """(file, section, title, row, cells) of the tables under the headings of HTML documents (path, content), in document order."""
 
     def rows(name, content):
         parser = _Tables()
-        parser.feed(content.decode("utf-8"))
+        parser.feed(bytes(content).decode("utf-8"))
         for i, (section, title, cells) in enumerate(parser.rows):
             yield name, section, title, i, cells
 
-    return _per_file(spark, path, rows, "file string, section string, title string, row int, cells array<string>")
+    return _from_files(files, rows, "file string, section string, title string, row int, cells array<string>")
+
+
+def html_tables(spark: SparkSession, path: str) -> DataFrame:
+    return tables_of(spark.read.format("binaryFile").load(path))
 
 
 _DM = re.compile(r"^\s*(\d{1,3})\s*°\s*(\d{1,2}(?:\.\d+)?)\s*[’'′]?\s*([NSEW])\s*$")
