@@ -18,9 +18,10 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import materialize
+from .common import materialize, slices
 
 #: Closed word classes (given, not learned), in four languages.
 TARGETS = "you your you're yours u he she they them him her his their people du dich dir ihr euch sie dein deine tu te toi vous ton ta votre vos tú usted ustedes vosotros os tu tus su".split()
@@ -39,6 +40,8 @@ _HIT = re.compile(b"[1-8A-H]")
 #: How many words a frame spans: between a report and what it reports, or an intention, a threat and its target.
 REACH = 3
 SHORTEST, LONGEST = 4, 8
+#: Entries that a task counts before it hands them on, and words that it remembers.
+ENTRIES, WORDS = 100_000, 200_000
 
 
 # --- the grammar -----------------------------------------------------------------------------
@@ -192,7 +195,7 @@ class Lexicon:
         try:
             return b"".join(map(self.known.__getitem__, parts))
         except KeyError:
-            if len(self.known) > 300_000:
+            if len(self.known) > WORDS:
                 self.known.clear()
             for p in set(parts):
                 if p not in self.known:
@@ -223,14 +226,16 @@ def _entries(word: str) -> list[str]:
     return ["=" + word, *(word[:n] for n in range(SHORTEST, min(LONGEST, len(word)) + 1))]
 
 
-def stems(text: str) -> tuple[set[str], set[str]]:
+def stems(text: str, among: frozenset[str] | None = None) -> tuple[set[str], set[str]]:
     """What a text offers as lexicon entries, its words and the beginnings of its words, and which of them stand in a threat's frame.
 
-    Words of the closed classes are no entries.
+    Words of the closed classes are no entries. With among, only entries in it, and no frames.
     The frame is an intention up to REACH words before and a target up to REACH words behind.
     """
     words = [t.replace("’", "'") for t in _TOKEN.findall(text.lower()) if t[0].isalpha()]
-    found, framed = {e for word in set(words) - _CLOSED for e in _entries(word)}, set()
+    found, framed = {e for word in set(words) - _CLOSED for e in _entries(word) if among is None or e in among}, set()
+    if among is not None:
+        return found, framed
     for i, word in enumerate(words):
         if word in _INTENDING:
             for j in range(i + 1, min(len(words), i + 1 + REACH)):
@@ -253,6 +258,13 @@ class Model:
 DEFAULT_CURVE = (-3.0, 1.0, 1.0)
 
 
+def _rows(batches, *columns: str):
+    """Rows of record batches as tuples; the last column is text, of which a few megabytes are taken at a time."""
+    for batch in batches:
+        for lo, hi in slices(pc.fill_null(pc.binary_length(batch.column(columns[-1])), 0).to_pylist(), 2 << 20):
+            yield from zip(*(batch.column(c)[lo:hi].to_pylist() for c in columns))
+
+
 def _fit(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2) -> tuple[float, float, float]:
     """Logistic regression by Newton's method; both classes must occur."""
     a = np.column_stack([np.ones(len(x)), x[:, 0], np.log1p(x[:, 1])])
@@ -299,8 +311,9 @@ def learn(
 
     At most max_rows labelled rows are used, those with the smallest hash of their id; nothing
     else is left out. Of entries that the same texts hold, one can explain no more than another,
-    so only the best of them comes to the driver, with the numbers of the texts that hold it.
-    Entries that mostly stand in a threat's frame become threats. Each distinct text counts
+    so only the best of them comes to the driver with the numbers of the texts that hold it.
+    What the driver holds, entries of at least `least` of the sample's toxic texts and these
+    numbers, is bounded by the sample, whatever the size of docs. Entries that mostly stand in a threat's frame become threats. Each distinct text counts
     once, so groups of copies do not weigh more. An id with several labels is toxic if any is;
     null ids and labels are left out. Without rows of both classes the given words and
     DEFAULT_CURVE remain.
@@ -316,34 +329,54 @@ def learn(
     if not n_pos or not n_neg:
         return Model({}, DEFAULT_CURVE)
 
-    def pairs(batches):
-        for batch in batches:
-            pos, neg, framed, which = Counter(), Counter(), Counter(), {}
-            for h, text, label in zip(*(batch.column(c).to_pylist() for c in ("h", "text", "label"))):
-                found, in_frame = stems(text)
-                (pos if label else neg).update(found)
-                if label:
-                    framed.update(in_frame)
-                    for s in found:
-                        which[s] = which.get(s, 0) ^ h
-            names = list(pos | neg)
-            columns = [pa.array([c[s] for s in names], pa.int64()) for c in (pos, neg, framed)]
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *columns, pa.array([which.get(s, 0) for s in names], pa.int64())], ["stem", "pos", "neg", "framed", "texts"])
-
-    counts = rows.select("h", "text", "label").mapInArrow(pairs, "stem string, pos bigint, neg bigint, framed bigint, texts bigint")
-    counts = counts.groupBy("stem").agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "framed")], F.bit_xor("texts").alias("texts"))
+    def held_by_toxic(batches):
+        pos, framed, which = Counter(), Counter(), {}
+
+        def flush():
+            names = list(pos)
+            columns = [pa.array(v, pa.int64()) for v in (list(pos.values()), [framed[s] for s in names], [which[s] for s in names])]
+            for kept in (pos, framed, which):
+                kept.clear()
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *columns], ["stem", "pos", "framed", "texts"])
+
+        for h, text in _rows(batches, "h", "text"):
+            found, in_frame = stems(text)
+            pos.update(found)
+            framed.update(in_frame)
+            for s in found:
+                which[s] = which.get(s, 0) ^ h
+            if len(pos) > ENTRIES:
+                yield flush()
+        yield flush()
+
+    toxic, clean = rows.where("label = 1"), rows.where("label = 0")
+    counts = toxic.select("h", "text").mapInArrow(held_by_toxic, "stem string, pos bigint, framed bigint, texts bigint")
+    counts = counts.groupBy("stem").agg(F.sum("pos").alias("pos"), F.sum("framed").alias("framed"), F.bit_xor("texts").alias("texts"))
+    counts = materialize(counts.where(f"pos >= {least}"), "stems")
+    asked = frozenset(counts.select("stem").toArrow().column("stem").to_pylist())
+
+    def held_by_clean(batches):
+        neg = Counter()
+        for (text,) in _rows(batches, "text"):
+            neg.update(stems(text, asked)[0])
+        yield pa.RecordBatch.from_arrays([pa.array(list(neg), pa.string()), pa.array(list(neg.values()), pa.int64())], ["stem", "neg"])
+
+    against = clean.select("text").mapInArrow(held_by_clean, "stem string, neg bigint").groupBy("stem").agg(F.sum("neg").alias("neg"))
+    counts = counts.withColumn("neg", F.lit(0).cast("bigint")).unionByName(against, allowMissingColumns=True).groupBy("stem")
+    counts = counts.agg(F.sum("neg").alias("neg"), *[F.max(c).alias(c) for c in ("pos", "framed", "texts")])
     odds = F.log((F.col("pos") + 0.5) / (n_pos + 1)) - F.log((F.col("neg") + 0.5) / (n_neg + 1))
-    counts = materialize(counts.where(f"pos >= {least}").withColumn("odds", odds).where("odds >= 2"), "stems")
+    counts = materialize(counts.withColumn("odds", odds).where("odds >= 2"), "odds")
     # entries with the same count and the same combined hash of their texts are held by the same texts
     rank = F.struct((-F.col("odds")).alias("odds"), (-F.col("framed")).alias("framed"), F.length("stem").alias("size"), "stem")
     best = counts.groupBy("pos", "texts").agg(F.min(rank).alias("best"))
     best = best.select("best.stem", (-F.col("best.odds")).alias("odds"), "pos", (-F.col("best.framed")).alias("framed"))
     found = best.orderBy(F.desc("odds"), F.desc("framed"), F.length("stem"), "stem").collect()
     place = {r["stem"]: i for i, r in enumerate(found)}
+    wanted = frozenset(place)
 
     def held(batches):
         for batch in batches:
-            kept = [sorted(place[s] for s in stems(t)[0] if s in place) for t in batch.column("text").to_pylist()]
+            kept = [sorted(place[s] for s in stems(t, wanted)[0]) for (t,) in _rows([batch], "text")]
             yield pa.RecordBatch.from_arrays([pa.array(kept, pa.list_(pa.int32()))], ["entries"])
 
     lists = rows.where("label = 1").select("text").mapInArrow(held, "entries array<int>").toArrow().column("entries").combine_chunks()
@@ -361,31 +394,38 @@ def learn(
     return Model(weights, _fit(scored[["strongest", "total"]].to_numpy(), scored["label"].to_numpy()), model.threats)
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """docs' columns but the text, with strongest, total, clauses (what matched) and score (0 to 1).
 
     Whole texts are read. A null or empty text, or one without a match, has the score that the
     curve gives to no match. Repeated rows are scored each; columns of docs that are named like
-    one of the new ones are replaced; an empty table stays empty.
+    one of the new ones are replaced; an empty table stays empty. With keep_text the text is
+    among the columns.
     """
     weights, curve, threats = model.weights, model.curve, model.threats
-    own = [c for c in docs.columns if c not in (text_col, "strongest", "total", "clauses", "score")]
-    kept = docs.select(*own, F.col(text_col).alias("__text"))
+    made = ["strongest", "total", "clauses", "score"]
+    own = [c for c in docs.columns if c not in made and (keep_text or c != text_col)]
+    kept = docs.select(*own, *([] if text_col in own else [text_col]))
 
     def run(batches):
         lexicon = Lexicon(weights, threats)
         for batch in batches:
-            texts = batch.column("__text").to_pylist()
-            found = np.array([lexicon.features(t) if t else (0.0, 0.0, 0) for t in texts], float).reshape(-1, 3)
-            z = curve[0] + curve[1] * found[:, 0] + curve[2] * np.log1p(found[:, 1])
-            values = [pa.array(found[:, 0]), pa.array(found[:, 1]), pa.array(found[:, 2].astype(np.int64)), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), *values], [*own, "strongest", "total", "clauses", "score"])
+            texts = batch.column(text_col)
+            for lo, hi in slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), 4 << 20):
+                found = np.array([lexicon.features(t) if t else (0.0, 0.0, 0) for t in texts[lo:hi].to_pylist()], float).reshape(-1, 3)
+                z = curve[0] + curve[1] * found[:, 0] + curve[2] * np.log1p(found[:, 1])
+                values = [pa.array(found[:, 0]), pa.array(found[:, 1]), pa.array(found[:, 2].astype(np.int64)), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c)[lo:hi] for c in own), *values], [*own, *made])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "__text")
-    return kept.mapInArrow(run, fields + ", " * bool(own) + "strongest double, total double, clauses bigint, score double")
+    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept.schema if f.name in own)
+    return kept.mapInArrow(run, fields + "strongest double, total double, clauses bigint, score double")
 
 
 def reject_toxic(docs: DataFrame, model: Model, limit: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The documents that score under limit, with all their columns."""
-    scored = score(docs.withColumn("__kept", F.col(text_col)), model, text_col)
-    return scored.where(F.col("score") < limit).select(*(F.col("__kept").alias(c) if c == text_col else F.col(c) for c in docs.columns))
+    """The documents that score under limit, with all their columns.
+
+    Columns named like one of the scores are set aside while scoring and come back unchanged.
+    """
+    clash = {c: f"__own_{c}" for c in docs.columns if c in ("strongest", "total", "clauses", "score") and c != text_col}
+    scored = score(docs.withColumnsRenamed(clash), model, text_col, keep_text=True)
+    return scored.where(F.col("score") < limit).select(*(F.col(clash.get(c, c)).alias(c) for c in docs.columns))
