@@ -13,9 +13,13 @@ import heapq
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-CANDIDATES, QUERIES, STRIPE = 8192, 2048, 256
+CANDIDATES, QUERIES = 8192, 2048
+#: Scores of a tile that are held at a time.
+STRIPE = 1 << 21
+#: Components whose int8 products add up to less than 2**24, and bytes of the vectors in a block of queries.
+EXACT, BLOCK_BYTES = 1024, 32 << 20
 
 
 def usable(vector: str):
@@ -44,15 +48,19 @@ def inner(u: np.ndarray, v: np.ndarray) -> np.ndarray:
 def tile_best(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query ids, candidate ids, scores) of each query's k nearest in the tile, its own row left out.
 
-    The product of int8 rows is exact in single precision: components are at most 127.
+    int8 components are at most 127, so the product over up to EXACT of them is exact in single
+    precision; longer vectors are multiplied in such parts, which add up in double precision.
     """
     ci, c_scale, c_norm, c_error = quantize(c)
     rounded = c_norm + c_error
     out: list[tuple[np.ndarray, ...]] = []
-    for lo in range(0, len(q), STRIPE):
-        ids, rows = qid[lo : lo + STRIPE], q[lo : lo + STRIPE]
+    stripe = max(1, STRIPE // max(1, len(c)))
+    for lo in range(0, len(q), stripe):
+        ids, rows = qid[lo : lo + stripe], q[lo : lo + stripe]
         qi, q_scale, q_norm, q_error = quantize(rows)
-        near = (qi.astype(np.float32) @ ci.astype(np.float32).T) * q_scale[:, None] * c_scale
+        parts = [slice(d, d + EXACT) for d in range(0, qi.shape[1], EXACT)]
+        whole = sum((qi[:, p].astype(np.float32) @ ci[:, p].astype(np.float32).T).astype(np.float64) for p in parts)
+        near = whole * q_scale[:, None] * c_scale
         slack = q_norm[:, None] * c_error + q_error[:, None] * rounded
         slack += 1e-6 * q_norm[:, None] * rounded
         own = ids[:, None] == cid
@@ -74,8 +82,8 @@ def nearest(
     vectors: DataFrame,
     is_query,
     k: int = 20,
-    candidates: int = CANDIDATES,
-    queries: int = QUERIES,
+    candidates: int | None = None,
+    queries: int | None = None,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
 ) -> DataFrame:
@@ -90,12 +98,19 @@ def nearest(
     ignored; an empty table gives no rows.
 
     A block holds about `candidates` or `queries` rows, dealt by hash, so memory is bounded for
-    any table, and the tiles are independent tasks.
+    any table, and the tiles are independent tasks. A row travels once for each block of the
+    other side, so blocks are as large as BLOCK_BYTES allow for the longest vectors (CANDIDATES
+    and QUERIES at least); smaller ones are made only until every core has a few. Vectors travel
+    in their own precision.
     """
-    good = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), is_query.alias("asks"))
+    kind = "array<float>" if isinstance(vectors.schema[vector_col].dataType.elementType, T.FloatType) else "array<double>"
+    good = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast(kind).alias("v"), is_query.alias("asks"))
     good = good.where(F.col("id").isNotNull() & usable("v")).withColumn("dim", F.size("v"))
-    sizes = good.agg(F.count("*").alias("n"), F.count_if(F.col("asks")).alias("q")).first()
-    n_c, n_q = max(1, -(-sizes["n"] // candidates)), max(1, -(-sizes["q"] // queries))
+    sizes = good.agg(F.count("*").alias("n"), F.count_if(F.col("asks")).alias("q"), F.max("dim").alias("dim")).first()
+    most = BLOCK_BYTES // (8 * max(1, sizes["dim"] or 1))
+    some = min(-(-sizes["n"] // CANDIDATES), 4 * vectors.sparkSession.sparkContext.defaultParallelism)
+    n_c = -(-sizes["n"] // candidates) if candidates else max(some, -(-sizes["n"] // max(CANDIDATES, most)))
+    n_c, n_q = max(1, n_c), max(1, -(-sizes["q"] // (queries or max(QUERIES, most))))
     dealt = F.xxhash64("id", F.hash("v"))
     asked = good.where("asks").groupBy("id", "dim").agg(F.min("v").alias("v"))
     asked = asked.select("dim", F.pmod(F.xxhash64("id"), F.lit(n_q)).alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(n_c - 1))).alias("cb"), "id", "v")
@@ -106,7 +121,7 @@ def nearest(
         if not len(left) or not len(right):
             return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         dim = left.column("dim")[0].as_py()
-        flat = lambda t: t.column("v").combine_chunks().flatten().to_numpy().reshape(-1, dim)
+        flat = lambda t: t.column("v").combine_chunks().flatten().to_numpy().astype(np.float64).reshape(-1, dim)
         found = tile_best(left.column("id").to_numpy(), flat(left), right.column("id").to_numpy(), flat(right), k)
         return pa.table(list(found), names=names)
 
