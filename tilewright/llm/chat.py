@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 BLOCK = 256
+#: Repetitions of a turn that one array holds.
+COPIES = 4096
 
 
 def rotate(
@@ -31,7 +33,9 @@ def rotate(
     offsets are sums over blocks of BLOCK turns and then over the blocks. The rows are as many
     as turns times speakers, which is what the method returns. A null speaker is called
     `unknown`, a null text is empty, null conversations form one conversation, null turns come
-    first; repeated turns are ordered by speaker and text. Extra columns are ignored; an empty
+    first; repeated turns are ordered by speaker and text. Marks within a text or a speaker's
+    name are kept as they are: start and mask tell them from the segment's own. Turns that have
+    one number in one conversation meet in one window. Extra columns are ignored; an empty
     table gives no rows.
     """
     t = turns.select(
@@ -42,7 +46,9 @@ def rotate(
     )
     # equal turns are one row with a count until they are told apart, so repetitions meet as counts
     t = t.groupBy("conv_id", "turn", "speaker", "text").agg(F.count("*").alias("copies"))
-    t = t.select("conv_id", "turn", "speaker", "text", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)).alias("copy"))
+    t = t.withColumn("first", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1, F.lit(COPIES).cast("bigint"))))
+    last = F.least(F.col("first") + COPIES, F.col("copies")) - 1
+    t = t.select("conv_id", "turn", "speaker", "text", F.explode(F.sequence("first", last)).alias("copy"))
     sides = t.groupBy("conv_id", F.col("speaker").alias("perspective")).agg(F.lit(1).alias("one")).drop("one")
     sides = sides.select(F.col("conv_id").alias("c"), "perspective")
     own = F.col("speaker") == F.col("perspective")
