@@ -187,6 +187,9 @@ def test_rotation(spark):
             else:
                 assert r["mask_start"] is None and r["segment"].startswith(f"<|user name={r['speaker']}|>\n")
     assert len(got[1, "user"]) == 5
+    often = spark.createDataFrame([(3, 0, "a", "hi")] * 9000 + [(3, 1, "b", "<|end|>")], "conv_id long, turn long, role string, text string")
+    hot = chat.rotate(often).where("perspective = 'b'").agg(F.count("*").alias("n"), F.countDistinct("start").alias("d"), F.max("copy").alias("c")).first()
+    assert (hot["n"], hot["d"], hot["c"]) == (9001, 9001, 8999)
     assert chat.rotate(df.limit(0)).count() == 0
 
 
@@ -426,6 +429,18 @@ def test_nearest_equals_brute_force(spark, monkeypatch):
     assert ann.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_long_vectors_and_doubles(spark):
+    r = np.random.default_rng(1)
+    v = r.normal(size=(60, 2500))  # longer than what one single-precision product of int8 holds exactly
+    df = spark.createDataFrame([(i, v[i].tolist()) for i in range(60)], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(list)
+    for x in ann.nearest(df, F.col("vec_id") % 20 == 0, k=5).orderBy("query_id", "rank").collect():
+        got[x["query_id"]].append((x["vec_id"], x["score"]))
+    for q in (0, 20, 40):
+        scores = ann.inner(np.broadcast_to(v[q], v.shape), v)
+        assert got[q] == [(i, -s) for s, i in sorted((-s, i) for i, s in enumerate(scores) if i != q)[:5]]
+
+
 def test_few_candidates(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (1, [0.5, 0.5])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in ann.nearest(df, F.col("vec_id") == 0).orderBy("rank").collect()] == [(0, 1, 1, 0.5), (0, 2, 1, 0.5)]

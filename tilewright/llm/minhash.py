@@ -155,6 +155,11 @@ def sketch(docs: DataFrame, shingle: int, bands: int, rows: int, id_col: str = "
     return rows_in.mapInArrow(run, f"id {kind}, text_hash bigint, n_shingles bigint, node binary, bands array<bigint>")
 
 
+def _similar(x: set, y: set, percent: int) -> bool:
+    both = len(x & y)
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _confirm(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose full sets satisfy 100 * intersection >= percent * union."""
 
@@ -165,9 +170,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
             for a, left, right in zip(*(batch.column(c).to_pylist() for c in ("a", "ta", "tb"))):
                 if a != hub:  # the pairs of one hub often follow each other
                     hub, x = a, shingle_set(words(left), shingle)
-                y = shingle_set(words(right), shingle)
-                both = len(x & y)
-                kept.append(100 * both >= percent * (len(x) + len(y) - both))
+                kept.append(_similar(x, shingle_set(words(right), shingle), percent))
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
     full = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(
@@ -216,7 +219,10 @@ def _many(members: DataFrame, texts: DataFrame, shingle: int, percent: int) -> D
 
 
 def linked(x: list[str], x_part: list, y: list[str], y_part: list, shingle: int, percent: int) -> list[tuple[int, int]]:
-    """Pairs of a text of x and one of y that are similar enough, each joining two parts that no earlier pair joined."""
+    """Pairs of a text of x and one of y that are similar enough, each joining two parts that no earlier pair joined.
+
+    Hashes find them; a pair joins its parts only if its full sets confirm it.
+    """
     if not x or not y:
         return []
     normal = lambda texts: [b" ".join(words(t)) for t in texts]
@@ -241,7 +247,7 @@ def linked(x: list[str], x_part: list, y: list[str], y_part: list, shingle: int,
         both = np.bincount(owner[at], minlength=len(y))
         for j in np.flatnonzero(100 * both >= percent * (len(own) + size - both)).tolist():
             a, b = find(x_part[i]), find(y_part[j])
-            if a != b:
+            if a != b and _similar(shingle_set(words(x[i]), shingle), shingle_set(words(y[j]), shingle), percent):
                 root[a] = b
                 found.append((i, j))
     return found
@@ -308,17 +314,15 @@ def near_duplicates(
     more = materialize(_confirm(more.distinct(), texts, shingle, percent), "links")
     found = materialize(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)), "components")
 
-    where = seen.select("id", "text_hash", "n_shingles", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = where.where("component is not null").groupBy("component").agg(F.min("id").alias("component_id"))
-    alone = F.col("component").isNull()
-    return where.join(least, "component", "left").select(
-        "id",
-        "text_hash",
-        "n_shingles",
-        F.when(alone, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.coalesce(alone | (F.col("id") == F.col("component_id")), F.lit(False)).alias("kept"),
-        "component",
-    )
+    # rows without words belong to no component, and would all meet on one key of the joins
+    rows_in = seen.select("id", "text_hash", "n_shingles", "node")
+    where = rows_in.where("node is not null").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = where.groupBy("component").agg(F.min("id").alias("component_id"))
+    placed = where.join(least, "component").select("id", "text_hash", "n_shingles", "component_id", "component")
+    alone = rows_in.where("node is null").select("id", "text_hash", "n_shingles", F.col("id").alias("component_id"), F.lit(None).cast("binary").alias("component"))
+    first = F.coalesce(F.col("id") == F.col("component_id"), F.lit(False))
+    placed = placed.withColumn("kept", first).unionByName(alone.withColumn("kept", F.lit(True)))
+    return placed.select("id", "text_hash", "n_shingles", "component_id", "kept", "component")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
