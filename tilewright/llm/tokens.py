@@ -46,22 +46,32 @@ def plain(text: str) -> bool:
     return "<|" not in text and _PLAIN(text) is not None
 
 
+def _byte_chars() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies: printable Latin-1 for itself, the others from 256 on."""
+    plain_ = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain_]
+    return [chr(b) if b in plain_ else chr(256 + others.index(b)) for b in range(256)]
+
+
 def _ranked(path: str, tokenizer):
-    """encode_ordinary of the rank file at path, if its vocabulary is the tokenizer's; else None."""
+    """encode_ordinary of the rank file at path, if every token there has the same id in the tokenizer and all others are special; else None."""
     import tiktoken
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    special = tokenizer.get_added_tokens_decoder()
+    special, chars = tokenizer.get_added_tokens_decoder(), _byte_chars()
     if len(ranks) + len(special) != tokenizer.get_vocab_size() or set(ranks.values()) & special.keys():
         return None
+    vocabulary = tokenizer.get_vocab()
+    if any(vocabulary.get("".join([chars[b] for b in token])) != i for token, i in ranks.items()):
+        return None
     return tiktoken.Encoding("ranks", pat_str=GPT_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
 def encode(path: str, texts: list[str]) -> list[bytes]:
     """Ids of whole texts as bytes (native unsigned 32-bit), by the byte-level tokenizer file at path.
 
-    Where the folder holds the same vocabulary as ranks, texts of plain letters and marks are
+    Where the folder holds the same vocabulary, token by token, as ranks, texts of plain letters and marks are
     encoded from the ranks, about three times as fast; all others by the tokenizer itself.
     """
     if path not in _encoders:  # kept from task to task
