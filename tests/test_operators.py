@@ -207,6 +207,42 @@ def test_clip_polygons_over_the_dateline(spark):
     assert [r["part_number"] for r in got] == [1, 2] and all(r["retained_fraction"] == pytest.approx(1) for r in got)
 
 
+def test_clip_features_of_every_family(spark):
+    rows = [
+        ("a", "f", "point", "Point", (-120.0, 40.0)),
+        ("a", "f", "border", "Point", (-109.0, 50.0)),
+        ("a", "f", "outside", "Point", (0.0, 0.0)),
+        ("a", "f", "edge", "LineString", [(-109.0, 40.0), (-109.0, 45.0)]),
+        ("a", "f", "dateline", "LineString", [(179.0, 50.0), (-179.0, 50.0)]),
+        ("a", "f", "points", "MultiPoint", [(-120.0, 40.0), (10.0, 10.0)]),
+        ("a", "f", "comb", "Polygon", [[(-112.0, 40.0), (-106.0, 40.0), (-106.0, 43.0), (-112.0, 43.0), (-112.0, 42.0), (-107.0, 42.0), (-107.0, 41.0), (-112.0, 41.0), (-112.0, 40.0)]]),
+        ("a", "f", "touch", "Polygon", rectangle(-109.0, 40.0, -100.0, 41.0)),
+        ("a", "f", "none", "Point", (-115.0, 33.0)),
+    ]
+    f = features(spark, rows).withColumn("wkb", F.when(F.col("record_id") != "none", F.col("wkb")))
+    got = {}
+    for r in clip.clip_features(f, (-180, 32, -109, 72)).collect():
+        got.setdefault(r["record_id"], []).append(r)
+    assert set(got) == {"point", "border", "edge", "dateline", "points", "comb"}
+    share = {k: (v[0]["retained_fraction"], v[0]["clipped"], len(v)) for k, v in got.items()}
+    assert share["point"] == (1, False, 1) == share["border"] and share["edge"] == (pytest.approx(1), False, 1)
+    assert share["dateline"] == (pytest.approx(0.5, rel=1e-3), True, 1) and got["dateline"][0]["min_x"] == -180
+    assert share["points"] == (0.5, True, 1)
+    assert share["comb"][1:] == (True, 2) and sorted(r["part_id"] for r in got["comb"]) == ["comb:part-001", "comb:part-002"]
+    y = lambda lat: float(K.equal_area(0.0, lat)[1])
+    arms = 3 * (y(41) - y(40) + y(43) - y(42))
+    assert share["comb"][0] == pytest.approx(arms / (arms * 2 + 1 * (y(42) - y(41))), rel=1e-9)
+
+
+def test_clip_features_over_the_dateline(spark):
+    hole = rectangle(179.5, 0.25, -179.5, 0.75)[0]
+    rows = [("a", "f", "p", "Polygon", [rectangle(179.0, 0.0, -179.0, 1.0)[0], hole]), ("a", "f", "l", "LineString", [(179.0, 0.5), (-179.0, 0.5)])]
+    out = clip.clip_features(features(spark, rows), (178, -5, -178, 5)).collect()
+    assert all(r["retained_fraction"] == pytest.approx(1) and not r["clipped"] for r in out)
+    assert sorted((r["record_id"], r["min_x"], r["max_x"]) for r in out) == [("l", -180, -179), ("l", 179, 180), ("p", -180, -179), ("p", 179, 180)]
+    assert clip.clip_features(features(spark, rows).limit(0), (178, -5, -178, 5)).count() == 0
+
+
 def test_rules_raise_with_counts(spark):
     df = spark.createDataFrame([("a", 1.0, "observed"), ("b", None, "observed"), ("c", 2.0, "odd")], "id string, v double, s string")
     found = V.count_violations(df, V.metric_rules("v", "s", "1")).first().asDict()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.geometry import box_area, box_parts, clip_to
 from .relational import number_parts
@@ -32,8 +32,6 @@ def clip_boxes(df: DataFrame, box: tuple) -> DataFrame:
         hit = hit.withColumn("__kept", box_area())
         out = hit if out is None else out.unionByName(hit)
     if len(box_parts(*box)) > 1:
-        from pyspark.sql import Window
-
         out = out.withColumn("__kept", F.sum("__kept").over(Window.partitionBy(*["source_" + c for c in BOX], *[c for c in df.columns if c not in BOX])))
     share = retained(F.col("__kept").cast("double"), F.col("__whole").cast("double"))
     return out.withColumn("retained_fraction", share).withColumn("clipped", F.col("retained_fraction") < 1 - 1e-12).drop("__whole", "__kept")
@@ -90,6 +88,80 @@ def clip_polygons(df: DataFrame, box: tuple, record: str, rings: str = "rings")
     return number_parts(out, record, ["__digest"], "part_id").select(*own, F.col("__part").alias(rings), "part_id", "part_number", "retained_fraction", "clipped")
 
 
+def _unwrapped(p: np.ndarray) -> np.ndarray:
+    """Points with longitudes moved by whole turns so that no step exceeds 180 degrees."""
+    step = np.diff(p[:, 0])
+    turns = np.concatenate(([0.0], np.cumsum(np.where(step > 180, -360.0, np.where(step < -180, 360.0, 0.0)))))
+    return np.column_stack((p[:, 0] + turns, p[:, 1]))
+
+
+def _chains(segments: np.ndarray) -> list[np.ndarray]:
+    """Lines of the segments that follow each other end to start."""
+    breaks = np.flatnonzero((segments[1:, :2] != segments[:-1, 2:]).any(axis=1)) + 1
+    return [np.vstack((part[:1, :2], part[:, 2:])) for part in np.split(segments, breaks)]
+
+
+def clip_features(features: DataFrame, box: tuple, record: str = "record_id") -> DataFrame:
+    """Features of any family (record, wkb) cut to box, a row for each primitive part that is left.
+
+    Adds family, wkb and bounds of the part, part_number and part_id (by the digest of the part),
+    retained_fraction (of the record's area, length or points, all parts together) and clipped.
+    Areas are equal-area and lengths geodesic. The box includes its border: a point on it stays,
+    what touches it without an area or length of its own does not. A box with west > east and
+    features over the dateline are unwrapped and met on every turn. Records with nothing left
+    have no rows; they are what an anti join finds. Null geometries have no parts.
+    """
+    from ..functions import kernels as K, planar as P
+    from .exact import parts_of
+
+    parts = parts_of(features)
+    own = [c for c in parts.columns if c not in (*BOX, "wkb", "family")]
+    made = T._parse_datatype_string("family string, wkb binary, min_x double, min_y double, max_x double, max_y double, __kept double, __whole double")
+    schema = T.StructType([*(parts.schema[c] for c in own), *made])
+    boxes, turns = box_parts(*box), (0.0, -360.0, 360.0)
+
+    def polygon(rings):
+        rings = [_unwrapped(np.vstack((r, r[:1])))[:-1] for r in rings]
+        rings = [r + (360.0 * np.round((rings[0][0, 0] - r[0, 0]) / 360), 0.0) for r in rings]
+        area = lambda shape: P.polygon_area([np.column_stack(K.equal_area(r[:, 0], r[:, 1])) for r in shape], True)
+        found = [x for t in turns for b in boxes for x in P.split_polygon([r + (t, 0.0) for r in rings], b)]
+        return area(rings), [(K.to_wkb("Polygon", [np.vstack((r, r[:1])).tolist() for r in x]), x[0], a) for x in found if (a := area(x)) > 0]
+
+    def line(points):
+        points = _unwrapped(points)
+        length = lambda p: float(K.line_length(p))
+        cut = [P.clip_line(points + (t, 0.0), b) for t in turns for b in boxes]
+        return length(points), [(K.to_wkb("LineString", c.tolist()), c, length(c)) for s in cut if len(s) for c in _chains(s)]
+
+    def point(points):
+        x, y = points[0]
+        for t in turns:
+            if any(w <= x + t <= e and s <= y <= n for w, s, e, n in boxes):
+                return 1.0, [(K.to_wkb("Point", (x + t, y)), points + (t, 0.0), 1.0)]
+        return 1.0, []
+
+    def cut(batches):
+        for batch in batches:
+            owner, rows = [], []
+            for i, data in enumerate(batch.column("wkb").to_pylist()):
+                ((kind, shape),) = K.primitives(*K.from_wkb(data))
+                whole, found = {"Polygon": polygon, "LineString": line, "Point": point}[kind](shape)
+                for k, (wkb, p, kept) in enumerate(found or [(None, None, 0.0)]):
+                    low, high = (p.min(axis=0).tolist(), p.max(axis=0).tolist()) if p is not None else ([None] * 2, [None] * 2)
+                    owner.append(i)
+                    rows.append((K.FAMILY[kind], wkb, *low, *high, kept, whole if k == 0 else 0.0))
+            columns = list(zip(*rows)) if rows else [()] * len(made.fields)
+            types = [pa.string(), pa.binary(), *[pa.float64()] * 6]
+            at = pa.array(owner, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in own), *(pa.array(c, t) for c, t in zip(columns, types))], [*own, *made.names])
+
+    every = Window.partitionBy(record)
+    share = retained(F.sum("__kept").over(every), F.sum("__whole").over(every))
+    left = parts.select(*own, "wkb").mapInArrow(cut, schema).withColumn("retained_fraction", share).where("wkb is not null")
+    left = left.withColumn("clipped", F.col("retained_fraction") < 1 - 1e-9).drop("__kept", "__whole").withColumn("__digest", F.sha2("wkb", 256))
+    return number_parts(left, record, ["__digest"], "part_id").drop("__digest")
+
+
 def outside(df: DataFrame, box: tuple, tolerance: float = 0.0) -> DataFrame:
     """Rows whose box is not within box, widened by tolerance; must be empty after clipping."""
     w, s, e, n = box
