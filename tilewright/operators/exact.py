@@ -176,17 +176,38 @@ def _cut(family: str, shape, box: tuple, last: tuple[bool, bool]):
 
 
 _UNIONS = ["union_area", "union_length", "distinct_points"]
+_TYPES = [pa.float64(), pa.float64(), pa.int64()]
 
 
-def _measures(shapes: dict[str, list], earth: bool) -> list:
-    polygons, lines, points = (shapes.get(f, []) for f in ("polygon", "line", "point"))
+def _measures(pieces: list[tuple], earth: bool) -> list:
+    """Union area, union length and distinct points of pieces (family, shape, measure); a single polygon or line has the measure that it came with."""
+    polygons, lines, points = ([p for p in pieces if p[0] == f] for f in ("polygon", "line", "point"))
     area = length = None
     if polygons:
-        area = P.polygon_area(polygons[0]) if len(polygons) == 1 else P.covered_area(polygons)
+        area = polygons[0][2] if len(polygons) == 1 and polygons[0][2] is not None else P.covered_area([p[1] for p in polygons])
     if lines:
-        merged = P.merged_segments(np.vstack(lines))
-        length = float(K.summed_lengths(merged, np.array([len(merged)]), earth)[0])
-    return [area, length, len(P.distinct_points(np.vstack(points))) if points else None]
+        if len(lines) == 1 and len(lines[0][1]) == 1 and lines[0][2] is not None:
+            length = lines[0][2]
+        else:
+            merged = P.merged_segments(np.vstack([p[1] for p in lines]))
+            length = float(K.summed_lengths(merged, np.array([len(merged)]), earth)[0])
+    return [area, length, len(P.distinct_points(np.vstack([p[1] for p in points]))) if points else None]
+
+
+def _groups(batches, keys: list[str]):
+    """Tables of equal keys from batches in which equal keys follow each other; a group may go over batches."""
+    kept: pa.Table | None = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if kept is None else pa.concat_tables([kept, rows]).combine_chunks()
+        lists = [rows.column(k).to_pylist() for k in keys]
+        own = list(zip(*lists))
+        starts = [i for i in range(len(own)) if i == 0 or own[i] != own[i - 1]]
+        for a, b in zip(starts, starts[1:]):
+            yield rows.slice(a, b - a)
+        kept = rows.slice(starts[-1]) if starts else None
+    if kept is not None and len(kept):
+        yield kept
 
 
 def unions(found: DataFrame, keys: list[str], earth: bool = True, many: int = MANY) -> DataFrame:
@@ -194,35 +215,43 @@ def unions(found: DataFrame, keys: list[str], earth: bool = True, many: int = MA
 
     Equal pieces are one before anything is grouped. A key with more than `many` distinct pieces
     is divided into a lattice of boxes over the pieces' bounds, which tasks take one by one;
-    what the boxes cover adds up.
+    what the boxes cover adds up. Tasks go through keys in order and hold one at a time.
     """
-    some = found.select(*keys, "family", "piece").distinct()
+    some = found.select(*keys, "family", "piece", "measure").dropDuplicates([*keys, "family", "piece"])
     other = {k: "__" + k for k in keys}
     same = [F.col(k).eqNullSafe(F.col("__" + k)) for k in keys]
     sides = some.groupBy(*keys).agg(F.least(F.ceil(F.sqrt(F.count("*") / F.lit(float(many)))), F.lit(64)).cast("int").alias("__n"))
     sized = some.join(sides.withColumnsRenamed(other), same).drop(*other.values())
     schema = T.StructType([*(some.schema[k] for k in keys), *T._parse_datatype_string("union_area double, union_length double, distinct_points bigint")])
-    types = [pa.float64(), pa.float64(), pa.int64()]
 
-    def row(group: pa.Table, shapes: dict[str, list]) -> pa.Table:
-        values = [pa.array([v], t) for v, t in zip(_measures(shapes, earth), types)]
-        return pa.table([*(group.column(k).slice(0, 1) for k in keys), *values], [*keys, *_UNIONS])
-
-    def whole(group: pa.Table) -> pa.Table:
-        shapes: dict[str, list] = {}
-        for family, piece in zip(group.column("family").to_pylist(), group.column("piece").to_pylist()):
-            shapes.setdefault(family, []).append(_read(family, piece))
-        return row(group, shapes)
-
-    def box_of(group: pa.Table) -> pa.Table:
+    def measured(batches, by: list[str], shapes_of):
+        """One row for each group by `by`, some hundreds at a time."""
+        first, rows = [], []
+
+        def flush():
+            own = pa.concat_tables(first).select(keys)
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)]
+            out = pa.table([*own.columns, *columns], [*keys, *_UNIONS]).combine_chunks().to_batches()
+            first.clear()
+            rows.clear()
+            return out
+
+        for group in _groups(batches, by):
+            first.append(group.slice(0, 1))
+            rows.append(_measures(shapes_of(group), earth))
+            if len(rows) == 500:
+                yield from flush()
+        if rows:
+            yield from flush()
+
+    def whole(group: pa.Table) -> list[tuple]:
+        return [(f, _read(f, p), m) for f, p, m in zip(*(group.column(c).to_pylist() for c in ("family", "piece", "measure")))]
+
+    def boxed(group: pa.Table) -> list[tuple]:
         n, i, j, a, b, c, d = (group.column(x)[0].as_py() for x in ("__n", "__i", "__j", "__a", "__b", "__c", "__d"))
         xs, ys = np.linspace(a, c, n + 1), np.linspace(b, d, n + 1)
-        box, shapes = (xs[i], ys[j], xs[i + 1], ys[j + 1]), {}
-        for family, piece in zip(group.column("family").to_pylist(), group.column("piece").to_pylist()):
-            kept = _cut(family, _read(family, piece), box, (i == n - 1, j == n - 1))
-            if len(kept):
-                shapes.setdefault(family, []).append(kept)
-        return row(group, shapes)
+        cut = [(f, _cut(f, _read(f, p), (xs[i], ys[j], xs[i + 1], ys[j + 1]), (i == n - 1, j == n - 1)), None) for f, p in zip(group.column("family").to_pylist(), group.column("piece").to_pylist())]
+        return [x for x in cut if len(x[1])]
 
     bounds = T._parse_datatype_string("struct<a: double, b: double, c: double, d: double>")
 
@@ -247,8 +276,10 @@ def unions(found: DataFrame, keys: list[str], earth: bool = True, many: int = MA
     around = lambda a, b: F.sequence(F.greatest(F.lit(0), a - 1), F.least(F.col("__n") - 1, b + 1))
     lattice = framed.withColumn("__i", F.explode(around(place("__e.a", "__a", "__c"), place("__e.c", "__a", "__c"))))
     lattice = lattice.withColumn("__j", F.explode(around(place("__e.b", "__b", "__d"), place("__e.d", "__b", "__d")))).drop("__e")
-    calm = sized.where("__n = 1").drop("__n").groupBy(*keys).applyInArrow(whole, schema)
-    crowded = lattice.groupBy(*keys, "family", "__i", "__j").applyInArrow(box_of, schema)
+    ordered = lambda df, by: df.repartition(*by).sortWithinPartitions(*by)
+    calm = ordered(sized.where("__n = 1").drop("__n"), keys).mapInArrow(lambda batches: measured(batches, keys, whole), schema)
+    by = [*keys, "family", "__i", "__j"]
+    crowded = ordered(lattice, by).mapInArrow(lambda batches: measured(batches, by, boxed), schema)
     return calm.unionByName(crowded.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in _UNIONS]))
 
 
