@@ -170,6 +170,34 @@ def test_clip_and_split():
         assert sum(P.polygon_area(p, True) for p in P.split_polygon(star, box)) == pytest.approx(P.polygon_area(P.clip_polygon(star, box)))
 
 
+def test_make_valid():
+    sizes = lambda polygons: sorted(round(P.polygon_area(p, True), 9) for p in polygons)
+    assert sizes(P.make_valid(rings([(0, 0), (10, 10), (10, 0), (0, 10)]))) == [25, 25]
+    assert sizes(P.make_valid([square(0, 0, 4)[0], square(1, 1, 2)[0]])) == [12]
+    assert sizes(P.make_valid([square(0, 0, 4)[0], square(10, 10, 2)[0]])) == [4, 16]  # a hole outside is land
+    assert sizes(P.make_valid(rings([(0, 0), (4, 0), (4, 4), (6, 4), (4, 4), (0, 4)]))) == [16]  # a spike is dropped
+    assert P.make_valid(rings([(0, 0), (1, 0), (2, 0)])) == []
+    nested = [square(0, 0, 10)[0], square(1, 1, 8)[0], square(2, 2, 6)[0]]
+    assert sizes(P.make_valid(nested)) == [36, 36]
+
+
+@settings(max_examples=120, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.integers(0, 12), st.integers(0, 12)), min_size=3, max_size=7), min_size=1, max_size=2))
+def test_valid_polygons_cover_the_same(shapes):
+    made = P.make_valid(rings(*shapes))
+    assert sum(P.polygon_area(p, True) for p in made) == pytest.approx(P.covered_area([rings(*shapes)]), abs=1e-6)
+    assert all(P.covered_area([p]) == pytest.approx(P.polygon_area(p, True), abs=1e-6) for p in made)
+
+
+def test_simplified(spark):
+    line = np.array([(0, 0), (1, 0.05), (2, -0.05), (3, 0), (3, 3), (3.02, 4), (3, 5)], float)
+    assert P.simplified(line, 0.1).tolist() == [[0, 0], [3, 0], [3, 5]]
+    data = [bytearray(K.to_wkb("LineString", line.tolist())), bytearray(K.to_wkb("Polygon", [[(0, 0), (1, 0.01), (2, 0), (2, 2), (0, 2), (0, 0)]])), None]
+    df = spark.createDataFrame([(d,) for d in data], "g binary").select(K.simplify(F.col("g"), 0.1).alias("g"))
+    got = [None if r["g"] is None else K.from_wkb(bytes(r["g"])) for r in df.collect()]
+    assert len(got[0][1]) == 3 and got[1][1][0] == [(0, 0), (2, 0), (2, 2), (0, 2), (0, 0)] and got[2] is None
+
+
 def test_segments_merge():
     s = np.array([[0, 0, 2, 0], [3, 0, 1, 0], [5, 0, 6, 0], [0, 0, 0, 2], [0, 1, 0, 3], [0, 1, 1, 1], [1, 1, 3, 3], [2, 2, 0, 0]], float)
     merged = P.merged_segments(s)

@@ -234,6 +234,17 @@ def test_clip_features_of_every_family(spark):
     assert share["comb"][0] == pytest.approx(arms / (arms * 2 + 1 * (y(42) - y(41))), rel=1e-9)
 
 
+def test_clip_features_repairs(spark):
+    tie = ("a", "f", "tie", "Polygon", [[(0.0, 0.0), (2.0, 2.0), (2.0, 0.0), (0.0, 2.0), (0.0, 0.0)]])
+    out = clip.clip_features(features(spark, [tie]), (-5, -5, 5, 5)).collect()
+    assert len(out) == 2 and all(r["repaired"] and not r["clipped"] and r["retained_fraction"] == pytest.approx(1) for r in out)
+    half = clip.clip_features(features(spark, [tie]), (-5, -5, 1, 5)).collect()
+    assert len(half) == 1 and half[0]["retained_fraction"] == pytest.approx(0.5)
+    flat = ("a", "f", "flat", "Polygon", [[(0.0, 0.0), (1.0, 0.0), (2.0, 0.0), (0.0, 0.0)]])
+    with pytest.raises(Exception, match="loses its dimension"):
+        clip.clip_features(features(spark, [flat]), (-5, -5, 5, 5)).collect()
+
+
 def test_clip_features_over_the_dateline(spark):
     hole = rectangle(179.5, 0.25, -179.5, 0.75)[0]
     rows = [("a", "f", "p", "Polygon", [rectangle(179.0, 0.0, -179.0, 1.0)[0], hole]), ("a", "f", "l", "LineString", [(179.0, 0.5), (-179.0, 0.5)])]

@@ -330,3 +330,25 @@ def collection_wkb(shapes):
         return pa.array([joined(x) for x in a.to_pylist()], pa.binary())
 
     return F.arrow_udf(run, T.BinaryType())(shapes)
+
+
+def simplify(data, tolerance: float):
+    """WKB of a WKB column's parts with lines and rings simplified to within tolerance; a ring keeps four points at least, null stays null."""
+
+    def run(a: pa.Array) -> pa.Array:
+        out = []
+        for d in a.to_pylist():
+            parts = []
+            for kind, shape in primitives(*from_wkb(d)) if d is not None else []:
+                if kind == "Point":
+                    parts.append(to_wkb(kind, shape[0]))
+                elif kind == "LineString":
+                    parts.append(to_wkb(kind, planar.simplified(shape, tolerance).tolist()))
+                else:
+                    closed = [np.vstack((r, r[:1])) for r in shape]
+                    less = [planar.simplified(r, tolerance) for r in closed]
+                    parts.append(to_wkb(kind, [(x if len(x) > 3 else r).tolist() for x, r in zip(less, closed)]))
+            out.append(None if not parts else parts[0] if len(parts) == 1 else struct.pack("<BII", 1, 7, len(parts)) + b"".join(parts))
+        return pa.array(out, pa.binary())
+
+    return F.arrow_udf(run, T.BinaryType())(data)

@@ -1,7 +1,7 @@
 """Planar kernels over numpy arrays: clipping, even-odd areas, and unions of polygons, lines and points.
 
 A ring or line is an (n, 2) array, a polygon a list of rings, its shell first. Areas are
-even-odd within one polygon, so self-crossing rings need no repair. Tasks call these on one
+even-odd within one polygon, of self-crossing rings too; make_valid takes such rings apart. Tasks call these on one
 part or on the pieces of one cell; Spark deals out the rows.
 """
 
@@ -272,6 +272,96 @@ def polygon_area(rings: list[np.ndarray], simple: bool = False) -> float:
     return covered_area([rings])
 
 
+# --- repair ----------------------------------------------------------------------------------
+
+
+def _arrangement(rings: list[np.ndarray], digits: int) -> tuple[np.ndarray, set[tuple[int, int]]]:
+    """Nodes, and the edges between them, of rings cut at all places where they meet; edges that occur an even number of times are gone."""
+    a = np.vstack(rings)
+    b = np.vstack([np.roll(r, -1, axis=0) for r in rings])
+    moved = (a != b).any(axis=1)
+    a, b = a[moved], b[moved]
+    low, high = np.minimum(a, b), np.maximum(a, b)
+    nodes: dict[tuple, int] = {}
+    points: list[tuple] = []
+
+    def node(p) -> int:
+        key = (round(float(p[0]), digits) + 0.0, round(float(p[1]), digits) + 0.0)
+        if key not in nodes:
+            nodes[key] = len(points)
+            points.append((float(p[0]), float(p[1])))
+        return nodes[key]
+
+    for p in a:
+        node(p)
+    edges: set[tuple[int, int]] = set()
+    near = 10.0**-digits
+    for i in range(len(a)):
+        d, size = b[i] - a[i], float(np.hypot(*(b[i] - a[i])))
+        o = np.flatnonzero((low[:, 0] <= high[i, 0] + near) & (high[:, 0] >= low[i, 0] - near) & (low[:, 1] <= high[i, 1] + near) & (high[:, 1] >= low[i, 1] - near))
+        e = b[o] - a[o]
+        den = d[0] * e[:, 1] - d[1] * e[:, 0]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            t = ((a[o, 0] - a[i, 0]) * e[:, 1] - (a[o, 1] - a[i, 1]) * e[:, 0]) / den
+            s = ((a[o, 0] - a[i, 0]) * d[1] - (a[o, 1] - a[i, 1]) * d[0]) / den
+            hit = (den != 0) & (t > 0) & (t < 1) & (s >= 0) & (s <= 1)
+        ends = np.vstack((a[o], b[o]))
+        along = ((ends - a[i]) @ d) / size**2
+        away = np.abs((ends[:, 0] - a[i, 0]) * d[1] - (ends[:, 1] - a[i, 1]) * d[0]) / size
+        on = (along > 0) & (along < 1) & (away <= near)
+        stops = [(0.0, node(a[i])), (1.0, node(b[i])), *((float(x), node(a[i] + x * d)) for x in t[hit]), *((float(x), node(p)) for x, p in zip(along[on], ends[on]))]
+        path = [k for _, k in sorted(stops)]
+        for u, v in zip(path, path[1:]):
+            if u != v:
+                edges ^= {(min(u, v), max(u, v))}
+    return np.array(points), edges
+
+
+def make_valid(rings: list[np.ndarray]) -> list[list[np.ndarray]]:
+    """The polygons, each with its holes, that cover what the rings cover by the even-odd rule; none if that has no area.
+
+    Rings are cut where they meet, what runs back over itself is dropped, and the faces of the
+    rest are traced with the face on the left.
+    """
+    extent = max(1e-300, float(np.abs(np.vstack(rings)).max()))
+    p, edges = _arrangement(rings, 12 - int(np.ceil(np.log10(extent))))
+    around: dict[int, list[int]] = {}
+    for u, v in edges:
+        around.setdefault(u, []).append(v)
+        around.setdefault(v, []).append(u)
+    follows = {}
+    for u, others in around.items():
+        others.sort(key=lambda v: float(np.arctan2(p[v, 1] - p[u, 1], p[v, 0] - p[u, 0])))
+        for k, v in enumerate(others):  # coming from v, the next edge clockwise leaves
+            follows[v, u] = (u, others[k - 1])
+    cycles = []
+    while follows:
+        half, cycle = next(iter(follows)), []
+        while half in follows:
+            cycle.append(half[0])
+            half = follows.pop(half)
+        cycles.append(np.array(cycle))
+    faces, outer = [], []
+    for c in cycles:
+        area = ring_area(p[c]) if len(c) > 2 else 0.0
+        if area > 0:
+            q, n = p[c], np.roll(p[c], -1, axis=0)
+            k = int(np.argmax(np.hypot(*(n - q).T)))
+            left = np.array([q[k, 1] - n[k, 1], n[k, 0] - q[k, 0]])
+            inner = next((x for x in ((q[k] + n[k]) / 2 + left * f for f in (1e-3, 1e-5, 1e-7, 1e-9)) if holds(q, tuple(x))), None)
+            covered = inner is not None and sum(holds(r, tuple(inner)) for r in rings) % 2 == 1
+            faces.append((area, set(c.tolist()), [q], covered))
+        elif area < 0:
+            outer.append(c)
+    faces.sort(key=lambda f: f[0])
+    for c in outer:
+        hole = p[c]
+        home = next((f for f in faces if f[0] > -ring_area(hole) and any(k not in f[1] for k in c.tolist()) and holds(f[2][0], tuple(p[next(k for k in c.tolist() if k not in f[1])]))), None)
+        if home is not None:
+            home[2].append(hole)
+    return [f[2] for f in faces if f[3]]
+
+
 # --- unions of lines and points --------------------------------------------------------------
 
 
@@ -310,3 +400,22 @@ def merged_segments(s: np.ndarray, digits: int = 9) -> np.ndarray:
 
 def distinct_points(p: np.ndarray) -> np.ndarray:
     return np.unique(p + 0.0, axis=0)
+
+
+def simplified(line: np.ndarray, tolerance: float) -> np.ndarray:
+    """The points of a line that keep it within tolerance of itself (Douglas and Peucker); its ends stay."""
+    keep, todo = np.zeros(len(line), bool), [(0, len(line) - 1)]
+    keep[[0, -1]] = True
+    while todo:
+        a, b = todo.pop()
+        if b - a < 2:
+            continue
+        d, q = line[b] - line[a], line[a + 1 : b] - line[a]
+        size = float(np.hypot(*d))
+        t = np.clip(q @ d / size**2, 0, 1) if size else np.zeros(len(q))
+        away = np.hypot(*(q - t[:, None] * d).T)
+        k = int(away.argmax())
+        if away[k] > tolerance:
+            keep[a + 1 + k] = True
+            todo += [(a, a + 1 + k), (a + 1 + k, b)]
+    return line[keep]

@@ -105,7 +105,9 @@ def clip_features(features: DataFrame, box: tuple, record: str = "record_id") ->
     """Features of any family (record, wkb) cut to box, a row for each primitive part that is left.
 
     Adds family, wkb and bounds of the part, part_number and part_id (by the digest of the part),
-    retained_fraction (of the record's area, length or points, all parts together) and clipped.
+    retained_fraction (of the record's area, length or points, all parts together), clipped, and
+    repaired, true for polygons whose rings cross and were taken apart by the even-odd rule
+    first. A polygon without area is an error.
     Areas are equal-area and lengths geodesic. The box includes its border: a point on it stays,
     what touches it without an area or length of its own does not. A box with west > east and
     features over the dateline are unwrapped and met on every turn. Records with nothing left
@@ -116,7 +118,7 @@ def clip_features(features: DataFrame, box: tuple, record: str = "record_id") ->
 
     parts = parts_of(features)
     own = [c for c in parts.columns if c not in (*BOX, "wkb", "family")]
-    made = T._parse_datatype_string("family string, wkb binary, min_x double, min_y double, max_x double, max_y double, __kept double, __whole double")
+    made = T._parse_datatype_string("family string, wkb binary, min_x double, min_y double, max_x double, max_y double, repaired boolean, __kept double, __whole double")
     schema = T.StructType([*(parts.schema[c] for c in own), *made])
     boxes, turns = box_parts(*box), (0.0, -360.0, 360.0)
 
@@ -124,34 +126,39 @@ def clip_features(features: DataFrame, box: tuple, record: str = "record_id") ->
         rings = [_unwrapped(np.vstack((r, r[:1])))[:-1] for r in rings]
         rings = [r + (360.0 * np.round((rings[0][0, 0] - r[0, 0]) / 360), 0.0) for r in rings]
         area = lambda shape: P.polygon_area([np.column_stack(K.equal_area(r[:, 0], r[:, 1])) for r in shape], True)
-        found = [x for t in turns for b in boxes for x in P.split_polygon([r + (t, 0.0) for r in rings], b)]
-        return area(rings), [(K.to_wkb("Polygon", [np.vstack((r, r[:1])).tolist() for r in x]), x[0], a) for x in found if (a := area(x)) > 0]
+        sound = P.is_simple(rings)
+        valid = [rings] if sound else P.make_valid(rings)
+        whole = sum(map(area, valid))
+        if not whole:
+            raise ValueError("a polygon without area loses its dimension")
+        found = [x for v in valid for t in turns for b in boxes for x in P.split_polygon([r + (t, 0.0) for r in v], b)]
+        return whole, not sound, [(K.to_wkb("Polygon", [np.vstack((r, r[:1])).tolist() for r in x]), x[0], a) for x in found if (a := area(x)) > 0]
 
     def line(points):
         points = _unwrapped(points)
         length = lambda p: float(K.line_length(p))
         cut = [P.clip_line(points + (t, 0.0), b) for t in turns for b in boxes]
-        return length(points), [(K.to_wkb("LineString", c.tolist()), c, length(c)) for s in cut if len(s) for c in _chains(s)]
+        return length(points), False, [(K.to_wkb("LineString", c.tolist()), c, length(c)) for s in cut if len(s) for c in _chains(s)]
 
     def point(points):
         x, y = points[0]
         for t in turns:
             if any(w <= x + t <= e and s <= y <= n for w, s, e, n in boxes):
-                return 1.0, [(K.to_wkb("Point", (x + t, y)), points + (t, 0.0), 1.0)]
-        return 1.0, []
+                return 1.0, False, [(K.to_wkb("Point", (x + t, y)), points + (t, 0.0), 1.0)]
+        return 1.0, False, []
 
     def cut(batches):
         for batch in batches:
             owner, rows = [], []
             for i, data in enumerate(batch.column("wkb").to_pylist()):
                 ((kind, shape),) = K.primitives(*K.from_wkb(data))
-                whole, found = {"Polygon": polygon, "LineString": line, "Point": point}[kind](shape)
+                whole, repaired, found = {"Polygon": polygon, "LineString": line, "Point": point}[kind](shape)
                 for k, (wkb, p, kept) in enumerate(found or [(None, None, 0.0)]):
                     low, high = (p.min(axis=0).tolist(), p.max(axis=0).tolist()) if p is not None else ([None] * 2, [None] * 2)
                     owner.append(i)
-                    rows.append((K.FAMILY[kind], wkb, *low, *high, kept, whole if k == 0 else 0.0))
+                    rows.append((K.FAMILY[kind], wkb, *low, *high, repaired, kept, whole if k == 0 else 0.0))
             columns = list(zip(*rows)) if rows else [()] * len(made.fields)
-            types = [pa.string(), pa.binary(), *[pa.float64()] * 6]
+            types = [pa.string(), pa.binary(), *[pa.float64()] * 4, pa.bool_(), pa.float64(), pa.float64()]
             at = pa.array(owner, pa.int64())
             yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in own), *(pa.array(c, t) for c, t in zip(columns, types))], [*own, *made.names])
 
