@@ -168,6 +168,18 @@ def test_acquisition_checks(spark):
     A.check_roster(a, a, "k")
 
 
+def test_tasks_fetch_records(spark):
+    def short(batch):  # the provider never returns more than three records
+        return [{"id": i, "v": f"r{i}"} for i in batch[:3]]
+
+    ids = spark.createDataFrame([(i % 50,) for i in range(120)] + [(None,)], "id long")
+    got = A.fetched(ids, "id", short, "id long, v string", size=16)
+    assert sorted((r["id"], r["v"]) for r in got.collect()) == [(i, f"r{i}") for i in range(50)]
+    with pytest.raises(Exception, match="announced"):
+        A.fetched(ids, "id", lambda batch: [{"id": i, "v": ""} for i in batch if i != 7], "id long, v string", size=16).collect()
+    assert A.fetched(ids.limit(0), "id", short, "id long, v string").count() == 0
+
+
 CONFIG = """
 vars: {who: FWS}
 bounds: [-130, 30, -110, 50]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.geometry import box_parts
 from ..operators.relational import duplicate_keys, roster_gaps
@@ -68,3 +68,26 @@ def fetch_all(ids: list[int], fetch, size: int = 1000) -> list[dict]:
             middle = len(batch) // 2
             todo += [batch[:middle], batch[middle:]]
     return out
+
+
+def fetched(ids: DataFrame, key: str, fetch, schema: str, size: int = 1000) -> DataFrame:
+    """The records of all distinct ids of a table, fetched by tasks: fetch(batch) returns records as dicts of the schema's fields.
+
+    Ids are dealt out to tasks and asked for `size` at a time, in halves where a batch comes
+    back short; an id that alone comes back empty is an error. Null ids are not asked for.
+    Neither ids nor records pass the driver.
+    """
+    fields = T._parse_datatype_string(schema)
+
+    def run(batches_):
+        import pyarrow as pa
+
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        kind = to_arrow_schema(fields)
+        for batch in batches_:
+            wanted = sorted(batch.column(0).to_pylist())
+            for at in range(0, len(wanted), size):
+                yield pa.RecordBatch.from_pylist(fetch_all(wanted[at : at + size], fetch, size), kind)
+
+    return ids.select(key).where(F.col(key).isNotNull()).distinct().mapInArrow(run, fields)
