@@ -273,6 +273,8 @@ def test_normalize(spark):
         N.normalize(raw.drop("rsl_type"), refuge, N.Source("fws"))
     with pytest.raises(Exception, match="without identity"):
         N.normalize(raw.withColumn("rsl_type", F.lit("NWR")), refuge, N.Source("fws")).collect()
+    with pytest.raises(ValueError, match="not a whole number"):
+        N.normalize(raw.withColumn("objectid", F.lit(1.5)), refuge, N.Source("fws"))
     assert N.repeated(made.union(made)).first()["rows"] == 2 and N.repeated(made).count() == 0
 
 

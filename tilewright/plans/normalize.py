@@ -80,6 +80,8 @@ def passthrough(df: DataFrame, prefix: str, skip: tuple[str, ...] = ()) -> list[
     return [S.clean(c).alias(prefix + c.upper()) for c in df.columns if c not in skip]
 
 
+#: Identities that providers declare as whole numbers (fixed values).
+INTEGER_FIELDS = ("OBJECTID", "STAT_AREA")
 Value = Callable[[DataFrame], Column] | str | float | bool | None
 
 
@@ -167,6 +169,10 @@ def normalize(df: DataFrame, layer: Layer, source: Source) -> DataFrame:
     identities are found by `repeated`, which needs a shuffle and is left to the build.
     """
     require(df, [*layer.required, *layer.identity, *([layer.type_field] if layer.type_field else [])])
+    for f in df.schema:
+        if f.name.upper() in INTEGER_FIELDS and f.name.casefold() in {n.casefold() for n in (*layer.identity, *layer.required)}:
+            if not isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType)):
+                raise ValueError(f"{layer.name}: {f.name} is {f.dataType.simpleString()}, not a whole number")
     if layer.keep is not None:
         df = df.where(layer.keep(df))
     kind = F.lit(layer.feature_type)
