@@ -53,6 +53,19 @@ def test_token_report(spark, byte_level):
     assert C.token_report(df.limit(0)).count() == 0
 
 
+def test_long_texts_and_clashing_columns(spark, byte_level):
+    r = random.Random(8)
+    long = " ".join("".join(r.choice("abcdefgh") for _ in range(r.randrange(1, 9))) for _ in range(200_000))
+    df = spark.createDataFrame([(1, long), (2, None), (3, "short")], "doc_id long, text string")
+    df = df.withColumns({c: F.lit("clash") for c in ("length", "docs", "n_tokens", "copy", "piece", "id", "salt", "offset")})
+    n = len(byte_level.encode(long, add_special_tokens=False).ids)
+    short = len(byte_level.encode("short", add_special_tokens=False).ids)
+    assert sorted((x["length"], x["docs"]) for x in C.token_report(df).collect()) == sorted([(n, 1), (short, 1), (0, 1)])
+    packed = P.pack(df, limit=1024, end_id=2, keep_ids=False).collect()
+    assert sum(x["length"] for x in packed if x["id"] == 1) == n + 1 and max(x["length"] for x in packed) == 1024
+    assert {x["id"] for x in packed} == {1, 2, 3}
+
+
 def brute_fit(lengths, limit):
     bins = []
     for n in sorted(lengths, reverse=True):
