@@ -159,6 +159,20 @@ def test_crosswalk_fractions(spark):
     assert P.check_crosswalk(walk, ["rec"], "cell").first().asDict() == {"rows": 2, "bad_measures": 0, "bad_fractions": 0, "repeated": 0, "above_one": 0}
 
 
+def test_crosswalk_of_shapes(spark):
+    cells = boxes(spark, CELLS, "cell_id string")
+    triangle = [[(5, 0), (15, 0), (5, 10), (5, 0)]]
+    rows = [("a", "f", "r", "Polygon", triangle), ("a", "f", "r", "Polygon", rectangle(5, 0, 7, 2)), ("b", "f", "r", "Polygon", rectangle(5, 0, 25, 10)), ("a", "f", "l", "LineString", [(0, 0), (9, 9)])]
+    parts = E.parts_of(features(spark, rows))
+    walk = E.crosswalk(parts, cells, ["group", "record_id"], 4.0, earth=False)
+    got = {(r["group"], r["cell_id"]): (r["intersection_area"], r["native_area"], r["fraction_of_cell"]) for r in walk.collect()}
+    near = lambda *x: tuple(pytest.approx(v, rel=1e-9) for v in x)
+    assert got == {("a", "c0"): near(37.5, 50, 0.375), ("a", "c1"): near(12.5, 50, 0.125), ("b", "c0"): near(50, 200, 0.5), ("b", "c1"): near(100, 200, 1.0)}
+    assert P.check_crosswalk(walk, ["group", "record_id"], "cell_id").first().asDict() == {"rows": 4, "bad_measures": 0, "bad_fractions": 0, "repeated": 0, "above_one": 0}
+    corner = E.parts_of(features(spark, [("m", "f", "r", "Polygon", [[(9, 9), (10, 9), (10, 12), (9, 9)]])]))  # its bounds touch the second cell
+    assert [r["cell_id"] for r in E.supported(cells, corner, 4.0).collect()] == ["c0"]
+
+
 def test_relations(spark):
     a = spark.createDataFrame([(1,), (2,), (2,), (None,)], "k int")
     b = spark.createDataFrame([(2,), (3,)], "k int")

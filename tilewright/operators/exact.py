@@ -289,3 +289,36 @@ def cell_areas(cells: DataFrame, earth: bool = True) -> DataFrame:
 
     x, y = (project_x, project_y) if earth else (lambda c: F.col(c).cast("double"),) * 2
     return cells.select("cell_id", ((x("max_x") - x("min_x")) * (y("max_y") - y("min_y"))).alias("cell_area"))
+
+
+def tiles_under(parts: DataFrame, tile: float) -> DataFrame:
+    """Square cells (cell_id, box) of a lattice that the parts' bounds meet, each once."""
+    met = _blocks(parts.where(" and ".join(f"{c} is not null" for c in BOX)).select(*BOX), F.lit(float(tile))).select("bx", "by").distinct()
+    side = lambda c, more: ((F.col(c) + more) * float(tile))
+    return met.select(F.format_string("%d_%d", "bx", "by").alias("cell_id"), side("bx", 0).alias("min_x"), side("by", 0).alias("min_y"), side("bx", 1).alias("max_x"), side("by", 1).alias("max_y"))
+
+
+def crosswalk(parts: DataFrame, cells: DataFrame, record: list[str], tile: float, earth: bool = True) -> DataFrame:
+    """(record, cell_id, intersection_area, native_area, cell_area, fraction_of_native, fraction_of_cell) of polygon parts.
+
+    parts as for pieces, with the record's columns. A record's parts are a union in the cell and
+    as a whole, so what they share counts once; its own area is added up from a lattice of tiles,
+    so no record meets in one task. Only positive areas appear; lines and points have none.
+    """
+    polygons = parts.where("family = 'polygon'").select(*record, "family", "wkb", *BOX)
+    inside = unions(pieces(polygons, cells, tile, earth), [*record, "cell_id"], earth).select(*record, "cell_id", F.col("union_area").alias("intersection_area"))
+    own = unions(pieces(polygons, tiles_under(polygons, tile), tile, earth), [*record, "cell_id"], earth)
+    native = own.groupBy(*record).agg(F.sum("union_area").alias("native_area"))
+    other = {k: "__" + k for k in record}
+    same = [F.col(k).eqNullSafe(F.col("__" + k)) for k in record]
+    out = inside.join(native.withColumnsRenamed(other), same).drop(*other.values()).join(cell_areas(cells, earth), "cell_id")
+    share = lambda c: (F.col("intersection_area") / F.col(c))
+    return out.where("intersection_area > 0").select(
+        *record, "cell_id", "intersection_area", "native_area", "cell_area", share("native_area").alias("fraction_of_native"), share("cell_area").alias("fraction_of_cell")
+    )
+
+
+def supported(cells: DataFrame, mask: DataFrame, tile: float) -> DataFrame:
+    """The cells that share an area with the polygons of a mask (parts as for pieces)."""
+    hit = pieces(mask.where("family = 'polygon'").select("family", "wkb", *BOX), cells, tile).select("cell_id").distinct()
+    return cells.join(hit, "cell_id", "left_semi")
