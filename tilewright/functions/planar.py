@@ -122,6 +122,22 @@ def split_polygon(rings: list[np.ndarray], box: tuple) -> list[list[np.ndarray]]
     return shells
 
 
+def clip_band(rings: list[np.ndarray], axis: int, low: float, high: float) -> list[np.ndarray]:
+    """A polygon between two lines across an axis; without its shell nothing is left."""
+    kept = []
+    for i, ring in enumerate(rings):
+        v = ring[:, axis]
+        if v.min() < low:
+            ring = _clip_side(ring, axis, low, True)
+        if len(ring) and v.max() > high:
+            ring = _clip_side(ring, axis, high, False)
+        if len(ring) >= 3:
+            kept.append(ring)
+        elif i == 0:
+            return []
+    return kept
+
+
 def clip_line(line: np.ndarray, box: tuple) -> np.ndarray:
     """(m, 4) segments x1, y1, x2, y2 of a line within a box, its border included; none without length."""
     a, b = line[:-1], line[1:]

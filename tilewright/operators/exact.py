@@ -79,8 +79,10 @@ def _polygon_pieces(rings: list[np.ndarray], boxes: np.ndarray, earth: bool):
     for i, box in enumerate(boxes.tolist()):
         rows = (box[1], box[3])
         if rows not in strips:
-            strips[rows] = P.clip_polygon(rings, (-np.inf, box[1], np.inf, box[3]))
-        kept = P.clip_polygon(strips[rows], (box[0], -np.inf, box[2], np.inf)) if strips[rows] else []
+            strips[rows] = P.clip_band(rings, 1, *rows)
+        kept = P.clip_band(strips[rows], 0, box[0], box[2]) if strips[rows] else []
+        if not kept:
+            continue
         area = P.polygon_area(kept, simple)
         whole = (box[2] - box[0]) * (box[3] - box[1])
         if area <= 1e-12 * whole:
