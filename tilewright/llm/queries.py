@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, chat, minhash, packing, quality, sharding, token_counts, toxicity, urls
+from . import ann, arrow_files, bpe, chat, minhash, packing, quality, sharding, token_counts, toxicity, urls
 from .common import table
 from .tokens import tokenizer_path
 
@@ -83,6 +83,10 @@ def _judged(judged: DataFrame) -> DataFrame:
     )
 
 
+def op13_arrow_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arrow_files.read(arrow_files.write(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), length=1024, end_id=2))
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_token_counts": op2_token_counts,
@@ -95,6 +99,7 @@ QUERIES = {
     "op9_bpe": op9_bpe,
     "op10_line_rules": op10_line_rules,
     "op10_line_rules_bounded": op10_line_rules_bounded,
+    "op13_arrow_files": op13_arrow_files,
 }
 
 _WORDS = r"'[^\x20\x09-\x0D]+'"
