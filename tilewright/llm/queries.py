@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, arrow_files, bpe, chat, minhash, packing, quality, sharding, token_counts, toxicity, urls
+from . import ann, arrow_files, bpe, chat, minhash, packing, prefix_trie, quality, sharding, token_counts, toxicity, urls
 from .common import table
 from .tokens import tokenizer_path
 
@@ -83,6 +83,11 @@ def _judged(judged: DataFrame) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    numbered = prefix_trie.numbered_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(*prefix_trie.with_family_heads(numbered, family=20, heads=4))
+
+
 def op13_arrow_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrow_files.read(arrow_files.write(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), length=1024, end_id=2))
 
@@ -99,6 +104,7 @@ QUERIES = {
     "op9_bpe": op9_bpe,
     "op10_line_rules": op10_line_rules,
     "op10_line_rules_bounded": op10_line_rules_bounded,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_arrow_files": op13_arrow_files,
 }
 
@@ -161,4 +167,19 @@ m as (select w.doc_id, len(w) as n_words, length(array_to_string(w, '')) as word
   from w left join cover on cover.doc_id = w.doc_id left join lost on lost.doc_id = w.doc_id)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
   not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and n_words - removed_words >= 10 and n_words - removed_words >= 0.3 * n_words as kept, removed_words from m""",
+    "op12_prefix_trie": rf"""
+with t as (select conv_id as c, turn, coalesce(role, '') as r, coalesce(text, '') as x from conversations where conv_id is not null),
+o as (select c, list({{'r': r, 'x': x}} order by turn nulls first, r, sha256(concat(length(r), ':', r, x))) as l from t group by 1),
+crc as (select c, (4294967295 - list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(c::varchar, ''), lambda s: ascii(s)::bigint)), lambda a, b:
+  list_reduce(list_prepend(xor(a, b), range(8)), lambda y, i: case when y % 2 = 1 then xor(y // 2, 3988292384) else y // 2 end))) % 4 as h from o),
+v as (select o.c, list_concat(coalesce(b.l, [])[1:h], o.l[h + 1:]) as l from o join crc on crc.c = o.c left join o b on b.c = o.c - o.c % 20),
+p as (select c, l, unnest(range(0, len(l) + 1)) as d from v),
+n as (select d, l[1:d] as path, min(c) as rep, count(*) as n, string_agg(c::varchar, ',' order by c) filter (where len(l) = d) as ends from p group by 1, 2),
+m as (select *, (n - 1) * case when d = 0 then 0 else len(regexp_extract_all(path[d]['x'], {_WORDS})) end as saved,
+  not exists (select 1 from n k where k.d = n.d + 1 and k.path[1:n.d] = n.path) as leaf from n),
+up as (select d, path, saved, leaf, unnest(range(0, d + 1)) as e from m),
+sums as (select e, path[1:e] as path, sum(saved) as saved, count(*) filter (where leaf) as leaves, count(*) filter (where d = e + 1) as children from up group by 1, 2)
+select m.rep as conv_id, m.d as depth, q.rep as parent_conv_id, m.n as n_convs, s.children as n_children, s.leaves as n_leaves, s.saved::bigint as saved_tokens,
+  sha256(coalesce(m.ends, '')) as ends_sha256
+from m join sums s on s.e = m.d and s.path = m.path left join n q on q.d = m.d - 1 and q.path = m.path[1:m.d - 1]""",
 }
