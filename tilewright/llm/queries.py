@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, arrow_files, bpe, chat, minhash, packing, prefix_trie, quality, sharding, token_counts, toxicity, urls
+from . import ann, arrow_files, bpe, chat, hard_negatives, minhash, packing, prefix_trie, quality, sharding, token_counts, toxicity, urls
 from .common import table
 from .tokens import tokenizer_path
 
@@ -83,6 +83,13 @@ def _judged(judged: DataFrame) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.whole_vectors(table(spark, sf_dir, "embeddings"), scale=256.0)
+    rows = rows.withColumn("label", F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    found = hard_negatives.mine(rows, F.col("id") % 100 == 0, positives=5, negatives=5, percent=80)
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbered = prefix_trie.numbered_turns(table(spark, sf_dir, "conversations"))
     return prefix_trie.prefix_trie(*prefix_trie.with_family_heads(numbered, family=20, heads=4))
@@ -104,6 +111,7 @@ QUERIES = {
     "op9_bpe": op9_bpe,
     "op10_line_rules": op10_line_rules,
     "op10_line_rules_bounded": op10_line_rules_bounded,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_arrow_files": op13_arrow_files,
 }
@@ -167,6 +175,16 @@ m as (select w.doc_id, len(w) as n_words, length(array_to_string(w, '')) as word
   from w left join cover on cover.doc_id = w.doc_id left join lost on lost.doc_id = w.doc_id)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
   not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and n_words - removed_words >= 10 and n_words - removed_words >= 0.3 * n_words as kept, removed_words from m""",
+    "op11_hard_negatives": r"""
+with g as (select vec_id, label, list_transform(embedding, lambda x: cast(x as double)) as x from embeddings where vec_id is not null and label is not null and embedding is not null),
+v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(x, lambda y: floor(256 * y)) as v from g
+  where len(list_filter(x, lambda y: y is null or isnan(y) or isinf(y))) = 0),
+s as (select a.vec_id as a, b.vec_id as b, a.label = b.label as same, cast(list_inner_product(a.v, b.v) as bigint) as s
+  from v a join v b on b.vec_id <> a.vec_id and len(a.v) = len(b.v) where a.vec_id % 100 = 0),
+p as (select a, b, s from s where same qualify row_number() over (partition by a order by s desc, b) <= 5)
+select p.a as anchor_id, p.b as positive_id, cast(row_number() over (partition by p.a, p.b order by n.s desc, n.b) as integer) as rank, n.b as negative_id,
+  p.s as positive_score, n.s as negative_score
+from p join s n on n.a = p.a and not n.same and 80 * p.s <= 100 * n.s and n.s <= p.s qualify rank <= 5""",
     "op12_prefix_trie": rf"""
 with t as (select conv_id as c, turn, coalesce(role, '') as r, coalesce(text, '') as x from conversations where conv_id is not null),
 o as (select c, list({{'r': r, 'x': x}} order by turn nulls first, r, sha256(concat(length(r), ':', r, x))) as l from t group by 1),
