@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tilewright.functions import geometry as G, kernels as K, planar as P, scalar as S, temporal as T
+from tilewright.functions import geometry as G, kernels as K, noding as N, planar as P, scalar as S, temporal as T
 
 
 def one(spark, column):
@@ -172,19 +172,19 @@ def test_clip_and_split():
 
 def test_make_valid():
     sizes = lambda polygons: sorted(round(P.polygon_area(p, True), 9) for p in polygons)
-    assert sizes(P.make_valid(rings([(0, 0), (10, 10), (10, 0), (0, 10)]))) == [25, 25]
-    assert sizes(P.make_valid([square(0, 0, 4)[0], square(1, 1, 2)[0]])) == [12]
-    assert sizes(P.make_valid([square(0, 0, 4)[0], square(10, 10, 2)[0]])) == [4, 16]  # a hole outside is land
-    assert sizes(P.make_valid(rings([(0, 0), (4, 0), (4, 4), (6, 4), (4, 4), (0, 4)]))) == [16]  # a spike is dropped
-    assert P.make_valid(rings([(0, 0), (1, 0), (2, 0)])) == []
+    assert sizes(N.make_valid(rings([(0, 0), (10, 10), (10, 0), (0, 10)]))) == [25, 25]
+    assert sizes(N.make_valid([square(0, 0, 4)[0], square(1, 1, 2)[0]])) == [12]
+    assert sizes(N.make_valid([square(0, 0, 4)[0], square(10, 10, 2)[0]])) == [4, 16]  # a hole outside is land
+    assert sizes(N.make_valid(rings([(0, 0), (4, 0), (4, 4), (6, 4), (4, 4), (0, 4)]))) == [16]  # a spike is dropped
+    assert N.make_valid(rings([(0, 0), (1, 0), (2, 0)])) == []
     nested = [square(0, 0, 10)[0], square(1, 1, 8)[0], square(2, 2, 6)[0]]
-    assert sizes(P.make_valid(nested)) == [36, 36]
+    assert sizes(N.make_valid(nested)) == [36, 36]
 
 
 @settings(max_examples=120, deadline=None)
 @given(st.lists(st.lists(st.tuples(st.integers(0, 12), st.integers(0, 12)), min_size=3, max_size=7), min_size=1, max_size=2))
 def test_valid_polygons_cover_the_same(shapes):
-    made = P.make_valid(rings(*shapes))
+    made = N.make_valid(rings(*shapes))
     assert sum(P.polygon_area(p, True) for p in made) == pytest.approx(P.covered_area([rings(*shapes)]), abs=1e-6)
     assert all(P.covered_area([p]) == pytest.approx(P.polygon_area(p, True), abs=1e-6) for p in made)
 

@@ -137,7 +137,7 @@ def get_layer(
             apart = [r["source_id"] for r in features.where(proposed).select("source_id").distinct().collect()]  # of the configured sources
             groups += [f"{s}__proposed" for s in apart]
             state |= {f"{s}__proposed": state[s] for s in apart}
-        shapes = features.select(group.alias("group"), "feature_id", "record_id", "wkb", *own)
+        shapes = features.select(group.alias("group"), "feature_id", F.concat_ws(":", "source_id", "record_id").alias("record_id"), "wkb", *own)
         made = overlay(grid, shapes, groups, cell_degrees, availability=state, mode="query", max_memberships=max_memberships)
         cells, members = made.wide, made.memberships
     provenance = {"collection": collection, "bbox": list(box), "sources": [s.source_id for s in used], "config": config.digest(), "cell_degrees": cell_degrees if make_cells else None}

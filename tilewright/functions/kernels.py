@@ -110,33 +110,46 @@ def to_wkb(kind: str, coordinates) -> bytes:
 
 
 def from_wkb(data: bytes) -> tuple[str, object]:
-    """GeoJSON type and coordinates of WKB of either byte order; raises on other codes."""
+    """GeoJSON type and coordinates in two dimensions of WKB of either byte order; raises on other codes.
+
+    Heights and measures, by ISO codes (1001, 2001, 3001, ...) or by the flags of extended WKB,
+    are left out, and so is the identity of a coordinate system that extended WKB may carry.
+    """
     return _read(data, 0)[0]
 
 
+#: Flags of extended WKB: heights, measures, a coordinate system's identity follows (fixed values).
+_HEIGHT, _MEASURE, _SYSTEM = 0x80000000, 0x40000000, 0x20000000
+
+
 def _read(data: bytes, at: int):
     order = "<" if data[at] == 1 else ">"
     (code,) = struct.unpack_from(order + "I", data, at + 1)
-    at += 5
-    if code not in _NAMES:
+    at += 5 + 4 * bool(code & _SYSTEM)
+    iso, plain = divmod(code & 0x0FFFFFFF, 1000)
+    if plain not in _NAMES or iso > 3:
         raise ValueError(f"unsupported geometry code {code}")
-    kind = _NAMES[code]
+    kind, size = _NAMES[plain], 2 + max(bool(code & _HEIGHT) + bool(code & _MEASURE), (0, 1, 1, 2)[iso])
+
+    def points(at, n):
+        flat = struct.unpack_from(f"{order}{size * n}d", data, at)
+        return list(zip(flat[::size], flat[1::size])), at + 8 * size * n
 
-    def points(at):
+    def line(at):
         (n,) = struct.unpack_from(order + "I", data, at)
-        flat = struct.unpack_from(f"{order}{2 * n}d", data, at + 4)
-        return list(zip(flat[::2], flat[1::2])), at + 4 + 16 * n
+        return points(at + 4, n)
 
     if kind == "Point":
-        return (kind, struct.unpack_from(order + "2d", data, at)), at + 16
+        (point,), at = points(at, 1)
+        return (kind, point), at
     if kind == "LineString":
-        line, at = points(at)
-        return (kind, line), at
+        found, at = line(at)
+        return (kind, found), at
     (n,) = struct.unpack_from(order + "I", data, at)
     at, out = at + 4, []
     for _ in range(n):
         if kind == "Polygon":
-            item, at = points(at)
+            item, at = line(at)
         else:
             (item_kind, item), at = _read(data, at)
             item = (item_kind, item) if kind == "GeometryCollection" else item
@@ -221,8 +234,53 @@ def primitives(kind: str, coordinates) -> list[tuple[str, object]]:
     return [(kind, array(coordinates))]
 
 
-def shapes(data):
-    """The primitive parts of a WKB column as array<struct<family, wkb, bounds>>; empty for null."""
+def unwrapped(p: np.ndarray) -> np.ndarray:
+    """Points with longitudes moved by whole turns so that no step exceeds 180 degrees."""
+    step = np.diff(p[:, 0])
+    turns = np.concatenate(([0.0], np.cumsum(np.where(step > 180, -360.0, np.where(step < -180, 360.0, 0.0)))))
+    return np.column_stack((p[:, 0] + turns, p[:, 1]))
+
+
+def unwrapped_rings(rings: list[np.ndarray]) -> list[np.ndarray]:
+    """Rings (without a repeated last point) unwrapped each, and the holes moved to the shell's turn."""
+    rings = [unwrapped(np.vstack((r, r[:1])))[:-1] for r in rings]
+    return [r + (360.0 * np.round((rings[0][0, 0] - r[0, 0]) / 360), 0.0) for r in rings]
+
+
+def chains(segments: np.ndarray) -> list[np.ndarray]:
+    """Lines of the segments that follow each other end to start."""
+    breaks = np.flatnonzero((segments[1:, :2] != segments[:-1, 2:]).any(axis=1)) + 1
+    return [np.vstack((part[:1, :2], part[:, 2:])) for part in np.split(segments, breaks)] if len(segments) else []
+
+
+def on_the_globe(kind: str, coordinates) -> list[tuple[str, object]]:
+    """A line or polygon as parts within longitudes -180 to 180: one that steps over the dateline is cut there."""
+    points = np.array(coordinates[0] if kind == "Polygon" else coordinates, float).reshape(-1, 2)
+    if len(points) < 2 or (np.abs(np.diff(points[:, 0])).max() <= 180 and np.abs(points[:, 0]).max() <= 180):
+        return [(kind, coordinates)]
+    turns, out = (0.0, -360.0, 360.0), []
+    if kind == "LineString":
+        line = unwrapped(points)
+        return [(kind, c.tolist()) for t in turns for c in chains(planar.clip_line(line + (t, 0.0), (-180.0, -90.0, 180.0, 90.0)))]
+    rings = unwrapped_rings(primitives(kind, coordinates)[0][1])
+    if not planar.is_simple(rings):
+        from .noding import make_valid
+
+        each = make_valid(rings)
+    else:
+        each = [rings]
+    for polygon in each:
+        for t in turns:
+            for part in planar.split_polygon([r + (t, 0.0) for r in polygon], (-180.0, -90.0, 180.0, 90.0)):
+                out.append((kind, [np.vstack((r, r[:1])).tolist() for r in part]))
+    return out
+
+
+def shapes(data, earth: bool = False):
+    """The primitive parts of a WKB column as array<struct<family, wkb, bounds>>; empty for null.
+
+    On the earth what steps over the dateline becomes a part on each side of it.
+    """
     fields = T._parse_datatype_string("array<struct<family: string, wkb: binary, min_x: double, min_y: double, max_x: double, max_y: double>>")
 
     def parts(kind, c):
@@ -233,6 +291,14 @@ def shapes(data):
         p = np.array([c] if kind == "Point" else c if kind == "LineString" else [x for r in c for x in r], float).reshape(-1, 2)
         if not len(p) or np.isnan(p).any():
             return []
+        if earth and kind != "Point":
+            each = on_the_globe(kind, c)
+            if len(each) != 1 or each[0][1] is not c:
+                return [x for k, v in each for x in flat(k, v)]
+        return flat(kind, c, p)
+
+    def flat(kind, c, p=None):
+        p = p if p is not None else np.array(c if kind == "LineString" else [x for r in c for x in r], float)
         low, high = p.min(axis=0), p.max(axis=0)
         return [{"family": FAMILY[kind], "wkb": to_wkb(kind, c), "min_x": low[0], "min_y": low[1], "max_x": high[0], "max_y": high[1]}]
 

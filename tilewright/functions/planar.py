@@ -1,8 +1,8 @@
 """Planar kernels over numpy arrays: clipping, even-odd areas, and unions of polygons, lines and points.
 
 A ring or line is an (n, 2) array, a polygon a list of rings, its shell first. Areas are
-even-odd within one polygon, of self-crossing rings too; make_valid takes such rings apart. Tasks call these on one
-part or on the pieces of one cell; Spark deals out the rows.
+even-odd within one polygon, of self-crossing rings too; noding takes such rings apart. Tasks call these on one
+part or on the pieces of some cells; Spark deals out the rows.
 """
 
 from __future__ import annotations
@@ -154,6 +154,70 @@ def clip_line(line: np.ndarray, box: tuple) -> np.ndarray:
     return np.hstack((a[keep] + low[keep, None] * d[keep], np.where(high[keep, None] == 1, b[keep], a[keep] + high[keep, None] * d[keep])))
 
 
+def clip_half(ring: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """A ring's part to the left of the line p -> q; pieces stay joined along it."""
+    d = q - p
+    v = d[0] * (ring[:, 1] - p[1]) - d[1] * (ring[:, 0] - p[0])
+    inside = v >= 0
+    if inside.all():
+        return ring
+    if not inside.any():
+        return ring[:0]
+    after, crosses = np.roll(v, -1), inside != np.roll(inside, -1)
+    t = np.where(crosses, v / np.where(v == after, 1, v - after), 0)
+    cut = ring + t[:, None] * (np.roll(ring, -1, axis=0) - ring)
+    return np.stack((ring, cut), axis=1).reshape(-1, 2)[np.stack((inside, crosses), axis=1).reshape(-1)]
+
+
+def clip_convex(rings: list[np.ndarray], cell: np.ndarray) -> list[np.ndarray]:
+    """A polygon's part within a convex ring that runs counter-clockwise; without its shell nothing is left."""
+    kept = []
+    for k, ring in enumerate(rings):
+        for p, q in zip(cell, np.roll(cell, -1, axis=0)):
+            if len(ring):
+                ring = clip_half(ring, p, q)
+        if len(ring) >= 3:
+            kept.append(ring)
+        elif k == 0:
+            return []
+    return kept
+
+
+def clip_line_convex(line: np.ndarray, cell: np.ndarray) -> np.ndarray:
+    """(m, 4) segments of a line within a convex ring that runs counter-clockwise, its border included; none without length."""
+    a, b = line[:-1], line[1:]
+    low, high = np.zeros(len(a)), np.ones(len(a))
+    for p, q in zip(cell, np.roll(cell, -1, axis=0)):
+        d = q - p
+        u, v = (d[0] * (x[:, 1] - p[1]) - d[1] * (x[:, 0] - p[0]) for x in (a, b))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            t = u / (u - v)
+        low = np.where((u < 0) & (v >= 0), np.maximum(low, t), low)
+        high = np.where((u >= 0) & (v < 0), np.minimum(high, t), high)
+        high = np.where((u < 0) & (v < 0), -1.0, high)
+    keep = high > low
+    d = b - a
+    return np.hstack((a[keep] + low[keep, None] * d[keep], np.where(high[keep, None] == 1, b[keep], a[keep] + high[keep, None] * d[keep])))
+
+
+def in_convex(points: np.ndarray, cell: np.ndarray) -> np.ndarray:
+    """Which points lie within a convex ring that runs counter-clockwise, its border included."""
+    d = np.roll(cell, -1, axis=0) - cell
+    return ((d[:, 0] * (points[:, None, 1] - cell[:, 1]) - d[:, 1] * (points[:, None, 0] - cell[:, 0])) >= 0).all(axis=1)
+
+
+def convex(ring: np.ndarray) -> np.ndarray:
+    """The ring counter-clockwise; raises if it is not convex."""
+    ring = ring if ring_area(ring) >= 0 else ring[::-1]
+    d = np.roll(ring, -1, axis=0) - ring
+    f = np.roll(d, -1, axis=0)
+    turns = d[:, 0] * f[:, 1] - d[:, 1] * f[:, 0]
+    way = np.unwrap(np.arctan2(d[:, 1], d[:, 0]))
+    if len(ring) < 3 or ring_area(ring) == 0 or (turns < -1e-12 * np.abs(d).max() ** 2).any() or way[-1] - way[0] > 2 * np.pi + 1e-9:
+        raise ValueError("a cell must be a convex polygon")
+    return ring
+
+
 # --- areas -----------------------------------------------------------------------------------
 
 
@@ -206,21 +270,67 @@ def crossings(e: np.ndarray, depth: int = 0) -> np.ndarray:
     return np.concatenate(found)
 
 
-def covered_area(polygons: list[list[np.ndarray]], at_least: int = 1) -> float:
-    """Area that lies in at least so many of the polygons: 1 gives the union, len(polygons) the intersection.
+def _crossings_by_key(e: np.ndarray, key: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, x) of all places where two edges of one key cross within both; first and last rank the edges' ends by key and x."""
+    order = np.argsort(first, kind="stable")
+    begin = first[order]
+    more = np.maximum(0, np.searchsorted(begin, last[order], "left") - np.arange(len(order)) - 1)
+    keys, xs, lo, total = [], [], 0, np.concatenate(([0], np.cumsum(more)))
+    while lo < len(order):
+        hi = max(lo + 1, int(np.searchsorted(total, total[lo] + PAIRS, "right")) - 1)
+        n = more[lo:hi]
+        i = np.repeat(np.arange(lo, hi), n)
+        j = i + 1 + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        p, q = e[order[i]], e[order[j]]
+        near = (np.minimum(p[:, 1], p[:, 3]) <= np.maximum(q[:, 1], q[:, 3])) & (np.maximum(p[:, 1], p[:, 3]) >= np.minimum(q[:, 1], q[:, 3]))
+        p, q, i = p[near], q[near], i[near]
+        d, f, g = p[:, 2:] - p[:, :2], q[:, 2:] - q[:, :2], q[:, :2] - p[:, :2]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            den = d[:, 0] * f[:, 1] - d[:, 1] * f[:, 0]
+            t, s = (g[:, 0] * f[:, 1] - g[:, 1] * f[:, 0]) / den, (g[:, 0] * d[:, 1] - g[:, 1] * d[:, 0]) / den
+            hit = (den != 0) & (t > 0) & (t < 1) & (s > 0) & (s < 1)
+        keys.append(key[order[i[hit]]])
+        xs.append(p[hit, 0] + t[hit] * d[hit, 0])
+        lo = hi
+    return np.concatenate([*keys, np.zeros(0, int)]), np.concatenate([*xs, np.zeros(0)])
+
 
-    Vertical slabs between all ends and crossings of edges; within a slab no two edges cross, so
-    their order along the middle line holds throughout and trapezoids add up exactly. An edge
-    meets only the slabs under it, and slabs are taken in runs of bounded size.
+def covered_areas(groups: list[list[list[np.ndarray]]], at_least: int = 1) -> np.ndarray:
+    """For each group of polygons the area that lies in at least so many of them: 1 gives the union, the group's size the intersection.
+
+    Vertical slabs between all ends and crossings of edges of a group; within a slab no two
+    edges cross, so their order along the middle line holds throughout and trapezoids add up
+    exactly. An edge meets only the slabs under it. All groups are swept at once, in runs of
+    slabs of bounded size.
     """
-    each = [edges_of(p) for p in polygons if p]
-    if not each or not sum(map(len, each)):
-        return 0.0
-    e, owner = np.vstack(each), np.repeat(np.arange(len(each)), [len(x) for x in each])
-    xs = np.unique(np.concatenate((e[:, 0], e[:, 2], crossings(e))))
-    first, last = np.searchsorted(xs, e[:, 0]), np.searchsorted(xs, e[:, 2])
+    each = [(g, edges_of(p)) for g, polygons in enumerate(groups) for p in polygons if p]
+    totals = np.zeros(len(groups))
+    if not sum(len(x) for _, x in each):
+        return totals
+    e = np.vstack([x for _, x in each])
+    sizes = [len(x) for _, x in each]
+    owner, key = np.repeat(np.arange(len(each)), sizes), np.repeat([g for g, _ in each], sizes)
+
+    def ranked(x: np.ndarray, of: np.ndarray):
+        order = np.lexsort((x, of))
+        x, of = x[order], of[order]
+        new = np.concatenate(([True], (x[1:] != x[:-1]) | (of[1:] != of[:-1])))
+        rank = np.empty(len(x), np.int64)
+        rank[order] = np.cumsum(new) - 1
+        return rank, x[new], of[new]
+
+    n = len(e)
+    rank, _, _ = ranked(np.concatenate((e[:, 0], e[:, 2])), np.concatenate((key, key)))
+    many = np.bincount(key, minlength=len(groups))
+    few = many[key] <= FEW
+    at, cut = _crossings_by_key(e[few], key[few], rank[:n][few], rank[n:][few])
+    for g in np.flatnonzero(many > FEW):
+        found = crossings(e[key == g])
+        at, cut = np.concatenate((at, np.full(len(found), g))), np.concatenate((cut, found))
+    rank, xs, of = ranked(np.concatenate((e[:, 0], e[:, 2], cut)), np.concatenate((key, key, at)))
+    first, last = rank[:n], rank[n : 2 * n]
     load = np.cumsum(np.bincount(first, minlength=len(xs)) - np.bincount(last, minlength=len(xs)))
-    total, lo = 0.0, 0
+    lo = 0
     while lo < len(xs) - 1:
         hi = max(lo + 1, int(np.searchsorted(np.cumsum(load[lo:-1]), PAIRS, "right")) + lo)
         here = np.flatnonzero((first < hi) & (last > lo))
@@ -240,10 +350,15 @@ def covered_area(polygons: list[list[np.ndarray]], at_least: int = 1) -> float:
         step[order] = np.where(place % 2 == 0, 1, -1)
         order = np.lexsort((y, slab))
         depth, slab, y = np.cumsum(step[order]), slab[order], y[order]
-        inner = (slab[1:] == slab[:-1]) & (depth[:-1] >= at_least)
-        total += float(np.sum((y[1:] - y[:-1])[inner] * (xs[slab + 1] - xs[slab])[:-1][inner]))
+        inner = np.flatnonzero((slab[1:] == slab[:-1]) & (depth[:-1] >= at_least))
+        totals += np.bincount(of[slab[inner]], (y[inner + 1] - y[inner]) * (xs[slab[inner] + 1] - xs[slab[inner]]), len(groups))
         lo = hi
-    return total
+    return totals
+
+
+def covered_area(polygons: list[list[np.ndarray]], at_least: int = 1) -> float:
+    """covered_areas of one group."""
+    return float(covered_areas([polygons], at_least)[0])
 
 
 def boxes_area(b: np.ndarray):
@@ -275,9 +390,54 @@ def boxes_area(b: np.ndarray):
     return total
 
 
+def _runs_round(ring: np.ndarray) -> bool:
+    """Whether a ring turns one way throughout and goes round once."""
+    d = np.empty_like(ring)
+    d[:-1], d[-1] = ring[1:] - ring[:-1], ring[0] - ring[-1]
+    x, y = d[:, 0], d[:, 1]
+    turn = x * np.roll(y, -1) - y * np.roll(x, -1)
+    least = 1e-12 * float(np.abs(d).max()) ** 2
+    if not ((turn > least).all() or (turn < -least).all()):
+        return False
+    up = y > 0
+    return int(np.count_nonzero(up != np.roll(up, -1))) == 2
+
+
 def is_simple(rings: list[np.ndarray]) -> bool:
-    """Whether no two edges of a polygon cross, so that its area is that of its shell less its holes."""
-    return len(rings[0]) <= 3 and len(rings) == 1 or not len(crossings(edges_of(rings)))
+    """Whether it is certain that edges of a polygon meet at the corners they share and nowhere else, so that its area is that of its shell less its holes.
+
+    Touching rings, repeated corners and whatever round-off leaves open count as not simple.
+    """
+    if len(rings) == 1 and (len(rings[0]) <= 3 or _runs_round(rings[0])):
+        return True
+    rings = [r[(r != np.roll(r, -1, axis=0)).any(axis=1)] for r in rings]
+    if any(len(r) < 3 for r in rings):
+        return False
+    a, b = np.vstack(rings), np.vstack([np.roll(r, -1, axis=0) for r in rings])
+    starts = np.cumsum([0, *map(len, rings)])
+    after = np.arange(1, len(a) + 1)
+    after[starts[1:] - 1] = starts[:-1]
+    box = np.hstack((np.minimum(a, b), np.maximum(a, b)))
+    if len(a) <= FEW:
+        i, j = np.triu_indices(len(a), 1)
+        near = (box[i, 0] <= box[j, 2]) & (box[i, 2] >= box[j, 0]) & (box[i, 1] <= box[j, 3]) & (box[i, 3] >= box[j, 1])
+    else:
+        from .noding import meeting
+
+        i, j = meeting(box, box)
+        near = i < j
+    i, j = i[near], j[near]
+    turn = lambda p, q, r: (q[:, 0] - p[:, 0]) * (r[:, 1] - p[:, 1]) - (q[:, 1] - p[:, 1]) * (r[:, 0] - p[:, 0])
+    least = 1e-14 * float(np.ptp(a, axis=0).max()) * float(np.abs(a).max())
+    next_ = (after[i] == j) | (after[j] == i)
+    apart = lambda x, y: (x > least) & (y > least) | (x < -least) & (y < -least)
+    clear = apart(turn(a[i], b[i], a[j]), turn(a[i], b[i], b[j])) | apart(turn(a[j], b[j], a[i]), turn(a[j], b[j], b[i]))
+    if not (clear | next_).all():
+        return False
+    i, j = i[next_], j[next_]
+    d, f = b[i] - a[i], b[j] - a[j]
+    back = (np.abs(d[:, 0] * f[:, 1] - d[:, 1] * f[:, 0]) <= least) & ((d * f).sum(axis=1) <= 0)
+    return not back.any()
 
 
 def polygon_area(rings: list[np.ndarray], simple: bool = False) -> float:
@@ -288,96 +448,6 @@ def polygon_area(rings: list[np.ndarray], simple: bool = False) -> float:
     return covered_area([rings])
 
 
-# --- repair ----------------------------------------------------------------------------------
-
-
-def _arrangement(rings: list[np.ndarray], digits: int) -> tuple[np.ndarray, set[tuple[int, int]]]:
-    """Nodes, and the edges between them, of rings cut at all places where they meet; edges that occur an even number of times are gone."""
-    a = np.vstack(rings)
-    b = np.vstack([np.roll(r, -1, axis=0) for r in rings])
-    moved = (a != b).any(axis=1)
-    a, b = a[moved], b[moved]
-    low, high = np.minimum(a, b), np.maximum(a, b)
-    nodes: dict[tuple, int] = {}
-    points: list[tuple] = []
-
-    def node(p) -> int:
-        key = (round(float(p[0]), digits) + 0.0, round(float(p[1]), digits) + 0.0)
-        if key not in nodes:
-            nodes[key] = len(points)
-            points.append((float(p[0]), float(p[1])))
-        return nodes[key]
-
-    for p in a:
-        node(p)
-    edges: set[tuple[int, int]] = set()
-    near = 10.0**-digits
-    for i in range(len(a)):
-        d, size = b[i] - a[i], float(np.hypot(*(b[i] - a[i])))
-        o = np.flatnonzero((low[:, 0] <= high[i, 0] + near) & (high[:, 0] >= low[i, 0] - near) & (low[:, 1] <= high[i, 1] + near) & (high[:, 1] >= low[i, 1] - near))
-        e = b[o] - a[o]
-        den = d[0] * e[:, 1] - d[1] * e[:, 0]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            t = ((a[o, 0] - a[i, 0]) * e[:, 1] - (a[o, 1] - a[i, 1]) * e[:, 0]) / den
-            s = ((a[o, 0] - a[i, 0]) * d[1] - (a[o, 1] - a[i, 1]) * d[0]) / den
-            hit = (den != 0) & (t > 0) & (t < 1) & (s >= 0) & (s <= 1)
-        ends = np.vstack((a[o], b[o]))
-        along = ((ends - a[i]) @ d) / size**2
-        away = np.abs((ends[:, 0] - a[i, 0]) * d[1] - (ends[:, 1] - a[i, 1]) * d[0]) / size
-        on = (along > 0) & (along < 1) & (away <= near)
-        stops = [(0.0, node(a[i])), (1.0, node(b[i])), *((float(x), node(a[i] + x * d)) for x in t[hit]), *((float(x), node(p)) for x, p in zip(along[on], ends[on]))]
-        path = [k for _, k in sorted(stops)]
-        for u, v in zip(path, path[1:]):
-            if u != v:
-                edges ^= {(min(u, v), max(u, v))}
-    return np.array(points), edges
-
-
-def make_valid(rings: list[np.ndarray]) -> list[list[np.ndarray]]:
-    """The polygons, each with its holes, that cover what the rings cover by the even-odd rule; none if that has no area.
-
-    Rings are cut where they meet, what runs back over itself is dropped, and the faces of the
-    rest are traced with the face on the left.
-    """
-    extent = max(1e-300, float(np.abs(np.vstack(rings)).max()))
-    p, edges = _arrangement(rings, 12 - int(np.ceil(np.log10(extent))))
-    around: dict[int, list[int]] = {}
-    for u, v in edges:
-        around.setdefault(u, []).append(v)
-        around.setdefault(v, []).append(u)
-    follows = {}
-    for u, others in around.items():
-        others.sort(key=lambda v: float(np.arctan2(p[v, 1] - p[u, 1], p[v, 0] - p[u, 0])))
-        for k, v in enumerate(others):  # coming from v, the next edge clockwise leaves
-            follows[v, u] = (u, others[k - 1])
-    cycles = []
-    while follows:
-        half, cycle = next(iter(follows)), []
-        while half in follows:
-            cycle.append(half[0])
-            half = follows.pop(half)
-        cycles.append(np.array(cycle))
-    faces, outer = [], []
-    for c in cycles:
-        area = ring_area(p[c]) if len(c) > 2 else 0.0
-        if area > 0:
-            q, n = p[c], np.roll(p[c], -1, axis=0)
-            k = int(np.argmax(np.hypot(*(n - q).T)))
-            left = np.array([q[k, 1] - n[k, 1], n[k, 0] - q[k, 0]])
-            inner = next((x for x in ((q[k] + n[k]) / 2 + left * f for f in (1e-3, 1e-5, 1e-7, 1e-9)) if holds(q, tuple(x))), None)
-            covered = inner is not None and sum(holds(r, tuple(inner)) for r in rings) % 2 == 1
-            faces.append((area, set(c.tolist()), [q], covered))
-        elif area < 0:
-            outer.append(c)
-    faces.sort(key=lambda f: f[0])
-    for c in outer:
-        hole = p[c]
-        home = next((f for f in faces if f[0] > -ring_area(hole) and any(k not in f[1] for k in c.tolist()) and holds(f[2][0], tuple(p[next(k for k in c.tolist() if k not in f[1])]))), None)
-        if home is not None:
-            home[2].append(hole)
-    return [f[2] for f in faces if f[3]]
-
-
 # --- unions of lines and points --------------------------------------------------------------
 
 
@@ -385,7 +455,8 @@ def merged_segments(s: np.ndarray, digits: int = 9) -> np.ndarray:
     """(m, 4) segments that cover what s covers, each place once.
 
     Segments on one line (equal direction and distance from the middle of all, to so many
-    digits) are merged along it; others share at most points.
+    digits) are merged along it; others share at most points. Parallel lines that lie closer
+    than 10**-digits of the extent are taken for one.
     """
     if len(s) < 2:
         return s

@@ -88,19 +88,6 @@ def clip_polygons(df: DataFrame, box: tuple, record: str, rings: str = "rings")
     return number_parts(out, record, ["__digest"], "part_id").select(*own, F.col("__part").alias(rings), "part_id", "part_number", "retained_fraction", "clipped")
 
 
-def _unwrapped(p: np.ndarray) -> np.ndarray:
-    """Points with longitudes moved by whole turns so that no step exceeds 180 degrees."""
-    step = np.diff(p[:, 0])
-    turns = np.concatenate(([0.0], np.cumsum(np.where(step > 180, -360.0, np.where(step < -180, 360.0, 0.0)))))
-    return np.column_stack((p[:, 0] + turns, p[:, 1]))
-
-
-def _chains(segments: np.ndarray) -> list[np.ndarray]:
-    """Lines of the segments that follow each other end to start."""
-    breaks = np.flatnonzero((segments[1:, :2] != segments[:-1, 2:]).any(axis=1)) + 1
-    return [np.vstack((part[:1, :2], part[:, 2:])) for part in np.split(segments, breaks)]
-
-
 def clip_features(features: DataFrame, box: tuple, record: str = "record_id") -> DataFrame:
     """Features of any family (record, wkb) cut to box, a row for each primitive part that is left.
 
@@ -113,7 +100,7 @@ def clip_features(features: DataFrame, box: tuple, record: str = "record_id") ->
     features over the dateline are unwrapped and met on every turn. Records with nothing left
     have no rows; they are what an anti join finds. Null geometries have no parts.
     """
-    from ..functions import kernels as K, planar as P
+    from ..functions import kernels as K, noding as N, planar as P
     from .exact import parts_of
 
     parts = parts_of(features)
@@ -123,11 +110,10 @@ def clip_features(features: DataFrame, box: tuple, record: str = "record_id") ->
     boxes, turns = box_parts(*box), (0.0, -360.0, 360.0)
 
     def polygon(rings):
-        rings = [_unwrapped(np.vstack((r, r[:1])))[:-1] for r in rings]
-        rings = [r + (360.0 * np.round((rings[0][0, 0] - r[0, 0]) / 360), 0.0) for r in rings]
+        rings = K.unwrapped_rings(rings)
         area = lambda shape: P.polygon_area([np.column_stack(K.equal_area(r[:, 0], r[:, 1])) for r in shape], True)
         sound = P.is_simple(rings)
-        valid = [rings] if sound else P.make_valid(rings)
+        valid = [rings] if sound else N.make_valid(rings)
         whole = sum(map(area, valid))
         if not whole:
             raise ValueError("a polygon without area loses its dimension")
@@ -135,10 +121,10 @@ def clip_features(features: DataFrame, box: tuple, record: str = "record_id") ->
         return whole, not sound, [(K.to_wkb("Polygon", [np.vstack((r, r[:1])).tolist() for r in x]), x[0], a) for x in found if (a := area(x)) > 0]
 
     def line(points):
-        points = _unwrapped(points)
+        points = K.unwrapped(points)
         length = lambda p: float(K.line_length(p))
         cut = [P.clip_line(points + (t, 0.0), b) for t in turns for b in boxes]
-        return length(points), False, [(K.to_wkb("LineString", c.tolist()), c, length(c)) for s in cut if len(s) for c in _chains(s)]
+        return length(points), False, [(K.to_wkb("LineString", c.tolist()), c, length(c)) for s in cut if len(s) for c in K.chains(s)]
 
     def point(points):
         x, y = points[0]

@@ -21,13 +21,15 @@ LEVELS, WIDE = 7, 4
 MANY = 2000
 
 
-def parts_of(features: DataFrame, wkb: str = "wkb") -> DataFrame:
+def parts_of(features: DataFrame, wkb: str = "wkb", number: str | None = None, earth: bool = False) -> DataFrame:
     """One row per point, line and polygon of each feature: its columns, family, wkb and bounds; collections are taken apart.
 
-    Null and empty geometries have no parts.
+    number names a column for the part's place in its feature, from 0 on. On the earth, what
+    steps over the dateline is a part on each side. Null and empty geometries have no parts.
     """
-    own = [c for c in features.columns if c not in (*BOX, wkb, "family")]
-    return features.select(*own, F.explode(K.shapes(F.col(wkb))).alias("__part")).select(*own, "__part.*")
+    own = [c for c in features.columns if c not in (*BOX, wkb, "family", number)]
+    parts = features.select(*own, F.posexplode(K.shapes(F.col(wkb), earth)).alias("__number", "__part"))
+    return parts.select(*own, *([F.col("__number").alias(number)] if number else []), "__part.*")
 
 
 def _blocks(df: DataFrame, size, box=BOX) -> DataFrame:
@@ -42,7 +44,8 @@ def _pairs(parts: DataFrame, cells: DataFrame, tile: float) -> DataFrame:
     level = F.when(extent <= 1, 0).otherwise(F.least(F.ceil(F.log2(extent)), F.lit(LEVELS - 1))).cast("int")
     size = F.lit(float(tile)) * F.pow(F.lit(2.0), F.col("level"))
     dealt = _blocks(parts.withColumn("level", level), size)
-    cell = F.struct(F.col("cell_id").alias("id"), *[F.col(c).cast("double").alias(c) for c in BOX])
+    ring = [F.col("wkb").alias("ring")] if "wkb" in cells.columns else []
+    cell = F.struct(F.col("cell_id").alias("id"), *[F.col(c).cast("double").alias(c) for c in BOX], *ring)
     given = _blocks(cells.withColumn("level", F.explode(F.array(*map(F.lit, range(LEVELS))))), size)
     given = given.groupBy("level", "bx", "by").agg(F.collect_list(cell).alias("cells"))
     here = f"""c.min_x <= max_x and c.max_x >= min_x and c.min_y <= max_y and c.max_y >= min_y
@@ -92,17 +95,60 @@ def _polygon_pieces(rings: list[np.ndarray], boxes: np.ndarray, earth: bool):
         yield i, area, _packed(kept)
 
 
+def _cell_rings(data: list[bytes]) -> list[np.ndarray]:
+    """The convex rings of cells, counter-clockwise."""
+    rings = []
+    for d in data:
+        ((kind, shape),) = K.primitives(*K.from_wkb(d))
+        if kind != "Polygon" or len(shape) != 1:
+            raise ValueError("a cell must be a convex polygon")
+        rings.append(P.convex(shape[0]))
+    return rings
+
+
+def _polygon_in_rings(rings: list[np.ndarray], cells: list[np.ndarray], earth: bool):
+    """(index of cell, area, packed piece) of the convex cells in which a polygon has an area."""
+    if earth:
+        rings, cells = _metres(rings), _metres(cells)
+    simple = P.is_simple(rings)
+    for i, cell in enumerate(cells):
+        kept = P.clip_convex(rings, cell)
+        if not kept:
+            continue
+        area, whole = P.polygon_area(kept, simple), P.ring_area(cell)
+        if area <= 1e-12 * whole:
+            continue
+        if area >= whole * (1 - 1e-12):
+            area, kept = whole, [cell]
+        yield i, area, _packed(kept)
+
+
+def with_bounds(cells: DataFrame) -> DataFrame:
+    """(cell_id, wkb) of polygon cells with their bounds."""
+
+    def run(a: pa.Array) -> pa.Array:
+        found = [(r.min(axis=0), r.max(axis=0)) for r in _cell_rings(a.to_pylist())]
+        return pa.array([dict(zip(BOX, (*low.tolist(), *high.tolist()))) for low, high in found], pa.struct([(c, pa.float64()) for c in BOX]))
+
+    bounds = T.StructType([T.StructField(c, T.DoubleType()) for c in BOX])
+    return cells.withColumn("__box", F.arrow_udf(run, bounds)("wkb")).select("cell_id", "wkb", "__box.*")
+
+
 def pieces(parts: DataFrame, cells: DataFrame, tile: float, earth: bool = True) -> DataFrame:
     """One row per cell and part that have an area, a length or a point in common, by the part's family.
 
-    parts: own columns, family, wkb, bounds (see parts_of); cells: cell_id and box; tile: about
-    a cell's width. Adds cell_id, measure (area, length or 1) and piece, the common part as
-    bytes. Cells include their borders: a point or line on a border belongs to both sides, and
-    a polygon that only touches a cell has no area there. Rows with null bounds meet nothing;
-    repeated rows have their pieces each.
+    parts: own columns, family, wkb, bounds (see parts_of); cells: cell_id and box, and wkb where
+    cells are convex polygons (hexagons, say) and not boxes, whose box is then their bounds;
+    tile: about a cell's width. Adds cell_id, measure (area, length or 1) and piece, the common
+    part as bytes. Cells include their borders: a point or line on a border belongs to both
+    sides, and a polygon that only touches a cell has no area there. On the earth a cell's edges
+    are straight in the equal-area plane for areas and in degrees for lines and points. Rows
+    with null bounds meet nothing; repeated rows have their pieces each; a cell that is no
+    convex polygon is an error.
     """
+    shaped = "wkb" in cells.columns
     own = [c for c in parts.columns if c not in (*BOX, "wkb")]
-    pairs = _pairs(parts.where(" and ".join(f"{c} is not null" for c in BOX)), cells.select("cell_id", *BOX), tile)
+    pairs = _pairs(parts.where(" and ".join(f"{c} is not null" for c in BOX)), cells.select("cell_id", *BOX, *["wkb"] * shaped), tile)
     pairs = pairs.select(*own, "wkb", "cells")
     made = [T.StructField("cell_id", cells.schema["cell_id"].dataType), T.StructField("measure", T.DoubleType()), T.StructField("piece", T.BinaryType())]
     schema = T.StructType([*(pairs.schema[c] for c in own), *made])
@@ -113,19 +159,26 @@ def pieces(parts: DataFrame, cells: DataFrame, tile: float, earth: bool = True)
             lists = batch.column("cells")
             flat = lists.flatten()
             boxes = np.column_stack([flat.field(c).to_numpy(zero_copy_only=False) for c in BOX])
+            known: dict[bytes, np.ndarray] = {}
+            rings = flat.field("ring").to_pylist() if shaped else []
             ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
             for row, (data, begin, end) in enumerate(zip(batch.column("wkb").to_pylist(), [0, *ends[:-1]], ends)):
                 ((kind, shape),) = K.primitives(*K.from_wkb(data))
                 mine = boxes[begin:end]
+                if shaped:
+                    for d in rings[begin:end]:
+                        if d not in known:
+                            known[d] = _cell_rings([d])[0]
+                    own_rings = [known[d] for d in rings[begin:end]]
                 if kind == "Polygon":
-                    for i, area, packed in _polygon_pieces(shape, mine, earth):
+                    for i, area, packed in _polygon_in_rings(shape, own_rings, earth) if shaped else _polygon_pieces(shape, mine, earth):
                         owner.append(row)
                         which.append(begin + i)
                         measure.append(area)
                         piece.append(packed)
                 elif kind == "LineString":
                     for i, box in enumerate(mine.tolist()):
-                        segments = P.clip_line(shape, box)
+                        segments = P.clip_line_convex(shape, own_rings[i]) if shaped else P.clip_line(shape, box)
                         if len(segments):
                             lines.append((len(owner), segments))
                             owner.append(row)
@@ -135,6 +188,8 @@ def pieces(parts: DataFrame, cells: DataFrame, tile: float, earth: bool = True)
                 else:
                     x, y = shape[0]
                     for i in np.flatnonzero((mine[:, 0] <= x) & (mine[:, 2] >= x) & (mine[:, 1] <= y) & (mine[:, 3] >= y)):
+                        if shaped and not P.in_convex(shape, own_rings[i])[0]:
+                            continue
                         owner.append(row)
                         which.append(begin + int(i))
                         measure.append(1.0)
@@ -181,19 +236,30 @@ _UNIONS = ["union_area", "union_length", "distinct_points"]
 _TYPES = [pa.float64(), pa.float64(), pa.int64()]
 
 
-def _measures(pieces: list[tuple], earth: bool) -> list:
-    """Union area, union length and distinct points of pieces (family, shape, measure); a single polygon or line has the measure that it came with."""
-    polygons, lines, points = ([p for p in pieces if p[0] == f] for f in ("polygon", "line", "point"))
-    area = length = None
-    if polygons:
-        area = polygons[0][2] if len(polygons) == 1 and polygons[0][2] is not None else P.covered_area([p[1] for p in polygons])
-    if lines:
-        if len(lines) == 1 and len(lines[0][1]) == 1 and lines[0][2] is not None:
-            length = lines[0][2]
-        else:
-            merged = P.merged_segments(np.vstack([p[1] for p in lines]))
-            length = float(K.summed_lengths(merged, np.array([len(merged)]), earth)[0])
-    return [area, length, len(P.distinct_points(np.vstack([p[1] for p in points]))) if points else None]
+def _measures(groups: list[list[tuple]], earth: bool) -> list[list]:
+    """For each group of pieces (family, shape, measure): union area, union length and distinct points; null for families that it lacks.
+
+    A single polygon or line has the measure that it came with; all other areas are swept at once.
+    """
+    out, swept = [], []
+    for pieces in groups:
+        polygons, lines, points = ([p for p in pieces if p[0] == f] for f in ("polygon", "line", "point"))
+        area = length = None
+        if polygons:
+            single = len(polygons) == 1 and polygons[0][2] is not None
+            area = polygons[0][2] if single else 0.0
+            if not single:
+                swept.append((len(out), [p[1] for p in polygons]))
+        if lines:
+            if len(lines) == 1 and len(lines[0][1]) == 1 and lines[0][2] is not None:
+                length = lines[0][2]
+            else:
+                merged = P.merged_segments(np.vstack([p[1] for p in lines]))
+                length = float(K.summed_lengths(merged, np.array([len(merged)]), earth)[0])
+        out.append([area, length, len(P.distinct_points(np.vstack([p[1] for p in points]))) if points else None])
+    for (i, _), area in zip(swept, P.covered_areas([s for _, s in swept]) if swept else ()):
+        out[i][0] = float(area)
+    return out
 
 
 def _groups(batches, keys: list[str]):
@@ -227,23 +293,25 @@ def unions(found: DataFrame, keys: list[str], earth: bool = True, many: int = MA
     schema = T.StructType([*(some.schema[k] for k in keys), *T._parse_datatype_string("union_area double, union_length double, distinct_points bigint")])
 
     def measured(batches, by: list[str], shapes_of):
-        """One row for each group by `by`, some hundreds at a time."""
-        first, rows = [], []
+        """One row for each group by `by`; groups of some thousand pieces together are measured at once."""
+        first, groups, held = [], [], 0
 
         def flush():
             own = pa.concat_tables(first).select(keys)
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)]
+            columns = [pa.array(c, t) for c, t in zip(zip(*_measures(groups, earth)), _TYPES)]
             out = pa.table([*own.columns, *columns], [*keys, *_UNIONS]).combine_chunks().to_batches()
             first.clear()
-            rows.clear()
+            groups.clear()
             return out
 
         for group in _groups(batches, by):
             first.append(group.slice(0, 1))
-            rows.append(_measures(shapes_of(group), earth))
-            if len(rows) == 500:
+            groups.append(shapes_of(group))
+            held += len(group)
+            if len(groups) == 500 or held > 2 * MANY:
                 yield from flush()
-        if rows:
+                held = 0
+        if groups:
             yield from flush()
 
     def whole(group: pa.Table) -> list[tuple]:
@@ -286,9 +354,16 @@ def unions(found: DataFrame, keys: list[str], earth: bool = True, many: int = MA
 
 
 def cell_areas(cells: DataFrame, earth: bool = True) -> DataFrame:
-    """(cell_id, cell_area) in the units of the pieces' areas."""
+    """(cell_id, cell_area) in the units of the pieces' areas: of the cell's polygon, or of its box."""
     from ..functions.geometry import project_x, project_y
 
+    if "wkb" in cells.columns:
+
+        def run(a: pa.Array) -> pa.Array:
+            rings = _cell_rings(a.to_pylist())
+            return pa.array([P.ring_area(r) for r in (_metres(rings) if earth else rings)], pa.float64())
+
+        return cells.select("cell_id", F.arrow_udf(run, T.DoubleType())("wkb").alias("cell_area"))
     x, y = (project_x, project_y) if earth else (lambda c: F.col(c).cast("double"),) * 2
     return cells.select("cell_id", ((x("max_x") - x("min_x")) * (y("max_y") - y("min_y"))).alias("cell_area"))
 

@@ -8,7 +8,7 @@ import re
 import shutil
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import Config, SourceEntry
 from ..operators import relational as R, validate as V
@@ -144,9 +144,10 @@ def _metrics(spark: SparkSession, grid: DataFrame, parts: dict[str, DataFrame |
     """The wide table of all collections and its fields' definitions."""
     table, definitions = grid.select("cell_id"), {"cell_id": {"metric": "cell_id", "units": "category", "model_eligible": False}}
     empty = spark.createDataFrame([], "group string, feature_id string, record_id string, wkb binary")
+    qualified = F.concat_ws(":", "source_id", "record_id")  # a provider's id is its own only within its source
     for name, features in parts.items():
         groups = metric_groups(name)
-        shapes = group_of(features, name).select("group", "feature_id", "record_id", "wkb") if features is not None else empty
+        shapes = group_of(features, name).select("group", "feature_id", qualified.alias("record_id"), "wkb") if features is not None else empty
         state = {}
         for prefix, group in groups.items():
             there = collections[name]["sources"].get(group["source_id"]) == "available" if "source_id" in group else features is not None
