@@ -67,11 +67,11 @@ def test_the_tree_leaves_out_what_it_can():
     middles /= np.linalg.norm(middles, axis=1)[:, None]
     x = np.floor(256 * (np.repeat(middles, 100, axis=0) + rng.normal(size=(4000, 4)) * 0.01)).astype(np.int64)
     largest, labels = float((x * x).sum(axis=1).max()), np.arange(4000) % 5
-    tree = H.VantageTree(x.astype(float), np.sqrt(largest - (x * x).sum(axis=1)), labels)
+    tree = H.VantageTree(x.astype(float), np.sqrt(largest - (x * x).sum(axis=1)), labels, leaf=64)
     search = H.Search(tree.nodes, x[tree.order], labels[tree.order], [[int(i)] for i in tree.order], [[1]] * 4000, largest)
     looked, plain = [], search.scores
     search.scores = lambda n, v, q: looked.append(n) or plain(n, v, q)
-    found = search.query(x[7].tolist(), 7, int(labels[7]), False, 5)(0, H.MOST)
+    (found,) = search.query(x[7].tolist(), 7, int(labels[7]), False, 5, [(0, H.MOST)])
     want = sorted((-int(x[7] @ x[i]), i) for i in range(4000) if labels[i] != labels[7] and x[7] @ x[i] >= 0)[:5]
     assert [(-s, i) for s, i, _ in found] == want
     assert len(looked) < sum(n.inner < 0 for n in tree.nodes) / 2

@@ -15,6 +15,7 @@ that its annulus can reach, and their best are merged.
 from __future__ import annotations
 
 import heapq
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .common import materialize
 
 #: Rows of a block and queries of a batch at most, and the bytes of their vectors; points of a leaf of a block's tree.
-BLOCK, BATCH, BLOCK_BYTES, LEAF = 8192, 16384, 16 << 20, 64
+BLOCK, BATCH, BLOCK_BYTES, LEAF = 8192, 16384, 16 << 20, 256
 #: Leaves of the tree over the sample at most, and sampled points for each (the sample's bound: LEAVES * SAMPLED rows, SAMPLE_BYTES).
 LEAVES, SAMPLED, SAMPLE_BYTES = 512, 32, 16 << 20
 LEAST, MOST = -(1 << 63), (1 << 63) - 1
@@ -128,17 +129,20 @@ class Search:
         found[:] = [min(MOST, max(LEAST, sum(a * b for a, b in zip(w, v)))) for w in wide]
         return found
 
-    def query(self, v: list[int], own: int, label: int, same: bool, k: int):
-        """A function (low, high) -> the k best (score, id, copies) of scores low .. high, best first; windows of one query share what is computed."""
+    def query(self, v: list[int], own: int, label: int, same: bool, k: int, windows: list[tuple[int, int]]) -> list[list[tuple]]:
+        """For each window (low, high) the k best (score, id, copies) with low <= score <= high, best first; a leaf is scored once for all windows."""
         q = np.array(v, np.float64)
         square = annulus(q, self.largest, 0, 0)[0]
         away = dict(zip(self.inner, np.sqrt(np.maximum(0.0, square - 2 * (self.vantage @ q))).tolist()))
-        known: dict[int, tuple] = {}
+        known: dict[int, list] = {}
+        least, most = min(low for low, _ in windows), max(high for _, high in windows)
 
-        def leaf(n: Ball):
+        def leaf(n: Ball) -> list[tuple]:
+            """The leaf's rows of the wanted label that any window takes, as (-score, first id, point), best first."""
             if n.lo not in known:
-                at = np.flatnonzero((self.labels[n.lo : n.hi] == label) == same)
-                known[n.lo] = self.scores(n, v, q)[at], self.first[n.lo + at], n.lo + at
+                s = self.scores(n, v, q)
+                at = np.flatnonzero((s >= least) & (s <= most) & ((self.labels[n.lo : n.hi] == label) == same))
+                known[n.lo] = sorted(zip((-s[at]).tolist(), self.first[n.lo + at].tolist(), (n.lo + at).tolist()))
             return known[n.lo]
 
         def nearest(low: int, high: int):
@@ -148,21 +152,20 @@ class Search:
             while heap:
                 key, kind, item, bound, copies = heapq.heappop(heap)
                 if kind:
-                    yield -key, item, copies
+                    yield -int(key), item, copies
                     continue
                 n = self.nodes[item]
                 if n.label == n.label and (n.label == label) != same:
                     continue
                 if n.inner < 0:
-                    s, first, at = leaf(n)
-                    fit = np.flatnonzero((s >= low) & (s <= high))
-                    if len(fit) > k + 1:  # one of them may be the query's own
-                        fit = fit[np.lexsort((first[fit], -s[fit]))[: k + 1]] if s.dtype != object else np.array(sorted(fit, key=lambda i: (-s[i], first[i]))[: k + 1])
-                    for i in fit.tolist():
-                        p = int(at[i])
+                    rows = leaf(n)
+                    at = bisect_left(rows, (-high,))
+                    for s, _, p in rows[at : at + k + 1]:  # one of them may be the query's own
+                        if s > -low:
+                            break
                         for one, many in zip(self.ids[p], self.copies[p]):
                             if one != own:
-                                heapq.heappush(heap, (-int(s[i]), 1, one, 0.0, many))
+                                heapq.heappush(heap, (s, 1, one, 0.0, many))
                     continue
                 d = away[item]
                 for child in (n.inner, n.outer):
@@ -181,7 +184,7 @@ class Search:
                     break
             return found
 
-        return window
+        return [window(low, high) for low, high in windows]
 
 
 class Top:
@@ -358,8 +361,8 @@ def search(index: Index, queries: DataFrame, same: bool, k: int, home: bool | No
             x = np.frombuffer(block["x"], "<i8").reshape(len(block["labels"]), block["dim"])
             tree = Search(unpacked(block["nodes"]), x, np.array(block["labels"]), block["ids"], block["copies"], whole)
             for query_id, label, v, windows in zip(*(left.column(c).to_pylist() for c in ("query_id", "label", "v", "windows"))):
-                window = tree.query(v, query_id, label, same, k)
-                out += [(query_id, w["high"], s, i, many) for w in windows for s, i, many in window(w["low"], w["high"])]
+                found = tree.query(v, query_id, label, same, k, [(w["low"], w["high"]) for w in windows])
+                out += [(query_id, w["high"], s, i, many) for w, rows in zip(windows, found) for s, i, many in rows]
         return pa.table([pa.array(c, pa.int64()) for c in (zip(*out) if out else [()] * 5)], names)
 
     found = asked.groupBy(*key).cogroup(given.groupBy(*key)).applyInArrow(look, ", ".join(f"{c} bigint" for c in names))
