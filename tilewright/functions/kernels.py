@@ -109,6 +109,11 @@ def to_wkb(kind: str, coordinates) -> bytes:
     return head + struct.pack("<I", len(coordinates)) + b"".join(to_wkb(one, c) for c in coordinates)
 
 
+def collection(parts: list[tuple[str, object]]) -> bytes:
+    """WKB of a collection of geometries (type, coordinates)."""
+    return struct.pack("<BII", 1, _CODES["GeometryCollection"], len(parts)) + b"".join(to_wkb(k, c) for k, c in parts)
+
+
 def from_wkb(data: bytes) -> tuple[str, object]:
     """GeoJSON type and coordinates in two dimensions of WKB of either byte order; raises on other codes.
 
