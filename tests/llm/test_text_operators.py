@@ -1,5 +1,6 @@
 """URL rules, sharding, chat, toxicity, quality rules and neighbours against brute force."""
 
+import os
 import collections
 import random
 import re
@@ -300,7 +301,7 @@ def test_threats_are_learned(spark):
 
 
 def test_held_out_labels(spark):
-    folder = "/root/testdata/sf0.1"
+    folder = os.environ.get("TEST_LARGE_DIR", "/root/testdata/sf0.1")  # of the smallest tables too few labels are held out
     found = Q.op6_toxicity(spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").where("held_out").select("toxic", "predicted").toPandas()
     right = ((found.toxic == 1) & (found.predicted == 1)).sum()
     assert (found.toxic == 1).sum() >= 50
@@ -444,3 +445,20 @@ def test_long_vectors_and_doubles(spark):
 def test_few_candidates(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (1, [0.5, 0.5])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in ann.nearest(df, F.col("vec_id") == 0).orderBy("rank").collect()] == [(0, 1, 1, 0.5), (0, 2, 1, 0.5)]
+
+
+def test_nearest_of_large_and_repeated_vectors(spark):
+    """Norms beyond doubles, very small vectors, and one row very many times, which no block gathers."""
+    rng = np.random.default_rng(11)
+    vectors = [(rng.normal(size=5) * 10.0 ** e).tolist() for e in (300, 200, 0, -200, -300, 307, 150, -5)]
+    rows = [(i, v) for i, v in enumerate(vectors)] + [(50, [1e300] * 5)] * 300 + [(60, [-1e308, 1e308, 0.0, 0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(4)
+    for k in (3, 20, 400):
+        found = {}
+        for x in ann.nearest(df, F.lit(True), k=k, candidates=3, queries=2).collect():
+            found.setdefault(x["query_id"], []).append((x["rank"], x["vec_id"], x["score"]))
+        for q, v in dict(rows).items():
+            others = [(i, float(ann.inner(np.array([v]), np.array([w]))[0])) for i, w in rows if i != q]
+            want = sorted(others, key=lambda x: (-(x[1] if x[1] == x[1] else -np.inf), x[0]))[:k]
+            got = sorted(found[q])
+            assert [x[1:] for x in got] == [(i, None if s != s else s) for i, s in want] and [x[0] for x in got] == list(range(1, len(want) + 1))

@@ -12,7 +12,7 @@ from .common import materialize
 
 SPACE = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
-#: The options of line_rules that keep it right on hosts of any size.
+#: The options of line_rules that keep it right on hosts of any size: its defaults.
 BOUNDED = {"max_docs": 200, "by_group": True}
 
 
@@ -52,8 +52,9 @@ def base_failed() -> Column:
 
 
 def _line_hash(line: Column) -> Column:
-    """Hash of a line in lower case with single spaces, trimmed."""
-    return F.xxhash64(F.trim(F.regexp_replace(F.lower(line), SPACE, " ")))
+    """60 bits of the MD5 of a line in lower case with single spaces, trimmed; the same number in any engine."""
+    digest = F.md5(F.trim(F.regexp_replace(F.lower(line), SPACE, " ")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
 
 
 def _holders(measured: DataFrame, inside: DataFrame, min_left: float) -> DataFrame:
@@ -76,9 +77,9 @@ def line_rules(
     id_col: str = "doc_id",
     text_col: str = "text",
     host_col: str = "source",
-    max_docs: int | None = None,
+    max_docs: int | None = 200,
     max_words: int = 4,
-    by_group: bool = False,
+    by_group: bool = True,
 ) -> DataFrame:
     """One row per row of docs: id, text_hash, the base measures, base_failed, removed_words, removed (line hashes), kept.
 
@@ -89,12 +90,13 @@ def line_rules(
 
     host_share alone loosens as a host grows. With max_docs, a line of max_words words or more
     is over the limit beyond so many texts on a host of any size; shorter lines, which are
-    common by themselves, keep the share.
+    common by themselves, keep the share. None leaves the share alone.
 
-    Near copies count each, unless by_group: then texts that the lines over the limit would
-    leave under min_left of their words count once for each longest such line, which near
-    copies share. Lines that only copies of one text hold so stay, and near-duplicates are
-    left to the operator that keeps one of them.
+    With by_group, texts that the lines over the limit would leave under min_left of their words
+    count once for each longest such line (of those with most words the one whose hash is
+    largest), which near copies share. Lines that only copies of one text hold so stay, and
+    near-duplicates are left to the operator that keeps one of them. Without it near copies
+    count each.
 
     A null text is empty, has no words and fails. A null host is the host of all rows without
     one. Rows with null ids and repeated rows are judged each; extra columns are ignored; an

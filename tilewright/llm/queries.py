@@ -69,16 +69,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _judged(quality.line_rules(table(spark, sf_dir, "documents")))
-
-
-def op10_line_rules_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rules as the pipeline applies them; op10_line_rules is held to its SQL, which has no such options."""
-    return _judged(quality.line_rules(table(spark, sf_dir, "documents"), **quality.BOUNDED))
-
-
-def _judged(judged: DataFrame) -> DataFrame:
-    return judged.select(
+    return quality.line_rules(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words"
     )
 
@@ -110,7 +101,6 @@ QUERIES = {
     "op8_block_join": op8_block_join,
     "op9_bpe": op9_bpe,
     "op10_line_rules": op10_line_rules,
-    "op10_line_rules_bounded": op10_line_rules_bounded,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_arrow_files": op13_arrow_files,
@@ -168,8 +158,14 @@ cover as (select doc_id, count(*) as n_repeat_words from (select distinct doc_id
 ln as (select doc_id, host, t, trim(regexp_replace(lower(x), '[\x20\x09-\x0D]+', ' ', 'g')) as line, len(regexp_extract_all(x, {_WORDS})) as n
   from (select doc_id, host, t, unnest(l) as x from w)),
 hosts as (select host, count(distinct t) as docs from ln group by 1),
-over_ as (select host, line from (select host, line, count(distinct t) as k from ln group by 1, 2) join hosts using (host) where k > 20 and k > 0.01 * docs),
-lost as (select doc_id, cast(sum(n) as bigint) as removed_words from ln join over_ using (host, line) group by 1),
+first_ as (select host, line, lw from (select host, line, count(distinct t) as k, max(n) as lw from ln group by 1, 2) join hosts using (host)
+  where k > 20 and (k > 0.01 * docs or k > 200 and lw >= 4)),
+inside as (select doc_id, host, line, lw, sum(n) as n from ln join first_ using (host, line) group by 1, 2, 3, 4),
+gone as (select doc_id, sum(n) as gone, max({{'w': lw, 'h': substr(md5(line), 1, 15)}})['h'] as longest from inside group by 1),
+holder as (select w.doc_id, case when len(w) - gone < 0.3 * len(w) then 'copies ' || longest else 'text ' || t end as holder from gone join w on w.doc_id = gone.doc_id),
+over_ as (select host, line from (select host, line, lw, count(distinct holder) as k from inside join holder using (doc_id) group by 1, 2, 3) join hosts using (host)
+  where k > 20 and (k > 0.01 * docs or k > 200 and lw >= 4)),
+lost as (select doc_id, cast(sum(n) as bigint) as removed_words from inside join over_ using (host, line) group by 1),
 m as (select w.doc_id, len(w) as n_words, length(array_to_string(w, '')) as word_chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as n_symbols,
   len(l) - len(list_distinct(l)) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words, coalesce(removed_words, 0) as removed_words
   from w left join cover on cover.doc_id = w.doc_id left join lost on lost.doc_id = w.doc_id)
