@@ -180,6 +180,20 @@ def grid_of(spark, columns: int, rows: int, size: float, max_cells: int = 100_00
     )
 
 
+def grid_over(boxes: DataFrame, size: float, max_cells: int = 10_000_000) -> DataFrame:
+    """The square cells (cell_id, cx, cy, box) of a lattice over the bounds of all boxes; more than max_cells are an error, no boxes give none.
+
+    Only the bounds are gathered, in one aggregate; a task makes the cells of some columns.
+    """
+    low, high = (lambda c: F.floor(F.min(c) / size)), (lambda c: F.ceil(F.max(c) / size) - 1)
+    bounds = boxes.agg(low("min_x").alias("x0"), high("max_x").alias("x1"), low("min_y").alias("y0"), high("max_y").alias("y1")).where("x0 is not null and y0 is not null")
+    many = (F.col("x1") - F.col("x0") + 1).cast("double") * (F.col("y1") - F.col("y0") + 1)
+    last = F.when(many > max_cells, F.raise_error(F.lit("grid exceeds the cell budget")).cast("bigint")).otherwise(F.col("x1"))
+    cells = bounds.select(F.explode(F.sequence("x0", F.greatest("x0", last))).alias("cx"), "y0", "y1").select("cx", F.explode(F.sequence("y0", F.greatest("y0", "y1"))).alias("cy"))
+    side = lambda c, more: (F.col(c) + more) * size
+    return cells.select(F.format_string("%d_%d", "cx", "cy").alias("cell_id"), "cx", "cy", side("cx", 0).alias("min_x"), side("cy", 0).alias("min_y"), side("cx", 1).alias("max_x"), side("cy", 1).alias("max_y"))
+
+
 def lonlat_grid(spark, bbox: tuple, degrees: float, max_cells: int = 100_000) -> DataFrame:
     """Cells of so many degrees that share an area with bbox (west > east crosses the dateline)."""
     import math

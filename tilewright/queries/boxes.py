@@ -50,7 +50,7 @@ def left_cells(spark, sf_dir):
 
 
 #: The declared groups of the wide table: all brands.
-_BRANDS = [f"Brand#{i}{j}" for i in range(1, 6) for j in range(1, 6)]
+_BRANDS = [f"Brand#{k}" for k in range(1, 26)]
 
 
 @query(
@@ -74,33 +74,39 @@ def attr_sets(spark, sf_dir):
 _COMPLETENESS = "case when cx % 3 = 0 then 'complete' when cx % 3 = 1 then 'partial' else 'unknown' end"
 
 
-@query(
+#: z: every cell with every declared brand, the inventory's completeness there, and the features that were found.
+_EVERY = (
     WITH_M
-    + f""", k as (select cell_id, count(distinct id) n from m where brand = 'Brand#11' group by 1),
-  z as (select c.cell_id, {_COMPLETENESS} as completeness, n from c left join k on k.cell_id = c.cell_id)
-  select cell_id, completeness, case when completeness = 'complete' then coalesce(n, 0) else n end as feature_count from z"""
+    + f""", k as (select cell_id, brand, count(distinct id) n from m group by 1, 2),
+  z as (select c.cell_id, b.brand, {_COMPLETENESS} as completeness, n from c cross join (select unnest({_BRANDS}) as brand) b left join k on k.cell_id = c.cell_id and k.brand = b.brand)"""
 )
+
+
+def _every(spark, sf_dir):
+    n = hits(spark, sf_dir).groupBy(F.col("r_cell_id").alias("cell_id"), "brand").agg(F.countDistinct("id").alias("n"))
+    brands = spark.createDataFrame([(b,) for b in _BRANDS], "brand string")
+    full = cells(spark, sf_dir).select("cell_id", F.expr(_COMPLETENESS).alias("completeness")).crossJoin(F.broadcast(brands))  # the declared brands
+    return full.join(n, ["cell_id", "brand"], "left")
+
+
+@query(_EVERY + " select cell_id, brand, completeness, case when completeness = 'complete' then coalesce(n, 0) else n end as feature_count from z")
 def zero_fill(spark, sf_dir):
-    n = hits(spark, sf_dir).where("brand = 'Brand#11'").groupBy(F.col("r_cell_id").alias("cell_id")).agg(F.countDistinct("id").alias("n"))
-    found = metrics.for_every_cell(cells(spark, sf_dir).select("cell_id", F.expr(_COMPLETENESS).alias("completeness")), n, "cell_id")
-    return found.select("cell_id", "completeness", metrics.zero_fill("n", "completeness").alias("feature_count"))
+    return _every(spark, sf_dir).select("cell_id", "brand", "completeness", metrics.zero_fill("n", "completeness").alias("feature_count"))
 
 
 @query(
-    WITH_M
-    + f""", k as (select cell_id, count(distinct id) n from m where brand = 'Brand#11' group by 1),
-  z as (select c.cell_id, {_COMPLETENESS} as completeness, n from c left join k on k.cell_id = c.cell_id),
-  s as (select cell_id, case when completeness = 'complete' then 'observed' else completeness end as state, case when completeness = 'unknown' then null else n end as v, n from z)
-  select cell_id, state, v as feature_count, case when v is null and state = 'observed' then 'unknown' else state end as status,
+    _EVERY
+    + """, s as (select cell_id, brand, case when completeness = 'complete' then 'observed' else completeness end as state, case when completeness = 'unknown' then null else n end as v, n from z)
+  select cell_id, brand, state, v as feature_count, case when v is null and state = 'observed' then 'unknown' else state end as status,
     case when n is not null then 'partial' when cell_id like '1%' then 'unknown' else 'unavailable' end as query_state from s"""
 )
 def status_derive(spark, sf_dir):
-    n = hits(spark, sf_dir).where("brand = 'Brand#11'").groupBy(F.col("r_cell_id").alias("cell_id")).agg(F.countDistinct("id").alias("n"))
-    z = metrics.for_every_cell(cells(spark, sf_dir).select("cell_id", F.expr(_COMPLETENESS).alias("completeness")), n, "cell_id")
-    s = z.select("cell_id", metrics.support_state("completeness").alias("state"), "n").withColumn("feature_count", F.when(F.col("state") != "unknown", F.col("n")))
+    z = _every(spark, sf_dir)
+    s = z.select("cell_id", "brand", metrics.support_state("completeness").alias("state"), "n").withColumn("feature_count", F.when(F.col("state") != "unknown", F.col("n")))
     reached = F.when(F.col("cell_id").startswith("1"), "available").otherwise("failed")
     return s.select(
         "cell_id",
+        "brand",
         "state",
         "feature_count",
         metrics.delivery_status("feature_count", "state").alias("status"),
@@ -193,9 +199,16 @@ def area_qc(spark, sf_dir):
     )
 
 
-@query("select cx || '_' || cy as cell_id, cx, cy, cx*100 as min_x, cy*100 as min_y, cx*100+100 as max_x, cy*100+100 as max_y from (select unnest(range(0,12)) as cx) cross join (select unnest(range(0,12)) as cy)")
+@query(
+    WITH_F
+    + """, b as (select min(x1) // 100 as x1, (max(x2) + 99) // 100 - 1 as x2, min(y1) // 100 as y1, (max(y2) + 99) // 100 - 1 as y2 from f),
+  g as (select cx, unnest(range(y1, y2 + 1)) as cy from (select *, unnest(range(x1, x2 + 1)) as cx from b))
+  select cx || '_' || cy as cell_id, cx, cy, cx * 100 as min_x, cy * 100 as min_y, cx * 100 + 100 as max_x, cy * 100 + 100 as max_y from g"""
+)
 def grid_generate(spark, sf_dir):
-    return cells(spark, sf_dir).select("cell_id", "cx", "cy", *spatial.BOX)
+    """The cells over the bounds of all parts."""
+    made = spatial.grid_over(parts(spark, sf_dir), CELL)
+    return made.select("cell_id", "cx", "cy", *[F.col(c).cast("bigint").alias(c) for c in spatial.BOX])
 
 
 @query(
@@ -274,6 +287,7 @@ def explode_parts(spark, sf_dir):
 QUERIES["explode_parts_all"], ORACLE_SQL["explode_parts_all"] = explode_parts, ORACLE_SQL["explode_parts"]
 
 
-@query(WITH_C + " select cx, cy, cell_id from c where (select count(*) from c) <= 1000")
+@query(WITH_M + " select id, cell_id, (a2 - a1) * (b2 - b1) as area from m where (select count(*) from m) <= 10000000")
 def budget_guard(spark, sf_dir):
-    return relational.within_budget(cells(spark, sf_dir).select("cx", "cy", "cell_id"), 1000, "cells")
+    """All memberships, or an error if there were more than the budget."""
+    return relational.within_budget(hits(spark, sf_dir).select("id", F.col("r_cell_id").alias("cell_id"), F.col("area").cast("bigint").alias("area")), 10_000_000, "memberships")

@@ -32,10 +32,10 @@ def filter_basic(spark, sf_dir):
     return p.where(F.col("p_brand").isin("Brand#11", "Brand#23") & F.col("p_size").between(10, 20) & F.col("p_type").isNotNull()).select("p_partkey", "p_brand", "p_size")
 
 
-@query("select p_partkey, p_name, p_type from part where lower(p_name) like '%1%' and upper(p_type) like 'E%'")
+@query("select p_partkey, p_name, p_type from part where lower(p_name) like '%ring%' and upper(p_type) like 'E%'")
 def filter_text(spark, sf_dir):
     p = table(spark, sf_dir, "part")
-    return p.where(F.lower("p_name").contains("1") & F.upper("p_type").startswith("E")).select("p_partkey", "p_name", "p_type")
+    return p.where(F.lower("p_name").contains("ring") & F.upper("p_type").startswith("E")).select("p_partkey", "p_name", "p_type")
 
 
 @query("select o_orderkey, o_orderpriority from orders where o_orderstatus = 'F' and o_orderpriority = '1-URGENT'")
@@ -150,9 +150,10 @@ def coverage_matrix(spark, sf_dir):
     return R.coverage_matrix(sources, r.select(F.col("r_name").alias("region")))
 
 
-@query("select c_custkey from customer where not exists (select 1 from orders where o_custkey = c_custkey)")
+@query("select c_custkey from customer where not exists (select 1 from orders where o_custkey = c_custkey and o_orderstatus = 'F' and o_orderpriority = '1-URGENT')")
 def anti_join(spark, sf_dir):
-    c, o = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
+    """Customers without an urgent order that is final."""
+    c, o = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders").where("o_orderstatus = 'F' and o_orderpriority = '1-URGENT'")
     return c.join(o, c["c_custkey"] == o["o_custkey"], "left_anti").select("c_custkey")
 
 
@@ -164,16 +165,18 @@ def roster_reconcile(spark, sf_dir):
     return R.roster_gaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
 
 
-@query("select c_custkey as k from customer except select o_custkey from orders")
+@query("select c_custkey as k from customer except select o_custkey from orders where o_orderpriority = '2-HIGH'")
 def set_except(spark, sf_dir):
+    """Customers without an order of high priority."""
     a = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"))
-    return a.subtract(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k")))
+    return a.subtract(table(spark, sf_dir, "orders").where("o_orderpriority = '2-HIGH'").select(F.col("o_custkey").alias("k")))
 
 
-@query("select c_custkey as k from customer intersect select o_custkey from orders")
+@query("select c_custkey as k from customer intersect select o_custkey from orders where o_orderpriority = '2-HIGH'")
 def set_intersect(spark, sf_dir):
+    """Customers with an order of high priority."""
     a = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"))
-    return a.intersect(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k")))
+    return a.intersect(table(spark, sf_dir, "orders").where("o_orderpriority = '2-HIGH'").select(F.col("o_custkey").alias("k")))
 
 
 @query(
