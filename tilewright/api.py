@@ -11,15 +11,21 @@ from .config import Config, SourceEntry
 from .functions.geometry import box_parts, check_box, in_box
 from .functions.kernels import box_wkb, meets
 from .operators import spatial
+from .operators.clip import canonical_parts
 from .operators.relational import coverage_matrix, stack
+from .operators.validate import canonical_rules, require_valid
 from .plans.normalize import normalize
 from .plans.overlay import overlay
 from .plans.providers import LAYERS, PLANNED, layer_of
 from .sources.readers import read_source
 from .storage import materialize
 
-#: The designation status whose features have metrics of their own (fixed value).
+#: The designation status whose features have metrics of their own, the source that always has such metrics, and the source whose snapshot is a dated instrument (fixed values).
 PROPOSED = "area_of_interest"
+PROPOSED_SOURCE = "dfo_oceans_act_areas_of_interest"
+INSTRUMENT_SOURCE = "tc_srkw_interim_order_2026"
+#: States of regional coverage that leave a source's inventory partial (fixed values).
+INCOMPLETE = ("partial", "unknown", "unavailable")
 
 
 @dataclass
@@ -39,6 +45,11 @@ def _read(spark: SparkSession, source: SourceEntry) -> DataFrame:
     return read_source(spark, source.path, source.format, source.layer, source.expected_sha256)
 
 
+def incomplete(source: SourceEntry) -> bool:
+    """Whether a source states coverage of a region that is not complete."""
+    return any(state in INCOMPLETE for state in source.coverage.values())
+
+
 def source_features(spark: SparkSession, source: SourceEntry, raw: DataFrame | None = None) -> DataFrame:
     """A source's snapshot, or raw in its place, as canonical features with wkb; boxes stand in where a frame has bounds only."""
     raw = raw if raw is not None else _read(spark, source)
@@ -63,14 +74,20 @@ def get_layer(
     frames: dict[str, DataFrame] | None = None,
     as_of: str | None = None,
 ) -> LayerResult:
-    """Features of a collection that meet bbox (whole features, not clipped), and their metrics per cell.
+    """Features of a collection that meet bbox, as canonical parts that are not clipped to it, and their metrics per cell.
+
+    Features are unwrapped, repaired and cut at the dateline into parts with part_id,
+    retained_fraction and repair_status (see operators.clip.canonical_parts), and must keep the
+    rules of the canonical table. Coverage has a row for each source: status and reason, its
+    regions and their completeness, the kind of its time, and the box that was asked for.
+    Without allow_partial, a source whose regions are not complete is an error too.
 
     All options are checked before anything is read. With cells, the box is widened to whole
     cells so that a cell's metrics see everything in it. Sources without a readable snapshot
     become coverage rows (`unavailable`), or raise if allow_partial is False. Proposed sources
     are left out, with a coverage row, unless asked for. frames stands in for snapshots.
 
-    A feature is chosen if its geometry, not just its bounds, meets the box. Metrics are of
+    A part is chosen if its geometry, not just its bounds, meets the box. Metrics are of
     exact intersections (see plans.overlay), by source, those of proposed designations in a
     group `<source>__proposed` of their own. With allow_partial, every source's rows are read
     once here, so that a source with a bad row becomes a coverage row and not a failing result.
@@ -111,10 +128,14 @@ def get_layer(
             rows.append((source.source_id, "not_applicable", "proposed source not requested"))
             continue
         try:
-            features = source_features(spark, source, (frames or {}).get(source.source_id)).where(in_box(reach))
-            features = features.where(meets(F.col("wkb"), box_parts(*reach)))
+            if not allow_partial and incomplete(source):
+                raise ValueError(f"{source.source_id}: coverage is not complete; allow_partial must be given")
+            raw = source_features(spark, source, (frames or {}).get(source.source_id))
+            features = canonical_parts(raw.where(in_box(reach) | in_box((-180.0, -90.0, -180.0, 90.0)) | in_box((180.0, -90.0, 180.0, 90.0))))
+            features = features.where(in_box(reach)).where(meets(F.col("wkb"), box_parts(*reach)))
             if allow_partial:  # bad rows show when they are read
                 features = materialize(features, "features")
+                require_valid(features, canonical_rules(features), ["feature_id", "record_id", "part_id"])
             parts.append(features)
             empty = allow_partial and not features.head(1)
             rows.append((source.source_id, "empty" if empty else "available", None))
@@ -122,7 +143,26 @@ def get_layer(
             if not allow_partial:
                 raise
             rows.append((source.source_id, "unavailable", str(error)[:300]))
-    coverage = spark.createDataFrame(rows, "source_id string, status string, reason string")
+    told = [
+        (
+            *row,
+            collection,
+            known[row[0]].provider,
+            "partial" if incomplete(known[row[0]]) else "qualified_named_source_scope",
+            "not_verified",
+            "instrument_version_snapshot" if row[0] == INSTRUMENT_SOURCE else "inventory_snapshot_only",
+            dict(known[row[0]].coverage),
+            list(map(float, box)),
+            list(map(float, reach)),
+            known[row[0]].limitation,
+        )
+        for row in rows
+    ]
+    coverage = spark.createDataFrame(
+        told,
+        "source_id string, status string, reason string, collection string, provider string, geographic_completeness string, legal_currentness string, "
+        "temporal_capability string, source_regions map<string,string>, requested_bbox array<double>, support_bbox array<double>, limitation string",
+    )
     if not parts:
         raise ValueError(f"no source of {collection} is available: {rows}")
     features = stack(parts)
@@ -134,10 +174,11 @@ def get_layer(
         if "designation_status" in features.columns:
             proposed = F.coalesce(F.col("designation_status") == PROPOSED, F.lit(False))
             group = F.when(proposed, F.concat("source_id", F.lit("__proposed"))).otherwise(group)
-            apart = [r["source_id"] for r in features.where(proposed).select("source_id").distinct().collect()]  # of the configured sources
-            groups += [f"{s}__proposed" for s in apart]
+            apart = {r["source_id"] for r in features.where(proposed).select("source_id").distinct().collect()}  # of the configured sources
+            apart |= {s.source_id for s in used if s.source_id == PROPOSED_SOURCE}
+            groups += [f"{s.source_id}__proposed" for s in used if s.source_id in apart]
             state |= {f"{s}__proposed": state[s] for s in apart}
-        shapes = features.select(group.alias("group"), "feature_id", F.concat_ws(":", "source_id", "record_id").alias("record_id"), "wkb", *own)
+        shapes = features.select(group.alias("group"), "feature_id", "part_id", F.concat_ws(":", "source_id", "record_id").alias("record_id"), "wkb", *own)
         made = overlay(grid, shapes, groups, cell_degrees, availability=state, mode="query", max_memberships=max_memberships)
         cells, members = made.wide, made.memberships
     provenance = {"collection": collection, "bbox": list(box), "sources": [s.source_id for s in used], "config": config.digest(), "cell_degrees": cell_degrees if make_cells else None}

@@ -88,13 +88,49 @@ def clip_polygons(df: DataFrame, box: tuple, record: str, rings: str = "rings")
     return number_parts(out, record, ["__digest"], "part_id").select(*own, F.col("__part").alias(rings), "part_id", "part_number", "retained_fraction", "clipped")
 
 
+#: States of a repair (fixed values).
+REPAIR = ("not_required", "repaired_preserving_dimension", "repaired_lower_dimension_remnants_reported")
+GLOBE = (-180.0, -90.0, 180.0, 90.0)
+
+
+def canonical_parts(features: DataFrame, box: tuple = GLOBE) -> DataFrame:
+    """Canonical features as the parts of which they consist in box: unwrapped, repaired, cut at the dateline, numbered.
+
+    What clip_features adds, with the feature's own bounds as source_min_x and so on and each
+    part's geometry_type; no `kind`. Records are told apart by their source too.
+    """
+    kept = [c for c in features.columns if c not in (*BOX, "kind")]
+    own = features.select(*kept, *[F.col(c).alias("source_" + c) for c in BOX if c in features.columns])
+    parts = clip_features(own.withColumn("__record", F.concat_ws(":", "source_id", "record_id")), box, "__record")
+    kinds = {"point": "Point", "line": "LineString", "polygon": "Polygon"}
+    kind = F.coalesce(*[F.when(F.col("family") == f, F.lit(k)) for f, k in kinds.items()])
+    return parts.withColumn("geometry_type", kind).drop("__record", "family")
+
+
+def clip_diagnostics(features: DataFrame, parts: DataFrame) -> DataFrame:
+    """One row: source rows, those with parts and without, parts, clipped and repaired records, records with remnants, and the change of measure by repairs."""
+    record = F.struct("source_id", "record_id")
+    seen = parts.agg(
+        F.countDistinct(record).alias("intersecting_rows"),
+        F.count("*").alias("output_parts"),
+        F.countDistinct(F.when(F.col("clipped"), record)).alias("clipped_source_rows"),
+        F.countDistinct(F.when(F.col("repaired"), record)).alias("repaired_rows"),
+        F.countDistinct(F.when(F.col("repair_status") == REPAIR[2], record)).alias("repair_dimension_remnant_rows"),
+    )
+    each = parts.where("repaired").groupBy("source_id", "record_id").agg(F.max("repair_delta").alias("delta")).agg(F.coalesce(F.sum("delta"), F.lit(0.0)).alias("repair_measure_delta"))
+    rows = features.agg(F.count("*").alias("source_rows"))
+    return rows.join(seen).join(each).withColumn("excluded_rows", F.col("source_rows") - F.col("intersecting_rows"))
+
+
 def clip_features(features: DataFrame, box: tuple, record: str = "record_id") -> DataFrame:
     """Features of any family (record, wkb) cut to box, a row for each primitive part that is left.
 
     Adds family, wkb and bounds of the part, part_number and part_id (by the digest of the part),
     retained_fraction (of the record's area, length or points, all parts together), clipped, and
-    repaired, true for polygons whose rings cross and were taken apart by the even-odd rule
-    first. A polygon without area is an error.
+    repaired, true for polygons whose rings cross, touch or run over each other and were taken
+    apart by the even-odd rule first; repair_status then says whether lines that bound nothing
+    were left out, and repair_delta by how many square metres the area is larger than that of
+    the shell less the holes. A polygon without area is an error.
     Areas are equal-area and lengths geodesic. The box includes its border: a point on it stays,
     what touches it without an area or length of its own does not. A box with west > east and
     features over the dateline are unwrapped and met on every turn. Records with nothing left
@@ -105,33 +141,38 @@ def clip_features(features: DataFrame, box: tuple, record: str = "record_id") ->
 
     parts = parts_of(features)
     own = [c for c in parts.columns if c not in (*BOX, "wkb", "family")]
-    made = T._parse_datatype_string("family string, wkb binary, min_x double, min_y double, max_x double, max_y double, repaired boolean, __kept double, __whole double")
+    made = T._parse_datatype_string("family string, wkb binary, min_x double, min_y double, max_x double, max_y double, repaired boolean, repair_status string, repair_delta double, __kept double, __whole double")
     schema = T.StructType([*(parts.schema[c] for c in own), *made])
     boxes, turns = box_parts(*box), (0.0, -360.0, 360.0)
 
     def polygon(rings):
         rings = K.unwrapped_rings(rings)
-        area = lambda shape: P.polygon_area([np.column_stack(K.equal_area(r[:, 0], r[:, 1])) for r in shape], True)
+        metres = lambda shape: [np.column_stack(K.equal_area(r[:, 0], r[:, 1])) for r in shape]
+        area = lambda shape: P.polygon_area(metres(shape), True)
         sound = P.is_simple(rings)
-        valid = [rings] if sound else N.make_valid(rings)
+        valid, told = ([rings], None) if sound else N.repaired(rings)
         whole = sum(map(area, valid))
         if not whole:
             raise ValueError("a polygon without area loses its dimension")
+        repair = (False, REPAIR[0], None)
+        if not sound:
+            sizes = [abs(P.ring_area(r)) for r in metres(rings)]
+            repair = (True, REPAIR[2 if told["remnant_length"] else 1], whole - (sizes[0] - sum(sizes[1:])))
         found = [x for v in valid for t in turns for b in boxes for x in P.split_polygon([r + (t, 0.0) for r in v], b)]
-        return whole, not sound, [(K.to_wkb("Polygon", [np.vstack((r, r[:1])).tolist() for r in x]), x[0], a) for x in found if (a := area(x)) > 0]
+        return whole, repair, [(K.to_wkb("Polygon", [np.vstack((r, r[:1])).tolist() for r in x]), x[0], a) for x in found if (a := area(x)) > 0]
 
     def line(points):
         points = K.unwrapped(points)
         length = lambda p: float(K.line_length(p))
         cut = [P.clip_line(points + (t, 0.0), b) for t in turns for b in boxes]
-        return length(points), False, [(K.to_wkb("LineString", c.tolist()), c, length(c)) for s in cut if len(s) for c in K.chains(s)]
+        return length(points), (False, REPAIR[0], None), [(K.to_wkb("LineString", c.tolist()), c, length(c)) for s in cut if len(s) for c in K.chains(s)]
 
     def point(points):
         x, y = points[0]
         for t in turns:
             if any(w <= x + t <= e and s <= y <= n for w, s, e, n in boxes):
-                return 1.0, False, [(K.to_wkb("Point", (x + t, y)), points + (t, 0.0), 1.0)]
-        return 1.0, False, []
+                return 1.0, (False, REPAIR[0], None), [(K.to_wkb("Point", (x + t, y)), points + (t, 0.0), 1.0)]
+        return 1.0, (False, REPAIR[0], None), []
 
     def cut(batches):
         for batch in batches:
@@ -142,9 +183,9 @@ def clip_features(features: DataFrame, box: tuple, record: str = "record_id") ->
                 for k, (wkb, p, kept) in enumerate(found or [(None, None, 0.0)]):
                     low, high = (p.min(axis=0).tolist(), p.max(axis=0).tolist()) if p is not None else ([None] * 2, [None] * 2)
                     owner.append(i)
-                    rows.append((K.FAMILY[kind], wkb, *low, *high, repaired, kept, whole if k == 0 else 0.0))
+                    rows.append((K.FAMILY[kind], wkb, *low, *high, *repaired, kept, whole if k == 0 else 0.0))
             columns = list(zip(*rows)) if rows else [()] * len(made.fields)
-            types = [pa.string(), pa.binary(), *[pa.float64()] * 4, pa.bool_(), pa.float64(), pa.float64()]
+            types = [pa.string(), pa.binary(), *[pa.float64()] * 4, pa.bool_(), pa.string(), *[pa.float64()] * 3]
             at = pa.array(owner, pa.int64())
             yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in own), *(pa.array(c, t) for c, t in zip(columns, types))], [*own, *made.names])
 

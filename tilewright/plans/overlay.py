@@ -40,7 +40,8 @@ def overlay(
     cells: cell_id and box, and wkb where cells are convex polygons; features: group, feature_id,
     record_id (unique over all sources), wkb, and designation_id and zone_name where the layer
     has them. Collections are taken apart into parts, and on the earth what steps over the
-    dateline is cut there; part_id is the feature's record with the part's number in it. A part is in a cell if they have an area, a length or a
+    dateline is cut there; part_id is the features' own where they have it, else the record with
+    the part's number in it. A part is in a cell if they have an area, a length or a
     point in common, by the part's own family. Per cell and group: distinct features, records
     and parts, the share of the cell's area under the union of polygons, the length of the
     union of lines, and the distinct points; null where a group has no such parts there.
@@ -54,10 +55,12 @@ def overlay(
         raise ValueError("mode must be matrix or query")
     spark = cells.sparkSession
     own = ["group", "feature_id", "record_id", *[c for c in ("designation_id", "zone_name") if c in features.columns]]
-    parts = exact.parts_of(features.select(*own, "wkb"), number="part_number", earth=earth)
-    same = F.col("feature_id") == F.col("record_id")
-    part_id = F.concat_ws("-", "record_id", F.when(~same, F.col("feature_id")), F.lit("part"), F.col("part_number").cast("string"))
-    found = materialize(exact.pieces(parts.withColumn("part_id", part_id).drop("part_number"), cells, tile, earth), "pieces")
+    given = ["part_id"] if "part_id" in features.columns else []
+    parts = exact.parts_of(features.select(*own, *given, "wkb"), number="part_number", earth=earth)
+    if not given:
+        same = F.col("feature_id") == F.col("record_id")
+        parts = parts.withColumn("part_id", F.concat_ws("-", "record_id", F.when(~same, F.col("feature_id")), F.lit("part"), F.col("part_number").cast("string")))
+    found = materialize(exact.pieces(parts.drop("part_number"), cells, tile, earth), "pieces")
     relation = exact.memberships(found).select("cell_id", "group", "feature_id", "record_id", "part_id", "family", "intersection_area", "intersection_length", "point_count")
     if max_memberships is not None:
         relation = within_budget(relation, max_memberships, "memberships")
