@@ -119,8 +119,10 @@ def test_formats_are_dispatched_and_pinned(spark, tmp_path):
 def test_geopackage(spark, tmp_path):
     path = tmp_path / "a.gpkg"
     db = sqlite3.connect(path)
-    db.execute("create table gpkg_geometry_columns (table_name text, column_name text)")
-    db.execute("insert into gpkg_geometry_columns values ('lanes', 'geom')")
+    db.execute("create table gpkg_geometry_columns (table_name text, column_name text, srs_id integer)")
+    db.execute("create table gpkg_spatial_ref_sys (srs_id integer, organization text, organization_coordsys_id integer, definition text)")
+    db.execute("insert into gpkg_geometry_columns values ('lanes', 'geom', 4326)")
+    db.execute("insert into gpkg_spatial_ref_sys values (4326, 'EPSG', 4326, '')")
     db.execute("create table lanes (geom blob, routeType text)")
     header = b"GP\0\3" + struct.pack("<i", 4326) + struct.pack("<4d", 0, 1, 0, 1)
     db.execute("insert into lanes values (?, 'tss')", (header + to_wkb("Polygon", SQUARE),))

@@ -22,7 +22,7 @@ from xml.etree import ElementTree
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from ..functions import scalar as S
+from ..functions import crs, scalar as S
 from ..functions.kernels import _NAMES, box_wkb, from_wkb, to_wkb
 
 SHAPE = "kind string, wkb binary, min_x double, min_y double, max_x double, max_y double"
@@ -40,12 +40,28 @@ def _points(coordinates) -> Iterator[tuple]:
             yield from _points(c)
 
 
-def shape(kind: str | None, coordinates) -> tuple:
-    """(kind, wkb, bounds) of a GeoJSON geometry; nulls for an empty or absent one; raises for unknown types."""
+def moved(coordinates, system: crs.System):
+    """GeoJSON coordinates of a system as longitudes and latitudes."""
+    if isinstance(coordinates[0], (int, float)):
+        x, y = crs.to_lonlat(system, coordinates[0], coordinates[1])
+        return float(x), float(y)
+    if isinstance(coordinates[0][0], (int, float)):
+        x, y = crs.to_lonlat(system, [p[0] for p in coordinates], [p[1] for p in coordinates])
+        return list(zip(x.tolist(), y.tolist()))
+    return [moved(c, system) for c in coordinates]
+
+
+def shape(kind: str | None, coordinates, system: crs.System | None = None) -> tuple:
+    """(kind, wkb, bounds) of a GeoJSON geometry; nulls for an empty or absent one; raises for unknown types.
+
+    Coordinates of a system other than longitude and latitude are brought to these.
+    """
     if kind is None or not coordinates:
         return (None,) * 6
     if kind not in _NAMES.values() or kind == "GeometryCollection":
         raise ValueError(f"unsupported source geometry {kind}")
+    if system is not None and system.kind != "geographic":
+        coordinates = moved(coordinates, system)
     xs, ys = zip(*[p[:2] for p in _points(coordinates)])
     return kind, to_wkb(kind, coordinates), float(min(xs)), float(min(ys)), float(max(xs)), float(max(ys))
 
@@ -91,10 +107,40 @@ def geojson(spark: SparkSession, path: str, properties: T.StructType) -> DataFra
     return _shapes(rows, "geometry")
 
 
+def footers(spark: SparkSession, path: str, key: str) -> list[str | None]:
+    """The different values that a key has in the footers of Parquet files, read by tasks; null where a file lacks it."""
+    files = spark.createDataFrame([(f,) for f in spark.read.parquet(path).inputFiles()], "file string")
+    files = files.repartition(max(1, min(files.count(), spark.sparkContext.defaultParallelism)))
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        for batch in batches:
+            found = []
+            for name in batch.column("file").to_pylist():
+                system, place = fs.FileSystem.from_uri(name)
+                with system.open_input_file(place) as f:
+                    value = (pq.ParquetFile(f).metadata.metadata or {}).get(key.encode())
+                found.append(value.decode() if value is not None else None)
+            yield pa.RecordBatch.from_pydict({"value": pa.array(found, pa.string())})
+
+    return [r["value"] for r in files.mapInArrow(run, "value string").distinct().collect()]
+
+
 def geoparquet(spark: SparkSession, path: str, geometry: str = "geometry") -> DataFrame:
-    """Parquet with WKB in a column; bounds are worked out where the file has none."""
-    df = spark.read.parquet(path)
-    if {"min_x", "min_y", "max_x", "max_y"} <= set(df.columns):
+    """Parquet with WKB in a column, as longitudes and latitudes; bounds are worked out where the file has none.
+
+    The system is that of the files' `geo` metadata, in which all files must agree. Files
+    without such metadata are tables of longitudes and latitudes; other numbers are an error.
+    """
+    df, told = spark.read.parquet(path), footers(spark, path, "geo")
+    systems = {crs.from_geo_metadata(t, geometry) if t is not None else None for t in told}
+    if len(systems) > 1:
+        raise ValueError(f"{path}: files of different coordinate systems")
+    (system,) = systems or {None}
+    if {"min_x", "min_y", "max_x", "max_y"} <= set(df.columns) and (system is None or system.kind == "geographic"):
         return df.withColumnRenamed(geometry, "wkb")
     fields = T._parse_datatype_string(SHAPE)
 
@@ -103,10 +149,13 @@ def geoparquet(spark: SparkSession, path: str, geometry: str = "geometry") -> Da
 
         from pyspark.sql.pandas.types import to_arrow_type
 
-        rows = [shape(None, None) if w is None else shape(*from_wkb(w)) for w in a.to_pylist()]
+        rows = [shape(None, None) if w is None else shape(*from_wkb(w), system) for w in a.to_pylist()]
+        if system is None and any(r[2] is not None and (max(abs(r[2]), abs(r[4])) > 540 or max(abs(r[3]), abs(r[5])) > 90) for r in rows):
+            raise ValueError("no coordinate system is declared, and these are no degrees")
         return pa.array([dict(zip(fields.names, r)) for r in rows], to_arrow_type(fields))
 
-    return df.withColumn("__shape", F.arrow_udf(run, fields)(geometry)).select(*[c for c in df.columns if c != geometry], "__shape.*")
+    bounds = ("min_x", "min_y", "max_x", "max_y", geometry)
+    return df.withColumn("__shape", F.arrow_udf(run, fields)(geometry)).select(*[c for c in df.columns if c not in bounds], "__shape.*")
 
 
 def ports(spark: SparkSession, path: str) -> DataFrame:
@@ -311,14 +360,21 @@ def _gpkg_rows(layer: str):
             f.write(content)
             f.flush()
             db = sqlite3.connect(f.name)
-            (geometry,) = db.execute("select column_name from gpkg_geometry_columns where table_name = ?", (layer,)).fetchone()
+            found = db.execute("select column_name, srs_id from gpkg_geometry_columns where table_name = ?", (layer,)).fetchone()
+            if found is None:
+                raise ValueError(f"{name}: no layer {layer}")
+            geometry, number = found
+            told = db.execute("select organization, organization_coordsys_id, definition from gpkg_spatial_ref_sys where srs_id = ?", (number,)).fetchone()
+            if told is None or number <= 0:
+                raise ValueError(f"{name}: {layer} has no coordinate system")
+            system = crs.system(int(told[1])) if told[0].upper() == "EPSG" else crs.from_wkt(told[2])
             cursor = db.execute(f'select rowid as fid, * from "{layer}"')
             names = [d[0] for d in cursor.description]
             for values in cursor:
                 row = dict(zip(names, values))
                 blob = row.pop(geometry)
                 fid = str(row.pop("fid"))
-                yield fid, json.dumps({k: v for k, v in row.items() if not isinstance(v, bytes)}, sort_keys=True), *(shape(None, None) if blob is None else shape(*from_wkb(gpkg_wkb(blob))))
+                yield fid, json.dumps({k: v for k, v in row.items() if not isinstance(v, bytes)}, sort_keys=True), *(shape(None, None) if blob is None else shape(*from_wkb(gpkg_wkb(blob)), system))
             db.close()
 
     return rows
@@ -333,7 +389,7 @@ def gpkg_wkb(blob: bytes) -> bytes:
 
 
 def geopackage(spark: SparkSession, path: str, layer: str) -> DataFrame:
-    """(fid, properties as JSON, shape) of a layer of GeoPackage files."""
+    """(fid, properties as JSON, shape) of a layer of GeoPackage files, in longitudes and latitudes; a layer without a known system is an error."""
     return _per_file(spark, path, _gpkg_rows(layer), "fid string, properties string, " + SHAPE)
 
 
@@ -341,8 +397,11 @@ def _shp_rows(name: str, content: bytes):
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         for shp in (n for n in z.namelist() if n.lower().endswith(".shp")):
             records = list(parse_dbf(z.read(shp[:-3] + "dbf")))
+            if shp[:-3] + "prj" not in z.namelist():
+                raise ValueError(f"{name}: {shp} has no coordinate system")
+            system = crs.from_wkt(z.read(shp[:-3] + "prj").decode("utf-8", "replace"))
             for i, (kind, c) in enumerate(parse_shp(z.read(shp))):
-                yield str(i), json.dumps(records[i], sort_keys=True), *shape(kind, c)
+                yield str(i), json.dumps(records[i], sort_keys=True), *shape(kind, c, system)
 
 
 def parse_shp(data: bytes) -> Iterator[tuple]:
@@ -393,7 +452,7 @@ def parse_dbf(data: bytes) -> Iterator[dict]:
 
 
 def shapefiles(spark: SparkSession, path: str) -> DataFrame:
-    """(fid, properties as JSON, shape) of the shapefiles in ZIP files."""
+    """(fid, properties as JSON, shape) of the shapefiles in ZIP files, in longitudes and latitudes by their .prj, which they must have."""
     return _per_file(spark, path, _shp_rows, "fid string, properties string, " + SHAPE)
 
 
