@@ -181,3 +181,54 @@ def test_records_of_two_sources_are_two(spark, tmp_path):
     assert found.memberships.select("part_id").distinct().count() == 2
     told = {r["source_id"]: r for r in found.coverage.collect()}
     assert told["other_refuges"]["geographic_completeness"] == "qualified_named_source_scope" and len(told["other_refuges"]["support_bbox"]) == 4
+
+
+def _normal(spark, collection, source, schema, *rows):
+    from tilewright.plans import normalize as N, providers
+
+    frame = spark.createDataFrame([(*r, "LineString", bytearray(K.to_wkb("LineString", [(0, 0), (1, float(i + 1))]))) for i, r in enumerate(rows)], schema + ", kind string, wkb binary")
+    return [r.asDict() for r in N.normalize(frame, providers.layer_of(collection, source), N.Source(source, provider="P", as_of="2020-01-01")).collect()]
+
+
+def test_records_without_their_own_id(spark):
+    """A maritime line falls back to its OBJECTID and then to its geometry; its vintage is its own date, else the source's."""
+    schema = "BOUND_ID string, OBJECTID string, REGION string, RULEID int, RULE string, PUB_DATE long, AOR string, STATUS string"
+    rows = [("B1", "7", "Alaska", 2, "EEZ", 1_577_836_800_000, "NOAA", "current"), (None, "8", None, 99, None, None, None, None), (None, None, None, None, None, None, None, None)]
+    a, b, c = sorted(_normal(spark, "federal_waters", "noaa_us_eez_dynamic", schema, *rows), key=lambda r: r["record_id"])
+    assert (a["record_id"], a["feature_id"], a["region"], a["agency"], a["source_vintage"]) == ("8", "us_maritime_zone:exclusive_economic_zone:8", None, None, "2020-01-01")
+    assert b["record_id"] == "B1" and b["source_vintage"] == "2020-01-01" and b["geometry_role"] == "eez_outer_limit" and b["feature_name"] == "Alaska — U.S. EEZ limit"
+    assert c["record_id"].startswith("geometry-") and c["geometry_role"] == "source_value_unknown"
+    found = _normal(spark, "federal_waters", "nrcan_canadian_geopolitical_boundaries_lines", "UUID string, TYPE_E string, SRC_DESC string, P_UPD_DATE string", (None, "EEZ_200", "order", "2011-05-06"), ("u", "INTERN", None, None))
+    assert len(found) == 1 and found[0]["source_vintage"] == "2011-05-06" and found[0]["rule_label"] == "EEZ_200" and found[0]["legal_authority"] == "Canada Oceans Act; order"
+
+
+def test_inventory_fields(spark):
+    schema = "site_id string, site_name string, gov_level string, State string, IUCNcat string, estab_yr string, date_gis_u string, prot_lvl string"
+    rows = [("A", "Bay", "Federal", "CA", "IV", "1999", "2019-03-04", "No Take"), ("B", None, None, None, None, None, None, None)]
+    a, b = sorted(_normal(spark, "marine_protected_areas", "noaa_mpa_inventory_2023", schema, *rows), key=lambda r: r["record_id"])
+    assert (a["source_vintage"], a["source_subdivision_code"], a["iucn_class"], a["established_precision"], a["protection_level"]) == ("2019-03-04", "CA", "IV", "year", "No Take")
+    assert (b["source_vintage"], b["established_precision"], b["map_group"], b["feature_name"]) == ("2020-01-01", "unknown", "us_state_tribal_local_reference", "B") and a["iucn_status"] != b["iucn_status"]
+
+
+def test_sanctuary_areas(spark):
+    """The polygons of a source together are held against the area by regulation."""
+    from tilewright.config import SourceEntry
+
+    x, y = K.equal_area([0.0, 1.0], [47.0, 48.0])
+    wide = 3188.0 * 2_589_988.110336 / ((y[1] - y[0]) * (x[1] - x[0]))  # degrees of longitude with that area
+    shapes = [_wkb((-125.0, 47.0), (-125.0 + wide / 2, 47.0), (-125.0 + wide / 2, 48.0), (-125.0, 48.0)), _wkb((-125.0 + wide / 2, 47.0), (-125.0 + wide, 47.0), (-125.0 + wide, 48.0), (-125.0 + wide / 2, 48.0))]
+    frame = lambda n: spark.createDataFrame([(str(i), "Polygon", shapes[i]) for i in range(n)], "POLY_ID string, kind string, wkb binary")
+    source = SourceEntry("noaa_onms_olympic_coast_boundary", "national_marine_sanctuaries")
+    good = api.source_features(spark, source, frame(2)).collect()
+    assert {(r["area_status"], r["qc_status"]) for r in good} == {("within_0_5_percent_of_current_cfr_approx_area", "passed_with_legal_source_caveat")}
+    assert good[0]["geometry_area_sqmi"] == pytest.approx(3188.0, rel=1e-6)
+    bad = api.source_features(spark, source, frame(1)).collect()
+    assert bad[0]["qc_status"] == "review_required" and bad[0]["area_difference_percent"] == pytest.approx(-50, abs=1e-3)
+
+
+def test_routing_names(spark):
+    schema = "OBJECTID string, MERGE_SRC string, LNAM string, OBJNAM string"
+    found = {r["record_id"]: r for r in _normal(spark, "shipping_lanes", "chs_routing_layer_5", schema, ("1", "NAVLNE_L", "L1", None), ("2", "RECTRC_L", None, "Track"))}
+    assert [found[k]["jurisdiction"] for k in sorted(found)] == ["Published source coverage; no jurisdiction inferred"] * 2
+    first, second = (found[k] for k in sorted(found))
+    assert first["feature_name"] == "Chs Navigation Line" and second["feature_name"] == "Track" and first["routing_identity"] != second["routing_identity"]

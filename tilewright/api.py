@@ -16,7 +16,7 @@ from .operators.relational import coverage_matrix, stack
 from .operators.validate import canonical_rules, require_valid
 from .plans.normalize import normalize
 from .plans.overlay import overlay
-from .plans.providers import LAYERS, PLANNED, layer_of
+from .plans.providers import LAYERS, PLANNED, area_checked, layer_of
 from .sources.readers import read_source
 from .storage import materialize
 
@@ -56,7 +56,7 @@ def source_features(spark: SparkSession, source: SourceEntry, raw: DataFrame | N
     features = normalize(raw, layer_of(source.collection, source.source_id), source.contract())
     if "wkb" not in features.columns:
         features = features.withColumn("wkb", box_wkb(*spatial.BOX))
-    return features
+    return area_checked(features) if "cfr_area_sqmi" in features.columns else features
 
 
 def get_layer(

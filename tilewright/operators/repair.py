@@ -56,3 +56,17 @@ def repair(features: DataFrame, wkb: str = "wkb") -> DataFrame:
 
     own = [c for c in features.columns if c not in (wkb, *fields.names)]
     return features.select(*own, F.arrow_udf(run, fields)(wkb).alias("__told")).select(*own, *[F.col(f"__told.{n}").alias(wkb if n == "wkb" else n) for n in fields.names])
+
+
+def areas(wkb):
+    """Square metres of the equal-area cylinder that the polygons of a WKB column cover, by the even-odd rule each; 0 for others, null for null."""
+
+    def run(a: pa.Array) -> pa.Array:
+        out = []
+        for d in a.to_pylist():
+            shapes = [K.unwrapped_rings(s) for k, s in K.primitives(*K.from_wkb(d)) if k == "Polygon"] if d is not None else []
+            metres = [[np.column_stack(K.equal_area(r[:, 0], r[:, 1])) for r in s] for s in shapes]
+            out.append(None if d is None else float(sum(P.polygon_area(s, P.is_simple(s)) for s in metres)))
+        return pa.array(out, pa.float64())
+
+    return F.arrow_udf(run, T.DoubleType())(wkb)

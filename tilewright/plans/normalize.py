@@ -94,6 +94,8 @@ class Layer:
     that maps to None is left out. The canonical type is the feature's type, or the field
     role_field where that is named. identity is the record's id and must not be null where rows
     are kept; feature_id, a function of the frame, is the feature's, else it is the record's.
+    Where otherwise names fields, these stand in for a null identity, and last the geometry's
+    digest. vintage, qc_status and qc_reason go before the source's own where they are not null.
     rules are conditions that every kept row must meet. families is the geometry family that
     all features, or those of a role, must have (checked where the frame has `kind`). fields are
     further columns, constants or functions of the frame.
@@ -125,6 +127,10 @@ class Layer:
     geometry: tuple[str, ...] = ("kind", "wkb", "min_x", "min_y", "max_x", "max_y")
     started: tuple[str, ...] = ()
     dates: Callable[[Column], Column] = S.try_iso_date
+    otherwise: tuple[str, ...] = ()
+    vintage: Value = None
+    qc_status: Value = None
+    qc_reason: Value = None
 
 
 def text(*names: str) -> Callable[[DataFrame], Column]:
@@ -132,6 +138,16 @@ def text(*names: str) -> Callable[[DataFrame], Column]:
     return lambda df: F.coalesce(*[S.clean(resolve(df, n)) for n in names])
 
 
+def identity_of(*names: str) -> Callable[[DataFrame], Column]:
+    """The first of the fields that is not null, else the geometry's digest."""
+
+    def of(df: DataFrame) -> Column:
+        digest = [F.concat(F.lit("geometry-"), F.substring(F.sha2("wkb", 256), 1, 16))] if "wkb" in df.columns else []
+        return F.coalesce(text(*names)(df), *digest)
+
+    return of
+
+
 def date_of(name: str) -> Callable[[DataFrame], Column]:
     """A field as `YYYY-MM-DD` by its declared type: numbers are milliseconds, dates and times are dates, text is ISO."""
 
@@ -168,7 +184,8 @@ def normalize(df: DataFrame, layer: Layer, source: Source) -> DataFrame:
     types, broken rules and other geometry families. Geometry columns pass through. Repeated
     identities are found by `repeated`, which needs a shuffle and is left to the build.
     """
-    require(df, [*layer.required, *layer.identity, *([layer.type_field] if layer.type_field else [])])
+    named = () if layer.otherwise else layer.identity
+    require(df, [*layer.required, *named, *([layer.type_field] if layer.type_field else [])])
     for f in df.schema:
         if f.name.upper() in INTEGER_FIELDS and f.name.casefold() in {n.casefold() for n in (*layer.identity, *layer.required)}:
             if not isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType)):
@@ -188,6 +205,9 @@ def normalize(df: DataFrame, layer: Layer, source: Source) -> DataFrame:
             kind = F.col("__kind")
     key = F.concat_ws("/", *[S.clean(resolve(df, c)) for c in layer.identity])
     absent = F.greatest(F.lit(False), *[S.clean(resolve(df, c)).isNull() for c in layer.identity])
+    if layer.otherwise:
+        key = identity_of(*layer.identity, *layer.otherwise)(df)
+        absent = key.isNull()
     record = F.when(absent, F.raise_error(F.lit(f"{layer.name}: record without identity"))).otherwise(key)
     for name, rule in layer.rules.items():
         record = _checked(record, rule(df), f"{layer.name}: {name}: ", key)
@@ -203,6 +223,9 @@ def normalize(df: DataFrame, layer: Layer, source: Source) -> DataFrame:
     extra |= {name: _value(df, v) for name, v in layer.fields.items()}
     made_id = layer.feature_id(df) if layer.feature_id else F.concat(F.lit(source.source_id + ":"), feature)
     optional = lambda v: None if v is None else _value(df, v)
+    own_fields = {"source_vintage": layer.vintage, "qc_status": layer.qc_status, "qc_reason": layer.qc_reason}
+    own_fields = {name: v for name, v in own_fields.items() if v is not None}
+    extra |= {"__" + name: _value(df, v).cast("string") for name, v in own_fields.items()}
     out = base_record(
         df,
         source,
@@ -219,6 +242,8 @@ def normalize(df: DataFrame, layer: Layer, source: Source) -> DataFrame:
         extra=extra | ({"__start": layer.dates(resolve(df, *layer.started))} if layer.started else {}),
     )
     out = out.withColumn("legal_status", F.lit(layer.legal_status))
+    for name in own_fields:
+        out = out.withColumn(name, F.coalesce(F.col("__" + name), F.col(name))).drop("__" + name)
     if not layer.legal:
         none = F.lit(None).cast("string")
         out = out.withColumns({"legal_authority": none, "legal_url": none})

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import scalar as S
 from ..operators.relational import resolve
-from .normalize import Layer, date_of, number, text
+from .normalize import Layer, date_of, identity_of, number, text
 
 #: Collections that are named but not built: asking for them is an error, not an empty result (fixed values).
 PLANNED = (
@@ -94,6 +94,41 @@ REFUGE_TYPES = ("National Wildlife Area", "Marine National Wildlife Area", "Migr
 ZERO_SUBAREAS = ("21", "22", "103", "109", "110", "111")
 
 
+#: Fields of the protected-area inventory that are handed on as they are, by our names (fixed values).
+MPA_FIELDS = {
+    "government_level": "gov_level",
+    "source_subdivision_code": "State",
+    "source_designation_type": "Design",
+    "primary_conservation_focus": "pri_con_fo",
+    "conservation_focus": "cons_focus",
+    "protection_focus": "prot_focus",
+    "protection_level": "prot_lvl",
+    "national_system_status": "ns_full",
+    "management_plan_status": "mgmt_plan",
+    "permanence": "permanence",
+    "constancy": "constancy",
+    "fishing_restrictions": "fish_rstr",
+    "vessel_restrictions": "vessel",
+    "anchoring_restrictions": "anchor",
+    "iucn_class": "IUCNcat",
+}
+#: What is said of the inventory's records (fixed values).
+MPA_STATES = {
+    "effective_status": "inventory_lists_existing_mpa_not_legally_reverified",
+    "rule_status": "program_framework_only_site_rule_not_in_inventory",
+    "purpose_status": "noaa_inventory_reference_classification",
+    "activity_status": "inventory_restriction_classes_retained_not_interpreted_as_legal_rules",
+    "geometry_status": "inventory_reference_polygon_not_controlling_legal_source",
+}
+IUCN_STATES = ("sourced_noaa_inventory_reference", "inventory_scope_uses_iucn_definition_but_category_not_sourced")
+#: What is said of routing components and how their identity came about (fixed values).
+ROUTING_JURISDICTION = "Published source coverage; no jurisdiction inferred"
+ROUTING_IDENTITY = ("CHS object LNAM within type; chart records retained", "snapshot source record ID; no logical route equivalence inferred")
+#: States of the comparison with an area by regulation (fixed values).
+AREA_STATES = ("within_0_5_percent_of_current_cfr_approx_area", "outside_0_5_percent_of_current_cfr_approx_area")
+SQUARE_METRES_PER_MILE = 2_589_988.110336
+
+
 def _is(name: str, *values: str):
     return lambda df: F.coalesce(S.clean(resolve(df, name)).isin(*values), F.lit(False))
 
@@ -154,7 +189,11 @@ def _providers() -> dict[tuple[str, str], Layer]:
                 "authority_id": lambda df: F.concat(F.lit("USA:AGENCY:"), F.coalesce(F.nullif(S.slug(text("mgmt_agen")(df)), F.lit("")), F.lit("unknown"))),
                 "map_group": lambda df: F.when(federal(df), "us_federal_program_reference").otherwise("us_state_tribal_local_reference"),
                 "marine_area_km2": number("AreaMar", "area_km_ma"), "total_area_km2": number("AreaKm", "area_km_to"), "purpose": text("pri_con_fo"),
-            }))
+                "established_precision": lambda df: F.when(text("estab_yr")(df).isNull(), "unknown").otherwise("year"),
+                "iucn_status": lambda df: F.when(text("IUCNcat")(df).isNull(), IUCN_STATES[1]).otherwise(IUCN_STATES[0]),
+                **{name: text(field) for name, field in MPA_FIELDS.items()}, **MPA_STATES,
+            }, vintage=date_of("date_gis_u"),
+            qc_reason="Discovery and reference geometry of an inventory; agency and program are kept, a verified rule of the site is not in it."))
     active = {"source_record_id": text("OBJECTID"), "country_code": "CAN", "authority_id": "CAN:DFO"}
     add("marine_protected_areas", "dfo_oceans_act_marine_protected_areas", Layer(
         "dfo_oceans_act_marine_protected_areas", ("OBJECTID",), "DFO_", "oceans_act_marine_protected_area_zone_polygon", required=("NAME_E", "ZONE_E"),
@@ -213,8 +252,9 @@ def _providers() -> dict[tuple[str, str], Layer]:
     add("international_boundaries", "noaa_us_maritime_limits", Layer(
         "noaa_us_maritime_limits", ("BOUND_ID",), "NOAA_", segment, keep=lambda df: F.coalesce(F.lower(resolve(df, "FEAT_TYPE")).contains("boundary"), F.lit(False)),
         title=("REGION", "BOUND_ID"), authority=("AOR",), jurisdiction=lambda df: F.coalesce(text("REGION")(df), F.lit("Canada-United States")), legal_authority=text("LEGAL_AUTH"),
-        legal_url=text("SUPP_INFO"), coverage=bounds, feature_id=_id("international_boundary:noaa:", "{BOUND_ID}"),
-        fields={"boundary_id": text("BOUND_ID"), "publication_date": date_of("PUB_DATE"), "approval_date": date_of("APPRV_DATE"), "source_role": "agency_boundary_reference"}))
+        legal_url=text("SUPP_INFO"), coverage=bounds, otherwise=("OBJECTID",), vintage=date_of("PUB_DATE"),
+        feature_id=lambda df: F.concat(F.lit("international_boundary:noaa:"), identity_of("BOUND_ID", "OBJECTID")(df)),
+        fields={"boundary_id": identity_of("BOUND_ID", "OBJECTID"), "agency": text("AOR"), "status": text("STATUS"), "region": text("REGION"), "publication_date": date_of("PUB_DATE"), "approval_date": date_of("APPRV_DATE"), "source_role": "agency_boundary_reference"}))
     add("international_boundaries", "international_boundary_commission_v1_3", Layer(
         "international_boundary_commission_v1_3", ("SectionNum",), "IBC_", segment, title=("SectionEng", "SectionNum"), jurisdiction="Canada-United States", coverage=bounds,
         feature_id=_id("international_boundary:ibc:section-", "{SectionNum}"),
@@ -224,25 +264,32 @@ def _providers() -> dict[tuple[str, str], Layer]:
         }))
     add("international_boundaries", "nrcan_canadian_geopolitical_boundaries_lines", Layer(
         "nrcan_canadian_geopolitical_boundaries_lines", ("UUID",), "CGB_", segment, keep=_is("TYPE_E", "INTERN"), authority=("SRC_AGENCY",), jurisdiction="Canada-United States",
-        feature_name=_id("CGB international boundary ", "{UUID}"), legal_authority=text("SRC_DESC"), coverage=bounds, feature_id=_id("international_boundary:cgb:", "{UUID}"),
-        fields={"boundary_id": text("UUID"), "publication_date": date_of("P_UPD_DATE"), "accuracy_m": number("ACCUR"), "source_role": "canadian_government_boundary_reference"}))
+        feature_name=lambda df: F.concat(F.lit("CGB international boundary "), identity_of("UUID")(df)), legal_authority=text("SRC_DESC"), coverage=bounds, otherwise=("UUID",),
+        vintage=date_of("P_UPD_DATE"), feature_id=lambda df: F.concat(F.lit("international_boundary:cgb:"), identity_of("UUID")(df)),
+        fields={"boundary_id": identity_of("UUID"), "agency": text("SRC_AGENCY"), "status": text("STATUS"), "publication_date": date_of("P_UPD_DATE"), "accuracy_m": number("ACCUR"), "source_role": "canadian_government_boundary_reference"}))
 
     for source, (zone, miles, label) in MARITIME_ZONES.items():
         add("federal_waters", source, Layer(
             source, ("BOUND_ID",), "NOAA_", zone + "_limit", authority=("AOR",), jurisdiction="United States", legal_authority=text("LEGAL_AUTH"), legal_url=text("SUPP_INFO"),
-            feature_name=lambda df, label=label: F.concat(text("REGION", "BOUND_ID")(df), F.lit(f" — {label} limit")), coverage="partial_current_dynamic_reference",
-            feature_id=_id(f"us_maritime_zone:{zone}:", "{BOUND_ID}"),
+            feature_name=lambda df, label=label: F.concat(F.coalesce(text("REGION")(df), identity_of("BOUND_ID", "OBJECTID")(df)), F.lit(f" — {label} limit")),
+            coverage="partial_current_dynamic_reference", otherwise=("OBJECTID",), vintage=date_of("PUB_DATE"),
+            feature_id=lambda df, zone=zone: F.concat(F.lit(f"us_maritime_zone:{zone}:"), identity_of("BOUND_ID", "OBJECTID")(df)),
             fields={
-                "country_code": "USA", "zone_type": zone, "zone_limit_nm": miles, "boundary_id": text("BOUND_ID"), "rule_id": lambda df: S.strict_int(resolve(df, "RULEID")),
+                "country_code": "USA", "zone_type": zone, "zone_limit_nm": miles, "boundary_id": identity_of("BOUND_ID", "OBJECTID"), "layer_name": label, "region": text("REGION"),
+                "rule_label": text("RULE", "RULE_DESC"), "agency": text("AOR"), "status": text("STATUS"),
+                "zone_qc_reason": "A line of the provider's own zone layer; it is no polygon and was not buffered, nested, dissolved or turned into waters.", "rule_id": lambda df: S.strict_int(resolve(df, "RULEID")),
                 "geometry_role": _lookup("RULEID", RULE_ROLES, "source_value_unknown"), "publication_date": date_of("PUB_DATE"), "approval_date": date_of("APPRV_DATE"),
                 "accuracy_m": number("POS_ACC"),
             }))
     add("federal_waters", "nrcan_canadian_geopolitical_boundaries_lines", Layer(
         "nrcan_canadian_geopolitical_boundaries_lines", ("UUID",), "CGB_", "exclusive_economic_zone_limit", keep=lambda df: F.coalesce(F.upper(resolve(df, "TYPE_E")).startswith("EEZ"), F.lit(False)),
-        feature_name=_id("Canadian EEZ reference limit ", "{UUID}"), authority=("SRC_AGENCY",), jurisdiction="Canada", coverage="partial_archived_government_reference",
-        legal_authority=lambda df: F.concat_ws("; ", F.lit("Canada Oceans Act"), text("SRC_DESC")(df)), feature_id=_id("can_maritime_zone:exclusive_economic_zone:", "{UUID}"),
+        feature_name=lambda df: F.concat(F.lit("Canadian EEZ reference limit "), identity_of("UUID")(df)), authority=("SRC_AGENCY",), jurisdiction="Canada", coverage="partial_archived_government_reference",
+        legal_authority=lambda df: F.concat_ws("; ", F.lit("Canada Oceans Act"), text("SRC_DESC")(df)), otherwise=("UUID",), vintage=date_of("P_UPD_DATE"),
+        feature_id=lambda df: F.concat(F.lit("can_maritime_zone:exclusive_economic_zone:"), identity_of("UUID")(df)),
         fields={
-            "country_code": "CAN", "zone_type": "exclusive_economic_zone", "zone_limit_nm": 200, "boundary_id": text("UUID"), "publication_date": date_of("P_UPD_DATE"), "accuracy_m": number("ACCUR"),
+            "country_code": "CAN", "zone_type": "exclusive_economic_zone", "zone_limit_nm": 200, "boundary_id": identity_of("UUID"), "region": "Canada", "agency": text("SRC_AGENCY"),
+            "status": text("STATUS"), "layer_name": "GeoBase Canadian Geopolitical Boundaries Level 1", "rule_label": lambda df: F.coalesce(F.upper(text("TYPE_E")(df)), F.lit("EEZ")),
+            "zone_qc_reason": "An archived cartographic reference, no controlling legal boundary; waters inside it were not inferred.", "publication_date": date_of("P_UPD_DATE"), "accuracy_m": number("ACCUR"),
             "geometry_role": lambda df: F.when(F.upper(text("TYPE_E")(df)) == "EEZ_200", "eez_200nm_outer_limit").otherwise("eez_bilateral_or_shared_boundary"),
         }))
     add("state_provincial_waters", "boem_submerged_lands_boundary", Layer(
@@ -298,8 +345,12 @@ def _providers() -> dict[tuple[str, str], Layer]:
             logical = (lambda df, record=record: F.coalesce(_id("chs:", "{MERGE_SRC}", ":", "{LNAM}")(df), record(df))) if chs else record
             add(collection, source, Layer(
                 source, (oid,), "CHS_" if chs else "NOAA_ROUTING_", "routing_component_reference", type_field=raw, types=roles, role_field="routing_role", legal=False,
-                title=("OBJNAM", "ENC_NAME") if chs else ("location",), coverage="partial_selected_routing_inventory", feature_id=logical,
-                families={role: family for role, home, _, _, family in mine if home == collection} or None, fields={"routing_source_type": text(raw)}))
+                feature_name=lambda df, chs=chs: F.coalesce(text("OBJNAM" if chs else "location")(df), F.initcap(F.replace(F.col("__kind"), F.lit("_"), F.lit(" ")))),
+                jurisdiction=ROUTING_JURISDICTION, coverage="partial_selected_routing_inventory", feature_id=logical,
+                families={role: family for role, home, _, _, family in mine if home == collection} or None, fields={
+                    "routing_source_type": text(raw),
+                    "routing_identity": (lambda df: F.when(text("LNAM")(df).isNull(), ROUTING_IDENTITY[1]).otherwise(ROUTING_IDENTITY[0])) if chs else ROUTING_IDENTITY[1],
+                }))
     for collection, schedule, kind, clause, knots in (
         ("exclusion_zones", "schedule2", "fixed_vessel_restriction_reference", "5-6", None),
         ("speed_restriction_zones", "schedule3", "fixed_speed_restriction_reference", "7-8", 10.0),
@@ -354,6 +405,28 @@ def layer_of(collection: str, source_id: str) -> Layer:
     return PROVIDERS.get((collection, source_id), LAYERS[collection])
 
 
+def area_checked(features: DataFrame) -> DataFrame:
+    """Sanctuaries with the area of each source's polygons together against the area by regulation.
+
+    Adds geometry_area_sqmi, area_difference_percent and area_status, and sets qc_status and
+    qc_reason by whether they agree within half a percent.
+    """
+    from ..operators.repair import areas
+
+    area = features.select("source_id", areas(F.col("wkb")).alias("m2"), "cfr_area_sqmi").groupBy("source_id").agg((F.sum("m2") / SQUARE_METRES_PER_MILE).alias("geometry_area_sqmi"), F.max("cfr_area_sqmi").alias("__cfr"))
+    area = area.withColumn("area_difference_percent", 100 * (F.col("geometry_area_sqmi") - F.col("__cfr")) / F.col("__cfr")).drop("__cfr")
+    near = F.abs(F.col("area_difference_percent")) <= 0.5
+    said = lambda a, b: F.when(near, a).otherwise(b)
+    out = features.join(F.broadcast(area), "source_id").select(*features.columns, "geometry_area_sqmi", "area_difference_percent")  # a row for each configured source
+    return out.withColumns(
+        {
+            "area_status": said(*AREA_STATES),
+            "qc_status": said("passed_with_legal_source_caveat", "review_required"),
+            "qc_reason": said("Polygons agree with the approximate area by regulation within 0.5%; its text and coordinates control.", "Polygons differ from the approximate area by regulation by more than 0.5%; a review of the legal boundary is required."),
+        }
+    )
+
+
 def metric_groups(collection: str) -> dict[str, dict]:
     """Metric groups of a collection's matrix by prefix: the roles of typed collections, each within one source; else the collection as a whole."""
     typed = []
