@@ -44,6 +44,57 @@ def clip_ring(ring: np.ndarray, box: tuple) -> np.ndarray:
     return ring
 
 
+def clip_many(points: np.ndarray, ring: np.ndarray, boxes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """clip_ring for many rings at once: points with the number of their ring, in order, and a box for each ring."""
+    for axis, column, above in ((0, 0, True), (0, 2, False), (1, 1, True), (1, 3, False)):
+        v, bound = points[:, axis], boxes[ring, column]
+        inside = v >= bound if above else v <= bound
+        if inside.all():
+            continue
+        sizes = np.bincount(ring, minlength=len(boxes))
+        starts = np.cumsum(sizes) - sizes
+        after = np.arange(1, len(points) + 1)
+        after[(starts + sizes - 1)[sizes > 0]] = starts[sizes > 0]
+        crosses = inside != inside[after]
+        k = np.flatnonzero(crosses)
+        p, d = points[k], points[after[k]] - points[k]
+        cut = p + ((bound[k] - p[:, axis]) / d[:, axis])[:, None] * d
+        cut[:, axis] = bound[k]
+        counts = inside.astype(np.int64) + crosses
+        at = np.cumsum(counts) - counts
+        made = np.empty((int(counts.sum()), 2))
+        made[at[inside]] = points[inside]
+        made[(at + inside)[k]] = cut
+        points, ring = made, np.repeat(ring, counts)
+    return points, ring
+
+
+def ring_areas(points: np.ndarray, ring: np.ndarray, n: int) -> np.ndarray:
+    """The signed area of each of n rings of points with the number of their ring, in order."""
+    sizes = np.bincount(ring, minlength=n)
+    starts = np.cumsum(sizes) - sizes
+    after = np.arange(1, len(points) + 1)
+    after[(starts + sizes - 1)[sizes > 0]] = starts[sizes > 0]
+    p = points - points[starts[ring]]
+    return np.bincount(ring, p[:, 0] * p[after, 1] - p[after, 0] * p[:, 1], n) / 2
+
+
+def run_round(points: np.ndarray, ring: np.ndarray, n: int) -> np.ndarray:
+    """Which of n rings turn one way throughout and go round once, so that they are simple."""
+    sizes = np.bincount(ring, minlength=n)
+    starts = np.cumsum(sizes) - sizes
+    after = np.arange(1, len(points) + 1)
+    after[(starts + sizes - 1)[sizes > 0]] = starts[sizes > 0]
+    d = points[after] - points
+    turn = d[:, 0] * d[after, 1] - d[:, 1] * d[after, 0]
+    largest = np.zeros(n)
+    np.maximum.at(largest, ring, np.abs(d).max(axis=1))
+    least = 1e-12 * largest[ring] ** 2
+    up = d[:, 1] > 0
+    one_way = (np.bincount(ring, turn > least, n) == sizes) | (np.bincount(ring, turn < -least, n) == sizes)
+    return (sizes >= 3) & one_way & (np.bincount(ring, up != up[after], n) == 2)
+
+
 def clip_polygon(rings: list[np.ndarray], box: tuple) -> list[np.ndarray]:
     kept = [clip_ring(r, box) for r in rings]
     return [r for r in kept if len(r) >= 3] if len(kept[0]) >= 3 else []

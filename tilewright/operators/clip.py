@@ -145,6 +145,15 @@ def clip_features(features: DataFrame, box: tuple, record: str = "record_id") ->
     schema = T.StructType([*(parts.schema[c] for c in own), *made])
     boxes, turns = box_parts(*box), (0.0, -360.0, 360.0)
 
+    def parts_in(rings, turn, box):
+        """The polygons within a box of a polygon moved by a turn."""
+        (w, s), (e, n) = rings[0].min(axis=0), rings[0].max(axis=0)
+        if w + turn >= box[2] or e + turn <= box[0] or s >= box[3] or n <= box[1]:
+            return []
+        if w + turn >= box[0] and e + turn <= box[2] and s >= box[1] and n <= box[3]:
+            return [P.oriented([r + (turn, 0.0) for r in rings])]
+        return P.split_polygon([r + (turn, 0.0) for r in rings], box)
+
     def polygon(rings):
         rings = K.unwrapped_rings(rings)
         metres = lambda shape: [np.column_stack(K.equal_area(r[:, 0], r[:, 1])) for r in shape]
@@ -158,7 +167,7 @@ def clip_features(features: DataFrame, box: tuple, record: str = "record_id") ->
         if not sound:
             sizes = [abs(P.ring_area(r)) for r in metres(rings)]
             repair = (True, REPAIR[2 if told["remnant_length"] else 1], whole - (sizes[0] - sum(sizes[1:])))
-        found = [x for v in valid for t in turns for b in boxes for x in P.split_polygon([r + (t, 0.0) for r in v], b)]
+        found = [x for v in valid for t in turns for b in boxes for x in parts_in(v, t, b)]
         return whole, repair, [(K.to_wkb("Polygon", [np.vstack((r, r[:1])).tolist() for r in x]), x[0], a) for x in found if (a := area(x)) > 0]
 
     def line(points):

@@ -72,27 +72,82 @@ def _metres(rings: list[np.ndarray]) -> list[np.ndarray]:
     return [np.column_stack(K.equal_area(r[:, 0], r[:, 1])) for r in rings]
 
 
-def _polygon_pieces(rings: list[np.ndarray], boxes: np.ndarray, earth: bool):
+def _metre_boxes(boxes: np.ndarray) -> np.ndarray:
+    return np.column_stack((*K.equal_area(boxes[:, 0], boxes[:, 1]), *K.equal_area(boxes[:, 2], boxes[:, 3])))
+
+
+def _kept(area: float, rings: list[np.ndarray], box) -> tuple[float, list[np.ndarray]] | None:
+    """Area and rings of what lies in a box; None without an area, the box itself if it is full."""
+    whole = (box[2] - box[0]) * (box[3] - box[1])
+    if area <= 1e-12 * whole:
+        return None
+    if area >= whole * (1 - 1e-12):
+        return whole, [np.array([[box[0], box[1]], [box[2], box[1]], [box[2], box[3]], [box[0], box[3]]])]
+    return area, rings
+
+
+def _polygon_pieces(rings: list[np.ndarray], boxes: np.ndarray, simple: bool):
     """(index of box, area, packed piece) of the boxes in which a polygon has an area; a row of boxes shares one cut."""
-    if earth:
-        rings = _metres(rings)
-        boxes = np.column_stack((*K.equal_area(boxes[:, 0], boxes[:, 1]), *K.equal_area(boxes[:, 2], boxes[:, 3])))
-    simple = P.is_simple(rings)
     strips: dict[tuple, list[np.ndarray]] = {}
     for i, box in enumerate(boxes.tolist()):
         rows = (box[1], box[3])
         if rows not in strips:
             strips[rows] = P.clip_band(rings, 1, *rows)
         kept = P.clip_band(strips[rows], 0, box[0], box[2]) if strips[rows] else []
-        if not kept:
-            continue
-        area = P.polygon_area(kept, simple)
-        whole = (box[2] - box[0]) * (box[3] - box[1])
-        if area <= 1e-12 * whole:
-            continue
-        if area >= whole * (1 - 1e-12):
-            area, kept = whole, [np.array([box[:2], [box[2], box[1]], box[2:], [box[0], box[3]]])]
-        yield i, area, _packed(kept)
+        found = _kept(P.polygon_area(kept, simple), kept, box) if kept else None
+        if found:
+            yield i, found[0], _packed(found[1])
+
+
+#: Points times boxes of a polygon up to which it is cut together with others, and of all that are cut together.
+SMALL, TOGETHER = 1 << 14, 1 << 18
+
+
+def _many_polygon_pieces(shapes: list[list[np.ndarray]], boxes: np.ndarray, begins: np.ndarray, ends: np.ndarray, earth: bool):
+    """(polygon, index in boxes, area, packed piece) of all polygons in their boxes, begins to ends of boxes.
+
+    Small polygons are cut to all their boxes in one pass over flat arrays, large ones each by
+    strips.
+    """
+    rings = [r for s in shapes for r in s]
+    sizes, per = np.array([len(r) for r in rings]), np.array([len(s) for s in shapes])
+    points, home = np.vstack(rings), np.repeat(np.arange(len(rings)), sizes)
+    if earth:
+        points, boxes = np.column_stack(K.equal_area(points[:, 0], points[:, 1])), _metre_boxes(boxes)
+    starts = np.cumsum(sizes) - sizes
+    first = np.cumsum(per) - per
+    round_ = P.run_round(points, home, len(rings))
+    load = np.add.reduceat(sizes, first) * (ends - begins)
+    own = lambda k: [points[starts[j] : starts[j] + sizes[j]] for j in range(first[k], first[k] + per[k])]
+    simple = [per[k] == 1 and bool(round_[first[k]]) or P.is_simple(own(k)) for k in range(len(shapes))]
+    small = np.flatnonzero((load <= SMALL) & (load > 0))
+    for k in np.flatnonzero(load > SMALL).tolist():
+        for i, area, packed in _polygon_pieces(own(k), boxes[begins[k] : ends[k]], simple[k]):
+            yield k, begins[k] + i, area, packed
+    groups = np.cumsum(load[small]) // TOGETHER
+    for g in np.unique(groups):
+        chosen = small[groups == g]
+        owner = np.repeat(chosen, ends[chosen] - begins[chosen])  # a polygon for each pair with a box
+        count = ends[chosen] - begins[chosen]
+        box = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begins[chosen], count)
+        pair = np.repeat(np.arange(len(owner)), per[owner])  # a pair for each ring in it
+        which = np.arange(len(pair)) - np.repeat(np.cumsum(per[owner]) - per[owner], per[owner])
+        ring = first[owner[pair]] + which
+        n = sizes[ring]
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[ring], n)
+        cut, of = P.clip_many(points[at], np.repeat(np.arange(len(ring)), n), boxes[box[pair]])
+        left = np.bincount(of, minlength=len(ring))
+        begin = np.cumsum(left) - left
+        sound = left >= 3
+        area = np.where(sound, np.abs(P.ring_areas(cut, of, len(ring))), 0.0) * np.where(which == 0, 1, -1)
+        total = np.bincount(pair, area, len(owner))
+        shell = np.cumsum(per[owner]) - per[owner]
+        for j in np.flatnonzero(sound[shell]).tolist():
+            rings_ = [cut[begin[r] : begin[r] + left[r]] for r in range(shell[j], shell[j] + per[owner[j]]) if sound[r]]
+            k = int(owner[j])
+            found = _kept(max(0.0, total[j]) if simple[k] else P.polygon_area(rings_), rings_, boxes[box[j]])
+            if found:
+                yield k, int(box[j]), float(found[0]), _packed(found[1])
 
 
 def _cell_rings(data: list[bytes]) -> list[np.ndarray]:
@@ -155,7 +210,7 @@ def pieces(parts: DataFrame, cells: DataFrame, tile: float, earth: bool = True)
 
     def cut(batches):
         for batch in batches:
-            owner, which, measure, piece, lines = [], [], [], [], []
+            owner, which, measure, piece, lines, polygons = [], [], [], [], [], []
             lists = batch.column("cells")
             flat = lists.flatten()
             boxes = np.column_stack([flat.field(c).to_numpy(zero_copy_only=False) for c in BOX])
@@ -170,8 +225,10 @@ def pieces(parts: DataFrame, cells: DataFrame, tile: float, earth: bool = True)
                         if d not in known:
                             known[d] = _cell_rings([d])[0]
                     own_rings = [known[d] for d in rings[begin:end]]
-                if kind == "Polygon":
-                    for i, area, packed in _polygon_in_rings(shape, own_rings, earth) if shaped else _polygon_pieces(shape, mine, earth):
+                if kind == "Polygon" and not shaped:
+                    polygons.append((row, shape, begin, end))
+                elif kind == "Polygon":
+                    for i, area, packed in _polygon_in_rings(shape, own_rings, earth):
                         owner.append(row)
                         which.append(begin + i)
                         measure.append(area)
@@ -194,6 +251,13 @@ def pieces(parts: DataFrame, cells: DataFrame, tile: float, earth: bool = True)
                         which.append(begin + int(i))
                         measure.append(1.0)
                         piece.append(np.array([x, y], "<f8").tobytes())
+            if polygons:
+                rows_, shapes, begins, stops = zip(*polygons)
+                for k, i, area, packed in _many_polygon_pieces(list(shapes), boxes, np.array(begins), np.array(stops), earth):
+                    owner.append(rows_[k])
+                    which.append(i)
+                    measure.append(area)
+                    piece.append(packed)
             values = np.array(measure, float)
             if lines:
                 at = np.array([i for i, _ in lines])
