@@ -363,10 +363,27 @@ def shape_wkb(kind, rings):
     """WKB of rings, array<array<struct<x, y>>>, as the type named in kind: polygons take all, lines and points the first; null for null."""
 
     def run(kinds: pa.Array, lists: pa.Array) -> pa.Array:
-        out = []
-        for name, shape in zip(kinds.to_pylist(), lists.to_pylist()):
-            points = shape and [[(p["x"], p["y"]) for p in r] for r in shape]
-            out.append(None if not points or name is None else to_wkb(name, points if name == "Polygon" else points[0][0] if name == "Point" else points[0]))
+        lines = lists.flatten()
+        points = lines.flatten()
+        xy = np.column_stack([points.field(c).to_numpy(zero_copy_only=False).astype("<f8") for c in ("x", "y")])
+        many = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        sizes = lines.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.cumsum(sizes)
+        last, out = np.cumsum(many), []
+        for name, k, n in zip(kinds.to_pylist(), last.tolist(), many.tolist()):
+            if name is None or not n or not sizes[k - n : k].any():
+                out.append(None)
+                continue
+            rings = [xy[ends[j] - sizes[j] : ends[j]] for j in range(k - n, k)]
+            head = struct.pack("<BI", 1, _CODES[name])
+            if name == "Polygon":
+                out.append(head + struct.pack("<I", n) + b"".join(struct.pack("<I", len(r)) + r.tobytes() for r in rings))
+            elif name == "Point":
+                out.append(head + rings[0][0].tobytes())
+            elif name == "LineString":
+                out.append(head + struct.pack("<I", len(rings[0])) + rings[0].tobytes())
+            else:
+                out.append(to_wkb(name, rings[0].tolist()))
         return pa.array(out, pa.binary())
 
     return F.arrow_udf(run, T.BinaryType())(kind, rings)

@@ -354,13 +354,24 @@ def covered_areas(groups: list[list[list[np.ndarray]]], at_least: int = 1) -> np
     exactly. An edge meets only the slabs under it. All groups are swept at once, in runs of
     slabs of bounded size.
     """
-    each = [(g, edges_of(p)) for g, polygons in enumerate(groups) for p in polygons if p]
     totals = np.zeros(len(groups))
-    if not sum(len(x) for _, x in each):
+    polygons = [(g, p) for g, some in enumerate(groups) for p in some if p]
+    rings = [r for _, p in polygons for r in p]
+    if not rings:
+        return totals
+    sizes = np.array([len(r) for r in rings])
+    owner = np.repeat(np.repeat(np.arange(len(polygons)), [len(p) for _, p in polygons]), sizes)
+    points, starts = np.vstack(rings), np.cumsum(sizes) - sizes
+    after = np.arange(1, len(points) + 1)
+    after[(starts + sizes - 1)[sizes > 0]] = starts[sizes > 0]
+    e = np.hstack((points, points[after]))
+    level = e[:, 0] != e[:, 2]
+    e, owner = e[level], owner[level]
+    if not len(e):
         return totals
-    e = np.vstack([x for _, x in each])
-    sizes = [len(x) for _, x in each]
-    owner, key = np.repeat(np.arange(len(each)), sizes), np.repeat([g for g, _ in each], sizes)
+    back = e[:, 0] > e[:, 2]
+    e[back] = e[back][:, [2, 3, 0, 1]]
+    key = np.array([g for g, _ in polygons])[owner]
 
     def ranked(x: np.ndarray, of: np.ndarray):
         order = np.lexsort((x, of))

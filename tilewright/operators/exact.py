@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions import kernels as K, planar as P
+from ..storage import materialize
 
 BOX = ("min_x", "min_y", "max_x", "max_y")
 #: Tile sizes are tile * 2**level; a part takes the level at which it is about WIDE tiles wide.
@@ -345,41 +346,55 @@ def _groups(batches, keys: list[str]):
 def unions(found: DataFrame, keys: list[str], earth: bool = True, many: int = MANY) -> DataFrame:
     """(keys, union_area, union_length, distinct_points): what the pieces of each key cover together, null for families that it lacks.
 
-    Equal pieces are one before anything is grouped. A key with more than `many` distinct pieces
-    is divided into a lattice of boxes over the pieces' bounds, which tasks take one by one;
-    what the boxes cover adds up. Tasks go through keys in order and hold one at a time.
+    Equal pieces are one. A key with more than `many` pieces is set apart by a count first: its
+    equal pieces become one before they are shuffled, and it is divided into a lattice of boxes
+    over the pieces' bounds, which tasks take one by one; what the boxes cover adds up. Tasks go
+    through the other keys in order and hold some at a time. found is read two or three times.
     """
-    some = found.select(*keys, "family", "piece", "measure").dropDuplicates([*keys, "family", "piece"])
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    some = found.select(*keys, "family", "piece", "measure")
     other = {k: "__" + k for k in keys}
     same = [F.col(k).eqNullSafe(F.col("__" + k)) for k in keys]
-    sides = some.groupBy(*keys).agg(F.least(F.ceil(F.sqrt(F.count("*") / F.lit(float(many)))), F.lit(64)).cast("int").alias("__n"))
-    sized = some.join(sides.withColumnsRenamed(other), same).drop(*other.values())
+    full = materialize(some.groupBy(*keys).agg(F.count("*").alias("rows")).where(F.col("rows") > many).select(*keys), "full")
+    any_full = bool(full.head(1))
+    full = full.withColumnsRenamed(other)
+    distinct = some.join(full, same, "left_semi").dropDuplicates([*keys, "family", "piece"])
+    sides = distinct.groupBy(*keys).agg(F.least(F.ceil(F.sqrt(F.count("*") / F.lit(float(many)))), F.lit(64)).cast("int").alias("__n"))
+    sized = distinct.join(sides.withColumnsRenamed(other), same).drop(*other.values())
     schema = T.StructType([*(some.schema[k] for k in keys), *T._parse_datatype_string("union_area double, union_length double, distinct_points bigint")])
 
-    def measured(batches, by: list[str], shapes_of):
-        """One row for each group by `by`; groups of some thousand pieces together are measured at once."""
-        first, groups, held = [], [], 0
+    kinds = [to_arrow_type(some.schema[k].dataType) for k in keys]
+    by = [*keys, "family", "__i", "__j"]
 
-        def flush():
-            own = pa.concat_tables(first).select(keys)
-            columns = [pa.array(c, t) for c, t in zip(zip(*_measures(groups, earth)), _TYPES)]
-            out = pa.table([*own.columns, *columns], [*keys, *_UNIONS]).combine_chunks().to_batches()
-            first.clear()
-            groups.clear()
-            return out
+    def results(first: list[tuple], groups: list[list[tuple]]):
+        """A batch of keys and what their pieces cover."""
+        columns = [pa.array(c, t) for c, t in zip(zip(*_measures(groups, earth)), _TYPES)]
+        return pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(zip(*first), kinds)), *columns], [*keys, *_UNIONS])
 
+    def whole(batches):
+        """What the pieces of each key cover; keys of some thousand pieces together are measured at once."""
+        first, groups, held, at, now = [], [], 0, None, {}
+        for batch in batches:
+            for key, f, p, m in zip(zip(*(batch.column(k).to_pylist() for k in keys)), *(batch.column(c).to_pylist() for c in ("family", "piece", "measure"))):
+                if key != at:
+                    if at is not None:
+                        first.append(at)
+                        groups.append([(f_, _read(f_, p_), m_) for (f_, p_), m_ in now.items()])
+                        held += len(now)
+                        if held > 2 * MANY or len(first) == 1000:
+                            yield results(first, groups)
+                            first, groups, held = [], [], 0
+                    at, now = key, {}
+                now[f, p] = m  # equal pieces are one
+        if at is not None:
+            first.append(at)
+            groups.append([(f_, _read(f_, p_), m_) for (f_, p_), m_ in now.items()])
+            yield results(first, groups)
+
+    def lattices(batches):
         for group in _groups(batches, by):
-            first.append(group.slice(0, 1))
-            groups.append(shapes_of(group))
-            held += len(group)
-            if len(groups) == 500 or held > 2 * MANY:
-                yield from flush()
-                held = 0
-        if groups:
-            yield from flush()
-
-    def whole(group: pa.Table) -> list[tuple]:
-        return [(f, _read(f, p), m) for f, p, m in zip(*(group.column(c).to_pylist() for c in ("family", "piece", "measure")))]
+            yield results([tuple(group.column(k)[0].as_py() for k in keys)], [boxed(group)])
 
     def boxed(group: pa.Table) -> list[tuple]:
         n, i, j, a, b, c, d = (group.column(x)[0].as_py() for x in ("__n", "__i", "__j", "__a", "__b", "__c", "__d"))
@@ -397,7 +412,7 @@ def unions(found: DataFrame, keys: list[str], earth: bool = True, many: int = MA
             rows.append(dict(zip("abcd", (*p.min(axis=0).tolist(), *p.max(axis=0).tolist()))))
         return pa.array(rows, pa.struct([(k, pa.float64()) for k in "abcd"]))
 
-    framed = sized.where("__n > 1").withColumn("__e", F.arrow_udf(extent, bounds)("family", "piece"))
+    framed = sized.withColumn("__e", F.arrow_udf(extent, bounds)("family", "piece"))
     # lines and points are in degrees where areas are in metres, so each family has its own lattice
     frames = framed.groupBy(*keys, "family").agg(F.min("__e.a").alias("__a"), F.min("__e.b").alias("__b"), F.max("__e.c").alias("__c"), F.max("__e.d").alias("__d"))
     framed = framed.join(frames.withColumnsRenamed(other | {"family": "__family"}), [*same, F.col("family") == F.col("__family")]).drop("__family", *other.values())
@@ -411,9 +426,11 @@ def unions(found: DataFrame, keys: list[str], earth: bool = True, many: int = MA
     lattice = framed.withColumn("__i", F.explode(around(place("__e.a", "__a", "__c"), place("__e.c", "__a", "__c"))))
     lattice = lattice.withColumn("__j", F.explode(around(place("__e.b", "__b", "__d"), place("__e.d", "__b", "__d")))).drop("__e")
     ordered = lambda df, by: df.repartition(*by).sortWithinPartitions(*by)
-    calm = ordered(sized.where("__n = 1").drop("__n"), keys).mapInArrow(lambda batches: measured(batches, keys, whole), schema)
-    by = [*keys, "family", "__i", "__j"]
-    crowded = ordered(lattice, by).mapInArrow(lambda batches: measured(batches, by, boxed), schema)
+    calm = some.join(full, same, "left_anti") if any_full else some
+    calm = ordered(calm, keys).mapInArrow(whole, schema)
+    if not any_full:
+        return calm
+    crowded = ordered(lattice, by).mapInArrow(lattices, schema)
     return calm.unionByName(crowded.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in _UNIONS]))
 
 
