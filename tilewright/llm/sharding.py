@@ -98,8 +98,8 @@ def external_shuffle(
     split of the input, any number of partitions and any task that runs again.
 
     A bucket holds about bucket_bytes or bucket_rows, whichever is less, plus at most its longest
-    text; the exchange has a task for every TASK_BYTES. docs is read twice, for the sizes first,
-    and must give the same rows both times. An empty table stays empty. Columns of docs named
+    text; the exchange has a task for every TASK_BYTES. docs is read three times (hashes and sizes,
+    rows in each bucket, the rows themselves) and must give the same rows each time. An empty table stays empty. Columns of docs named
     shard or slot are replaced.
     """
     rows = docs.drop("shard", "slot")
