@@ -232,3 +232,15 @@ def test_routing_names(spark):
     assert [found[k]["jurisdiction"] for k in sorted(found)] == ["Published source coverage; no jurisdiction inferred"] * 2
     first, second = (found[k] for k in sorted(found))
     assert first["feature_name"] == "Chs Navigation Line" and second["feature_name"] == "Track" and first["routing_identity"] != second["routing_identity"]
+
+
+def test_native_values_in_a_cell(spark):
+    """The distinct values of chosen columns in each cell and group, and the declared completeness."""
+    shape = lambda x: _wkb((x, 0.1), (x + 0.2, 0.1), (x + 0.2, 0.3))
+    rows = [("a", "1", "1", shape(0.1), "b", None), ("a", "2", "2", shape(0.3), "a", 7), ("a", "3", "3", shape(0.5), "b", 7), ("g", "4", "4", shape(1.2), None, None)]
+    features = spark.createDataFrame(rows, "group string, feature_id string, record_id string, wkb binary, kind_of string, level int")
+    cells = spark.createDataFrame([("x", 0.0, 0.0, 1.0, 1.0), ("y", 1.0, 0.0, 2.0, 1.0)], "cell_id string, min_x double, min_y double, max_x double, max_y double")
+    made = {r["cell_id"]: r for r in O.overlay(cells, features, ["a", "g"], 1.0, completeness={"a": "complete", "g": "partial"}, attributes=["kind_of", "level"]).wide.collect()}
+    assert made["x"]["a__native_kind_of"] == ["a", "b"] and made["x"]["a__native_level"] == ["7"] and made["y"]["a__native_kind_of"] is None
+    assert made["y"]["g__native_kind_of"] is None and made["y"]["g__feature_count"] == 1 and made["x"]["a__source_completeness"] == "complete" and made["x"]["g__source_completeness"] == "partial"
+    assert made["y"]["a__feature_count"] == 0 and made["x"]["g__feature_count"] is None

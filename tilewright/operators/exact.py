@@ -34,26 +34,26 @@ def parts_of(features: DataFrame, wkb: str = "wkb", number: str | None = None, e
 
 
 def _blocks(df: DataFrame, size, box=BOX) -> DataFrame:
-    """df with a row for each tile (bx, by) of the column size that its box meets, borders included."""
+    """df with a row for each tile (__bx, __by) of the column size that its box meets, borders included."""
     span = lambda low, high: F.sequence(F.floor(F.col(low) / size), F.floor(F.col(high) / size))
-    return df.withColumn("bx", F.explode(span(box[0], box[2]))).withColumn("by", F.explode(span(box[1], box[3])))
+    return df.withColumn("__bx", F.explode(span(box[0], box[2]))).withColumn("__by", F.explode(span(box[1], box[3])))
 
 
 def _pairs(parts: DataFrame, cells: DataFrame, tile: float) -> DataFrame:
-    """Every part with the cells that its bounds meet, as (own columns, cells: array of id and box); a pair is in one row only."""
+    """Every part with the cells that its bounds meet, as (own columns, __cells: array of id and box); a pair is in one row only."""
     extent = F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y")) / (WIDE * tile)
     level = F.when(extent <= 1, 0).otherwise(F.least(F.ceil(F.log2(extent)), F.lit(LEVELS - 1))).cast("int")
-    size = F.lit(float(tile)) * F.pow(F.lit(2.0), F.col("level"))
-    dealt = _blocks(parts.withColumn("level", level), size)
+    size = F.lit(float(tile)) * F.pow(F.lit(2.0), F.col("__level"))
+    dealt = _blocks(parts.withColumn("__level", level), size)
     ring = [F.col("wkb").alias("ring")] if "wkb" in cells.columns else []
     cell = F.struct(F.col("cell_id").alias("id"), *[F.col(c).cast("double").alias(c) for c in BOX], *ring)
-    given = _blocks(cells.withColumn("level", F.explode(F.array(*map(F.lit, range(LEVELS))))), size)
-    given = given.groupBy("level", "bx", "by").agg(F.collect_list(cell).alias("cells"))
+    given = _blocks(cells.withColumn("__level", F.explode(F.array(*map(F.lit, range(LEVELS))))), size)
+    given = given.groupBy("__level", "__bx", "__by").agg(F.collect_list(cell).alias("__cells"))
     here = f"""c.min_x <= max_x and c.max_x >= min_x and c.min_y <= max_y and c.max_y >= min_y
-      and floor(greatest(min_x, c.min_x) / __size) = bx and floor(greatest(min_y, c.min_y) / __size) = by"""
-    joined = dealt.join(given, ["level", "bx", "by"]).withColumn("__size", size)
-    joined = joined.withColumn("cells", F.expr(f"filter(cells, c -> {here})")).where("size(cells) > 0")
-    return joined.drop("level", "bx", "by", "__size", *BOX)
+      and floor(greatest(min_x, c.min_x) / __size) = __bx and floor(greatest(min_y, c.min_y) / __size) = __by"""
+    joined = dealt.join(given, ["__level", "__bx", "__by"]).withColumn("__size", size)
+    joined = joined.withColumn("__cells", F.expr(f"filter(__cells, c -> {here})")).where("size(__cells) > 0")
+    return joined.drop("__level", "__bx", "__by", "__size", *BOX)
 
 
 def _packed(rings: list[np.ndarray]) -> bytes:
@@ -205,14 +205,14 @@ def pieces(parts: DataFrame, cells: DataFrame, tile: float, earth: bool = True)
     shaped = "wkb" in cells.columns
     own = [c for c in parts.columns if c not in (*BOX, "wkb")]
     pairs = _pairs(parts.where(" and ".join(f"{c} is not null" for c in BOX)), cells.select("cell_id", *BOX, *["wkb"] * shaped), tile)
-    pairs = pairs.select(*own, "wkb", "cells")
+    pairs = pairs.select(*own, "wkb", "__cells")
     made = [T.StructField("cell_id", cells.schema["cell_id"].dataType), T.StructField("measure", T.DoubleType()), T.StructField("piece", T.BinaryType())]
     schema = T.StructType([*(pairs.schema[c] for c in own), *made])
 
     def cut(batches):
         for batch in batches:
             owner, which, measure, piece, lines, polygons = [], [], [], [], [], []
-            lists = batch.column("cells")
+            lists = batch.column("__cells")
             flat = lists.flatten()
             boxes = np.column_stack([flat.field(c).to_numpy(zero_copy_only=False) for c in BOX])
             known: dict[bytes, np.ndarray] = {}
@@ -451,9 +451,9 @@ def cell_areas(cells: DataFrame, earth: bool = True) -> DataFrame:
 
 def tiles_under(parts: DataFrame, tile: float) -> DataFrame:
     """Square cells (cell_id, box) of a lattice that the parts' bounds meet, each once."""
-    met = _blocks(parts.where(" and ".join(f"{c} is not null" for c in BOX)).select(*BOX), F.lit(float(tile))).select("bx", "by").distinct()
+    met = _blocks(parts.where(" and ".join(f"{c} is not null" for c in BOX)).select(*BOX), F.lit(float(tile))).select("__bx", "__by").distinct()
     side = lambda c, more: ((F.col(c) + more) * float(tile))
-    return met.select(F.format_string("%d_%d", "bx", "by").alias("cell_id"), side("bx", 0).alias("min_x"), side("by", 0).alias("min_y"), side("bx", 1).alias("max_x"), side("by", 1).alias("max_y"))
+    return met.select(F.format_string("%d_%d", "__bx", "__by").alias("cell_id"), side("__bx", 0).alias("min_x"), side("__by", 0).alias("min_y"), side("__bx", 1).alias("max_x"), side("__by", 1).alias("max_y"))
 
 
 def crosswalk(parts: DataFrame, cells: DataFrame, record: list[str], tile: float, earth: bool = True) -> DataFrame:

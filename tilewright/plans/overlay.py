@@ -34,6 +34,7 @@ def overlay(
     mode: str = "matrix",
     max_memberships: int | None = None,
     earth: bool = True,
+    attributes: list[str] | None = None,
 ) -> Overlay:
     """Metrics of features per cell and source group, from exact intersections.
 
@@ -48,13 +49,17 @@ def overlay(
 
     In mode `matrix` a group's state follows its inventory's completeness (an empty cell is 0
     only where that is `complete`), and point_count counts features; in mode `query` it follows
-    hits and availability, and nothing is filled. Every cell has one row; groups without hits
+    hits and availability, and nothing is filled. attributes names columns of features whose
+    distinct values in a cell and group come as sorted lists `native_<name>`, null where there
+    are none; in mode `matrix` each group's declared completeness comes as source_completeness.
+    Every cell has one row; groups without hits
     have their columns. On the earth areas are equal-area and lengths geodesic metres.
     """
     if mode not in ("matrix", "query"):
         raise ValueError("mode must be matrix or query")
     spark = cells.sparkSession
     own = ["group", "feature_id", "record_id", *[c for c in ("designation_id", "zone_name") if c in features.columns]]
+    own += [c for c in attributes or () if c not in own]
     given = ["part_id"] if "part_id" in features.columns else []
     parts = exact.parts_of(features.select(*own, *given, "wkb"), number="part_number", earth=earth)
     if not given:
@@ -74,6 +79,8 @@ def overlay(
             extra.append(metrics.distinct_tuples(["designation_id", "zone_name"], "zone_name").alias("zone_count"))
     extra.append(F.countDistinct(F.when(F.col("family") == "point", F.col("feature_id"))).alias("point_features"))
     extra.append(F.bool_or(F.col("family") == "point").alias("has_points"))
+    natives = [f"native_{c}" for c in attributes or ()]
+    extra += [metrics.attribute_set(c).alias(n) for c, n in zip(attributes or (), natives)]
     counts = counts.join(per.agg(*extra), ["cell_id", "group"])
     values += [c for c in OPTIONAL if c in counts.columns]
     covered = exact.unions(found, ["cell_id", "group"], earth)
@@ -84,7 +91,7 @@ def overlay(
         .withColumn("polygon_coverage_fraction", metrics.coverage_fraction("union_area", "cell_area"))
         .withColumn("line_union_length_m", F.col("union_length"))
         .withColumn("point_count", points)
-        .select("cell_id", "group", *values)
+        .select("cell_id", "group", *values, *natives)
     )
     declared = [(g, (completeness or {}).get(g, "unknown"), (availability or {}).get(g, "unavailable")) for g in groups]
     all_groups = spark.createDataFrame(declared, "group string, completeness string, availability string")
@@ -96,7 +103,8 @@ def overlay(
         # a cell with hits keeps nulls for the families that it lacks
         full = full.withColumns({v: F.when(hit, F.col(v)).otherwise(metrics.zero_fill(v, "completeness")) for v in values})
         full = full.withColumn("status", F.when(hit & ~state.isin("observed"), "partial").otherwise(metrics.delivery_status(F.col("feature_count"), state)))
-        values = [*values, "intersection_status"]
+        full = full.withColumn("source_completeness", F.col("completeness"))
+        values = [*values, "intersection_status", "source_completeness"]
     else:
         full = full.withColumn("status", metrics.query_status(hit, "availability"))
-    return Overlay(relation, full, metrics.for_every_cell(cells.select("cell_id"), metrics.wide(full, "cell_id", "group", groups, [*values, "status"]), "cell_id"))
+    return Overlay(relation, full, metrics.for_every_cell(cells.select("cell_id"), metrics.wide(full, "cell_id", "group", groups, [*values, *natives, "status"]), "cell_id"))
