@@ -343,17 +343,19 @@ def _groups(batches, keys: list[str]):
         yield kept
 
 
-def unions(found: DataFrame, keys: list[str], earth: bool = True, many: int = MANY) -> DataFrame:
+def unions(found: DataFrame, keys: list[str], earth: bool = True, many: int = MANY, written: bool = False) -> DataFrame:
     """(keys, union_area, union_length, distinct_points): what the pieces of each key cover together, null for families that it lacks.
 
     Equal pieces are one. A key with more than `many` pieces is set apart by a count first: its
     equal pieces become one before they are shuffled, and it is divided into a lattice of boxes
     over the pieces' bounds, which tasks take one by one; what the boxes cover adds up. Tasks go
-    through the other keys in order and hold some at a time. found is read two or three times.
+    through the other keys in order and hold some at a time. The pieces are read two or three
+    times and so written first, unless found is a written table.
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
     some = found.select(*keys, "family", "piece", "measure")
+    some = some if written else materialize(some, "pieces")
     other = {k: "__" + k for k in keys}
     same = [F.col(k).eqNullSafe(F.col("__" + k)) for k in keys]
     full = materialize(some.groupBy(*keys).agg(F.count("*").alias("rows")).where(F.col("rows") > many).select(*keys), "full")

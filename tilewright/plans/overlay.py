@@ -83,7 +83,7 @@ def overlay(
     extra += [metrics.attribute_set(c).alias(n) for c, n in zip(attributes or (), natives)]
     counts = counts.join(per.agg(*extra), ["cell_id", "group"])
     values += [c for c in OPTIONAL if c in counts.columns]
-    covered = exact.unions(found, ["cell_id", "group"], earth)
+    covered = exact.unions(found, ["cell_id", "group"], earth, written=True)
     points = F.when(F.col("has_points"), F.col("point_features")) if mode == "matrix" else F.col("distinct_points")
     long = (
         counts.join(covered, ["cell_id", "group"], "left")
