@@ -191,7 +191,7 @@ def prefix_trie(turns: DataFrame, sizes: DataFrame) -> DataFrame:
     long = lambda x: F.lit(x).cast("bigint")
     every = sizes.select("conv", long(0).alias("d"), long(whole["rep"]).alias("rep"), long(whole["n"]).alias("n"), long(0).alias("words"), "len")
     found = prefixes(turns, whole["most"])
-    every = every if found is None else every.unionByName(found)
+    every = materialize(every if found is None else every.unionByName(found), "every")
     ending = every.where("d = len")
     value = (F.col("n") - 1) * F.col("words")
     nodes = materialize(every.where("conv = rep").withColumn("value", value), "nodes")
