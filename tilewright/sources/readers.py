@@ -12,9 +12,7 @@ import itertools
 import json
 import os
 import re
-import sqlite3
 import struct
-import tempfile
 import zipfile
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -354,32 +352,6 @@ def zone_rings(tables: DataFrame, zones: dict[str, str] | None = None, open_zone
     return rows.groupBy("file", "section", "zone").applyInPandas(build, schema)
 
 
-def _gpkg_rows(layer: str):
-    def rows(name, content):
-        with tempfile.NamedTemporaryFile(suffix=".gpkg") as f:
-            f.write(content)
-            f.flush()
-            db = sqlite3.connect(f.name)
-            found = db.execute("select column_name, srs_id from gpkg_geometry_columns where table_name = ?", (layer,)).fetchone()
-            if found is None:
-                raise ValueError(f"{name}: no layer {layer}")
-            geometry, number = found
-            told = db.execute("select organization, organization_coordsys_id, definition from gpkg_spatial_ref_sys where srs_id = ?", (number,)).fetchone()
-            if told is None or number <= 0:
-                raise ValueError(f"{name}: {layer} has no coordinate system")
-            system = crs.system(int(told[1])) if told[0].upper() == "EPSG" else crs.from_wkt(told[2])
-            cursor = db.execute(f'select rowid as fid, * from "{layer}"')
-            names = [d[0] for d in cursor.description]
-            for values in cursor:
-                row = dict(zip(names, values))
-                blob = row.pop(geometry)
-                fid = str(row.pop("fid"))
-                yield fid, json.dumps({k: v for k, v in row.items() if not isinstance(v, bytes)}, sort_keys=True), *(shape(None, None) if blob is None else shape(*from_wkb(gpkg_wkb(blob)), system))
-            db.close()
-
-    return rows
-
-
 def gpkg_wkb(blob: bytes) -> bytes:
     """WKB of a GeoPackage geometry, its header and envelope taken off."""
     if blob[:2] != b"GP":
@@ -390,70 +362,51 @@ def gpkg_wkb(blob: bytes) -> bytes:
 
 def geopackage(spark: SparkSession, path: str, layer: str) -> DataFrame:
     """(fid, properties as JSON, shape) of a layer of GeoPackage files, in longitudes and latitudes; a layer without a known system is an error."""
-    return _per_file(spark, path, _gpkg_rows(layer), "fid string, properties string, " + SHAPE)
-
-
-def _shp_rows(name: str, content: bytes):
-    with zipfile.ZipFile(io.BytesIO(content)) as z:
-        for shp in (n for n in z.namelist() if n.lower().endswith(".shp")):
-            records = list(parse_dbf(z.read(shp[:-3] + "dbf")))
-            if shp[:-3] + "prj" not in z.namelist():
-                raise ValueError(f"{name}: {shp} has no coordinate system")
-            system = crs.from_wkt(z.read(shp[:-3] + "prj").decode("utf-8", "replace"))
-            for i, (kind, c) in enumerate(parse_shp(z.read(shp))):
-                yield str(i), json.dumps(records[i], sort_keys=True), *shape(kind, c, system)
+    from .vector import vector
+
+    return vector(spark, path, "geopackage", layer)
+
+
+def shp_geometry(body: bytes) -> tuple:
+    """GeoJSON type and coordinates of a shapefile's record; rings are grouped by their direction."""
+    (code,) = struct.unpack_from("<i", body)
+    if code == 0:
+        return None, None
+    if code in (1, 11, 21):
+        return "Point", struct.unpack_from("<2d", body, 4)
+    if code not in (3, 13, 23, 5, 15, 25):
+        raise ValueError(f"unsupported shape type {code}")
+    n_parts, n_points = struct.unpack_from("<2i", body, 36)
+    starts = [*struct.unpack_from(f"<{n_parts}i", body, 44), n_points]
+    flat = struct.unpack_from(f"<{2 * n_points}d", body, 44 + 4 * n_parts)
+    points = list(zip(flat[::2], flat[1::2]))
+    parts = [points[a:b] for a, b in zip(starts, starts[1:])]
+    if code in (3, 13, 23):
+        return ("LineString", parts[0]) if len(parts) == 1 else ("MultiLineString", parts)
+    polygons: list = []
+    for ring in parts:  # shells run clockwise, holes the other way
+        area = sum(x1 * y2 - x2 * y1 for (x1, y1), (x2, y2) in zip(ring, ring[1:]))
+        if area <= 0 or not polygons:
+            polygons.append([ring])
+        else:
+            polygons[-1].append(ring)
+    return ("Polygon", polygons[0]) if len(polygons) == 1 else ("MultiPolygon", polygons)
 
 
 def parse_shp(data: bytes) -> Iterator[tuple]:
-    """GeoJSON type and coordinates of the points, lines and polygons of a shapefile; rings are grouped by their direction."""
+    """GeoJSON type and coordinates of the points, lines and polygons of a whole shapefile."""
     at = 100
     while at < len(data):
         (words,) = struct.unpack_from(">i", data, at + 4)
         body, at = data[at + 8 : at + 8 + 2 * words], at + 8 + 2 * words
-        (code,) = struct.unpack_from("<i", body)
-        if code == 0:
-            yield None, None
-        elif code in (1, 11, 21):
-            yield "Point", struct.unpack_from("<2d", body, 4)
-        elif code in (3, 13, 23, 5, 15, 25):
-            n_parts, n_points = struct.unpack_from("<2i", body, 36)
-            starts = [*struct.unpack_from(f"<{n_parts}i", body, 44), n_points]
-            flat = struct.unpack_from(f"<{2 * n_points}d", body, 44 + 4 * n_parts)
-            points = list(zip(flat[::2], flat[1::2]))
-            parts = [points[a:b] for a, b in zip(starts, starts[1:])]
-            if code in (3, 13, 23):
-                yield ("LineString", parts[0]) if len(parts) == 1 else ("MultiLineString", parts)
-                continue
-            polygons: list = []
-            for ring in parts:  # shells run clockwise, holes the other way
-                area = sum(x1 * y2 - x2 * y1 for (x1, y1), (x2, y2) in zip(ring, ring[1:]))
-                if area <= 0 or not polygons:
-                    polygons.append([ring])
-                else:
-                    polygons[-1].append(ring)
-            yield ("Polygon", polygons[0]) if len(polygons) == 1 else ("MultiPolygon", polygons)
-        else:
-            raise ValueError(f"unsupported shape type {code}")
-
-
-def parse_dbf(data: bytes) -> Iterator[dict]:
-    """Records of a dBASE table as trimmed text; empty fields are None."""
-    rows, head, size = struct.unpack_from("<IHH", data, 4)
-    fields, at = [], 32
-    while data[at] != 0x0D:
-        fields.append((data[at : at + 11].split(b"\0")[0].decode(), data[at + 16]))
-        at += 32
-    for i in range(rows):
-        place, record = head + i * size + 1, {}
-        for name, width in fields:
-            record[name] = data[place : place + width].decode("utf-8", "replace").strip() or None
-            place += width
-        yield record
+        yield shp_geometry(body)
 
 
 def shapefiles(spark: SparkSession, path: str) -> DataFrame:
-    """(fid, properties as JSON, shape) of the shapefiles in ZIP files, in longitudes and latitudes by their .prj, which they must have."""
-    return _per_file(spark, path, _shp_rows, "fid string, properties string, " + SHAPE)
+    """(fid, properties as JSON, shape) of shapefiles in ZIP files or loose, in longitudes and latitudes by their .prj, which they must have."""
+    from .vector import vector
+
+    return vector(spark, path, "shapefile")
 
 
 # --- grids -----------------------------------------------------------------------------------
@@ -476,9 +429,8 @@ def grid(spark: SparkSession, path: str) -> DataFrame:
 # --- by format -------------------------------------------------------------------------------
 
 
-def flattened(df: DataFrame) -> DataFrame:
-    """df with the entries of its JSON text `properties` as columns, whichever rows have them."""
-    keys = [r["k"] for r in df.select(F.explode(F.json_object_keys("properties")).alias("k")).distinct().orderBy("k").collect()]  # fields of a layer
+def flattened(df: DataFrame, keys: list[str]) -> DataFrame:
+    """df with entries of its JSON text `properties` as columns."""
     parsed = F.from_json("properties", "map<string,string>")
     return df.select(*[c for c in df.columns if c != "properties"], *[F.element_at(parsed, k).alias(k) for k in keys])
 
@@ -522,7 +474,15 @@ def read_source(spark: SparkSession, path: str, kind: str, layer: str | None = N
 def _geopackage(spark: SparkSession, path: str, layer: str | None) -> DataFrame:
     if layer is None:
         raise ValueError(f"{path}: a GeoPackage needs the name of a layer")
-    return flattened(geopackage(spark, path, layer)).withColumnRenamed("fid", "SOURCE_FID")
+    from .vector import fields
+
+    return flattened(geopackage(spark, path, layer), fields(spark, path, "geopackage", layer)).withColumnRenamed("fid", "SOURCE_FID")
+
+
+def _shapefiles(spark: SparkSession, path: str) -> DataFrame:
+    from .vector import fields
+
+    return flattened(shapefiles(spark, path), fields(spark, path, "shapefile"))
 
 
 FORMATS = {
@@ -530,7 +490,7 @@ FORMATS = {
     "geojson": lambda spark, path, layer: geojson(spark, path, _properties(spark, path, "features")),
     "paged_geojson": lambda spark, path, layer: paged_geojson(spark, path, _properties(spark, path, "pages")),
     "geopackage": _geopackage,
-    "shapefile": lambda spark, path, layer: flattened(shapefiles(spark, path)),
+    "shapefile": lambda spark, path, layer: _shapefiles(spark, path),
     "kml_archive": lambda spark, path, layer: kml_archives(spark, path).withColumnsRenamed({"placemark": "ODFW_RECORD_ID", "name": "ODFW_NAME"}),
     "ports": lambda spark, path, layer: ports(spark, path),
     "instrument": lambda spark, path, layer: zone_rings(html_tables(spark, path), INSTRUMENT_ZONES, OPEN_ZONES, ("schedule2", "schedule3")),
