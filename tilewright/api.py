@@ -15,9 +15,9 @@ from .operators.clip import canonical_parts
 from .operators.relational import coverage_matrix, stack
 from .operators.validate import canonical_rules, require_valid
 from .plans.normalize import normalize
+from .plans.originals import open_source
 from .plans.overlay import overlay
 from .plans.providers import LAYERS, PLANNED, area_checked, layer_of
-from .sources.readers import read_source
 from .storage import materialize
 
 #: The designation status whose features have metrics of their own, the source that always has such metrics, and the source whose snapshot is a dated instrument (fixed values).
@@ -39,20 +39,14 @@ class LayerResult:
     provenance: dict
 
 
-def _read(spark: SparkSession, source: SourceEntry) -> DataFrame:
-    if source.path is None:
-        raise FileNotFoundError(f"{source.source_id} has no snapshot")
-    return read_source(spark, source.path, source.format, source.layer, source.expected_sha256)
-
-
 def incomplete(source: SourceEntry) -> bool:
     """Whether a source states coverage of a region that is not complete."""
     return any(state in INCOMPLETE for state in source.coverage.values())
 
 
-def source_features(spark: SparkSession, source: SourceEntry, raw: DataFrame | None = None) -> DataFrame:
-    """A source's snapshot, or raw in its place, as canonical features with wkb; boxes stand in where a frame has bounds only."""
-    raw = raw if raw is not None else _read(spark, source)
+def source_features(spark: SparkSession, source: SourceEntry, raw: DataFrame | None = None, bbox: tuple | None = None) -> DataFrame:
+    """A source's retained original or snapshot, or raw in its place, as canonical features with wkb; boxes stand in where a frame has bounds only."""
+    raw = raw if raw is not None else open_source(spark, source, bbox)
     features = normalize(raw, layer_of(source.collection, source.source_id), source.contract())
     if "wkb" not in features.columns:
         features = features.withColumn("wkb", box_wkb(*spatial.BOX))
@@ -130,7 +124,7 @@ def get_layer(
         try:
             if not allow_partial and incomplete(source):
                 raise ValueError(f"{source.source_id}: coverage is not complete; allow_partial must be given")
-            raw = source_features(spark, source, (frames or {}).get(source.source_id))
+            raw = source_features(spark, source, (frames or {}).get(source.source_id), box)
             features = canonical_parts(raw.where(in_box(reach) | in_box((-180.0, -90.0, -180.0, 90.0)) | in_box((180.0, -90.0, 180.0, 90.0))))
             features = features.where(in_box(reach)).where(meets(F.col("wkb"), box_parts(*reach)))
             if allow_partial:  # bad rows show when they are read
@@ -198,7 +192,7 @@ def availability(spark: SparkSession, config: Config, regions: list[str]) -> Dat
 
 
 def preflight(config: Config) -> list[dict]:
-    """What is ready to build: each source with whether its snapshot is there; reads nothing else."""
+    """What is ready to build: each source with whether its retained original or snapshot is there; reads nothing else."""
     import os
 
-    return [{"source": s.source_id, "collection": s.collection, "snapshot": bool(s.path and os.path.exists(s.path))} for s in config.sources]
+    return [{"source": s.source_id, "collection": s.collection, "snapshot": any(p and os.path.exists(p) for p in (s.original, s.path))} for s in config.sources]

@@ -21,7 +21,11 @@ _REFERENCE = re.compile(r"\$\{(env:)?([A-Za-z0-9_.]+)\}")
 
 @dataclass(frozen=True)
 class SourceEntry:
-    """A source's contract and where its snapshot is."""
+    """A source's contract and where its snapshot is.
+
+    original: a retained original to read in place of the snapshot; selector, mask and bbox:
+    what was asked for; roster_field: the column of record ids.
+    """
 
     source_id: str
     collection: str
@@ -35,6 +39,11 @@ class SourceEntry:
     as_of: str | None = None
     retrieved_at: str | None = None
     expected_sha256: str | None = None
+    original: str | None = None
+    selector: str | None = None
+    mask: str | None = None
+    roster_field: str | None = None
+    bbox: tuple | list | None = None
     proposed: bool = False
     coverage: dict[str, str] = field(default_factory=dict)
 
@@ -53,7 +62,7 @@ class Config:
 
     def digest(self) -> str:
         """Digest of the configuration without local paths."""
-        rows = [{f.name: getattr(s, f.name) for f in fields(s) if f.name != "path"} for s in self.sources]
+        rows = [{f.name: getattr(s, f.name) for f in fields(s) if f.name not in ("path", "original")} for s in self.sources]
         return hashlib.sha256(json.dumps([self.bounds, rows], sort_keys=True).encode()).hexdigest()
 
 
@@ -122,6 +131,9 @@ def load(path: str) -> Config:
         digest = entry.get("expected_sha256")
         if digest is not None and not re.fullmatch("[0-9a-f]{64}", digest):
             raise ValueError(f"source {key}: expected_sha256 is no digest")
+        if entry.get("bbox") is not None:
+            entry["bbox"] = tuple(float(v) for v in entry["bbox"])
+            check_box(*entry["bbox"])
         sources.append(SourceEntry(source_id=key, **entry))
     areas = {k: tuple(float(x) for x in v) for k, v in (document.get("areas") or {}).items()}
     for box in areas.values():

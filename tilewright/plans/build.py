@@ -7,15 +7,15 @@ import os
 import re
 import shutil
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import Config, SourceEntry
 from ..operators import relational as R, validate as V
 from ..operators.relational import stack
-from ..sources.readers import read_source
 from ..storage import materialize
-from . import products
+from . import originals, products
 from .normalize import normalize, repeated
 from .overlay import overlay
 from .providers import LAYERS, PLANNED, group_of, layer_of, metric_groups
@@ -40,14 +40,12 @@ def _definitions(columns: list[str], collection: str) -> dict[str, dict]:
     return out
 
 
-def _features(spark: SparkSession, sources: list[SourceEntry], frames: dict[str, DataFrame], allow_partial: bool) -> tuple[DataFrame | None, dict[str, DataFrame], dict[str, str]]:
+def _features(spark: SparkSession, sources: list[SourceEntry], frames: dict[str, DataFrame], allow_partial: bool, bbox: tuple | None = None) -> tuple[DataFrame | None, dict[str, DataFrame], dict[str, str]]:
     """Stacked features of a collection, the raw frames that were read, and each source's status."""
     found, raws, status = [], {}, {}
     for s in sources:
         try:
-            raw = frames[s.source_id] if s.source_id in frames else read_source(spark, s.path, s.format, s.layer, s.expected_sha256) if s.path else None
-            if raw is None:
-                raise FileNotFoundError(f"{s.source_id} has no snapshot")
+            raw = frames[s.source_id] if s.source_id in frames else originals.open_source(spark, s, bbox)
             features = normalize(raw, layer_of(s.collection, s.source_id), s.contract())
             twice = repeated(features).limit(5).collect()
             if twice:
@@ -87,7 +85,7 @@ def build(
         raise ValueError("revision must be a full lower-case commit id")
     if os.path.exists(output) and not overwrite:
         raise FileExistsError(output)
-    inside = [s.source_id for s in config.sources if s.path and os.path.abspath(s.path).startswith(os.path.abspath(output) + os.sep)]
+    inside = [s.source_id for s in config.sources for p in (s.path, s.original) if p and os.path.abspath(p).startswith(os.path.abspath(output) + os.sep)]
     if inside:
         raise ValueError(f"sources within the output: {inside}")
     names = sorted({s.collection for s in config.sources})
@@ -100,9 +98,9 @@ def build(
         catalog: dict = {"schema_version": CATALOG_VERSION, "config": config.digest(), "revision": revision, "collections": {}, "tables": {}, "originals": {}}
         parts = {}
         for name in names:
-            features, raws, status = _features(spark, list(config.of(name)), frames or {}, allow_partial)
+            features, raws, status = _features(spark, list(config.of(name)), frames or {}, allow_partial, config.bounds)
             for source, raw in raws.items():
-                record = products.publish(raw, os.path.join(stage, "OriginalData", source), {"source": source})
+                record = originals.retain(raw, os.path.join(stage, "OriginalData", source), next(s for s in config.sources if s.source_id == source))
                 catalog["originals"][source] = {"rows": record["rows"], "sha256": record["sha256"], "snapshot": _snapshot(config, source)}
             parts[name] = features
             state = completeness_of(list(config.of(name))) if all(v == "available" for v in status.values()) else "partial" if features is not None else "unavailable"
@@ -199,7 +197,7 @@ def clean_workspace(spark: SparkSession, config: Config, output: str) -> list[st
         if s.source_id not in catalog["originals"] or s.path is None or not os.path.exists(s.path):
             continue
         kept = spark.read.parquet(os.path.join(output, "OriginalData", s.source_id, "data"))
-        if R.differences(read_source(spark, s.path, s.format, s.layer, s.expected_sha256), kept).head(1):
+        if R.differences(originals.open_source(spark, replace(s, original=None)), kept).head(1):
             continue
         shutil.rmtree(s.path) if os.path.isdir(s.path) else os.remove(s.path)
         gone.append(s.path)
