@@ -37,12 +37,16 @@ def write_json(path: str, value, overwrite: bool = False) -> None:
 
 
 def digest(spark, path: str) -> str:
-    """sha256 over the names and the sha256 of a table's files, in order. Tasks read the files, a block at a time; the driver has one line a file."""
-    names = sorted(n for n in os.listdir(path) if n.endswith(".parquet"))
-    if not names:
+    """Digest of a table's files in a folder that the driver can list."""
+    return digest_of(spark, [os.path.join(os.path.abspath(path), n) for n in os.listdir(path) if n.endswith(".parquet")])
+
+
+def digest_of(spark, places: list[str]) -> str:
+    """sha256 over the names and the sha256 of files, in order of names. Tasks read the files, a block at a time; the driver has one line a file."""
+    if not places:
         return hashlib.sha256().hexdigest()
-    files = spark.createDataFrame([(n, os.path.join(os.path.abspath(path), n)) for n in names], "name string, file string")
-    files = files.repartition(min(len(names), 4 * spark.sparkContext.defaultParallelism), "name")
+    files = spark.createDataFrame([(p.rpartition("/")[2], p) for p in places], "name string, file string")
+    files = files.repartition(min(len(places), 4 * spark.sparkContext.defaultParallelism), "name")
 
     def run(batches):
         import pyarrow as pa
