@@ -51,3 +51,14 @@ def test_spatial_join_is_an_equi_join(spark, sf):
 def test_scan_pushes_filters_and_prunes(spark, sf):
     plan = QUERIES["scan_parquet"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(l_quantity,30.0)" in plan and "l_extendedprice" not in plan
+
+
+def _with_orders(spark, folder):
+    """Customers 1 to 3 and orders of 1 and 2, none of which is urgent, final or of high priority."""
+    spark.range(1, 4).withColumnRenamed("id", "c_custkey").write.parquet(f"{folder}/customer.parquet")
+    spark.sql("select id as o_custkey, 'O' as o_orderstatus, '5-LOW' as o_orderpriority from range(1, 3)").write.parquet(f"{folder}/orders.parquet")
+    return str(folder)
+
+
+def test_anti_join_takes_every_order(spark, tmp_path):
+    assert [r[0] for r in QUERIES["anti_join"](spark, _with_orders(spark, tmp_path)).collect()] == [3]
