@@ -62,3 +62,7 @@ def _with_orders(spark, folder):
 
 def test_anti_join_takes_every_order(spark, tmp_path):
     assert [r[0] for r in QUERIES["anti_join"](spark, _with_orders(spark, tmp_path)).collect()] == [3]
+
+
+def test_set_intersect_takes_every_order(spark, tmp_path):
+    assert sorted(r[0] for r in QUERIES["set_intersect"](spark, _with_orders(spark, tmp_path)).collect()) == [1, 2]
