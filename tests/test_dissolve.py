@@ -130,3 +130,23 @@ def test_reconcile(spark):
     assert said == {1: ("source_compared", "pass_with_limitations"), 2: ("source_compared", "pass_with_limitations")}
     said = {r["section_id"]: r["qc_status"] for r in distances.reconciliation_status(compared, ["wide", "gone"]).collect()}
     assert said == {1: "review_required", 2: "review_required"}
+
+
+def test_equal_geometries_are_repaired_once(spark, monkeypatch):
+    from tilewright import storage
+    from tilewright.operators import repair
+
+    written = {}
+
+    def materialize(df, label):
+        written[label] = storage.materialize(df, label)
+        return written[label]
+
+    monkeypatch.setattr(repair, "materialize", materialize)
+    tie = K.to_wkb("Polygon", [[(0, 0), (2, 2), (2, 0), (0, 2), (0, 0)]])
+    box = K.to_wkb("Polygon", [[(0, 0), (2, 0), (2, 2), (0, 2), (0, 0)]])
+    rows = [(1, tie), (2, tie), (2, tie), (3, box), (4, None)]
+    made = repair.repair(spark.createDataFrame(rows, "id int, wkb binary")).collect()
+    assert written["repaired"].count() == 2
+    assert sorted((r["id"], r["repaired"], r["pieces"]) for r in made if r["id"] < 4) == [(1, True, 2), (2, True, 2), (2, True, 2), (3, False, 1)]
+    assert [r["wkb"] for r in made if r["id"] == 4] == [None] and len(made) == 5

@@ -33,6 +33,15 @@ def parts_of(features: DataFrame, wkb: str = "wkb", number: str | None = None, e
     return parts.select(*own, *([F.col("__number").alias(number)] if number else []), "__part.*")
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """df over as many tasks as shuffles have, by keys if any.
+
+    Work in Python is heavy for its bytes: a small file would be one task, and adaptive
+    execution would join small partitions again if it were free to choose their number.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def _blocks(df: DataFrame, size, box=BOX) -> DataFrame:
     """df with a row for each tile (__bx, __by) of the column size that its box meets, borders included."""
     span = lambda low, high: F.sequence(F.floor(F.col(low) / size), F.floor(F.col(high) / size))

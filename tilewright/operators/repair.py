@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions import kernels as K, noding as N, planar as P
+from ..storage import materialize
+from . import exact
 
 REPORT = "wkb binary, repaired boolean, pieces int, area_before double, area_after double, remnant_length double"
 
@@ -17,7 +19,8 @@ def repair(features: DataFrame, wkb: str = "wkb") -> DataFrame:
     Adds repaired (whether any ring crossed, touched or ran over itself or another), pieces (of
     polygons), area_before (of shells less holes), area_after and remnant_length (of edges that
     bound no area any more). Points and lines stay as they are. A feature keeps its dimension:
-    one whose polygons have no area left is an error. Null stays null.
+    one whose polygons have no area left is an error. Null stays null. Equal geometries are
+    repaired once, so features are written first and joined with what became of theirs.
     """
     fields = T._parse_datatype_string(f"struct<{', '.join(f.replace(' ', ': ', 1) for f in REPORT.split(', '))}>")
 
@@ -55,7 +58,11 @@ def repair(features: DataFrame, wkb: str = "wkb") -> DataFrame:
         return pa.array([None if d is None else one(d) for d in a.to_pylist()], to_arrow_type(fields))
 
     own = [c for c in features.columns if c not in (wkb, *fields.names)]
-    return features.select(*own, F.arrow_udf(run, fields)(wkb).alias("__told")).select(*own, *[F.col(f"__told.{n}").alias(wkb if n == "wkb" else n) for n in fields.names])
+    given = materialize(features.select(*own, F.col(wkb).alias("__wkb")), "features")
+    distinct = exact.spread(given.where("__wkb is not null").select(F.col("__wkb").alias("__key")).distinct())
+    told = materialize(distinct.select("__key", F.arrow_udf(run, fields)("__key").alias("__told")), "repaired")
+    joined = given.join(told, F.col("__wkb") == F.col("__key"), "left")
+    return joined.select(*own, *[F.col(f"__told.{n}").alias(wkb if n == "wkb" else n) for n in fields.names])
 
 
 def areas(wkb):
