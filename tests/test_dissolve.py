@@ -150,3 +150,28 @@ def test_equal_geometries_are_repaired_once(spark, monkeypatch):
     assert written["repaired"].count() == 2
     assert sorted((r["id"], r["repaired"], r["pieces"]) for r in made if r["id"] < 4) == [(1, True, 2), (2, True, 2), (2, True, 2), (3, False, 1)]
     assert [r["wkb"] for r in made if r["id"] == 4] == [None] and len(made) == 5
+
+
+def test_nearest_leaves_are_those_of_brute_force():
+    rng = np.random.default_rng(4)
+    a = rng.uniform(0, 100, (500, 2))
+    e = np.hstack((a, a + rng.uniform(-30, 30, (500, 2)) * rng.integers(0, 2, (500, 1))))
+    p = rng.uniform(-200, 300, (300, 2))
+    assert distances._nearest(p, e) == pytest.approx(distances._to_edges(p[:, None], e[None]).min(axis=1), abs=1e-12)
+
+
+def test_equal_points_and_edges_are_compared_once(spark, monkeypatch):
+    from tilewright import storage
+
+    written = {}
+
+    def materialize(df, label):
+        written.setdefault(label, storage.materialize(df, label))
+        return written[label] if label not in ("visits", "near") else storage.materialize(df, label)
+
+    monkeypatch.setattr(distances, "materialize", materialize)
+    points = spark.range(600).selectExpr("id", "cast(id % 3 as double) as x", "0D as y")
+    lines = spark.range(9000).selectExpr("-100D as x1", "cast(5 + id % 4500 as double) as y1", "100D as x2", "cast(5 + id % 4500 as double) as y2")
+    made = distances.nearest_edge(points, lines, "id", 1.0).collect()
+    assert len(made) == 600 and {r["distance"] for r in made} == {5.0}
+    assert written["places"].count() == 3 and written["edges"].count() == 4500 and written["blocks"].count() >= 3

@@ -71,56 +71,188 @@ def edges_of(shapes: DataFrame, keys: list[str]) -> DataFrame:
     return parts.mapInArrow(split, schema)
 
 
-def _away() -> Column:
-    """Distance from (x, y) to the edge x1, y1, x2, y2."""
-    c = F.col
-    dx, dy = c("x2") - c("x1"), c("y2") - c("y1")
-    size = dx * dx + dy * dy
-    t = F.when(size > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((c("x") - c("x1")) * dx + (c("y") - c("y1")) * dy) / size))).otherwise(0.0)
-    px, py = c("x1") + t * dx - c("x"), c("y1") + t * dy - c("y")
-    return F.sqrt(px * px + py * py)
+#: Edges of a block and of a leaf in it; points that one task takes to a block; pairs held at a time.
+BLOCK, LEAF, AT_A_BLOCK, HELD = 2048, 16, 200_000, 1 << 20
+
+
+def _curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The place of whole (x, y) below 2**31 along a curve that keeps neighbours together (their bits by turns)."""
+
+    def apart(v):
+        v = v.astype(np.uint64)
+        for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+            v = (v | (v << np.uint64(shift))) & np.uint64(mask)
+        return v
+
+    return (apart(x) | (apart(y) << np.uint64(1))).astype(np.int64)
+
+
+def _frames(e: np.ndarray, size: int) -> np.ndarray:
+    """(n, 4) bounds of every `size` edges in turn."""
+    at = np.arange(0, len(e), size)
+    low, high = np.minimum(e[:, :2], e[:, 2:]), np.maximum(e[:, :2], e[:, 2:])
+    return np.hstack((np.minimum.reduceat(low, at), np.maximum.reduceat(high, at)))
+
+
+def _to_frames(p: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances of points to boxes (points, boxes), 0 within."""
+    dx = np.maximum(np.maximum(b[None, :, 0] - p[:, None, 0], p[:, None, 0] - b[None, :, 2]), 0)
+    dy = np.maximum(np.maximum(b[None, :, 1] - p[:, None, 1], p[:, None, 1] - b[None, :, 3]), 0)
+    return dx * dx + dy * dy
+
+
+def _to_edges(p: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Distance of each point to the edge beside it."""
+    d, v = e[..., 2:] - e[..., :2], p - e[..., :2]
+    size = (d * d).sum(axis=-1)
+    t = np.where(size > 0, np.clip((v * d).sum(axis=-1) / np.where(size > 0, size, 1), 0, 1), 0)
+    return np.hypot(e[..., 0] + t * d[..., 0] - p[..., 0], e[..., 1] + t * d[..., 1] - p[..., 1])
+
+
+def _nearest(p: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Distance of each point to the nearest of the edges: that of the nearest leaf first, then leaves whose bounds are nearer."""
+    leaves = _frames(e, LEAF)
+    padded = np.vstack((e, np.repeat(e[-1:], -len(e) % LEAF, axis=0))).reshape(-1, LEAF, 4)
+    out = np.empty(len(p))
+    step = max(1, HELD // len(leaves))
+    for lo in range(0, len(p), step):
+        q = p[lo : lo + step]
+        away = _to_frames(q, leaves)
+        first = away.argmin(axis=1)
+        best = _to_edges(q[:, None], padded[first]).min(axis=1)
+        away[np.arange(len(q)), first] = np.inf
+        i, k = np.nonzero(away < (best * best)[:, None])
+        for at in range(0, len(i), HELD // LEAF):
+            some = slice(at, at + HELD // LEAF)
+            np.minimum.at(best, i[some], _to_edges(q[i[some], None], padded[k[some]]).min(axis=1))
+        out[lo : lo + step] = best
+    return out
+
+
+def _blocks(edges: DataFrame, keys: list[str], tile: float) -> DataFrame:
+    """(keys, block, frame, packed): every BLOCK edges of a key that are near each other and of like size.
+
+    Edges are dealt by ranges of key, size and place along a curve, so a task holds a range.
+    """
+    low = edges.agg(F.min(F.least("x1", "x2")).alias("a"), F.min(F.least("y1", "y2")).alias("b"), F.max(F.greatest("x1", "x2")).alias("c"), F.max(F.greatest("y1", "y2")).alias("d")).first()
+    if low["a"] is None:
+        low = {c: 0.0 for c in "abcd"}
+    step = max(float(tile) / 1024, (low["c"] - low["a"]) / 2**30, (low["d"] - low["b"]) / 2**30)
+    west, south = low["a"], low["b"]
+
+    def place(x1: pa.Array, y1: pa.Array, x2: pa.Array, y2: pa.Array) -> pa.Array:
+        a, b, c, d = (v.to_numpy(zero_copy_only=False) for v in (x1, y1, x2, y2))
+        return pa.array(_curve(((a + c) / 2 - west) / step, ((b + d) / 2 - south) / step))
+
+    sized = F.floor(F.log2(F.greatest(F.abs(F.col("x2") - F.col("x1")), F.abs(F.col("y2") - F.col("y1")), F.lit(step))) / 3)
+    placed = edges.withColumn("__size", sized).withColumn("__at", F.arrow_udf(place, T.LongType())("x1", "y1", "x2", "y2"))
+    by = [*keys, "__size", "__at"]
+    schema = T.StructType([*(edges.schema[k] for k in keys), *T._parse_datatype_string("frame array<double>, packed binary")])
+
+    def pack(batches):
+        for group in exact._groups(batches, [*keys, "__size"]):
+            first = group.select(keys).slice(0, 1).combine_chunks()
+            e = np.column_stack([group.column(c).to_numpy() for c in ("x1", "y1", "x2", "y2")])
+            frames = _frames(e, BLOCK).tolist()
+            packed = [e[lo : lo + BLOCK].astype("<f8").tobytes() for lo in range(0, len(e), BLOCK)]
+            at = pa.array([0] * len(packed), pa.int64())
+            table = pa.table([*(first.column(k).take(at) for k in keys), pa.array(frames, pa.list_(pa.float64())), pa.array(packed, pa.binary())], schema.names)
+            yield from table.combine_chunks().to_batches()
+
+    dealt = placed.repartitionByRange(*by).sortWithinPartitions(*by)
+    return materialize(dealt.mapInArrow(pack, schema).withColumn("block", F.monotonically_increasing_id()), "blocks")
+
+
+def _visits(asked: DataFrame, blocks: DataFrame, keys: list[str], again: bool) -> DataFrame:
+    """(row, x, y, block): the block of its key whose bounds are nearest each point; again, the others that are nearer than the distance found."""
+    schema = T.StructType([*(asked.schema[c] for c in ("__row", "x", "y")), T.StructField("block", T.LongType())])
+    own_frames: dict[tuple, list] = {}
+    for r in blocks.select(*keys, "block", "frame").toLocalIterator():  # a row for BLOCK edges
+        own_frames.setdefault(tuple(r[:-2]), []).append((r["block"], r["frame"]))
+    known = {k: (np.array([b for b, _ in v], np.int64), np.array([f for _, f in v])) for k, v in own_frames.items()}
+
+    def visit(batches):
+        for batch in batches:
+            own = list(zip(*(batch.column(k).to_pylist() for k in keys))) if keys else [()] * batch.num_rows
+            of: dict[tuple, list[int]] = {}
+            for i, k in enumerate(own):
+                of.setdefault(k, []).append(i)
+            p = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("x", "y")])
+            for k, rows in of.items():
+                if k not in known:
+                    continue
+                ids, boxes = known[k]
+                rows = np.array(rows)
+                step = max(1, HELD // len(ids))
+                for lo in range(0, len(rows), step):
+                    some = rows[lo : lo + step]
+                    away = _to_frames(p[some], boxes)
+                    first = away.argmin(axis=1)
+                    if again:
+                        found = batch.column("distance").to_numpy(zero_copy_only=False)[some]
+                        away[np.arange(len(some)), first] = np.inf
+                        i, j = np.nonzero(away < (found * found)[:, None])
+                    else:
+                        i, j = np.arange(len(some)), first
+                    at = pa.array(some[i])
+                    yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in ("__row", "x", "y")), pa.array(ids[j])], schema.names)
+
+    return exact.spread(asked).mapInArrow(visit, schema)
+
+
+def _met(visits: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(row, distance) of every visit. A task reads a block's edges and then its points in batches; a block with many points is read by several tasks."""
+    visits = materialize(visits, "visits")
+    shares = visits.groupBy("block").agg(F.ceil(F.count("*") / F.lit(AT_A_BLOCK)).cast("int").alias("shares"))
+    told = blocks.select("block", "packed").join(shares, "block").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
+    none = lambda c, t: F.lit(None).cast(t).alias(c)
+    edges = told.select("block", "share", F.lit(0).alias("side"), "packed", none("__row", "bigint"), none("x", "double"), none("y", "double"))
+    dealt = visits.join(shares, "block").withColumn("share", F.pmod(F.xxhash64("__row"), F.col("shares")).cast("int"))
+    points = dealt.select("block", "share", F.lit(1).alias("side"), none("packed", "binary"), "__row", "x", "y")
+    schema = T._parse_datatype_string("__row bigint, distance double")
+
+    def meet(batches):
+        held = None
+        for batch in batches:
+            side = batch.column("side").to_numpy(zero_copy_only=False)
+            turns = np.flatnonzero(side == 0).tolist()
+            for lo, hi in zip([0, *turns], [*turns, batch.num_rows]):
+                if lo < hi and side[lo] == 0:
+                    held = np.frombuffer(batch.column("packed")[lo].as_py(), "<f8").reshape(-1, 4)
+                    lo += 1
+                if lo < hi:
+                    rows = batch.slice(lo, hi - lo)
+                    p = np.column_stack([rows.column(c).to_numpy(zero_copy_only=False) for c in ("x", "y")])
+                    yield pa.RecordBatch.from_arrays([rows.column("__row"), pa.array(_nearest(p, held))], schema.names)
+
+    by = ["block", "share"]
+    return exact.spread(edges.unionByName(points), *by).sortWithinPartitions(*by, "side").mapInArrow(meet, schema)
 
 
 def nearest_edge(points: DataFrame, edges: DataFrame, id_col: str, tile: float, keys: list[str] | None = None) -> DataFrame:
     """(id, distance): the distance of every point (id, keys, x, y) to the nearest edge (keys, x1, y1, x2, y2) of its key, at any distance.
 
-    In a round, edges lie in square tiles and a point looks at its own and the eight around it:
-    what lies beyond is more than a tile away, so a distance of at most a tile is final. Points
-    that are still open go on with tiles twice as wide, until a tile is as wide as all points and
-    edges. Every round is an equi-join on tiles. Points without an edge of their key, or without
-    a place, get null; repeated ids have a row each.
+    Equal edges are one, and so are points of equal key and place. Edges are packed in blocks of
+    neighbours, by squares of a thousandth of a tile along a curve. A point goes to the block
+    whose bounds are nearest, and then to the others whose bounds are nearer than the edge
+    found, so few edges are compared and none is left out; blocks and points meet by an
+    equi-join. Points without an edge of their key, or without a place, get null; repeated ids
+    have a row each.
     """
     keys = list(keys or ())
-    rows = materialize(points.select(id_col, *keys, "x", "y").withColumn("__row", F.monotonically_increasing_id()), "points")
-    given = materialize(edges.select(*keys, "x1", "y1", "x2", "y2").where("x1 is not null and y1 is not null and x2 is not null and y2 is not null"), "edges")
-    low = lambda a, b: F.least(F.min(a), F.min(b))
-    high = lambda a, b: F.greatest(F.max(a), F.max(b))
-    box = given.agg(low("x1", "x2").alias("a"), low("y1", "y2").alias("b"), high("x1", "x2").alias("c"), high("y1", "y2").alias("d")).first()
-    seen = rows.agg(F.min("x").alias("a"), F.min("y").alias("b"), F.max("x").alias("c"), F.max("y").alias("d")).first()
-    open_, done, size = rows.where("x is not null and y is not null"), [], float(tile)
-    if box["a"] is not None and seen["a"] is not None and seen["b"] is not None:
-        extent = max(max(box["c"], seen["c"]) - min(box["a"], seen["a"]), max(box["d"], seen["d"]) - min(box["b"], seen["b"]))
-        around = F.array(*map(F.lit, (-1, 0, 1)))
-        while True:
-            number = lambda c: F.floor(c / size)  # noqa: E731, B023
-            spread = lambda a, b: F.explode(F.sequence(number(F.least(a, b)), number(F.greatest(a, b))))
-            there = given.withColumn("tx", spread("x1", "x2")).withColumn("ty", spread("y1", "y2"))
-            here = open_.withColumn("i", F.explode(around)).withColumn("j", F.explode(around))
-            here = here.withColumn("tx", number(F.col("x")) + F.col("i")).withColumn("ty", number(F.col("y")) + F.col("j")).drop("i", "j")
-            met = here.join(there, [*keys, "tx", "ty"]).groupBy("__row").agg(F.min(_away()).alias("distance"))
-            last = size > extent
-            found = materialize(met if last else met.where(F.col("distance") <= size), "near")
-            done.append(found)
-            open_ = materialize(open_.join(found, "__row", "left_anti"), "open")
-            if last or not open_.head(1):
-                break
-            size *= 2
-    if not done:
-        return rows.select(id_col, F.lit(None).cast("double").alias("distance"))
-    near = done[0]
-    for more in done[1:]:
-        near = near.unionByName(more)
-    return rows.join(near, "__row", "left").select(id_col, "distance")
+    places = [*keys, "x", "y"]
+    rows = materialize(points.select(id_col, *places), "points")
+    whole = rows.where(" and ".join(f"`{c}` is not null and not isnan(`{c}`)" if c in ("x", "y") else f"`{c}` is not null" for c in places))
+    asked = materialize(whole.select(*places).distinct().withColumn("__row", F.monotonically_increasing_id()), "places")
+    ends = ["x1", "y1", "x2", "y2"]
+    sound = [f"{c} is not null" for c in ends] + [f"`{k}` is not null" for k in keys]
+    given = materialize(edges.select(*keys, *ends).where(" and ".join(sound)).distinct(), "edges")
+    blocks = _blocks(given, keys, tile)
+    first = materialize(_met(_visits(asked, blocks, keys, False), blocks), "near")
+    more = _met(_visits(asked.join(first, "__row"), blocks, keys, True), blocks)
+    near = first.unionByName(more).groupBy("__row").agg(F.min("distance").alias("distance"))
+    found = asked.join(near, "__row").select(*places, "distance")
+    return rows.join(found, places, "left").select(id_col, "distance")
 
 
 def reconcile(sections: DataFrame, comparisons: DataFrame, tile: float, spacing: float = SPACING) -> DataFrame:
