@@ -175,3 +175,12 @@ def test_equal_points_and_edges_are_compared_once(spark, monkeypatch):
     made = distances.nearest_edge(points, lines, "id", 1.0).collect()
     assert len(made) == 600 and {r["distance"] for r in made} == {5.0}
     assert written["places"].count() == 3 and written["edges"].count() == 4500 and written["blocks"].count() >= 3
+
+
+def test_points_along_come_in_batches(spark, monkeypatch):
+    """Lines share batches of points, and a long line fills some of its own."""
+    monkeypatch.setattr(distances, "POINTS", 7)
+    lines = frame(spark, [(f"g{k}", K.to_wkb("LineString", [(0, k), (length, k)])) for k, length in enumerate((3, 20, 1, 1))])
+    made = distances.points_along(lines, ["grp"], 1.0).collect()
+    got = {g: sorted((r["number"], r["along"], r["x"], r["y"]) for r in made if r["grp"] == g) for g in {r["grp"] for r in made}}
+    assert got == {f"g{k}": [(i, float(i), float(i), float(k)) for i in range(length + 1)] for k, length in enumerate((3, 20, 1, 1))}

@@ -29,9 +29,18 @@ def points_along(lines: DataFrame, keys: list[str], step: float) -> DataFrame:
 
     def walk(batches):
         for batch in batches:
+            held, size = [], 0
+            columns = [*keys, "part"]
+
+            def made():
+                owner, *rest = (np.concatenate(c) for c in zip(*held))
+                at = pa.array(owner)
+                return pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in columns), *map(pa.array, rest)], schema.names)  # noqa: B023
+
             for i, data in enumerate(batch.column("wkb").to_pylist()):
                 ((_, line),) = K.primitives(*K.from_wkb(data))
-                edges = np.hypot(*np.diff(line, axis=0).T)
+                d = line[1:] - line[:-1]
+                edges = np.hypot(d[:, 0], d[:, 1])
                 ends = np.concatenate(([0.0], np.cumsum(edges)))
                 count = max(2, int(np.ceil(ends[-1] / step)) + 1)
                 for lo in range(0, count, POINTS):
@@ -39,13 +48,16 @@ def points_along(lines: DataFrame, keys: list[str], step: float) -> DataFrame:
                     along = ends[-1] * number / (count - 1)
                     k = np.clip(np.searchsorted(ends, along, "right") - 1, 0, len(edges) - 1)
                     share = np.where(edges[k] > 0, (along - ends[k]) / np.where(edges[k] > 0, edges[k], 1), 0.0)
-                    p = line[k] + np.clip(share, 0, 1)[:, None] * (line[k + 1] - line[k])
-                    at = pa.array(np.full(len(number), i))
-                    yield pa.RecordBatch.from_arrays(
-                        [*(batch.column(c).take(at) for c in (*keys, "part")), pa.array(number), pa.array(along), pa.array(p[:, 0]), pa.array(p[:, 1])], schema.names
-                    )
+                    p = line[k] + np.clip(share, 0, 1)[:, None] * d[k]
+                    held.append((np.full(len(number), i), number, along, p[:, 0], p[:, 1]))
+                    size += len(number)
+                    if size >= POINTS:
+                        yield made()
+                        held, size = [], 0
+            if held:
+                yield made()
 
-    return parts.mapInArrow(walk, schema)
+    return exact.spread(parts).mapInArrow(walk, schema)
 
 
 def edges_of(shapes: DataFrame, keys: list[str]) -> DataFrame:
@@ -68,7 +80,7 @@ def edges_of(shapes: DataFrame, keys: list[str]) -> DataFrame:
                 at, flat = pa.array(np.concatenate(owner)), np.vstack(rows)
                 yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in keys), *(pa.array(np.ascontiguousarray(flat[:, j])) for j in range(4))], schema.names)
 
-    return parts.mapInArrow(split, schema)
+    return exact.spread(parts).mapInArrow(split, schema)
 
 
 #: Edges of a block and of a leaf in it; points that one task takes to a block; pairs held at a time.
@@ -265,6 +277,7 @@ def reconcile(sections: DataFrame, comparisons: DataFrame, tile: float, spacing:
     least. The states, in this order: no distances; none within 50 km; 90 % within the tolerance;
     the 95th percentile within 1 km or five tolerances; 90 % within 5 km; else unresolved.
     """
+    sections = materialize(exact.spread(sections.select("section_id", "wkb", "precision")), "sections")
     samples = points_along(sections.select("section_id", "wkb"), ["section_id"], spacing).select("section_id", "x", "y")
     sources = comparisons.groupBy("source_id").agg(F.coalesce(F.median("accuracy"), F.lit(0.0)).alias("accuracy"))
     sources = materialize(sources, "sources")
