@@ -393,3 +393,20 @@ def test_releases(spark, tmp_path):
     assert r.current() == "g1"
     with pytest.raises(FileExistsError):
         r.add(spark, "g1", {})
+
+
+def test_polygons_in_convex_cells_are_cut_in_one_pass():
+    """All polygons of a batch against cells of four and six corners, as one by one."""
+    import numpy as np
+
+    from tilewright.operators import exact
+
+    hexagon = np.array([(50, -25), (50, 25), (0, 50), (-50, 25), (-50, -25), (0, -50)], float)
+    cells = [hexagon, hexagon + (50, 75), np.array([(-20, -20), (20, -20), (20, 20), (-20, 20)], float)]
+    rng = np.random.default_rng(1)
+    shapes = [[np.array([(x, y), (x + w, y), (x + w, y + h), (x, y + h)])] for x, y, w, h in rng.uniform(-60, 60, (60, 4))]
+    shapes += [[8 * hexagon, hexagon / 4], [np.array([(0, 0), (30, 30), (30, 0), (0, 30)], float)]]
+    begins = np.arange(len(shapes)) * 3
+    got = {(k, i - 3 * k): a for k, i, a, _ in exact._many_polygon_pieces(shapes, np.zeros((3 * len(shapes), 4)), begins, begins + 3, False, cells * len(shapes))}
+    want = {(k, i): a for k, s in enumerate(shapes) for i, a, _ in exact._polygon_in_rings(s, cells, False)}
+    assert len(got) > 50 and got == pytest.approx(want, abs=1e-9)

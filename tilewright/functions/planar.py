@@ -234,6 +234,30 @@ def clip_convex(rings: list[np.ndarray], cell: np.ndarray) -> list[np.ndarray]:
     return kept
 
 
+def clip_many_convex(points: np.ndarray, ring: np.ndarray, sides: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """clip_half by all sides of a convex ring for many rings at once: points with the number of their ring, in order, and for each ring its cell's sides (m, 4): a corner and the way to the next, 0 for none."""
+    for k in range(sides.shape[1]):
+        at = sides[ring, k]
+        v = at[:, 2] * (points[:, 1] - at[:, 1]) - at[:, 3] * (points[:, 0] - at[:, 0])
+        inside = v >= 0
+        if inside.all():
+            continue
+        sizes = np.bincount(ring, minlength=len(sides))
+        starts = np.cumsum(sizes) - sizes
+        after = np.arange(1, len(points) + 1)
+        after[(starts + sizes - 1)[sizes > 0]] = starts[sizes > 0]
+        crosses = inside != inside[after]
+        i = np.flatnonzero(crosses)
+        cut = points[i] + (v[i] / (v[i] - v[after[i]]))[:, None] * (points[after[i]] - points[i])
+        counts = inside.astype(np.int64) + crosses
+        place = np.cumsum(counts) - counts
+        made = np.empty((int(counts.sum()), 2))
+        made[place[inside]] = points[inside]
+        made[(place + inside)[i]] = cut
+        points, ring = made, np.repeat(ring, counts)
+    return points, ring
+
+
 def clip_line_convex(line: np.ndarray, cell: np.ndarray) -> np.ndarray:
     """(m, 4) segments of a line within a convex ring that runs counter-clockwise, its border included; none without length."""
     a, b = line[:-1], line[1:]

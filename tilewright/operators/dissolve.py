@@ -95,7 +95,7 @@ def dissolve(parts: DataFrame, keys: list[str], tile: float) -> DataFrame:
             first = group.select(keys).slice(0, 1).combine_chunks()
             yield from pa.table([*(first.column(k).take(at) for k in keys), *columns], [*keys, *made.names]).combine_chunks().to_batches()
 
-    faces = cut.repartition(*by).sortWithinPartitions(*by).mapInArrow(united, schema)
+    faces = exact.spread(cut, *by).sortWithinPartitions(*by).mapInArrow(united, schema)
     faces = materialize(faces.withColumn("id", F.monotonically_increasing_id()), "faces")
     seams = faces.select(*keys, "id", F.explode("seams").alias("s")).select(*keys, "id", "s.*")
     left, right = seams.where("side = 1").alias("l"), seams.where("side = 0").alias("r")
@@ -116,7 +116,7 @@ def dissolve(parts: DataFrame, keys: list[str], tile: float) -> DataFrame:
             table = pa.table([*(first.column(k).take(at) for k in (*keys, "component")), pa.array([_wkb(f) for f in found], pa.binary()), pa.array(areas, pa.float64())], done.names)
             yield from table.combine_chunks().to_batches()
 
-    return whole.repartition("component").sortWithinPartitions("component").mapInArrow(joined, done)
+    return exact.spread(whole, "component").sortWithinPartitions("component").mapInArrow(joined, done)
 
 
 def _round(a: np.ndarray, b: np.ndarray, distance: float, quarter: int) -> np.ndarray:

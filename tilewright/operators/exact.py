@@ -29,7 +29,7 @@ def parts_of(features: DataFrame, wkb: str = "wkb", number: str | None = None, e
     steps over the dateline is a part on each side. Null and empty geometries have no parts.
     """
     own = [c for c in features.columns if c not in (*BOX, wkb, "family", number)]
-    parts = features.select(*own, F.posexplode(K.shapes(F.col(wkb), earth)).alias("__number", "__part"))
+    parts = spread(features.select(*own, wkb)).select(*own, F.posexplode(K.shapes(F.col(wkb), earth)).alias("__number", "__part"))
     return parts.select(*own, *([F.col("__number").alias(number)] if number else []), "__part.*")
 
 
@@ -96,6 +96,14 @@ def _kept(area: float, rings: list[np.ndarray], box) -> tuple[float, list[np.nda
     return area, rings
 
 
+def _kept_in(area: float, rings: list[np.ndarray], cell: np.ndarray) -> tuple[float, list[np.ndarray]] | None:
+    """_kept for a convex cell."""
+    whole = P.ring_area(cell)
+    if area <= 1e-12 * whole:
+        return None
+    return (whole, [cell]) if area >= whole * (1 - 1e-12) else (area, rings)
+
+
 def _polygon_pieces(rings: list[np.ndarray], boxes: np.ndarray, simple: bool):
     """(index of box, area, packed piece) of the boxes in which a polygon has an area; a row of boxes shares one cut."""
     strips: dict[tuple, list[np.ndarray]] = {}
@@ -113,8 +121,8 @@ def _polygon_pieces(rings: list[np.ndarray], boxes: np.ndarray, simple: bool):
 SMALL, TOGETHER = 1 << 14, 1 << 18
 
 
-def _many_polygon_pieces(shapes: list[list[np.ndarray]], boxes: np.ndarray, begins: np.ndarray, ends: np.ndarray, earth: bool):
-    """(polygon, index in boxes, area, packed piece) of all polygons in their boxes, begins to ends of boxes.
+def _many_polygon_pieces(shapes: list[list[np.ndarray]], boxes: np.ndarray, begins: np.ndarray, ends: np.ndarray, earth: bool, cells: list[np.ndarray] | None = None):
+    """(polygon, index in boxes, area, packed piece) of all polygons in their boxes, begins to ends of boxes; cells: convex rings instead of the boxes.
 
     Small polygons are cut to all their boxes in one pass over flat arrays, large ones each by
     strips.
@@ -124,6 +132,14 @@ def _many_polygon_pieces(shapes: list[list[np.ndarray]], boxes: np.ndarray, begi
     points, home = np.vstack(rings), np.repeat(np.arange(len(rings)), sizes)
     if earth:
         points, boxes = np.column_stack(K.equal_area(points[:, 0], points[:, 1])), _metre_boxes(boxes)
+    if cells is not None:
+        known = {id(c): c for c in cells}  # a cell is one ring in a batch
+        known = {k: (i, c) for i, (k, c) in enumerate(zip(known, _metres(list(known.values())) if earth else known.values()))}
+        which_cell = np.array([known[id(c)][0] for c in cells], np.int64)
+        cells = [known[id(c)][1] for c in cells]
+        sides = np.zeros((len(known), max(len(c) for _, c in known.values()), 4))
+        for i, c in known.values():
+            sides[i, : len(c)] = np.hstack((c, np.roll(c, -1, axis=0) - c))
     starts = np.cumsum(sizes) - sizes
     first = np.cumsum(per) - per
     round_ = P.run_round(points, home, len(rings))
@@ -132,7 +148,8 @@ def _many_polygon_pieces(shapes: list[list[np.ndarray]], boxes: np.ndarray, begi
     simple = [per[k] == 1 and bool(round_[first[k]]) or P.is_simple(own(k)) for k in range(len(shapes))]
     small = np.flatnonzero((load <= SMALL) & (load > 0))
     for k in np.flatnonzero(load > SMALL).tolist():
-        for i, area, packed in _polygon_pieces(own(k), boxes[begins[k] : ends[k]], simple[k]):
+        mine = slice(begins[k], ends[k])
+        for i, area, packed in _polygon_pieces(own(k), boxes[mine], simple[k]) if cells is None else _polygon_in_rings(own(k), cells[mine], False):
             yield k, begins[k] + i, area, packed
     groups = np.cumsum(load[small]) // TOGETHER
     for g in np.unique(groups):
@@ -145,7 +162,8 @@ def _many_polygon_pieces(shapes: list[list[np.ndarray]], boxes: np.ndarray, begi
         ring = first[owner[pair]] + which
         n = sizes[ring]
         at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[ring], n)
-        cut, of = P.clip_many(points[at], np.repeat(np.arange(len(ring)), n), boxes[box[pair]])
+        of = np.repeat(np.arange(len(ring)), n)
+        cut, of = P.clip_many(points[at], of, boxes[box[pair]]) if cells is None else P.clip_many_convex(points[at], of, sides[which_cell[box[pair]]])
         left = np.bincount(of, minlength=len(ring))
         begin = np.cumsum(left) - left
         sound = left >= 3
@@ -155,7 +173,8 @@ def _many_polygon_pieces(shapes: list[list[np.ndarray]], boxes: np.ndarray, begi
         for j in np.flatnonzero(sound[shell]).tolist():
             rings_ = [cut[begin[r] : begin[r] + left[r]] for r in range(shell[j], shell[j] + per[owner[j]]) if sound[r]]
             k = int(owner[j])
-            found = _kept(max(0.0, total[j]) if simple[k] else P.polygon_area(rings_), rings_, boxes[box[j]])
+            size = max(0.0, total[j]) if simple[k] else P.polygon_area(rings_)
+            found = _kept(size, rings_, boxes[box[j]]) if cells is None else _kept_in(size, rings_, cells[box[j]])
             if found:
                 yield k, int(box[j]), float(found[0]), _packed(found[1])
 
@@ -180,12 +199,9 @@ def _polygon_in_rings(rings: list[np.ndarray], cells: list[np.ndarray], earth: b
         kept = P.clip_convex(rings, cell)
         if not kept:
             continue
-        area, whole = P.polygon_area(kept, simple), P.ring_area(cell)
-        if area <= 1e-12 * whole:
-            continue
-        if area >= whole * (1 - 1e-12):
-            area, kept = whole, [cell]
-        yield i, area, _packed(kept)
+        found = _kept_in(P.polygon_area(kept, simple), kept, cell)
+        if found:
+            yield i, found[0], _packed(found[1])
 
 
 def with_bounds(cells: DataFrame) -> DataFrame:
@@ -235,14 +251,8 @@ def pieces(parts: DataFrame, cells: DataFrame, tile: float, earth: bool = True)
                         if d not in known:
                             known[d] = _cell_rings([d])[0]
                     own_rings = [known[d] for d in rings[begin:end]]
-                if kind == "Polygon" and not shaped:
+                if kind == "Polygon":
                     polygons.append((row, shape, begin, end))
-                elif kind == "Polygon":
-                    for i, area, packed in _polygon_in_rings(shape, own_rings, earth):
-                        owner.append(row)
-                        which.append(begin + i)
-                        measure.append(area)
-                        piece.append(packed)
                 elif kind == "LineString":
                     for i, box in enumerate(mine.tolist()):
                         segments = P.clip_line_convex(shape, own_rings[i]) if shaped else P.clip_line(shape, box)
@@ -263,7 +273,7 @@ def pieces(parts: DataFrame, cells: DataFrame, tile: float, earth: bool = True)
                         piece.append(np.array([x, y], "<f8").tobytes())
             if polygons:
                 rows_, shapes, begins, stops = zip(*polygons)
-                for k, i, area, packed in _many_polygon_pieces(list(shapes), boxes, np.array(begins), np.array(stops), earth):
+                for k, i, area, packed in _many_polygon_pieces(list(shapes), boxes, np.array(begins), np.array(stops), earth, [known[d] for d in rings] if shaped else None):
                     owner.append(rows_[k])
                     which.append(i)
                     measure.append(area)
@@ -436,7 +446,7 @@ def unions(found: DataFrame, keys: list[str], earth: bool = True, many: int = MA
     around = lambda a, b: F.sequence(F.greatest(F.lit(0), a - 1), F.least(F.col("__n") - 1, b + 1))
     lattice = framed.withColumn("__i", F.explode(around(place("__e.a", "__a", "__c"), place("__e.c", "__a", "__c"))))
     lattice = lattice.withColumn("__j", F.explode(around(place("__e.b", "__b", "__d"), place("__e.d", "__b", "__d")))).drop("__e")
-    ordered = lambda df, by: df.repartition(*by).sortWithinPartitions(*by)
+    ordered = lambda df, by: spread(df, *by).sortWithinPartitions(*by)
     calm = some.join(full, same, "left_anti") if any_full else some
     calm = ordered(calm, keys).mapInArrow(whole, schema)
     if not any_full:

@@ -25,7 +25,7 @@ def recompute(long: DataFrame, cells: DataFrame, features: DataFrame, tile: floa
     """(group, cell_id, stored, recomputed, agrees) for the sampled cells of every group.
 
     The overlay cuts parts to boxes in strips and sweeps slabs; here parts are cut by the cell's
-    half-planes in turn, the pieces are noded and united as geometry, and the area is the
+    half-planes in turn, the distinct pieces are noded and united as geometry, and the area is the
     integral around the union's rings. A null that was stored agrees with no area. cells and
     features are those of the overlay (cell_id, box and perhaps wkb; group and wkb).
     """
@@ -45,7 +45,7 @@ def recompute(long: DataFrame, cells: DataFrame, features: DataFrame, tile: floa
             yield from pa.table([*first.columns, pa.array(np.array([area]))], schema.names).combine_chunks().to_batches()
 
     by = ["group", "cell_id"]
-    united = found.repartition(*by).sortWithinPartitions(*by).mapInArrow(areas, schema)
+    united = exact.spread(found.distinct(), *by).sortWithinPartitions(*by).mapInArrow(areas, schema)
     share = F.coalesce(F.col("united") / F.col("cell_area"), F.lit(0.0))
     out = chosen.join(united, by, "left").join(exact.cell_areas(cells, earth), "cell_id").withColumn("recomputed", share)
     agrees = F.abs(F.coalesce("stored", F.lit(0.0)) - F.col("recomputed")) <= tolerance
